@@ -114,14 +114,12 @@ def token_count(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Array of trimmed, non-empty sentences; a sentence ends at ``. ! ?`` plus white space."""
-    marked = F.regexp_replace(
-        text, f"([.!?]){WHITESPACE}+", "$1" + _SENTENCE_MARK
+    # The ends are stripped once and a break consumes its white space, so pieces are trimmed.
+    stripped = F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    marked = F.regexp_replace(stripped, f"([.!?]){WHITESPACE}+", "$1" + _SENTENCE_MARK)
+    return F.when(marked == "", F.array().cast("array<string>")).otherwise(
+        F.split(marked, _SENTENCE_MARK)
     )
-    pieces = F.split(marked, _SENTENCE_MARK)
-    trimmed = F.transform(
-        pieces, lambda piece: F.regexp_replace(piece, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
-    )
-    return F.filter(trimmed, lambda piece: piece != "")
 
 
 def is_stopword(
