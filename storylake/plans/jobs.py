@@ -120,9 +120,9 @@ def targeted_sentiment(
     negative: Iterable[str] = tuple(NEGATIVE_WORDS),
     collection_sources: DataFrame | None = None,
 ) -> Outputs:
-    """Sentiment towards a target; sentences are those matching the patterns or the target."""
+    """Sentiment towards a target of the sentences that match any pattern (default: all)."""
     stories, outputs = _scan_title_source(articles, query, collection_sources)
-    sentences = match_sentences(stories, patterns or [target])
+    sentences = match_sentences(stories, patterns)
     outputs["sentences"] = add_sentiment(sentences, target, positive=positive, negative=negative)
     return outputs
 
