@@ -225,12 +225,12 @@ best AS (
       ORDER BY round(coalesce(w, 0) + coalesce(h, 0), 9) DESC, s.sentence_id) AS rank
   FROM ssent s LEFT JOIN weight USING (ingest_seq, sentence_id) LEFT JOIN hit USING (ingest_seq, sentence_id)),
 summary AS (
-  SELECT z.ingest_seq, z.n_tokens >= 50 AND z.n_sent >= 3 AS confident,
-    CASE WHEN z.n_tokens >= 50 AND z.n_sent >= 3
-         THEN string_agg(sentence_text, ' ' ORDER BY sentence_id) FILTER (rank <= 3) END AS summary_text,
-    CASE WHEN z.n_tokens >= 50 AND z.n_sent >= 3
-         THEN string_agg(sentence_text, '|' ORDER BY rank) FILTER (rank BETWEEN 4 AND 6) END AS key_points
-  FROM sizes z LEFT JOIN best USING (ingest_seq) GROUP BY ALL)"""
+  SELECT z.ingest_seq, bool_and(z.n_tokens >= 50 AND z.n_sent >= 3) AS confident,
+    string_agg(sentence_text, ' ' ORDER BY sentence_id)
+      FILTER (rank <= 3 AND z.n_tokens >= 50 AND z.n_sent >= 3) AS summary_text,
+    string_agg(sentence_text, '|' ORDER BY rank)
+      FILTER (rank BETWEEN 4 AND 6 AND z.n_tokens >= 50 AND z.n_sent >= 3) AS key_points
+  FROM sizes z LEFT JOIN best USING (ingest_seq) GROUP BY 1)"""
 
 
 @query(
@@ -257,13 +257,13 @@ NEGATIVE = ["of", "de", "und", "re", "nd"]
 #: ``sentiment``: over ``mentioned`` (id, sentence_id, sentence_text), target ``th.?tion``.
 SENTIMENT_TARGET = "th.?tion"
 SENTIMENT_CTE = f"""
-at AS (
+located AS (
   SELECT *, len({toks(f"regexp_replace(regexp_extract(sentence_text, '(?is)^(.*?)(?:{SENTIMENT_TARGET})', 1), '{TOK}$', '')")})
             AS target_at
   FROM mentioned WHERE regexp_matches(sentence_text, '(?i){SENTIMENT_TARGET}')),
 placed AS (
   SELECT id, sentence_id, target_at, unnest({toks("sentence_text")}) AS term,
-         unnest(range(len({toks("sentence_text")}))) AS pos FROM at),
+         unnest(range(len({toks("sentence_text")}))) AS pos FROM located),
 summed AS (
   SELECT id, sentence_id, round(coalesce(sum(
       CASE WHEN term IN ({", ".join(f"'{w}'" for w in POSITIVE)}) THEN 1.0::DOUBLE

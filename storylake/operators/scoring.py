@@ -45,8 +45,8 @@ def add_column(
     def run(*series: pd.Series) -> pd.Series:
         return func(*series)
 
-    run.__annotations__ = {"return": pd.Series}
-    vectorized = F.pandas_udf(run, return_type, F.PandasUDFType.SCALAR)
+    run.__annotations__ = {"series": pd.Series, "return": pd.Series}
+    vectorized = F.pandas_udf(run, return_type)
     return df.withColumn(output_col, vectorized(*columns))
 
 
@@ -71,7 +71,7 @@ def add_columns(
         return _checked(scorer(frame.set_axis(inputs, axis=1)), names, len(frame))[names]
 
     run.__annotations__ = {"frame": pd.DataFrame, "return": pd.DataFrame}
-    call = F.pandas_udf(run, output_type, F.PandasUDFType.SCALAR).asNondeterministic()
+    call = F.pandas_udf(run, output_type).asNondeterministic()
     added = df.withColumn("_added", call(F.struct(*input_cols)))
     kept = [name for name in df.columns if name not in names]
     return added.select(*kept, *[F.col(f"_added.{name}").alias(name) for name in names])
@@ -164,7 +164,7 @@ def model_outcomes(
         "return": Iterator[pd.DataFrame],
     }
     # Marked non-deterministic so that no rewrite evaluates a paid call twice.
-    call = F.pandas_udf(run, result, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
+    call = F.pandas_udf(run, result).asNondeterministic()
     if skip_blank is None:
         skip = F.lit(False)
     else:
