@@ -88,8 +88,8 @@ q AS (SELECT id, media_name,
         CAST(unnest(range(len(regexp_extract_all(text, '["“]([^"“”]+)["”]([^"“”]{0,80})', 1)))) AS INTEGER)
           AS quote_id FROM articles),
 n AS (SELECT *, coalesce(
-   nullif(regexp_extract(after, '^[\s,]*(?:said|says|added|told|asked) (\p{Lu}[\p{L}''.-]*(?: \p{Lu}[\p{L}''.-]*)*)', 1), ''),
-   nullif(regexp_extract(after, '^[\s,]*(\p{Lu}[\p{L}''.-]*(?: \p{Lu}[\p{L}''.-]*)*) (?:said|says|added|told|asked)(?:[^\p{L}]|$)', 1), '')) AS who,
+   nullif(regexp_extract(after, '^[\s,]*(?:said|says|added|told|asked) (\p{Lu}(?:[\p{L}''-]+|\.)(?: \p{Lu}(?:[\p{L}''-]+|\.))*)', 1), ''),
+   nullif(regexp_extract(after, '^[\s,]*(\p{Lu}(?:[\p{L}''-]+|\.)(?: \p{Lu}(?:[\p{L}''-]+|\.))*) (?:said|says|added|told|asked)(?:[^\p{L}]|$)', 1), '')) AS who,
    coalesce(
    nullif(regexp_extract(after, '(?i)^[\s,]*(he|she|they) (?:said|says|added|told|asked)(?:[^\p{L}]|$)', 1), ''),
    nullif(regexp_extract(after, '(?i)^[\s,]*(?:said|says|added|told|asked) (he|she|they)(?:[^\p{L}]|$)', 1), '')) AS pro

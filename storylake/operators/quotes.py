@@ -10,7 +10,9 @@ from storylake.schema import require_columns
 #: Quoted text, then up to 80 characters without a quotation mark.
 QUOTE = '["“]([^"“”]+)["”]([^"“”]{0,80})'
 _VERB = r"(?:said|says|added|told|asked)"
-_NAME = r"(\p{Lu}[\p{L}'.-]*(?: \p{Lu}[\p{L}'.-]*)*)"
+#: Capitalised words or initials; a full stop ends the name unless it follows an initial.
+_PART = r"\p{Lu}(?:[\p{L}'-]+|\.)"
+_NAME = rf"({_PART}(?: {_PART})*)"
 #: Attribution directly behind the quote: verb + name, or name + verb.
 VERB_NAME = r"^[\s,]*" + _VERB + " " + _NAME
 NAME_VERB = r"^[\s,]*" + _NAME + " " + _VERB + r"(?:[^\p{L}]|$)"

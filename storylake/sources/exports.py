@@ -105,6 +105,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("lineSep", "\n")
         .option("quote", '"')
         .option("escape", '"')
+        # An unquoted empty field is null, a quoted one is the empty string.
+        .option("nullValue", "\x00")
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
