@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storylake.constants import STOPWORDS
-from storylake.sources.articles import articles_from_documents
+from storylake.sources.articles import articles_from_documents, spread_small_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,7 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles_from_documents(table(spark, sf_dir, "documents"))
+    documents = spread_small_scan(table(spark, sf_dir, "documents"), "doc_id")
+    return articles_from_documents(documents)
 
 
 def text_of(*names: str) -> list[Column]:

@@ -2,6 +2,9 @@
 
 A scorer is a callable that maps a pandas frame of the input columns to a frame of the
 output columns.  It is built by a factory once per Python worker, so models load once.
+It reports failed rows in an ``error`` column.  It may also raise: the batch is then halved
+until the failing rows are alone, which repeats calls, so scorers that are paid per call
+should report instead.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ ScorerFactory = Callable[[], Scorer]
 USAGE_FIELDS = ("prompt_tokens", "completion_tokens", "total_tokens")
 USAGE_TYPE = T.StructType([T.StructField(name, T.LongType()) for name in USAGE_FIELDS])
 SUCCESS, FAILURE = "success", "failure"
+#: Column in which a scorer reports the failure of single rows.
+ERROR_FIELD = "error"
 
 
 def add_column(
@@ -78,22 +83,22 @@ def add_columns(
 
 
 def _call(scorer: Scorer, frame: pd.DataFrame, names: Sequence[str]) -> tuple:
-    """Results and errors per row; a failing batch is repeated row by row to find the culprit."""
+    """Results and errors per row.  A batch that raises is halved until the culprit is alone."""
     if frame.empty:
         return [], []
     try:
         result = _checked(scorer(frame), names, len(frame))
-        return result.to_dict("records"), [None] * len(frame)
     except Exception as failure:  # noqa: BLE001 - any scorer error becomes a row error
         if len(frame) == 1:
-            message = f"{type(failure).__name__}: {failure}"[:ERROR_MAX_CHARS]
-            return [None], [message]
-    results, errors = [], []
-    for i in range(len(frame)):
-        one, error = _call(scorer, frame.iloc[i : i + 1].reset_index(drop=True), names)
-        results += one
-        errors += error
-    return results, errors
+            return [None], [f"{type(failure).__name__}: {failure}"[:ERROR_MAX_CHARS]]
+        half = len(frame) // 2
+        parts = [frame.iloc[:half], frame.iloc[half:]]
+        calls = [_call(scorer, part.reset_index(drop=True), names) for part in parts]
+        return calls[0][0] + calls[1][0], calls[0][1] + calls[1][1]
+    rows = result.to_dict("records")
+    errors = [_plain(row.get(ERROR_FIELD)) for row in rows]
+    errors = [None if error is None else str(error)[:ERROR_MAX_CHARS] for error in errors]
+    return [row if error is None else None for row, error in zip(rows, errors, strict=True)], errors
 
 
 def outcome_type(output: T.DataType) -> T.StructType:

@@ -6,7 +6,7 @@ aggregation and join works on that placement, so no exploded token row is shuffl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storylake.functions.prompts import SUMMARY_PROMPT, build_prompt
@@ -29,38 +29,63 @@ OUTPUTS = [
 ]
 
 
-def _ranked_sentences(articles: DataFrame) -> DataFrame:
-    """``ingest_seq, sentence_id, sentence_text, rank`` of the best sentences."""
-    placed = place_by_article(articles)
-    rows = placed.select(
-        ROW_KEY,
-        "language",
-        "focus_tokens",
-        F.posexplode(sentences(F.col("text"))).alias("sentence_id", "sentence_text"),
-    )
+def _best_sentences(articles: DataFrame) -> DataFrame:
+    """``ingest_seq, best``: numbers of the best sentences of an article, best first.
+
+    Only sentence numbers leave this step; the sentences themselves are cut from the text
+    where the article row is at hand.
+    """
     words = (
-        rows.select(
-            ROW_KEY, "language", "sentence_id", F.explode(tokens(F.col("sentence_text"))).alias("term")
+        place_by_article(articles)
+        .select(
+            ROW_KEY,
+            "language",
+            "focus_tokens",
+            F.posexplode(sentences(F.col("text"))).alias("sentence_id", "sentence"),
+        )
+        .select(
+            ROW_KEY,
+            "language",
+            "focus_tokens",
+            "sentence_id",
+            # The outer form scores sentences without words too.
+            F.explode_outer(tokens(F.col("sentence"))).alias("term"),
+        )
+        .select(
+            ROW_KEY,
+            "sentence_id",
+            "term",
+            (F.col("term").isNotNull() & ~is_stopword(F.col("term"), F.col("language"))).alias(
+                "content"
+            ),
+            F.coalesce(F.array_contains("focus_tokens", F.col("term")), F.lit(False)).alias(
+                "focus"
+            ),
         )
-        .filter(~is_stopword(F.col("term"), F.col("language")))
-        .groupBy(ROW_KEY, "sentence_id", "term")
+        .groupBy(ROW_KEY, "sentence_id", "term", "content", "focus")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    in_article = F.sum("n").over(Window.partitionBy(ROW_KEY, "term"))
-    weights = (
-        words.withColumn("tf", in_article)
+    frequency = F.sum("n").over(Window.partitionBy(ROW_KEY, "term"))
+    n = F.when(F.col("content"), F.col("n"))
+    scored = (
+        words.withColumn("tf", frequency)
         .groupBy(ROW_KEY, "sentence_id")
-        .agg((F.sum(F.col("n") * F.col("tf")) / F.sum("n")).alias("weight"))
+        .agg(
+            (F.sum(n * F.col("tf")) / F.sum(n)).alias("weight"),
+            F.count_if("focus").alias("focus_hits"),
+        )
+        .withColumn("score", F.round(F.coalesce("weight", F.lit(0.0)) + F.col("focus_hits"), 9))
     )
-    focus_hits = F.size(F.array_intersect(tokens(F.col("sentence_text")), F.col("focus_tokens")))
     best = Window.partitionBy(ROW_KEY).orderBy(F.desc("score"), "sentence_id")
     return (
-        rows.select(ROW_KEY, "sentence_id", "sentence_text", focus_hits.alias("focus_hits"))
-        .join(weights, [ROW_KEY, "sentence_id"], "left")
-        .withColumn("score", F.round(F.coalesce("weight", F.lit(0.0)) + F.col("focus_hits"), 9))
-        .withColumn("rank", F.row_number().over(best))
+        scored.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= SUMMARY_SENTENCES + KEY_POINTS)
-        .select(ROW_KEY, "sentence_id", "sentence_text", "rank")
+        .groupBy(ROW_KEY)
+        .agg(
+            F.sort_array(F.collect_list(F.struct("rank", "sentence_id")))["sentence_id"].alias(
+                "best"
+            )
+        )
     )
 
 
@@ -88,7 +113,7 @@ def summarize_articles(
     confident = (token_count(text) >= MIN_TOKENS) & (F.size(sentences(text)) >= MIN_SENTENCES)
     kept = [name for name in df.columns if name not in OUTPUTS]
     base = df.select(*kept, confident.alias("llm_summary_is_confident"), tags.alias("_tags"))
-    chosen = _ranked_sentences(
+    chosen = _best_sentences(
         base.filter("llm_summary_is_confident").select(
             ROW_KEY,
             "language",
@@ -96,20 +121,6 @@ def summarize_articles(
             wanted.alias("focus_tokens"),
         )
     )
-    in_order = F.sort_array(
-        F.collect_list(
-            F.when(F.col("rank") <= SUMMARY_SENTENCES, F.struct("sentence_id", "sentence_text"))
-        )
-    )
-    by_rank = F.sort_array(
-        F.collect_list(
-            F.when(F.col("rank") > SUMMARY_SENTENCES, F.struct("rank", "sentence_text"))
-        )
-    )
-    summary = chosen.groupBy(ROW_KEY).agg(
-        F.array_join(in_order["sentence_text"], " ").alias("llm_summary_text"),
-        by_rank["sentence_text"].alias("key_points"),
-    )
     prompt = build_prompt(
         SUMMARY_PROMPT,
         focus=F.lit(focus),
@@ -117,11 +128,22 @@ def summarize_articles(
         title=F.col(title_column),
         text=F.col(text_column),
     )
-    answer = F.coalesce("llm_summary_text", F.lit(""))
-    # Sizes are taken before the join, so a caller that drops the text never shuffles it.
+    joined = (
+        base.withColumn("_sentences", F.when(F.col("llm_summary_is_confident"), sentences(text)))
+        .withColumn("_prompt_tokens", token_count(prompt).cast("long"))
+        .join(chosen, ROW_KEY, "left")
+    )
+
+    def cut(numbers: Column) -> Column:
+        return F.transform(numbers, lambda number: F.get("_sentences", number))
+
+    in_order = F.array_sort(F.slice("best", 1, SUMMARY_SENTENCES))
+    summary = F.array_join(cut(in_order), " ")
+    key_points = cut(F.slice("best", SUMMARY_SENTENCES + 1, KEY_POINTS))
+    answered = F.coalesce(token_count(F.col("llm_summary_text")), F.lit(0)).cast("long")
     return (
-        base.withColumn("_prompt_tokens", token_count(prompt).cast("long"))
-        .join(summary, ROW_KEY, "left")
+        joined.withColumn("llm_summary_text", summary)
+        .withColumn("_answer_tokens", answered)
         .select(
             *kept,
             "llm_summary_text",
@@ -130,11 +152,11 @@ def summarize_articles(
             F.when(F.col("llm_summary_is_confident"), "long enough")
             .otherwise("too short to summarise")
             .alias("confidence_reason"),
-            F.coalesce("key_points", F.array().cast("array<string>")).alias("key_points"),
+            F.coalesce(key_points, F.array().cast("array<string>")).alias("key_points"),
             F.struct(
                 F.col("_prompt_tokens").alias("prompt_tokens"),
-                token_count(answer).cast("long").alias("completion_tokens"),
-                (F.col("_prompt_tokens") + token_count(answer)).alias("total_tokens"),
+                F.col("_answer_tokens").alias("completion_tokens"),
+                (F.col("_prompt_tokens") + F.col("_answer_tokens")).alias("total_tokens"),
             ).alias("usage"),
         )
     )

@@ -1,7 +1,8 @@
 """The eleven composed jobs.
 
-Each job takes an article table and parameters and returns named lazy DataFrames; nothing
-runs until one of them is written or read.  Steps that cost little come before steps that
+Each job takes an article table and parameters and returns named DataFrames.  They are lazy,
+but for rows that a model has scored or that several outputs of a long job share: those are
+checkpointed once.  Steps that cost little come before steps that
 cost much, and every result that is exported drops the article text first where the export
 does, so the text is pruned before any shuffle that follows.
 """
@@ -43,6 +44,7 @@ from storylake.operators.zeroshot import (
 )
 from storylake.params import AboutnessParams, ArticleQuery, DedupStrategy, LabelParams
 from storylake.sources.articles import scan_articles
+from storylake.session import materialize
 from storylake.sources.exports import contract_columns, drop_text
 
 Outputs = dict[str, DataFrame]
@@ -244,7 +246,8 @@ def tagged_summaries(
     stories = limit_after_dedup(stories, labels.max_stories)
     scored = score_aboutness(stories, about.target, about.context, max_rows=about.max_rows)
     tagged = classify(filter_aboutness(scored, about.threshold).drop("usage"), labels, scorer)
-    tagged = tagged.withColumn("_prompt_tags", tags_for_prompt(tagged))
+    # Few articles pass the filter and four outputs read them, so they are written once.
+    tagged = materialize(tagged.withColumn("_prompt_tags", tags_for_prompt(tagged)))
     summarized = summarize_articles(
         tagged, summary_focus(focus, about.target), "_prompt_tags", about.max_rows
     )
