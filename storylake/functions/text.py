@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections.abc import Sequence
 
@@ -17,6 +18,7 @@ NOT_AFTER_TOKEN = r"(?<![\p{L}\p{N}])"
 NOT_BEFORE_TOKEN = r"(?![\p{L}\p{N}])"
 
 _SENTENCE_MARK = "\x01"
+_DIGEST_OF_NOTHING = hashlib.md5(b"").hexdigest()
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -30,8 +32,8 @@ def normalize_text(text: Column) -> Column:
 
 def hash_text(text: Column) -> Column:
     """MD5 hex digest of the normalised text; blank text has the empty key."""
-    normalized = normalize_text(text)
-    return F.when(normalized == "", F.lit("")).otherwise(F.md5(normalized))
+    # Replacing the digest of nothing reads the text once; a condition would read it twice.
+    return F.replace(F.md5(normalize_text(text)), F.lit(_DIGEST_OF_NOTHING), F.lit(""))
 
 
 def truncate(text: Column, max_chars: int | None) -> Column:
@@ -114,12 +116,11 @@ def token_count(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Array of trimmed, non-empty sentences; a sentence ends at ``. ! ?`` plus white space."""
-    # The ends are stripped once and a break consumes its white space, so pieces are trimmed.
+    # The ends are stripped once and a break consumes its white space, so pieces are trimmed;
+    # only blank text leaves an empty piece.
     stripped = F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
     marked = F.regexp_replace(stripped, f"([.!?]){WHITESPACE}+", "$1" + _SENTENCE_MARK)
-    return F.when(marked == "", F.array().cast("array<string>")).otherwise(
-        F.split(marked, _SENTENCE_MARK)
-    )
+    return F.array_remove(F.split(marked, _SENTENCE_MARK), "")
 
 
 def is_stopword(

@@ -30,13 +30,15 @@ def _sentence_words(df: DataFrame, text_column: str, language_column: str) -> Da
         )
     )
     # The outer form keeps the planner from adding a "not empty" filter, which would split
-    # every text several more times; its null rows vanish when the words are exploded.
+    # every text several more times; its null rows vanish when the words are exploded.  The
+    # count is taken one step earlier, so that exploded rows do not carry the whole array.
     return (
         placed.select(ROW_KEY, "language", sentences(F.col("text")).alias("sentences"))
+        .withColumn("sentence_total", F.size("sentences"))
         .select(
             ROW_KEY,
             "language",
-            F.size("sentences").alias("sentence_total"),
+            "sentence_total",
             F.posexplode_outer("sentences").alias("sentence_id", "sentence"),
         )
         .select(

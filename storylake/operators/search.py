@@ -24,7 +24,7 @@ def _mentions(df_columns: Sequence[str], phrase: str, fields: Sequence[str]) ->
     hit = F.lit(False)
     for name in fields:
         if name in df_columns:
-            hit = hit | contains_regex(F.lower(F.col(name)), pattern)
+            hit = hit | contains_regex(F.col(name), pattern)
     return hit
 
 
@@ -74,7 +74,7 @@ def search_proximity(
     require_columns(df, text_column)
     # The plain token test is cheap and drops most articles before positions are listed.
     text = F.col(text_column)
-    return df.filter(contains_regex(F.lower(text), whole_token_regex([term.lower()]))).filter(
+    return df.filter(contains_regex(text, whole_token_regex([term.lower()]))).filter(
         repeated_within(text, term, mentions, slop)
     )
 

@@ -25,6 +25,9 @@ def place_by_article(df: DataFrame) -> DataFrame:
 #: groups, so the broadcast side below has a proven bound: 30 000 groups for 30 billion rows.
 HOT_GROUP_ROWS = 1_000_000
 
+#: Longer keys are left to the shuffle join, which bounds the bytes of the broadcast too.
+HOT_KEY_CHARS = 1024
+
 #: Hot rows need no partner in the shuffle join, so they are spread over this many salts.
 SPREAD = 4096
 
@@ -42,14 +45,19 @@ def attach_group_facts(
 
     Keys are compared null-safe.  Facts of hot groups travel by broadcast; their rows then
     pass through the shuffle join under salts that match nothing, so that no task receives
-    a hot group whole.  All other rows meet their group in an ordinary shuffle join.
+    a hot group whole.  All other rows meet their group in an ordinary shuffle join, where
+    AQE splits what skew is left.
     """
-    hot = groups.filter(F.col(size) > hot_rows).select(
+    key_chars = sum(
+        (F.coalesce(F.length(F.col(key).cast("string")), F.lit(0)) for key in keys), F.lit(0)
+    )
+    is_hot = (F.col(size) > hot_rows) & (key_chars <= HOT_KEY_CHARS)
+    hot = groups.filter(is_hot).select(
         *[F.col(key).alias(f"_hot_{key}") for key in keys],
         F.struct(*facts).alias("_hot_facts"),
         F.lit(True).alias("_is_hot"),
     )
-    cold = groups.filter(F.col(size) <= hot_rows).select(
+    cold = groups.filter(~is_hot).select(
         *[F.col(key).alias(f"_cold_{key}") for key in keys],
         # Always 0, but not a constant that the planner could take out of the join keys.
         F.pmod(F.col(size), F.lit(1)).cast("int").alias("_cold_salt"),

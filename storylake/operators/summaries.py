@@ -30,7 +30,7 @@ OUTPUTS = [
 
 
 def _best_sentences(articles: DataFrame) -> DataFrame:
-    """``ingest_seq, best``: numbers of the best sentences of an article, best first.
+    """``ingest_seq, best, token_total, sentence_total``: the best sentences by number, best first.
 
     Only sentence numbers leave this step; the sentences themselves are cut from the text
     where the article row is at hand.
@@ -73,14 +73,22 @@ def _best_sentences(articles: DataFrame) -> DataFrame:
         .agg(
             (F.sum(n * F.col("tf")) / F.sum(n)).alias("weight"),
             F.count_if("focus").alias("focus_hits"),
+            F.sum(F.when(F.col("term").isNotNull(), F.col("n"))).alias("tokens"),
         )
         .withColumn("score", F.round(F.coalesce("weight", F.lit(0.0)) + F.col("focus_hits"), 9))
     )
-    best = Window.partitionBy(ROW_KEY).orderBy(F.desc("score"), "sentence_id")
+    article = Window.partitionBy(ROW_KEY)
+    best = article.orderBy(F.desc("score"), "sentence_id")
     return (
-        scored.withColumn("rank", F.row_number().over(best))
+        scored.select(
+            ROW_KEY,
+            "sentence_id",
+            F.row_number().over(best).alias("rank"),
+            F.coalesce(F.sum("tokens").over(article), F.lit(0)).alias("token_total"),
+            F.count(F.lit(1)).over(article).alias("sentence_total"),
+        )
         .filter(F.col("rank") <= SUMMARY_SENTENCES + KEY_POINTS)
-        .groupBy(ROW_KEY)
+        .groupBy(ROW_KEY, "token_total", "sentence_total")
         .agg(
             F.sort_array(F.collect_list(F.struct("rank", "sentence_id")))["sentence_id"].alias(
                 "best"
@@ -109,18 +117,20 @@ def summarize_articles(
     wanted = F.array_distinct(
         tokens(F.concat_ws(" ", F.lit(focus).cast("string"), F.col("_tags")))
     )
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    confident = (token_count(text) >= MIN_TOKENS) & (F.size(sentences(text)) >= MIN_SENTENCES)
     kept = [name for name in df.columns if name not in OUTPUTS]
-    base = df.select(*kept, confident.alias("llm_summary_is_confident"), tags.alias("_tags"))
+    base = df.select(*kept, tags.alias("_tags"))
     chosen = _best_sentences(
-        base.filter("llm_summary_is_confident").select(
+        base.select(
             ROW_KEY,
             "language",
             F.col(text_column).alias("text"),
             wanted.alias("focus_tokens"),
         )
     )
+    # Length is judged from the word counts at hand; a test on the text would be pushed to
+    # the scan and split every text again.
+    long_enough = (F.col("token_total") >= MIN_TOKENS) & (F.col("sentence_total") >= MIN_SENTENCES)
+    chosen = chosen.filter(long_enough).select(ROW_KEY, "best")
     prompt = build_prompt(
         SUMMARY_PROMPT,
         focus=F.lit(focus),
@@ -129,9 +139,10 @@ def summarize_articles(
         text=F.col(text_column),
     )
     joined = (
-        base.withColumn("_sentences", F.when(F.col("llm_summary_is_confident"), sentences(text)))
+        base.withColumn("_sentences", sentences(F.col(text_column)))
         .withColumn("_prompt_tokens", token_count(prompt).cast("long"))
         .join(chosen, ROW_KEY, "left")
+        .withColumn("llm_summary_is_confident", F.col("best").isNotNull())
     )
 
     def cut(numbers: Column) -> Column:
