@@ -1,13 +1,15 @@
 """Duplicate removal.
 
 A group of copies may hold a large part of the table, so rows are never collected by group.
-The kept row of each group is found by an aggregation over narrow columns, which combines on
-the map side, and rows are then picked by their unique row key.
+Keeping the first row of each group is a rank filter, which the planner applies in every map
+task before the shuffle: one scan, one shuffle, and at most one row per group and task moves.
+Everything about dropped rows starts from an aggregation over narrow columns, which combines on
+the map side as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storylake.functions.text import hash_text, normalize_text
@@ -81,12 +83,21 @@ def duplicate_groups(
     )
 
 
-def keep_first(df: DataFrame, keys: dict[str, Column], earliest: bool = True) -> DataFrame:
+def keep_first(
+    df: DataFrame,
+    keys: dict[str, Column],
+    earliest: bool = True,
+    date_column: str = "publish_date",
+) -> DataFrame:
     """The kept row of every group, with the input columns."""
     if not keys:
         return df
-    winners = duplicate_groups(df, keys, earliest).select(F.col("kept_seq").alias(ROW_KEY))
-    return df.join(winners, ROW_KEY, "left_semi").select(*df.columns)
+    require_columns(df, ROW_KEY)
+    order = [F.col(ROW_KEY)]
+    if earliest and date_column in df.columns:
+        order.insert(0, F.col(date_column).asc_nulls_last())
+    first = F.row_number().over(Window.partitionBy(*keys.values()).orderBy(*order))
+    return df.withColumn("_rank", first).filter(F.col("_rank") == 1).select(*df.columns)
 
 
 def dropped_rows(df: DataFrame, keys: dict[str, Column], earliest: bool = True) -> DataFrame:
@@ -126,9 +137,12 @@ def deduplicate(
 def dedup_summary(df: DataFrame, strategy: DedupStrategy | str) -> DataFrame:
     """One row: input, kept and dropped counts.  Reads key columns only."""
     strategy = DedupStrategy(strategy)
-    keys, earliest = strategy_keys(df, strategy)
+    keys, _ = strategy_keys(df, strategy)
     if keys:
-        counts = duplicate_groups(df, keys, earliest).agg(
+        sizes = df.groupBy(*[column.alias(name) for name, column in keys.items()]).agg(
+            F.count(F.lit(1)).alias("group_size")
+        )
+        counts = sizes.agg(
             F.coalesce(F.sum("group_size"), F.lit(0)).alias("input_story_count"),
             F.count(F.lit(1)).alias("deduplicated_story_count"),
         )

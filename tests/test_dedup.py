@@ -79,6 +79,17 @@ def test_hot_group_is_spread_over_tasks(spark):
     assert max(sizes) < 0.4 * sum(sizes)
 
 
+def test_groups_are_cut_before_the_shuffle(spark, mixed, tmp_path):
+    path = str(tmp_path / "articles")
+    mixed.write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = D.deduplicate(df, "title")._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    shuffle = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    partial = next(i for i, line in enumerate(lines) if "row_number(), 1, Partial" in line)
+    assert partial > shuffle and plan.count("Exchange") == 1 and plan.count("FileScan") == 1
+
+
 def test_invariants_and_partition_independence(mixed):
     keys = D.article_keys(mixed)
     expected = ids(D.keep_first(mixed, keys))
