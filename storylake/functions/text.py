@@ -14,8 +14,6 @@ from storylake.constants import STOPWORDS
 #: Unicode white space, wider than the ASCII-only ``\s`` of the regex engine.
 WHITESPACE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
 TOKEN = r"[\p{L}\p{N}]+"
-NOT_AFTER_TOKEN = r"(?<![\p{L}\p{N}])"
-NOT_BEFORE_TOKEN = r"(?![\p{L}\p{N}])"
 
 _SENTENCE_MARK = "\x01"
 _DIGEST_OF_NOTHING = hashlib.md5(b"").hexdigest()
@@ -141,10 +139,17 @@ def quote_regex(literal: str) -> str:
     )
 
 
-def whole_token_regex(phrase_tokens: Sequence[str]) -> str:
-    """Consecutive whole tokens, whatever separates them."""
-    body = r"[^\p{L}\p{N}]+".join(quote_regex(token) for token in phrase_tokens)
-    return NOT_AFTER_TOKEN + body + NOT_BEFORE_TOKEN
+def contains_tokens(text: Column, phrase_tokens: Sequence[str]) -> Column:
+    """Whether lower-case whole tokens follow each other, whatever separates them.
+
+    The first token is matched before what precedes it is looked at, which is much cheaper
+    than a look-behind at every position of the text.
+    """
+    first, *rest = [quote_regex(token) for token in phrase_tokens]
+    pattern = rf"{first}(?<![\p{{L}}\p{{N}}]{first})"
+    pattern += "".join(r"[^\p{L}\p{N}]+" + token for token in rest)
+    pattern += r"(?![\p{L}\p{N}])"
+    return F.coalesce(F.rlike(F.lower(text), F.lit(pattern)), F.lit(False))
 
 
 def contains_regex(text: Column, pattern: str) -> Column:

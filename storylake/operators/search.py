@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylake.functions.text import contains_regex, quote_regex, tokens, whole_token_regex
+from storylake.functions.text import contains_regex, contains_tokens, quote_regex, tokens
 from storylake.params import SearchTerms
 from storylake.schema import require_columns
 
@@ -20,11 +20,10 @@ def _mentions(df_columns: Sequence[str], phrase: str, fields: Sequence[str]) ->
     words = _TOKEN.findall(phrase.lower())
     if not words:
         raise ValueError(f"search term {phrase!r} holds no letter or digit")
-    pattern = whole_token_regex(words)
     hit = F.lit(False)
     for name in fields:
         if name in df_columns:
-            hit = hit | contains_regex(F.col(name), pattern)
+            hit = hit | contains_tokens(F.col(name), words)
     return hit
 
 
@@ -74,7 +73,7 @@ def search_proximity(
     require_columns(df, text_column)
     # The plain token test is cheap and drops most articles before positions are listed.
     text = F.col(text_column)
-    return df.filter(contains_regex(text, whole_token_regex([term.lower()]))).filter(
+    return df.filter(contains_tokens(text, [term.lower()])).filter(
         repeated_within(text, term, mentions, slop)
     )
 
