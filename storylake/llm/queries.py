@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylake.llm import bpe_automaton, exact_dedup, near_join, token_counts
+from storylake.llm import (
+    ann_curves,
+    bpe_automaton,
+    exact_dedup,
+    html_template,
+    license_scan,
+    mixing,
+    near_join,
+    quality,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,12 +42,107 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cyclic_weights(sources: list) -> list[int]:
+    """Weights 1, 2, 3, repeating."""
+    return [i % 3 + 1 for i in range(len(sources))]
+
+
+@query()
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, sources = mixing.mix(
+        table(spark, sf_dir, "documents"),
+        "doc_id",
+        size=mixing.word_count(F.col("text")),
+        sources=F.array("source"),
+        weights=cyclic_weights,
+    )
+    # One row per source; the operator has collected as many already.
+    sources = F.broadcast(sources.drop("taken"))
+    own = mixed.withColumn("own", F.element_at("sources", 1))
+    return own.join(sources, own.own.eqNullSafe(sources.source)).select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+        "copies",
+    )
+
+
+URL_RULES = url_filter.parse_rules(
+    allow=("com/", "www.example.com/en/"), block=("example.com/en/", "net/es/", "net/fr/")
+)
+
+
+@query(r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id,
+    CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), rules(rule, rule_host, rule_path, decision) AS (
+  VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+    ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+    ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')
+), direct AS (
+  SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule,
+    arg_max(decision, length(rule)) AS decision
+  FROM split LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id, host, path
+), tags AS (
+  SELECT url, unnest(regexp_extract_all(
+    regexp_replace(html, '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>', ' ', 'g'),
+    '(?i)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM pages
+), targets AS (
+  SELECT url, CASE WHEN regexp_matches(tag, '(?i)\srel\s*=\s*["'']?canonical')
+    THEN regexp_extract(tag, '(?i)\shref\s*=\s*["'']([^"'']*)["'']', 1)
+    WHEN regexp_matches(tag, '(?i)http-equiv\s*=\s*["'']?refresh')
+    THEN regexp_extract(tag, '(?i)url\s*=\s*([^"''>\s]*)', 1) END AS target
+  FROM tags
+), nodes AS (
+  SELECT page_id, regexp_replace(url, '^.*?://|#.*$', '', 'g') AS node FROM pages
+), links AS (
+  SELECT regexp_replace(url, '^.*?://|#.*$', '', 'g') AS a,
+    regexp_replace(target, '^.*?://|#.*$', '', 'g') AS b
+  FROM targets WHERE target LIKE '%://%'
+), reached(node, other) AS (
+  SELECT a, a FROM links
+  UNION SELECT b, b FROM links
+  UNION SELECT r.node, l.b FROM reached r JOIN (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON r.other = l.a
+), aliases AS (
+  SELECT DISTINCT r.node FROM reached r JOIN nodes n ON r.other = n.node
+    JOIN direct d ON d.page_id = n.page_id WHERE d.decision = 'block'
+)
+SELECT d.page_id, d.host, d.path, d.rule,
+  coalesce(d.decision, CASE WHEN a.node IS NOT NULL THEN 'block' END, 'allow') AS verdict,
+  CASE WHEN d.decision IS NOT NULL THEN 'rule' WHEN a.node IS NOT NULL THEN 'alias'
+    ELSE 'default' END AS via
+FROM direct d JOIN nodes n USING (page_id) LEFT JOIN aliases a USING (node)
+""")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, URL_RULES, url_filter.page_links(pages))
+
+
 @query()
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+@query()
+def op4_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query("""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body
@@ -54,6 +160,29 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
 
 
+@query()
+def op6_ann_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann_curves.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+#: Scores from here on count as label 1.
+GOOD_QUALITY = 0.3
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~quality.held_out())
+    model = quality.fit_quality(docs, labels)
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_QUALITY).cast("int").alias("predicted"),
+    )
+
+
 @query()
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
@@ -89,3 +218,8 @@ JOIN (SELECT doc_id, min(other) AS least_id FROM reached GROUP BY doc_id) USING
 """)
 def op9_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))

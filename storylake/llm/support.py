@@ -132,11 +132,11 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         row = stop
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True):
-    """64-bit hash and row of every word of a chunk, in order."""
+def word_spans(data: np.ndarray, ends: np.ndarray, gaps: np.ndarray = _IS_GAP):
+    """First byte and end of every word of a chunk; words never cross rows."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    gap = _IS_GAP[data]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    gap = gaps[data]
     first = ~gap
     first[1:] &= gap[:-1]
     inner = ends[1:-1]
@@ -144,11 +144,17 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True):
     first[inner] = ~gap[inner]
     last = ~gap
     last[:-1] &= gap[1:]
-    last[inner[inner > 0] - 1] = ~gap[inner[inner > 0] - 1]
-    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+    inner = inner[inner > 0]
+    last[inner - 1] = ~gap[inner - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_hashes(data: np.ndarray, ends: np.ndarray, gaps: np.ndarray = _IS_GAP):
+    """64-bit hash (A-Z as a-z) and row of every word of a chunk, in order."""
+    starts, stops = word_spans(data, ends, gaps)
     up, down = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUE[_LOWER[data] if lower else data] * up[: len(data)], out=total[1:])
+    np.cumsum(_BYTE_VALUE[_LOWER[data]] * up[: len(data)], out=total[1:])
     hashes = mix((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64))
     return hashes, np.searchsorted(ends, starts, side="right") - 1
 
