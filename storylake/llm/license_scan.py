@@ -206,10 +206,10 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per input row and notice found in it: id, notice, license, containment, first_word.
 
-    ``containment`` is the share of the notice's distinct word shingles that stand in one
-    window; the best window counts, the earliest of equals, and ``first_word`` is its first
-    word.  Windows hold up to three times half a power of two not below the notice's length.
-    Rows without a notice (null and empty texts too) give none; null ids and repeated rows are
+    ``containment`` is the share of the notice's distinct word shingles that stand in a run of
+    as many words as the notice has; the best run of the windows found counts, the earliest of
+    equals, and ``first_word`` is its place.  A whole notice is found but for a chance of MISS
+    (which the bands set), a partial one with a lower chance.  Rows without a notice (null and empty texts too) give none; null ids and repeated rows are
     scanned like others; further columns are ignored.  Map-only; the templates, whose number
     is that of ``notices``, travel as a broadcast variable.
     """
@@ -233,9 +233,11 @@ def scan_licenses(
                     window = [
                         data[spans[0][i] : spans[1][i]].tobytes().lower() for i in range(first, stop)
                     ]
-                    share = len(template.shingles & shingles_of(window)) / len(template.shingles)
-                    if share >= containment and share > best.get((row, number), (0.0, 0))[0]:
-                        best[row, number] = (share, at)
+                    for skip in range(max(1, len(window) - template.n_words + 1)):
+                        span = shingles_of(window[skip : skip + template.n_words])
+                        share = len(template.shingles & span) / len(template.shingles)
+                        if share >= containment and share > best.get((row, number), (0.0, 0))[0]:
+                            best[row, number] = (share, at + skip)
                 out += [(start + row, n, share, at) for (row, n), (share, at) in best.items()]
             rows_, numbers, shares, firsts = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(

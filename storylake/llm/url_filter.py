@@ -100,7 +100,7 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             attribute(t, "content"), r"(?i)^[\s\d.]*[;,]\s*(?:url\s*=)?\s*['\"]?([^'\"]*)", 1
         ),
     )
-    linking = pages.filter(F.col(html_col).rlike(r"(?i)<(link|meta)\b[^>]*+(canonical|refresh)"))
+    linking = pages.filter(F.col(html_col).rlike(r"(?i)\b(canonical|refresh)\b"))
     found = linking.select(
         F.col(url_col).alias("url"), F.explode(F.concat(canonical, refresh)).alias("target")
     )
