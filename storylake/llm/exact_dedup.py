@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylake.llm.support import WORD_GAP, shared_table
+from storylake.llm.support import WORD_GAP, free_name, shared_table
 
 #: Salts of a digest group; they fit the bits of a long.
 SALTS = 32
@@ -82,15 +82,16 @@ def duplicate_classes(
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns and no repeated row."""
+    key, digest = free_name(docs, "_key"), free_name(docs, "_digest")
     stay = (
         duplicate_classes(docs, id_col, text_col)
         .filter("kept")
-        .select(F.xxhash64("id").alias("_key"), F.col("digest").alias("_digest"))
+        .select(F.xxhash64("id").alias(key), F.col("digest").alias(digest))
         .distinct()
     )
     marked = docs.withColumns(
-        {"_key": F.xxhash64(id_col), "_digest": sha256(normalised(F.col(text_col)))}
+        {key: F.xxhash64(id_col), digest: sha256(normalised(F.col(text_col)))}
     )
     # Both steps need the rows of a key together, so the second one moves nothing.
-    kept = marked.join(stay, ["_key", "_digest"]).dropDuplicates(["_key", "_digest"])
+    kept = marked.join(stay, [key, digest]).dropDuplicates([key, digest])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

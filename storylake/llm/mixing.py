@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from storylake.llm.support import shared_table
+from storylake.llm.support import free_name, shared_table
 
 #: Rows that a stretch of a pattern's line holds on average; bounds the rows of a window.
 STRETCH_ROWS = 20_000
@@ -304,14 +304,17 @@ def _corrections(chosen: DataFrame, targets: Mapping[object, float], passes: int
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` as often as the mix takes them; columns unchanged."""
     result, _ = mix(docs, id_col, **options)
-    copies = result.filter("copies > 0").select(
-        F.xxhash64("id").alias("_key"), F.col("size").alias("_size"), "copies"
-    )
+    key, size, turns = (free_name(docs, name) for name in ("_key", "_size", "_turns"))
     # A repeated row takes part as often as it stands in the table.
-    copies = copies.groupBy("_key", "_size").agg(F.max("copies").alias("_copies"))
-    marked = docs.withColumns({"_key": F.xxhash64(id_col), "_size": options["size"].cast("long")})
+    copies = (
+        result.filter("copies > 0")
+        .groupBy(F.xxhash64("id").alias(key), F.col("size").alias(size))
+        .agg(F.max("copies").alias(turns))
+    )
+    marked = docs.withColumns({key: F.xxhash64(id_col), size: options["size"].cast("long")})
+    repeated = F.explode(F.sequence(F.lit(1), F.col(turns)))
     return (
-        marked.join(copies, ["_key", "_size"])
-        .withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        marked.join(copies, [key, size])
+        .withColumn(turns, repeated)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

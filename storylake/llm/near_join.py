@@ -5,17 +5,15 @@ one global order (that of their hashes).  With ``q(n)`` the tokens that a set of
 lack, linked sets share the first ``l`` tokens of their common part within prefixes of length
 ``q + l``.
 
-1. A short extended prefix of every document is counted.  A document of which too few prefix
-   tokens stand anywhere else has no partner and goes no further.
+1. The prefixes of all documents are counted.  A document of which too few prefix tokens stand
+   anywhere else has no partner and goes no further.
 2. Documents with one set are one class; a class goes on as its smallest member.
-3. The prefixes are extended until any two linked sets share more prefix tokens than both can
-   lack.  Prefix tokens of few documents (the rare class) are indexed alone.  If linked sets
-   share no rare token, then by pigeonhole two of their shared frequent tokens are neighbours
-   among the frequent prefix tokens of both, so frequent tokens are indexed as combinations of
-   two neighbours.
-4. Candidates are verified on whole sets.  Pairs that meet in a rare token are joined; classes
-   that meet in combinations form canopies, which are compared block by block, so that no pair
-   is ever a row unless it is a link, and of the links of two blocks only a spanning forest.
+3. Prefix tokens of few classes (the rare class) are indexed alone.  Linked sets that share no
+   rare token share enough frequent ones; sets with so many of those are indexed by
+   combinations of two tokens that are neighbours in the global order, the rarest first.
+4. Pairs that meet in rare tokens must share enough of them.  They and the classes that meet in
+   a combination form canopies, which are compared on whole sets, block by block: no pair is a
+   row unless it is a link, and of the links of two blocks only a spanning forest is kept.
 """
 
 from __future__ import annotations
@@ -28,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from storylake.llm.support import (
     components,
+    free_name,
     mix,
     shared_table,
     shingle_sets,
@@ -50,81 +48,90 @@ def _least_overlap(n, percent: int):
     return (n * percent + 99) // 100
 
 
-def _first_length(n, percent: int):
-    """Length of the first, short prefix and the shared tokens that it must show."""
-    lack = n - _least_overlap(n, percent)
-    smaller = _least_overlap(n, percent)
-    shared = np.maximum(1, n // 10)
-    return np.minimum(n, lack + shared), np.maximum(1, np.minimum(shared, smaller // 10))
-
-
-_PREFIX_ROWS = T.StructType(
-    [
-        T.StructField("key", T.LongType()),
-        T.StructField("token", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("local", T.LongType()),
-        T.StructField("seen", T.LongType()),
-        T.StructField("sign_a", T.LongType()),
-        T.StructField("sign_b", T.LongType()),
-    ]
-)
+def _prefix(n, percent: int):
+    """Tokens of its prefix that a set of size n shares with a set not smaller, and its length.
+
+    The share is a choice: the longer a prefix, the more of it must be shared, the more
+    documents drop out, and the more tokens are moved.
+    """
+    shared = np.maximum(1, n * 3 // 20)
+    return shared, np.minimum(n, n - _least_overlap(n, percent) + shared)
+
+
+def _prefix_sql(percent: int) -> tuple[str, str, str]:
+    """The same over a column n, and in between the tokens shared with any linked set."""
+    overlap = f"(({percent} * n + 99) div 100)"
+    shared = "greatest(1, n * 3 div 20)"
+    return (
+        shared,
+        f"greatest(1, {overlap} * 3 div 20)",
+        f"least(n, n - {overlap} + {shared})",
+    )
+
+
+def _signatures(k: int):
+    """Set size and a 128-bit signature of the set of every row."""
+
+    def summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values), dtype=np.uint64)])
+        return (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, data, ends in text_chunks(batch["text"]):
+                hashes, bounds = shingle_sets(data, ends, k)
+                part = batch.slice(row, len(ends) - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part["id"],
+                        part["key"],
+                        pa.array(np.diff(bounds)),
+                        pa.array(summed(hashes + np.uint64(7), bounds)),
+                        pa.array(summed(hashes ^ np.uint64(91), bounds)),
+                    ],
+                    ["id", "key", "n", "sign_a", "sign_b"],
+                )
+
+    return run
 
 
-def _prefix_rows(k: int, percent: int):
-    """Rows of the first prefixes, combined within a batch.
+def _first_prefixes(k: int, percent: int):
+    """Rows (key, token, local) of the first prefixes, combined within a batch.
 
-    A token with several documents of the batch is known to be shared: its documents count it
-    at once, and it leaves as one row, whatever number of documents has it.
+    A token with several documents of the batch is known to be shared.  Its documents count it
+    at once, in a row of their own (local > 0, the token stands for nothing), and it leaves as
+    one row (local -1), whatever number of documents has it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch["key"].to_numpy(zero_copy_only=False).astype(np.int64)
-            tokens, owner, heads = [], [], []
+            keys = batch["key"].to_numpy(zero_copy_only=False)
+            tokens, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for row, data, ends in text_chunks(batch["text"]):
                 hashes, bounds = shingle_sets(data, ends, k)
                 n = np.diff(bounds)
-                length, _ = _first_length(n, percent)
+                _, length = _prefix(n, percent)
                 place = np.arange(len(hashes)) - np.repeat(bounds[:-1], n)
                 first = place < np.repeat(length, n)
                 tokens.append(hashes[first])
                 owner.append(np.repeat(np.arange(row, row + len(n)), n)[first])
-                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + np.uint64(7)))])
-                more = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(91)))])
-                heads.append(
-                    (n, sums[bounds[1:]] - sums[bounds[:-1]], more[bounds[1:]] - more[bounds[:-1]])
-                )
-            if not heads:
-                continue
-            n, sign_a, sign_b = (np.concatenate(x) for x in zip(*heads))
-            tokens, owner = np.concatenate(tokens), np.concatenate(owner)
-            values, index, count = np.unique(tokens, return_inverse=True, return_counts=True)
+            # 48 bits tell tokens apart well enough: a clash only lets a document go on.
+            token = (np.concatenate(tokens) >> np.uint64(16)).view(np.int64)
+            owner = np.concatenate(owner)
+            values, index, count = np.unique(token, return_inverse=True, return_counts=True)
             together = count[index] > 1
-            local = np.bincount(owner[together], minlength=len(n))
-            # One row stands for all documents of a locally shared token.
-            alone = ~together
-            many = values[count > 1]
-            out_key = np.concatenate([keys, keys[owner[alone]], np.zeros(len(many), np.int64)])
-            out_token = np.concatenate(
-                [mix(keys.view(np.uint64)).view(np.int64), tokens[alone].view(np.int64), many.view(np.int64)]
-            )
-            heads_n, alone_n, many_n = len(keys), int(alone.sum()), len(many)
-            fill = lambda a, b, c: np.concatenate(
-                [a, np.full(alone_n, b, np.int64), np.full(many_n, c, np.int64)]
-            )
-            is_head = fill(np.full(heads_n, 1, np.int64), 0, 0)
+            local = np.bincount(owner[together], minlength=len(keys))
+            alone, many, heads = ~together, values[count > 1], np.flatnonzero(local)
+            out_key = (keys[owner[alone]], np.zeros(len(many), np.int64), keys[heads])
+            out_token = (token[alone], many, -1 - (keys[heads] & (2**62 - 1)))
+            out_local = (np.zeros(int(alone.sum())), np.full(len(many), -1), local[heads])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(out_key),
-                    pa.array(out_token),
-                    pa.array(fill(n, 0, 0), mask=is_head == 0),
-                    pa.array(fill(local, 0, 0)),
-                    pa.array(fill(np.zeros(heads_n, np.int64), 1, 2)),
-                    pa.array(fill(sign_a.view(np.int64), 0, 0), mask=is_head == 0),
-                    pa.array(fill(sign_b.view(np.int64), 0, 0), mask=is_head == 0),
+                    pa.array(np.concatenate(out_key), pa.int64()),
+                    pa.array(np.concatenate(out_token), pa.int64()),
+                    pa.array(np.concatenate(out_local).astype(np.int32)),
                 ],
-                schema=pa.schema([(f.name, pa.int64()) for f in _PREFIX_ROWS]),
+                ["key", "token", "local"],
             )
 
     return run
@@ -138,8 +145,9 @@ def _sets(k: int):
                 sets = pa.ListArray.from_arrays(
                     pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64))
                 )
+                part = batch.slice(row, len(ends) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["key"].slice(row, len(ends) - 1), sets], ["key", "tokens"]
+                    [part["key"], part["n"], sets], ["key", "n", "tokens"]
                 )
 
     return run
@@ -207,52 +215,85 @@ def _neighbours(tokens: Column) -> Column:
     )
 
 
+def _share_combinations(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between sets that may link, from combinations of two neighbouring tokens.
+
+    A token that one of two sets lacks parts two neighbours at most, so linked sets of sizes n
+    and m with c common tokens share 3 c - n - m - 1 combinations.  Combinations are ordered by
+    frequency, rare ones first, and each set indexes its first ones, of which linked sets must
+    share one.  Common passages come last in that order and are indexed by sets of little else.
+    """
+    smallest = f"(n + ({percent} * n + 99) div 100)"
+    shared = f"(({2 * percent - 100} * {smallest} + {99 + percent}) div {100 + percent} - 1)"
+    combined = sets.select("key", "n", F.explode(_neighbours(F.col("tokens"))).alias("two"))
+    counted = combined.groupBy("two").agg(F.count("*").alias("df")).filter("df > 1")
+    indexed = (
+        combined.join(counted, "two")
+        .groupBy("key", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "two"))).alias("seen"))
+        # Combinations of this set alone come first of all.
+        .withColumn("alone", F.col("n") - 1 - F.size("seen"))
+        .withColumn("first", F.greatest(F.expr(f"n - {shared} - alone"), F.lit(0)).cast("int"))
+        .select("key", F.explode(F.slice("seen", F.lit(1), F.col("first"))["two"]).alias("two"))
+    )
+    centre = indexed.groupBy("two").agg(F.min("key").alias("centre"))
+    return (
+        indexed.join(centre, "two")
+        .select(F.col("key").alias("a"), F.col("centre").alias("b"))
+        .distinct()
+    )
+
+
 def link_classes(sets: DataFrame, percent: int, rare: int, block: int) -> DataFrame:
-    """Edges (a, b) that connect the linked rows of ``sets`` (key, tokens as ordered set)."""
-    n = F.size("tokens")
-    lack = F.expr(f"size(tokens) - (size(tokens) * {percent} + 99) div 100")
-    largest = f"(size(tokens) * 100 div {percent})"
-    lack_there = F.expr(f"{largest} - ({largest} * {percent} + 99) div 100")
-    length = F.least(n, 2 * lack + lack_there + 2)
+    """Edges (a, b) that connect the linked rows of ``sets`` (key, n, tokens as ordered set)."""
+    common, least_common, length = (F.expr(e) for e in _prefix_sql(percent))
     prefix = sets.select(
-        "key", n.alias("n"), F.posexplode(F.slice("tokens", 1, length)).alias("place", "token")
+        "key", "n", F.explode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("token")
     )
     counted = prefix.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = shared_table(
-        prefix.join(counted, "token").select("key", "n", "place", "token", "df"), "near-prefix"
+    seen = (
+        prefix.join(counted, "token")
+        .groupBy("key", "n")
+        .agg(F.collect_list(F.struct("token", "df")).alias("seen"))
+        .filter(F.size("seen") >= least_common)
     )
-
-    few = shared.filter(F.col("df") <= rare).select("token", "key", "n")
-    other = few.select("token", F.col("key").alias("b"), F.col("n").alias("n_b"))
-    pairs = (
-        few.withColumnsRenamed({"key": "a", "n": "n_a"})
-        .join(other, "token")
-        .filter("a < b")
-        .filter(F.expr(f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}"))
-        .select("a", "b")
-        .distinct()
-    )
-    sized = sets.select("key", "tokens")
-    checked = (
-        pairs.join(sized.withColumnsRenamed({"key": "a", "tokens": "tokens_a"}), "a")
-        .join(sized.withColumnsRenamed({"key": "b", "tokens": "tokens_b"}), "b")
-        .withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
-        .filter(F.expr(f"both * 100 >= (size(tokens_a) + size(tokens_b) - both) * {percent}"))
-        .select("a", "b")
+    rare_tokens = F.filter("seen", lambda t: t["df"] <= rare)["token"]
+    seen = shared_table(
+        seen.select(
+            "key",
+            "n",
+            common.alias("common"),
+            least_common.alias("least"),
+            rare_tokens.alias("rare"),
+            (F.size("seen") - F.size(rare_tokens)).alias("frequent"),
+        ),
+        "near-prefixes",
     )
 
-    ordered = (
-        shared.filter(F.col("df") > rare)
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("frequent"))
-        .select("key", _neighbours(F.col("frequent.token")).alias("combinations"))
+    few = seen.select(
+        F.explode("rare").alias("token"), "key", "n", "common", F.col("frequent").alias("more")
     )
-    met = ordered.select("key", F.explode(F.array_distinct("combinations")).alias("combination"))
-    least = met.groupBy("combination").agg(F.min("key").alias("centre"), F.count("*").alias("size"))
-    together = met.join(least.filter("size > 1"), "combination").select(
-        F.col("key").alias("a"), F.col("centre").alias("b")
+    ours, theirs = (
+        few.withColumnsRenamed({c: f"{c}_{side}" for c in ("key", "n", "common", "more")})
+        for side in "ab"
     )
-    canopy = components(together.distinct())
+    pairs = (
+        ours.join(theirs, "token")
+        .filter("key_a < key_b")
+        .filter(f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent}")
+        .groupBy("key_a", "key_b")
+        .agg(
+            F.count("*").alias("both"),
+            F.first(F.least("more_a", "more_b")).alias("more"),
+            F.first(F.least("common_a", "common_b")).alias("common"),
+        )
+        .filter("both + more >= common")
+        .select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    )
+
+    frequent = seen.filter("frequent >= least").select("key")
+    together = _share_combinations(sets.join(frequent, "key", "left_semi"), percent)
+    canopy = components(pairs.union(together))
     size = canopy.groupBy("root").agg(
         F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")
     )
@@ -267,12 +308,11 @@ def link_classes(sets: DataFrame, percent: int, rare: int, block: int) -> DataFr
             F.col("node").alias("key"),
         )
     )
-    in_blocks = (
+    return (
         placed.join(sets.select("key", "tokens"), "key")
         .groupBy("root", "block_a", "block_b")
         .applyInPandas(_compare_blocks(percent), "a long, b long")
     )
-    return checked.union(in_blocks)
 
 
 def near_duplicates(
@@ -293,56 +333,57 @@ def near_duplicates(
     have no id to give: their component_id is null if no id can be reached.  Repeated rows
     each come back; an empty table gives no rows; further columns are ignored.
     """
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        F.xxhash64(id_col, F.coalesce(text_col, F.lit(""))).alias("key"),
-        F.col(text_col).alias("text"),
-    )
-    emitted = rows.select("key", "text").mapInArrow(_prefix_rows(k, percent), _PREFIX_ROWS)
-    heads, links = _survivors(rows, emitted, k, percent, rare, block)
-    return heads.join(links, ["sign_a", "sign_b", "n"], "left").select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least_id")).alias("component_id"),
+    return _classified(docs, id_col, text_col, k, percent, rare, block).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"
     )
 
 
-def _survivors(rows, emitted, k, percent, rare, block):
-    whole = W.partitionBy("token").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    # seen: 1 for a row of one document, 2 for one of several, 0 for a document's own facts.
-    heard = emitted.withColumn("elsewhere", F.sum("seen").over(whole))
-    per_doc = (
-        heard.filter("n is not null or (seen = 1 and elsewhere > 1)")
-        .groupBy("key")
-        .agg(
-            F.max("n").alias("n"),
-            F.max("local").alias("local"),
-            F.count_if(F.col("seen") == 1).alias("shared"),
-            F.max("sign_a").alias("sign_a"),
-            F.max("sign_b").alias("sign_b"),
-        )
-    )
-    least = F.expr(
-        f"greatest(1, least(greatest(1, n div 10), ((n * {percent} + 99) div 100) div 10))"
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80
+) -> DataFrame:
+    """Rows of ``docs`` whose id is the smallest of their component; columns unchanged.
+
+    Rows without words stay, and so do rows with a null id that reach no id.
+    """
+    classified = _classified(docs, id_col, text_col, k, percent, RARE_DOCUMENTS, BLOCK)
+    key = free_name(docs, "_key")
+    stay = classified.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias(key))
+    kept = docs.withColumn(key, _row_key(id_col, text_col)).join(stay, key, "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _row_key(id_col: str, text_col: str) -> Column:
+    """Repeated rows have one key, rows that differ in id or text do not."""
+    return F.xxhash64(id_col, F.coalesce(text_col, F.lit("")))
+
+
+def _classified(docs, id_col, text_col, k, percent, rare, block) -> DataFrame:
+    """key, id, n, component_id for every row of ``docs``."""
+    if not 80 <= percent <= 100:
+        raise ValueError("percent must be between 80 and 100")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        _row_key(id_col, text_col).alias("key"),
+        F.col(text_col).alias("text"),
     )
-    facts = shared_table(
-        per_doc.withColumn("going", (F.col("local") + F.col("shared") >= least) & (F.col("n") > 0)),
-        "near-documents",
+    heads = shared_table(
+        rows.mapInArrow(_signatures(k), "id long, key long, n long, sign_a long, sign_b long"),
+        "near-heads",
     )
-    ids = rows.select("key", "id")
-    heads = ids.join(facts.select("key", "n", "sign_a", "sign_b"), "key")
-    classes = (
+    # Copies of one set count as one class, represented by one of its keys.
+    sign = ["sign_a", "sign_b", "n"]
+    classes = shared_table(
         heads.filter("n > 0")
-        .groupBy("sign_a", "sign_b", "n")
-        .agg(F.min("id").alias("least_id"), F.min("key").alias("key"))
+        .groupBy(sign)
+        .agg(F.min("id").alias("least_id"), F.min("key").alias("key")),
+        "near-classes",
     )
-    classes = shared_table(classes, "near-classes")
-    going = classes.join(facts.filter("going").select("key"), "key", "left_semi").select("key")
+    going = classes.join(_with_company(rows, heads, k, percent), "key", "left_semi")
     sets = shared_table(
         rows.select("key", "text")
-        .join(going, "key", "left_semi")
+        .join(going.select("key", "n"), "key")
         .dropDuplicates(["key"])
-        .mapInArrow(_sets(k), "key long, tokens array<long>"),
+        .mapInArrow(_sets(k), "key long, n long, tokens array<long>"),
         "near-sets",
     )
     edges = shared_table(link_classes(sets, percent, rare, block), "near-links")
@@ -350,8 +391,32 @@ def _survivors(rows, emitted, k, percent, rare, block):
     named = classes.join(reached, classes.key == reached.node, "left").withColumn(
         "root", F.coalesce("root", "key")
     )
-    roots = named.groupBy("root").agg(F.min("least_id").alias("found"))
-    links = named.join(roots, "root").select(
-        "sign_a", "sign_b", "n", F.col("found").alias("least_id")
+    roots = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    links = named.join(roots, "root").select(*sign, "component_id")
+    return heads.join(links, sign, "left").select(
+        "key",
+        "id",
+        "n",
+        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _with_company(rows: DataFrame, heads: DataFrame, k: int, percent: int) -> DataFrame:
+    """Keys of documents that share enough first prefix tokens with any others."""
+    tokens = rows.select("key", "text").mapInArrow(
+        _first_prefixes(k, percent), "key long, token long, local int"
+    )
+    # A token has one row for each batch at most, so no window holds a hot token's documents.
+    whole = W.partitionBy("token").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    heard = (
+        tokens.withColumn("elsewhere", F.sum(F.when(F.col("local") == -1, 2).otherwise(1)).over(whole))
+        .filter("local > 0 or (local = 0 and elsewhere > 1)")
+        .groupBy("key")
+        .agg(F.max("local").alias("local"), F.count_if(F.col("local") == 0).alias("shared"))
+    )
+    least = F.expr(_prefix_sql(percent)[1])
+    return (
+        heard.join(heads.select("key", "n").distinct(), "key")
+        .filter((F.col("local") + F.col("shared") >= least) & (F.col("n") > 0))
+        .select("key")
     )
-    return heads, links
