@@ -1,16 +1,25 @@
 """Keyword extraction with the statistical term features of Campos et al. (2020).
 
-The features of a term are local to its article.  The text is placed by article once; token
-rows, term features, n-gram candidates and the joins between them all keep that placement,
-so the corpus is shuffled as text and never as exploded tokens.
+All features are local to an article, so an article is scored in one Arrow-batched call on its
+sentences, and everything else is a column expression on the scored candidates.  The work is
+heavy for its bytes, so articles are dealt out once, which is the only shuffle: no join, no
+aggregation and no exploded token rows, at any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections import Counter, defaultdict
+from collections.abc import Mapping, Sequence
+from statistics import median
+
+import pandas as pd
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylake.functions.text import TOKEN, is_stopword, sentences
+from storylake.constants import STOPWORDS
+from storylake.functions.text import TOKEN, sentences
 from storylake.operators.skew import place_by_article
 from storylake.schema import ROW_KEY, require_columns
 
@@ -21,145 +30,153 @@ DEDUP_LIMIT = 0.9
 #: Scores are ranked after rounding, so that equal keywords tie on every engine.
 RANK_DIGITS = 12
 
+Stopwords = Mapping[str, Sequence[str]]
 
-def _sentence_words(df: DataFrame, text_column: str, language_column: str) -> DataFrame:
-    """One row per sentence: its words as written and the article's sentence count."""
-    placed = place_by_article(
-        df.select(
-            ROW_KEY, F.col(text_column).alias("text"), F.col(language_column).alias("language")
-        )
-    )
-    # The outer form keeps the planner from adding a "not empty" filter, which would split
-    # every text several more times; its null rows vanish when the words are exploded.  The
-    # count is taken one step earlier, so that exploded rows do not carry the whole array.
-    return (
-        placed.select(ROW_KEY, "language", sentences(F.col("text")).alias("sentences"))
-        .withColumn("sentence_total", F.size("sentences"))
-        .select(
-            ROW_KEY,
-            "language",
-            "sentence_total",
-            F.posexplode_outer("sentences").alias("sentence_id", "sentence"),
-        )
-        .select(
-            ROW_KEY,
-            "language",
-            "sentence_total",
-            "sentence_id",
-            F.regexp_extract_all("sentence", F.lit(TOKEN), F.lit(0)).alias("words"),
-        )
-        .withColumn("terms", F.transform("words", lambda word: F.lower(word)))
-    )
+_TOKEN = regex.compile(TOKEN)
+_LETTER = regex.compile(r"\p{L}")
+_CAPITAL = regex.compile(r"\p{Lu}")
 
 
-def _variety(side: str) -> Column:
-    """Distinct neighbours as a share of all neighbours on one side."""
-    share = F.size(F.collect_set(side)) / F.nullif(F.count(side), F.lit(0))
-    return F.coalesce(share, F.lit(0.0))
-
-
-def _term_features(rows: DataFrame) -> DataFrame:
-    """One row per article and term with its counts."""
-    occurrence = F.transform(
-        "words",
-        lambda word, at: F.struct(
-            F.get("terms", at).alias("term"),
-            ((F.length(word) > 1) & (word == F.upper(word)) & F.rlike(word, F.lit(r"\p{L}")))
-            .cast("int")
-            .alias("acronym"),
-            ((at > 0) & F.rlike(word, F.lit(r"^\p{Lu}"))).cast("int").alias("capital"),
-            F.get("terms", at - 1).alias("left"),
-            F.get("terms", at + 1).alias("right"),
-        ),
-    )
-    occurrences = rows.select(
-        ROW_KEY, "language", "sentence_total", "sentence_id", F.explode(occurrence).alias("t")
-    )
-    return occurrences.groupBy(ROW_KEY, "language", "sentence_total", F.col("t.term").alias("term")).agg(
-        F.count(F.lit(1)).alias("tf"),
-        F.greatest(F.sum("t.acronym"), F.sum("t.capital")).alias("cased"),
-        F.percentile("sentence_id", F.lit(0.5)).alias("middle"),
-        F.size(F.collect_set("sentence_id")).alias("in_sentences"),
-        _variety("t.left").alias("left_variety"),
-        _variety("t.right").alias("right_variety"),
-    )
+class _Term:
+    """Counts of one term in one article."""
 
+    __slots__ = ("acronyms", "capitals", "left", "places", "right", "tf")
 
-def _term_scores(rows: DataFrame) -> DataFrame:
-    """``ingest_seq, term, tf, is_stop, term_score``; a low score marks an important term."""
-    article = Window.partitionBy(ROW_KEY)
-    content_tf = F.when(~F.col("is_stop"), F.col("tf"))
-    # Mean and deviation over the content terms, from exact integer sums.
-    facts = (
-        _term_features(rows)
-        .withColumn("is_stop", is_stopword(F.col("term"), F.col("language")))
-        .select(
-            "*",
-            F.max("tf").over(article).alias("max_tf"),
-            F.count(content_tf).over(article).alias("n"),
-            F.sum(content_tf).over(article).alias("sum_tf"),
-            F.sum(content_tf * content_tf).over(article).alias("sum_tf2"),
-        )
-    )
-    mean = F.col("sum_tf") / F.nullif(F.col("n"), F.lit(0))
-    variance = F.col("sum_tf2") / F.nullif(F.col("n"), F.lit(0)) - mean * mean
-    spread = F.sqrt(F.greatest(variance, F.lit(0.0)))
-    relatedness = 1 + (F.col("left_variety") + F.col("right_variety")) * F.col("tf") / F.col(
-        "max_tf"
-    )
-    scored = facts.select(
-        ROW_KEY,
-        "term",
-        "tf",
-        "is_stop",
-        relatedness.alias("rel"),
-        (F.col("cased") / (1 + F.ln("tf"))).alias("case"),
-        F.ln(F.ln(3 + F.col("middle"))).alias("position"),
-        F.coalesce(F.col("tf") / (mean + spread), F.lit(0.0)).alias("norm"),
-        (F.col("in_sentences") / F.col("sentence_total")).alias("different"),
-    )
-    rel = F.col("rel")
-    score = (rel * F.col("position")) / (
-        F.col("case") + F.col("norm") / rel + F.col("different") / rel
-    )
-    return scored.select(ROW_KEY, "term", "tf", "is_stop", score.alias("term_score"))
+    def __init__(self):
+        self.tf = self.acronyms = self.capitals = 0
+        self.places: list[int] = []
+        self.left: Counter = Counter()
+        self.right: Counter = Counter()
 
 
-def _candidates(rows: DataFrame, ngram_max: int) -> DataFrame:
-    """``ingest_seq, keyword, kf``: n-grams inside a sentence with a content word at both ends."""
+def _variety(neighbours: Counter) -> float:
+    """Distinct neighbours as a share of all neighbours on one side."""
+    return len(neighbours) / neighbours.total() if neighbours else 0.0
 
-    lettered = F.transform("terms", lambda term: F.rlike(term, F.lit(r"\p{L}")))
-    content = F.zip_with(
-        "terms", "lettered", lambda term, ok: ok & ~is_stopword(term, F.col("language"))
-    )
-    flagged = rows.withColumn("lettered", lettered).withColumn("content", content)
-
-    def gram(at: Column, n: int) -> Column:
-        """The n-gram at a position, or null where it may not be a keyword."""
-        usable = F.get("content", at) & F.get("content", at + (n - 1))
-        for inner in range(1, n - 1):
-            usable = usable & F.get("lettered", at + inner)
-        return F.when(usable, F.array_join(F.slice("terms", at + 1, n), " "))
-
-    def of_size(n: int) -> Column:
-        return F.transform("terms", lambda term, at: gram(at, n))
-
-    # Stacking the sizes explodes each sentence once and needs no filter on arrays.
-    per_size = [of_size(n) for n in range(1, ngram_max + 1)]
-    return (
-        flagged.select(ROW_KEY, F.explode(F.concat(*per_size)).alias("keyword"))
-        .filter(F.col("keyword").isNotNull())
-        .groupBy(ROW_KEY, "keyword")
-        .agg(F.count(F.lit(1)).alias("kf"))
+
+def article_terms(
+    words: Sequence[Sequence[str]], stop: frozenset[str]
+) -> dict[str, tuple[int, bool, float]]:
+    """(count, is a function word, score) of every term; a low score marks an important one.
+
+    ``words``: the words of each sentence as written.
+    """
+    terms: dict[str, _Term] = defaultdict(_Term)
+    for place, sentence in enumerate(words):
+        lower = [word.lower() for word in sentence]
+        for at, (word, name) in enumerate(zip(sentence, lower)):
+            term = terms[name]
+            term.tf += 1
+            term.places.append(place)
+            if len(word) > 1 and word == word.upper() and _LETTER.search(word):
+                term.acronyms += 1
+            if at:
+                term.left[lower[at - 1]] += 1
+                if _CAPITAL.match(word):
+                    term.capitals += 1
+            if at + 1 < len(lower):
+                term.right[lower[at + 1]] += 1
+    content = [term.tf for name, term in terms.items() if name not in stop]
+    mean = sum(content) / len(content) if content else math.nan
+    variance = sum(n * n for n in content) / len(content) - mean * mean if content else math.nan
+    level = mean + math.sqrt(max(variance, 0.0)) if content else math.nan
+    most = max((term.tf for term in terms.values()), default=1)
+    scores = {}
+    for name, term in terms.items():
+        related = 1 + (_variety(term.left) + _variety(term.right)) * term.tf / most
+        case = max(term.acronyms, term.capitals) / (1 + math.log(term.tf))
+        position = math.log(math.log(3 + median(term.places)))
+        norm = term.tf / level if content else 0.0
+        spread = len(set(term.places)) / len(words)
+        score = related * position / (case + norm / related + spread / related)
+        scores[name] = (term.tf, name in stop, score)
+    return scores
+
+
+def article_candidates(
+    words: Sequence[Sequence[str]], stop: frozenset[str], ngram_max: int
+) -> list[tuple[str, int, float]]:
+    """(keyword, count, score): n-grams of a sentence with a content word at both ends."""
+    terms = article_terms(words, stop)
+    lettered = {name: bool(_LETTER.search(name)) for name in terms}
+    counts: Counter = Counter()
+    for sentence in words:
+        lower = [word.lower() for word in sentence]
+        good = [lettered[name] for name in lower]
+        content = [ok and name not in stop for ok, name in zip(good, lower)]
+        for at, starts in enumerate(content):
+            if not starts:
+                continue
+            for end in range(at, min(at + ngram_max, len(lower))):
+                if not good[end]:
+                    break
+                if content[end]:
+                    counts[tuple(lower[at : end + 1])] += 1
+    out = []
+    for names, n in counts.items():
+        scores = [terms[name][2] for name in names]
+        out.append((" ".join(names), n, math.prod(scores) / (n * (1 + sum(scores)))))
+    return out
+
+
+_TERMS = "array<struct<term:string,tf:long,is_stop:boolean,term_score:double>>"
+_CANDIDATES = "array<struct<keyword:string,kf:long,score:double>>"
+
+
+def _scored(text: Column, language: Column, shape: str, score, stopwords: Stopwords) -> Column:
+    """Call ``score(words, stop)`` on every article; null and blank texts give no entries."""
+    stops = {code: frozenset(words) for code, words in stopwords.items()}
+
+    def run(texts: pd.Series, languages: pd.Series) -> pd.Series:
+        rows = []
+        for parts, code in zip(texts, languages):
+            words = [_TOKEN.findall(part) for part in ([] if parts is None else parts)]
+            rows.append(score(words, stops.get(code, frozenset())))
+        return pd.Series(rows, dtype=object)
+
+    run.__annotations__ = {"texts": pd.Series, "languages": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, shape)(sentences(text), language)
+
+
+def _candidates(
+    text_column: str, language_column: str, ngram_max: int, stopwords: Stopwords
+) -> Column:
+    """Candidates of an article with rounded scores."""
+
+    def score(words, stop):
+        return [
+            {"keyword": k, "kf": n, "score": s}
+            for k, n, s in article_candidates(words, stop, ngram_max)
+        ]
+
+    found = _scored(F.col(text_column), F.col(language_column), _CANDIDATES, score, stopwords)
+    return F.transform(
+        found,
+        lambda c: F.struct(
+            F.round(c["score"], RANK_DIGITS).alias("score"),
+            c["keyword"].alias("keyword"),
+            c["kf"].alias("kf"),
+        ),
     )
 
 
 def term_scores(
-    df: DataFrame, text_column: str = "text", language_column: str = "language"
+    df: DataFrame,
+    text_column: str = "text",
+    language_column: str = "language",
+    stopwords: Stopwords = STOPWORDS,
 ) -> DataFrame:
-    """Single-term scores of every article."""
+    """``ingest_seq, term, tf, is_stop, term_score`` of every article."""
     require_columns(df, ROW_KEY, text_column, language_column)
-    return _term_scores(_sentence_words(df, text_column, language_column))
+
+    def score(words, stop):
+        return [
+            {"term": t, "tf": n, "is_stop": s, "term_score": x}
+            for t, (n, s, x) in article_terms(words, stop).items()
+        ]
+
+    found = _scored(F.col(text_column), F.col(language_column), _TERMS, score, stopwords)
+    return place_by_article(df).select(ROW_KEY, F.inline(found))
 
 
 def keyword_scores(
@@ -167,22 +184,12 @@ def keyword_scores(
     ngram_max: int = NGRAM_MAX,
     text_column: str = "text",
     language_column: str = "language",
+    stopwords: Stopwords = STOPWORDS,
 ) -> DataFrame:
     """``ingest_seq, keyword, kf, score`` of every candidate; lower scores are better."""
     require_columns(df, ROW_KEY, text_column, language_column)
-    rows = _sentence_words(df, text_column, language_column)
-    words = _candidates(rows, ngram_max).withColumn("term", F.explode(F.split("keyword", " ")))
-    scored = (
-        words.join(_term_scores(rows).select(ROW_KEY, "term", "term_score"), [ROW_KEY, "term"])
-        .groupBy(ROW_KEY, "keyword", "kf")
-        .agg(F.product("term_score").alias("product"), F.sum("term_score").alias("total"))
-    )
-    return scored.select(
-        ROW_KEY,
-        "keyword",
-        "kf",
-        F.round(F.col("product") / (F.col("kf") * (1 + F.col("total"))), RANK_DIGITS).alias("score"),
-    )
+    found = _candidates(text_column, language_column, ngram_max, stopwords)
+    return place_by_article(df).select(ROW_KEY, F.inline(found)).select(ROW_KEY, "keyword", "kf", "score")
 
 
 def top_keywords(
@@ -191,14 +198,17 @@ def top_keywords(
     ngram_max: int = NGRAM_MAX,
     text_column: str = "text",
     language_column: str = "language",
+    stopwords: Stopwords = STOPWORDS,
 ) -> DataFrame:
     """``ingest_seq, rank, keyword, score``: the best candidates, near-duplicates included."""
-    best = Window.partitionBy(ROW_KEY).orderBy("score", "keyword")
-    return (
-        keyword_scores(df, ngram_max, text_column, language_column)
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= top_n)
-        .select(ROW_KEY, "rank", "keyword", "score")
+    require_columns(df, ROW_KEY, text_column, language_column)
+    found = _candidates(text_column, language_column, ngram_max, stopwords)
+    best = F.slice(F.array_sort(found), 1, top_n)
+    return place_by_article(df).select(ROW_KEY, F.posexplode(best).alias("at", "best")).select(
+        ROW_KEY,
+        (F.col("at") + 1).alias("rank"),
+        F.col("best.keyword").alias("keyword"),
+        F.col("best.score").alias("score"),
     )
 
 
@@ -207,35 +217,17 @@ def _similar(a: Column, b: Column, limit: float) -> Column:
     return 1 - F.levenshtein(a, b) / longest >= limit
 
 
-def article_keywords(
-    df: DataFrame,
-    top_n: int = TOP_N,
-    ngram_max: int = NGRAM_MAX,
-    dedup_limit: float = DEDUP_LIMIT,
-    text_column: str = "text",
-    language_column: str = "language",
-) -> DataFrame:
-    """``ingest_seq, keywords``: best keywords first, near-duplicates of a kept one left out.
-
-    All candidates of an article take part; the walk only stops adding once ``top_n`` are
-    kept.  ``dedup_limit=1`` keeps near-duplicates.
-    """
+def _selected(ordered: Column, top_n: int, dedup_limit: float) -> Column:
+    """Best keywords first, near-duplicates of a kept one left out."""
     if dedup_limit >= 1:
-        ranked = top_keywords(df, top_n, ngram_max, text_column, language_column)
-        listed = F.sort_array(F.collect_list(F.struct("rank", "keyword")))
-        return ranked.groupBy(ROW_KEY).agg(listed["keyword"].alias("keywords"))
-    scored = keyword_scores(df, ngram_max, text_column, language_column)
-    ordered = scored.groupBy(ROW_KEY).agg(
-        F.sort_array(F.collect_list(F.struct("score", "keyword")))["keyword"].alias("all")
-    )
+        return F.slice(ordered, 1, top_n)
 
     def step(kept: Column, keyword: Column) -> Column:
         repeated = F.exists(kept, lambda other: _similar(other, keyword, dedup_limit))
         full = F.size(kept) >= top_n
         return F.when(full | repeated, kept).otherwise(F.concat(kept, F.array(keyword)))
 
-    empty = F.array().cast("array<string>")
-    return ordered.select(ROW_KEY, F.aggregate("all", empty, step).alias("keywords"))
+    return F.aggregate(ordered, F.array().cast("array<string>"), step)
 
 
 def extract_keywords(
@@ -245,12 +237,21 @@ def extract_keywords(
     dedup_limit: float = DEDUP_LIMIT,
     text_column: str = "text",
     language_column: str = "language",
+    stopwords: Stopwords = STOPWORDS,
 ) -> DataFrame:
-    """Add ``keywords array<string>`` to every article; articles without any get an empty array."""
-    found = article_keywords(df, top_n, ngram_max, dedup_limit, text_column, language_column)
+    """Add ``keywords array<string>`` to every article; articles without any get an empty array.
+
+    All candidates of an article take part; the walk only stops adding once ``top_n`` are
+    kept.  ``dedup_limit=1`` keeps near-duplicates.  ``stopwords`` maps language codes to
+    function words; a language that it lacks has none.
+    """
+    require_columns(df, ROW_KEY, text_column, language_column)
+    found = _candidates(text_column, language_column, ngram_max, stopwords)
+    ordered = F.array_sort(found)["keyword"]
     kept = [name for name in df.columns if name != "keywords"]
-    return (
-        df.select(*kept)
-        .join(found, ROW_KEY, "left")
-        .select(*kept, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
-    )
+    return place_by_article(df).select(*kept, _selected(ordered, top_n, dedup_limit).alias("keywords"))
+
+
+def article_keywords(df: DataFrame, *args, **options) -> DataFrame:
+    """``ingest_seq, keywords`` of every article, as :func:`extract_keywords` finds them."""
+    return extract_keywords(df, *args, **options).select(ROW_KEY, "keywords")
