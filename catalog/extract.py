@@ -8,7 +8,7 @@ from catalog.base import ARTICLES, TOK, articles, query, quoted, sentences_cte,
 from storylake.operators import keywords as K
 from storylake.operators.entities import extract_entities
 from storylake.operators.images import extract_top_images, join_top_images
-from storylake.operators.quotes import quote_table
+from storylake.operators.quotes import CLOSED, HEAD, LEADS_ON, QUOTE, REACH, SIDES, quote_table
 from storylake.operators.sentences import matching_sentences, sentence_table
 
 GAZETTEER = {
@@ -77,26 +77,49 @@ def _(spark, sf_dir):
     return _entity_list(extract_entities(articles(spark, sf_dir), names))
 
 
+def _said_sql(text: str, side: str) -> str:
+    """Struct of name and pronoun found on one side, or null."""
+    names, pronouns = (
+        "coalesce("
+        + ", ".join(f"nullif(regexp_extract({text}, {quoted(p)}, 1), '')" for p in patterns)
+        + ")"
+        for patterns in SIDES[side]
+    )
+    name = f"CASE WHEN lower({names}) NOT IN ('he', 'she', 'they') THEN {names} END"
+    return (
+        f"CASE WHEN coalesce({name}, {pronouns}) IS NOT NULL "
+        f"THEN struct_pack(name := {name}, pronoun := lower({pronouns})) END"
+    )
+
+
+def quotes_cte(source: str) -> str:
+    """``attributed``: the source's rows with quote_id, quote, speaker and pronoun."""
+    return f"""
+quoted_parts AS (
+  SELECT *, regexp_extract_all(text, {quoted(QUOTE)}, 1) AS quotes,
+    regexp_extract_all(text, {quoted(QUOTE)}, 2) AS behind,
+    regexp_extract(text, {quoted(HEAD)}, 1) AS head FROM {source}),
+quoted_rows AS (
+  SELECT *, unnest(quotes) AS quote, CAST(unnest(range(len(quotes))) AS INTEGER) AS quote_id
+  FROM quoted_parts),
+sides AS (
+  SELECT *, right(CASE WHEN quote_id = 0 THEN head ELSE behind[quote_id] END, {REACH}) AS front,
+    behind[quote_id + 1] AS after, quote_id + 1 < len(behind) AS more FROM quoted_rows),
+heard AS (
+  SELECT *, coalesce({_said_sql("front", "joined")},
+    CASE WHEN NOT (more AND regexp_matches(quote, {quoted(CLOSED)})
+      AND regexp_matches(after, {quoted(LEADS_ON)}))
+    THEN {_said_sql(f"left(after, {REACH})", "behind")} END,
+    {_said_sql("front", "front")}) AS said FROM sides),
+attributed AS (
+  SELECT *, coalesce(said.name, 'unspecified') AS speaker,
+    coalesce(said.pronoun, 'unspecified') AS pronoun FROM heard)"""
+
+
 @query(
     "quotes",
-    r"""WITH """
-    + ARTICLES
-    + r""",
-q AS (SELECT id, media_name,
-        unnest(regexp_extract_all(text, '["“]([^"“”]+)["”]([^"“”]{0,80})', 1)) AS quote,
-        unnest(regexp_extract_all(text, '["“]([^"“”]+)["”]([^"“”]{0,80})', 2)) AS after,
-        CAST(unnest(range(len(regexp_extract_all(text, '["“]([^"“”]+)["”]([^"“”]{0,80})', 1)))) AS INTEGER)
-          AS quote_id FROM articles),
-n AS (SELECT *, coalesce(
-   nullif(regexp_extract(after, '^[\s,]*(?:said|says|added|told|asked) (\p{Lu}(?:[\p{L}''-]+|\.)(?: \p{Lu}(?:[\p{L}''-]+|\.))*)', 1), ''),
-   nullif(regexp_extract(after, '^[\s,]*(\p{Lu}(?:[\p{L}''-]+|\.)(?: \p{Lu}(?:[\p{L}''-]+|\.))*) (?:said|says|added|told|asked)(?:[^\p{L}]|$)', 1), '')) AS who,
-   coalesce(
-   nullif(regexp_extract(after, '(?i)^[\s,]*(he|she|they) (?:said|says|added|told|asked)(?:[^\p{L}]|$)', 1), ''),
-   nullif(regexp_extract(after, '(?i)^[\s,]*(?:said|says|added|told|asked) (he|she|they)(?:[^\p{L}]|$)', 1), '')) AS pro
-   FROM q)
-SELECT id, media_name, quote_id, quote,
-  CASE WHEN who IS NULL OR lower(who) IN ('he', 'she', 'they') THEN 'unspecified' ELSE who END AS speaker,
-  coalesce(lower(pro), 'unspecified') AS pronoun FROM n""",
+    f"""WITH {ARTICLES}, {quotes_cte("articles")}
+SELECT id, media_name, quote_id, quote, speaker, pronoun FROM attributed""",
 )
 def _(spark, sf_dir):
     found = quote_table(articles(spark, sf_dir).select("id", "media_name", "text"))
@@ -238,8 +261,8 @@ gram AS (
   SELECT ingest_seq, language, term AS w1, lead(term) OVER w AS w2, lead(term, 2) OVER w AS w3
   FROM occurrence WINDOW w AS (PARTITION BY ingest_seq, sentence_id ORDER BY pos)),
 candidate AS (
-  SELECT ingest_seq, language, w1, NULL AS w2, NULL AS w3, w1 AS tail, w1 AS keyword FROM gram
-  UNION ALL SELECT ingest_seq, language, w1, w2, NULL, w2, w1 || ' ' || w2 FROM gram WHERE w2 IS NOT NULL
+  SELECT ingest_seq, language, w1, NULL::VARCHAR AS w2, NULL::VARCHAR AS w3, w1 AS tail, w1 AS keyword FROM gram
+  UNION ALL SELECT ingest_seq, language, w1, w2, NULL::VARCHAR, w2, w1 || ' ' || w2 FROM gram WHERE w2 IS NOT NULL
   UNION ALL SELECT ingest_seq, language, w1, w2, w3, w3, w1 || ' ' || w2 || ' ' || w3
             FROM gram WHERE w3 IS NOT NULL),
 usable AS (
@@ -284,7 +307,27 @@ def _(spark, sf_dir):
     return K.top_keywords(articles(spark, sf_dir), 10).withColumn("score", F.round("score", 6))
 
 
-@query("keywords_dedup")
+def _one_byte(expr: str) -> str:
+    """Keywords are lower case, so capitals can stand for letters of two bytes: distances are by byte."""
+    letters = "àâáäçèéêëíîïñóôöùûüúßœæ"
+    return f"translate({expr}, '{letters}', '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'[: len(letters)]}')"
+
+
+@query(
+    "keywords_dedup",
+    f"""WITH RECURSIVE {ARTICLES}, {_KEYWORD_CTE},
+listed AS MATERIALIZED (SELECT ingest_seq, rank, keyword FROM ranked_keywords),
+walk(ingest_seq, rank, kept) AS (
+  SELECT ingest_seq, CAST(0 AS BIGINT), CAST([] AS VARCHAR[]) FROM articles
+  UNION ALL
+  SELECT w.ingest_seq, l.rank, CASE WHEN len(list_filter(w.kept, lambda k:
+      1 - levenshtein({_one_byte("k")}, {_one_byte("l.keyword")}) / greatest(length(k), length(l.keyword))::DOUBLE >= 0.9)) > 0
+    THEN w.kept ELSE list_append(w.kept, l.keyword) END
+  FROM walk w JOIN listed l ON l.ingest_seq = w.ingest_seq AND l.rank = w.rank + 1
+  WHERE len(w.kept) < 10)
+SELECT id, coalesce(array_to_string(arg_max(kept, rank), '|'), '') AS keywords
+FROM walk JOIN articles USING (ingest_seq) GROUP BY ingest_seq, id""",
+)
 def _(spark, sf_dir):
     found = K.extract_keywords(articles(spark, sf_dir), top_n=10)
     return found.select("id", F.array_join("keywords", "|").alias("keywords"))
