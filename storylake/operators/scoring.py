@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storylake.constants import ERROR_MAX_CHARS
-from storylake.schema import require_columns
+from storylake.schema import ROW_KEY, require_columns
 from storylake.session import materialize
 
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
@@ -90,14 +89,14 @@ def _call(scorer: Scorer, frame: pd.DataFrame, names: Sequence[str]) -> tuple:
         result = _checked(scorer(frame), names, len(frame))
     except Exception as failure:  # noqa: BLE001 - any scorer error becomes a row error
         if len(frame) == 1:
-            return [None], [f"{type(failure).__name__}: {failure}"[:ERROR_MAX_CHARS]]
+            return [None], [f"{type(failure).__name__}: {failure}"]
         half = len(frame) // 2
         parts = [frame.iloc[:half], frame.iloc[half:]]
         calls = [_call(scorer, part.reset_index(drop=True), names) for part in parts]
         return calls[0][0] + calls[1][0], calls[0][1] + calls[1][1]
     rows = result.to_dict("records")
     errors = [_plain(row.get(ERROR_FIELD)) for row in rows]
-    errors = [None if error is None else str(error)[:ERROR_MAX_CHARS] for error in errors]
+    errors = [None if error is None else str(error) for error in errors]
     return [row if error is None else None for row, error in zip(rows, errors, strict=True)], errors
 
 
@@ -132,8 +131,9 @@ def model_outcomes(
 
     With ``many=True`` the scorer returns a frame with one column ``items`` of dict lists and
     ``output`` is an array of structs.  Scorers may also return token usage columns.  With
-    ``reuse`` the outcomes are checkpointed, so results derived from them (rows, errors,
-    cost) never call the model again, also after the loss of an executor.  Rows whose
+    ``reuse`` the article keys and outcomes, and nothing else, are written to the shared
+    folder, so results derived from them (rows, errors, cost) never call the model again, also
+    after the loss of an executor.  Rows whose
     ``skip_blank`` column is blank are not sent to the scorer and have a null outcome.
     """
     require_columns(df, *input_cols)
@@ -175,8 +175,13 @@ def model_outcomes(
     else:
         skip = F.coalesce(F.trim(F.col(skip_blank)) == "", F.lit(True))
     arguments = [F.col(name).alias(f"c{i}") for i, name in enumerate(inputs)]
-    scored = df.withColumn("outcome", call(F.struct(*arguments, skip.alias("skip"))))
-    return materialize(scored) if reuse else scored
+    outcome = call(F.struct(*arguments, skip.alias("skip")))
+    if not reuse:
+        return df.withColumn("outcome", outcome)
+    require_columns(df, ROW_KEY)
+    written = materialize(df.select(ROW_KEY, outcome.alias("outcome")), "outcomes")
+    kept = [name for name in df.columns if name != "outcome"]
+    return df.select(*kept).join(written, ROW_KEY)
 
 
 def _without(df: DataFrame, *names: str) -> list[str]:

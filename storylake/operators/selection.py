@@ -4,27 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storylake.schema import ROW_KEY, require_columns
-
-#: Below this many keys (about 16 bytes each) the selected keys are broadcast.
-BROADCAST_KEYS = 1_000_000
-
+from storylake.session import materialize
 
 def first_by(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows under ``order``, which must be total.
 
-    The cut is found on the sort columns alone and the rows are then picked by key, so
-    article text never passes through the single task that holds a global top-n.
+    The sort columns alone are dealt out by range and written once; ranges before the cut are
+    taken whole, and only rows of the range that holds the cut are ranked.  Neither text nor
+    all keys pass through one task, whatever ``n`` is.
     """
-    keys = df.select(ROW_KEY, *[term.alias(f"_o{i}") for i, term in enumerate(order)])
-    chosen = keys.orderBy(*[F.col(f"_o{i}").asc_nulls_last() for i in range(len(order))])
-    chosen = chosen.limit(n).select(ROW_KEY)
-    if n <= BROADCAST_KEYS:
-        chosen = F.broadcast(chosen)
-    return df.join(chosen, ROW_KEY, "left_semi").select(*df.columns)
+    names = [f"_o{i}" for i in range(len(order))]
+    in_order = [F.col(name).asc_nulls_last() for name in names]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(ROW_KEY, *[term.alias(name) for name, term in zip(names, order)])
+    dealt = materialize(
+        keys.repartitionByRange(ranges, *in_order).withColumn("_range", F.spark_partition_id()),
+        "ordered-keys",
+    )
+    # One row per range.
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "_range", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")
+    ).filter(F.col("start") < n)
+    placed = dealt.join(F.broadcast(starts), "_range")
+    whole = placed.filter(F.col("start") + F.col("size") <= n).select(ROW_KEY)
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*in_order))
+    cut = (
+        placed.filter(F.col("start") + F.col("size") > n)
+        .withColumn("_rank", inside)
+        .filter(F.col("_rank") + F.col("start") <= n)
+        .select(ROW_KEY)
+    )
+    return df.join(whole.union(cut), ROW_KEY, "left_semi").select(*df.columns)
 
 
 def limit_before_dedup(df: DataFrame, max_articles: int) -> DataFrame:

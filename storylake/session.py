@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,33 +26,27 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local session may fall back to a folder on this machine.
+    Both are paths of a Hadoop file system; nothing is written past it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
     active = spark.sparkContext.getCheckpointDir()
-    if active:
-        return active
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="storylake-")
+    return configured or active or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def new_output_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; a run id replaces probing for free names."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint so that later consumers never re-run it.
+def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Meant for results of external model calls, which must not be repeated when several
-    outputs are derived from them or when an executor is lost.
+    Cuts the lineage: later consumers never run it again, also when an executor is lost.  For
+    narrow rows, and for results of model calls, which must not be repeated.  The files stay
+    until the owner of the folder clears it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    path = new_output_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
