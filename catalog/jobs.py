@@ -15,6 +15,7 @@ from catalog.extract import (
     STORY_URLS,
     TOP_IMAGES,
     image_pages,
+    quotes_cte,
     story_urls,
 )
 from catalog.labels import HYPOTHESES, LABELS, label_cte
@@ -112,6 +113,18 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "job_full_text_all",
+    f"""{_BY_SOURCE}
+SELECT id, title, text, url, media_name FROM unique_stories""",
+)
+def _(spark, sf_dir):
+    everything = ArticleQuery(dedup_strategy="title_source")
+    return J.full_text(articles(spark, sf_dir), everything)["stories"].select(
+        "id", "title", "text", "url", "media_name"
+    )
+
+
 @query(
     "job_full_text",
     f"""WITH {ARTICLES},
@@ -150,13 +163,12 @@ def _(spark, sf_dir):
 
 @query(
     "job_quotes",
-    f"""{_BY_TITLE}
-SELECT id, title, media_name, unnest(regexp_extract_all(text, '["“]([^"“”]+)["”]([^"“”]{{0,80}})', 1)) AS quote
-FROM stories""",
+    f"""{_BY_TITLE}, {quotes_cte("stories")}
+SELECT id, title, media_name, quote, speaker, pronoun FROM attributed""",
 )
 def _(spark, sf_dir):
     found = J.quotes(articles(spark, sf_dir), MONTH)["quotes"]
-    return found.select("id", "title", "media_name", "quote")
+    return found.select("id", "title", "media_name", "quote", "speaker", "pronoun")
 
 
 _ABOUT = AboutnessParams(target=TARGET, kind="topic", threshold=0.5)

@@ -23,7 +23,7 @@ def label_cte(source: str = "articles", score: str = "round(h / (h + 3.0::DOUBLE
 label AS (SELECT * FROM (VALUES (0, 'tion'), (1, 'rewh orre'), (2, 'ment'), (3, 'license'), (4, 'eau')) v(pos, label)),
 label_term AS (SELECT * FROM (VALUES (0, 'tion'), (1, 'rewh'), (1, 'orre'), (2, 'ment'), (3, 'license'),
                (3, 'software'), (3, 'copyright'), (4, 'eau')) v(pos, term)),
-text_token AS (SELECT ingest_seq, unnest({toks("substr(text, 1, 2000)")}) AS term FROM {source}),
+text_token AS (SELECT ingest_seq, unnest({toks("text")}) AS term FROM {source}),
 hits AS (SELECT ingest_seq, pos, count(*) AS n FROM text_token JOIN label_term USING (term) GROUP BY 1, 2),
 counted AS (SELECT a.ingest_seq, label.pos, label, coalesce(n, 0) AS h
             FROM {source} a CROSS JOIN label LEFT JOIN hits ON hits.ingest_seq = a.ingest_seq AND hits.pos = label.pos),
@@ -169,7 +169,7 @@ def _(spark, sf_dir):
 @query(
     "zeroshot_failures",
     f"""WITH {ARTICLES}
-SELECT CAST(id AS VARCHAR) AS story_id, substr(title, 1, 500) AS title, 'Timeout: story ' || id AS error
+SELECT CAST(id AS VARCHAR) AS story_id, title, 'Timeout: story ' || id AS error
 FROM articles WHERE {_FAILED}""",
 )
 def _(spark, sf_dir):

@@ -31,14 +31,10 @@ TAGGED_SUMMARY_COLUMNS = [
 # Story metadata kept in the label export.
 LABEL_EXPORT_COLUMNS = ["story_id", "title", "url", "publish_date", "media_name", "language"]
 
-# Defaults and limits of label scoring.
+# Defaults of label scoring.
 DEFAULT_LABELS = ("politics", "economy", "environment", "technology", "health")
 DEFAULT_HYPOTHESIS_TEMPLATE = "This text is about {}"
 UNKNOWN_LABEL = "unknown"
-LABEL_TEXT_MAX_CHARS = 2000
-ERROR_MAX_CHARS = 2000
-FAILURE_TITLE_MAX_CHARS = 500
-MAX_PROMPT_TAGS = 5
 
 # Number of equal score bins between 0 and 1.
 SCORE_BINS = 10

@@ -15,7 +15,7 @@ ENTITY_RUN = (
 )
 OTHER_TYPE = "MISC"
 
-#: A mapping up to this size is looked up in the row; larger ones come as a table.
+#: A mapping up to this size is an expression, a larger one a table; the result is the same.
 INLINE_ENTRIES = 500
 
 #: Copies of each gazetteer entry, so that one very frequent name is joined in many tasks.
@@ -36,17 +36,16 @@ def extract_entities(
 ) -> DataFrame:
     """Add ``entities array<struct<text,type>>`` in order of appearance, repeats kept.
 
-    A small mapping is looked up inside the row without any shuffle.  A gazetteer table
-    (columns ``text``, ``type``) of any size is joined; the planner broadcasts it only when
-    its measured size allows.
+    A mapping or a gazetteer table (columns ``text``, ``type``) may have any size.  A table is joined: the distinct
+    names of an article meet it, and the planner broadcasts it only when its measured size
+    allows.
     """
     require_columns(df, text_column)
     if isinstance(gazetteer, Mapping):
-        if len(gazetteer) > INLINE_ENTRIES:
-            raise ValueError(
-                f"pass a gazetteer of more than {INLINE_ENTRIES} entries as a DataFrame"
-            )
-        return df.withColumn("entities", _inline_entities(F.col(text_column), gazetteer))
+        if len(gazetteer) <= INLINE_ENTRIES:
+            return df.withColumn("entities", _inline_entities(F.col(text_column), gazetteer))
+        entries = list(gazetteer.items())
+        gazetteer = df.sparkSession.createDataFrame(entries, "text string, type string")
     return _joined_entities(df, gazetteer, text_column)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storylake.schema import ROW_KEY
@@ -13,21 +13,16 @@ from storylake.schema import ROW_KEY
 def place_by_article(df: DataFrame) -> DataFrame:
     """Hash-place articles by their unique key for work that explodes their text.
 
-    The partition count is stated, so that AQE does not merge partitions that are small as
-    text but become large once exploded.  Aggregations, windows and joins keyed by article
-    (and more) need no further exchange.
+    No partition count is stated: AQE sizes the partitions.  Aggregations, windows and joins
+    keyed by article (and more) need no further exchange.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, ROW_KEY)
+    return df.repartition(ROW_KEY)
 
 
 #: A group above this size is "hot".  There can be at most (all rows / HOT_GROUP_ROWS) hot
-#: groups, so the broadcast side below has a proven bound: 30 000 groups for 30 billion rows.
+#: groups, each with a key of 128 bits and its facts: 30 000 groups for 30 billion rows.
 HOT_GROUP_ROWS = 1_000_000
 
-#: Longer keys are left to the shuffle join, which bounds the bytes of the broadcast too.
-HOT_KEY_CHARS = 1024
-
 #: Hot rows need no partner in the shuffle join, so they are spread over this many salts.
 SPREAD = 4096
 
@@ -48,31 +43,27 @@ def attach_group_facts(
     a hot group whole.  All other rows meet their group in an ordinary shuffle join, where
     AQE splits what skew is left.
     """
-    key_chars = sum(
-        (F.coalesce(F.length(F.col(key).cast("string")), F.lit(0)) for key in keys), F.lit(0)
+    def digest(names: Sequence[str]) -> Column:
+        # Null differs from every text, and a key cannot run into the next one.
+        parts = [F.to_json(F.struct(F.col(n).alias("k")), {"ignoreNullFields": "false"}) for n in names]
+        return F.md5(F.concat(*parts))
+
+    keyed = groups.select(digest(keys).alias("_group"), F.struct(*facts).alias("_facts"), F.col(size).alias("_size"))
+    hot = keyed.filter(F.col("_size") > hot_rows).select(
+        F.col("_group").alias("_hot_group"), F.col("_facts").alias("_hot_facts")
     )
-    is_hot = (F.col(size) > hot_rows) & (key_chars <= HOT_KEY_CHARS)
-    hot = groups.filter(is_hot).select(
-        *[F.col(key).alias(f"_hot_{key}") for key in keys],
-        F.struct(*facts).alias("_hot_facts"),
-        F.lit(True).alias("_is_hot"),
+    cold = keyed.filter(F.col("_size") <= hot_rows).select(
+        F.col("_group").alias("_cold_group"), F.col("_facts").alias("_cold_facts")
     )
-    cold = groups.filter(~is_hot).select(
-        *[F.col(key).alias(f"_cold_{key}") for key in keys],
-        # Always 0, but not a constant that the planner could take out of the join keys.
-        F.pmod(F.col(size), F.lit(1)).cast("int").alias("_cold_salt"),
-        F.struct(*facts).alias("_cold_facts"),
+    marked = rows.withColumn("_group", digest(keys)).join(
+        F.broadcast(hot), F.col("_group") == F.col("_hot_group"), "left"
     )
-    on_hot = F.lit(True)
-    on_cold = F.col("_salt") == F.col("_cold_salt")
-    for key in keys:
-        on_hot = on_hot & F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
-        on_cold = on_cold & F.col(key).eqNullSafe(F.col(f"_cold_{key}"))
-    marked = rows.join(F.broadcast(hot), on_hot, "left").withColumn(
-        "_salt",
-        F.when(F.col("_is_hot"), F.pmod(F.hash(spread_by), F.lit(SPREAD)) + 1).otherwise(0),
+    # A hot row needs no partner any more: it goes by a salt that no group has.
+    salt = F.concat(F.lit("hot "), F.pmod(F.hash(spread_by), F.lit(SPREAD)).cast("string"))
+    marked = marked.withColumn(
+        "_group", F.when(F.col("_hot_group").isNotNull(), salt).otherwise(F.col("_group"))
     )
-    joined = marked.join(cold, on_cold, "left")
+    joined = marked.join(cold, F.col("_group") == F.col("_cold_group"), "left")
     return joined.select(
         *rows.columns,
         *[

@@ -11,17 +11,13 @@ from pyspark.sql import types as T
 
 from storylake.constants import (
     DEFAULT_HYPOTHESIS_TEMPLATE,
-    ERROR_MAX_CHARS,
-    FAILURE_TITLE_MAX_CHARS,
     LABEL_EXPORT_COLUMNS,
-    LABEL_TEXT_MAX_CHARS,
-    MAX_PROMPT_TAGS,
     STOPWORDS,
     UNKNOWN_LABEL,
 )
-from storylake.functions.text import is_blank, null_if_blank, tokens, truncate
+from storylake.functions.text import WHITESPACE, is_blank, null_if_blank, tokens, truncate
 from storylake.operators.scoring import ScorerFactory, model_outcomes
-from storylake.params import LabelParams
+from storylake.params import LabelParams, clean_overrides
 from storylake.schema import require_columns
 
 _STRINGS = "array<string>"
@@ -34,11 +30,7 @@ def hypothesis_texts(
     overrides: Mapping[str, str | None] | None = None,
 ) -> dict[str, str]:
     """Hypothesis text of each label: its override, else the filled template."""
-    chosen = {
-        str(key).strip(): str(value).strip()
-        for key, value in (overrides or {}).items()
-        if value is not None and str(key).strip() and str(value).strip()
-    }
+    chosen = clean_overrides(overrides)
     unknown = [key for key in chosen if key not in labels]
     if unknown:
         raise ValueError(f"hypotheses for labels that are not candidates: {unknown}")
@@ -120,7 +112,6 @@ def score_labels(
     df: DataFrame,
     params: LabelParams,
     text_column: str = "text",
-    max_chars: int | None = LABEL_TEXT_MAX_CHARS,
 ) -> DataFrame:
     """Column-only label scoring by overlap of text tokens with each label's content words.
 
@@ -129,7 +120,7 @@ def score_labels(
     """
     require_columns(df, text_column)
     hypothesis_texts(params.labels, params.hypothesis_template, params.hypotheses)
-    text = truncate(F.coalesce(F.col(text_column), F.lit("")), max_chars)
+    text = truncate(F.coalesce(F.col(text_column), F.lit("")), params.max_chars)
     terms = label_terms(params.labels, params.hypotheses)
     vocabulary = sorted({word for words in terms.values() for word in words})
     # Only tokens that belong to some label are kept before the labels are counted.
@@ -171,7 +162,6 @@ def score_labels_with(
     params: LabelParams,
     factory: ScorerFactory,
     text_column: str = "text",
-    max_chars: int | None = LABEL_TEXT_MAX_CHARS,
 ) -> DataFrame:
     """Label scoring by a model.
 
@@ -181,7 +171,7 @@ def score_labels_with(
     """
     require_columns(df, text_column)
     texts, template, back = inference_labels(params)
-    text = truncate(F.coalesce(F.col(text_column), F.lit("")), max_chars)
+    text = truncate(F.coalesce(F.col(text_column), F.lit("")), params.max_chars)
     output = T.StructType(
         [
             T.StructField("labels", T.ArrayType(T.StringType())),
@@ -239,12 +229,17 @@ def row_error(df: DataFrame) -> Column:
     return null_if_blank(F.col("zeroshot_error"))
 
 
-def _score_of(label: Column | str) -> Column:
+def stripped(text: Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+
+
+def _score_of(label: Column) -> Column:
     """Score of a label in its row; a label listed twice has its last score."""
     pairs = F.arrays_zip(
         F.col("zeroshot_labels").alias("label"), F.col("zeroshot_scores").alias("score")
     )
-    found = F.filter(pairs, lambda p: p["label"] == label)
+    found = F.filter(pairs, lambda p: stripped(p["label"]) == stripped(label))
     return F.get(found, F.size(found) - 1)["score"]
 
 
@@ -314,7 +309,7 @@ def _counted_labels(df: DataFrame, params: LabelParams) -> Column:
     elif params.selection_mode == "threshold_ge":
         hits = _passing(params.labels, params.score_threshold)
     else:
-        top = F.trim(F.col("zeroshot_top_label"))
+        top = stripped(F.col("zeroshot_top_label"))
         hits = F.filter(F.array(top), lambda label: F.array_contains(candidates, label))
     return F.coalesce(hits, F.array().cast(_STRINGS))
 
@@ -364,23 +359,28 @@ def label_counts(df: DataFrame, params: LabelParams) -> DataFrame:
     ).select("position", F.col("pair.input_labels").alias("label"), F.col("pair.label_counts").alias("count"))
 
 
-def failure_details(df: DataFrame, id_column: str = "id") -> DataFrame:
-    """``story_id, title, error`` of the rows that failed."""
+def failure_details(
+    df: DataFrame,
+    id_column: str = "id",
+    max_title: int | None = None,
+    max_error: int | None = None,
+) -> DataFrame:
+    """``story_id, title, error`` of the rows that failed, cut only where a length is given."""
     error = row_error(df)
     story = F.col(id_column).cast("string") if id_column in df.columns else F.lit(None)
     title = F.col("title") if "title" in df.columns else F.lit(None)
     return df.filter(error.isNotNull()).select(
         F.coalesce(story, F.lit("")).alias("story_id"),
-        F.substring(F.coalesce(title, F.lit("")), 1, FAILURE_TITLE_MAX_CHARS).alias("title"),
-        F.substring(error, 1, ERROR_MAX_CHARS).alias("error"),
+        truncate(F.coalesce(title.cast("string"), F.lit("")), max_title).alias("title"),
+        truncate(error, max_error).alias("error"),
     )
 
 
 def _exported_labels(mode: str) -> Column:
     if mode in ("top_n", "threshold_ge"):
-        trimmed = F.transform("zeroshot_labels_selected", lambda label: F.trim(label))
+        trimmed = F.transform("zeroshot_labels_selected", lambda label: stripped(label))
         return F.filter(trimmed, lambda label: label.isNotNull() & (label != ""))
-    top = F.trim(F.col("zeroshot_top_label"))
+    top = stripped(F.col("zeroshot_top_label"))
     return F.filter(F.array(top), lambda t: t.isNotNull() & (t != "") & (t != UNKNOWN_LABEL))
 
 
@@ -394,14 +394,16 @@ def tag_scores(df: DataFrame, mode: str = "top_label") -> Column:
     )
 
 
-def tags_for_prompt(df: DataFrame, max_labels: int = MAX_PROMPT_TAGS) -> Column:
+def tags_for_prompt(df: DataFrame, max_labels: int | None = None) -> Column:
     """Selected labels as ``a; b``, else the top label, else null; null on error."""
-    first = F.slice("zeroshot_labels_selected", 1, max_labels)
+    first = F.col("zeroshot_labels_selected")
+    if max_labels is not None:
+        first = F.slice(first, 1, max_labels)
     named = F.filter(
-        F.transform(first, lambda label: F.trim(label)),
+        F.transform(first, lambda label: stripped(label)),
         lambda label: label.isNotNull() & (label != "") & (label != UNKNOWN_LABEL),
     )
-    top = F.nullif(F.nullif(F.trim(F.col("zeroshot_top_label")), F.lit("")), F.lit(UNKNOWN_LABEL))
+    top = F.nullif(F.nullif(stripped(F.col("zeroshot_top_label")), F.lit("")), F.lit(UNKNOWN_LABEL))
     joined = F.nullif(F.array_join(named, "; "), F.lit(""))
     return F.when(row_error(df).isNull(), F.coalesce(joined, top))
 

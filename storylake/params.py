@@ -10,6 +10,7 @@ from enum import Enum
 from storylake.constants import DEFAULT_HYPOTHESIS_TEMPLATE, DEFAULT_LABELS
 
 
+# Names of strategies and of kinds of targets.
 class DedupStrategy(str, Enum):
     NONE = "none"
     TITLE = "title"
@@ -78,6 +79,15 @@ def _at_least_one(name: str, value: int | None) -> None:
         raise ValueError(f"{name} must be at least 1")
 
 
+def clean_overrides(overrides: Mapping[str, str | None] | None) -> dict[str, str]:
+    """Stripped keys and values; blank ones are left out."""
+    return {
+        str(key).strip(): str(value).strip()
+        for key, value in (overrides or {}).items()
+        if value is not None and str(key).strip() and str(value).strip()
+    }
+
+
 @dataclass(frozen=True)
 class LabelParams:
     """Candidate labels of zero-shot tagging and how a row's labels are selected."""
@@ -89,6 +99,10 @@ class LabelParams:
     max_stories: int | None = None
     score_threshold: float | None = None
     top_n: int | None = None
+    #: Characters of a text that are scored; None is the whole text.  Meant for model scorers.
+    max_chars: int | None = None
+    #: Tags handed on to a summary prompt; None is all of them.
+    max_prompt_tags: int | None = None
 
     def __post_init__(self) -> None:
         labels = tuple(label.strip() for label in self.labels if label and label.strip())
@@ -96,16 +110,13 @@ class LabelParams:
             raise ValueError("labels must hold at least one non-empty label")
         if "{}" not in self.hypothesis_template:
             raise ValueError('hypothesis_template must contain "{}"')
-        overrides = {
-            str(key).strip(): str(value).strip()
-            for key, value in (self.hypotheses or {}).items()
-            if value is not None and str(key).strip() and str(value).strip()
-        }
+        overrides = clean_overrides(self.hypotheses)
         object.__setattr__(self, "labels", labels)
         object.__setattr__(self, "hypotheses", overrides or None)
         _unit_interval("score_threshold", self.score_threshold)
         _at_least_one("top_n", self.top_n)
-        _at_least_one("max_stories", self.max_stories)
+        for name in ("max_stories", "max_chars", "max_prompt_tags"):
+            _at_least_one(name, getattr(self, name))
 
     @property
     def selection_mode(self) -> str:

@@ -15,7 +15,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storylake.constants import DEFAULT_MODEL, NEGATIVE_WORDS, POSITIVE_WORDS
+from storylake.constants import DEFAULT_MODEL, NEGATIVE_WORDS, POSITIVE_WORDS, STOPWORDS
 from storylake.functions.prompts import QUOTES_PROMPT, build_prompt
 from storylake.operators import keywords as keyword_ops
 from storylake.operators.aboutness import (
@@ -43,8 +43,9 @@ from storylake.operators.zeroshot import (
     tags_for_prompt,
 )
 from storylake.params import AboutnessParams, ArticleQuery, DedupStrategy, LabelParams
-from storylake.sources.articles import scan_articles
+from storylake.schema import ROW_KEY
 from storylake.session import materialize
+from storylake.sources.articles import scan_articles
 from storylake.sources.exports import contract_columns, drop_text
 
 Outputs = dict[str, DataFrame]
@@ -70,15 +71,18 @@ def keywords(
     query: ArticleQuery,
     top_n: int = keyword_ops.TOP_N,
     dedup_limit: float = keyword_ops.DEDUP_LIMIT,
+    stopwords: Mapping[str, Sequence[str]] = STOPWORDS,
     collection_sources: DataFrame | None = None,
 ) -> Outputs:
     """Keywords per article and the fifty most common keywords of the query."""
     stories, outputs = _scan(articles, query, collection_sources)
-    found = keyword_ops.article_keywords(stories, top_n=top_n, dedup_limit=dedup_limit)
-    outputs["top_keywords"] = top_values(found, "keywords", 50)
-    outputs["stories"] = keyword_ops.extract_keywords(
-        stories, top_n=top_n, dedup_limit=dedup_limit
+    tagged = keyword_ops.extract_keywords(
+        stories, top_n=top_n, dedup_limit=dedup_limit, stopwords=stopwords
     )
+    # Both outputs come from one narrow table, so that no article is scored twice.
+    found = materialize(tagged.select(ROW_KEY, "keywords"), "keywords")
+    outputs["top_keywords"] = top_values(found, "keywords", 50)
+    outputs["stories"] = stories.drop("keywords").join(found, ROW_KEY)
     return outputs
 
 
@@ -146,9 +150,7 @@ def full_text(
     query: ArticleQuery,
     collection_sources: DataFrame | None = None,
 ) -> Outputs:
-    """Articles with their text; the cap is applied before copies are removed (default 1)."""
-    if not query.max_articles:
-        query = replace(query, max_articles=1)
+    """Articles with their text; a cap (``max_articles``) applies before copies are removed."""
     stories, outputs = _scan(articles, query, collection_sources)
     outputs["stories"] = stories
     return outputs
@@ -247,7 +249,7 @@ def tagged_summaries(
     scored = score_aboutness(stories, about.target, about.context, max_rows=about.max_rows)
     tagged = classify(filter_aboutness(scored, about.threshold).drop("usage"), labels, scorer)
     # Few articles pass the filter and four outputs read them, so they are written once.
-    tagged = materialize(tagged.withColumn("_prompt_tags", tags_for_prompt(tagged)))
+    tagged = materialize(tagged.withColumn("_prompt_tags", tags_for_prompt(tagged, labels.max_prompt_tags)))
     summarized = summarize_articles(
         tagged, summary_focus(focus, about.target), "_prompt_tags", about.max_rows
     )

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storylake.operators import dedup as D
+from storylake.operators.selection import first_by
 
 
 def ids(df):
@@ -116,3 +117,24 @@ def test_summary(mixed, stories):
 def test_missing_columns_are_an_error(mixed):
     with pytest.raises(ValueError, match="media_name"):
         D.deduplicate(mixed.drop("media_name"), "title_source")
+
+
+def test_a_hot_group_with_a_long_key_is_spread(spark):
+    title = "long " * 500
+    rows = [(i, i, title if i % 10 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "ingest_seq long, id long, title string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mapped = D.duplicate_mapping(df, D.exact_keys("title"), hot_rows=100)
+        assert mapped.count() == 2000 - 2
+        assert {r["kept_id"] for r in mapped.select("kept_id").distinct().collect()} == {0, 1}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_limits_cut_inside_a_range(spark):
+    rows = [(i, (i * 7919) % 1000) for i in range(1000)]
+    df = spark.createDataFrame(rows, "ingest_seq long, k long")
+    for n in (0, 1, 499, 999, 1000, 5000):
+        got = sorted(r["k"] for r in first_by(df, [F.col("k"), F.col("ingest_seq")], n).collect())
+        assert got == list(range(min(n, 1000)))

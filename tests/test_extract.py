@@ -269,13 +269,19 @@ def exchanges(df):
     return [line for line in plan.splitlines() if re.search(r"[\s+:-]Exchange ", line)]
 
 
-def test_only_the_text_is_shuffled_for_keywords_and_summaries(spark, stories, tmp_path):
+def test_keywords_shuffle_the_text_once_and_summaries_only_by_article(spark, stories, tmp_path):
     path = str(tmp_path / "articles")
     stories(*[{"text": t} for t in ARTICLES]).write.parquet(path)
     df = spark.read.parquet(path)
-    for result in (K.top_keywords(df, 5), K.article_keywords(df, 5)):
-        found = exchanges(result)
-        assert found and all("REPARTITION_BY_NUM" in line for line in found), found
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for result in (K.top_keywords(df, 5), K.article_keywords(df, 5), K.keyword_scores(df)):
+            (only,) = exchanges(result)
+            assert "REPARTITION_BY_COL" in only
+        found = exchanges(summarize_articles(df, focus="coast"))
+        assert found and all("hashpartitioning(ingest_seq" in line for line in found), found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_summaries(stories):
@@ -293,3 +299,36 @@ def test_summaries(stories):
         assert rows[seq]["usage"]["completion_tokens"] == 0
     usage = rows[0]["usage"]
     assert usage["total_tokens"] == usage["prompt_tokens"] + usage["completion_tokens"]
+
+
+def test_a_mapping_of_any_size_gives_the_same_entities(stories):
+    df = stories({"text": "Ann Lee met Bob in Big Town. Zed came."}, {"text": None})
+    small = {"Ann Lee": "PERSON", "Zed": "PERSON"}
+    large = small | {f"Name{i}": "OTHER" for i in range(5000)}
+    expected = {r["ingest_seq"]: r["entities"] for r in extract_entities(df, small).collect()}
+    assert {r["ingest_seq"]: r["entities"] for r in extract_entities(df, large).collect()} == expected
+
+
+def test_stopwords_of_any_language(stories):
+    df = stories({"text": "Huset och havet. Huset och skogen.", "language": "sv"})
+    plain = K.extract_keywords(df, 50).first()["keywords"]
+    assert "och" in plain
+    assert "och" not in K.extract_keywords(df, 50, stopwords={"sv": ["och"]}).first()["keywords"]
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ('Ann Lee said, "We will go." He added: "No."', [("Ann Lee", "unspecified"), ("unspecified", "he")]),
+        ('"No," said Ann Lee, "never." She left.', [("Ann Lee", "unspecified")] * 2),
+        ('"No." Bob Ray said. "Yes."', [("Bob Ray", "unspecified"), ("unspecified", "unspecified")]),
+        ('In Paris. J. Lee told: "A b."', [("J. Lee", "unspecified")]),
+        ('They said "maybe" and left.', [("unspecified", "they")]),
+        ('“Go!” asked she. Carl said “why”', [("unspecified", "she"), ("Carl", "unspecified")]),
+        ('said Ann Lee: "x" says Bob.', [("Ann Lee", "unspecified")]),
+        ('A lone " mark', []),
+    ],
+)
+def test_speakers_on_both_sides(stories, text, expected):
+    rows = quote_table(stories({"text": text})).orderBy("quote_id").collect()
+    assert [(r["speaker"], r["pronoun"]) for r in rows] == expected

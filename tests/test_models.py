@@ -1,3 +1,6 @@
+import glob
+import os
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from pyspark.sql import types as T
 from storylake.operators import scoring as S
 from storylake.operators import zeroshot as Z
 from storylake.params import AboutnessParams, ArticleQuery, LabelParams
+from storylake.session import shared_dir
 
 OUT = T.StructType([T.StructField("n", T.LongType()), T.StructField("first", T.StringType())])
 ITEM = T.StructType([T.StructField("text", T.StringType()), T.StructField("k", T.LongType())])
@@ -80,10 +84,11 @@ def test_one_to_many_and_outcomes_from_one_scoring(rows, tmp_path):
 
         return run
 
-    outcomes = S.model_outcomes(rows, factory, ["text"], ITEM, many=True)
+    numbered = rows.withColumn("ingest_seq", F.col("id") + 100)
+    outcomes = S.model_outcomes(numbered, factory, ["text"], ITEM, many=True)
     called = calls.read_text()
     # Colliding names are overwritten by the item; failed and empty rows give no rows.
-    items = S.outcome_items(outcomes, ITEM.names)
+    items = S.outcome_items(outcomes, ITEM.names).drop("ingest_seq")
     assert sorted(tuple(r) for r in items.collect()) == [
         (1, "a", 0, None),
         (1, "b", 1, None),
@@ -101,8 +106,10 @@ def test_one_to_many_and_outcomes_from_one_scoring(rows, tmp_path):
     assert table[2]["total_tokens"] is None and table[1]["total_tokens"] == 4
     usage = S.outcome_usage(outcomes).agg(F.count("usage"), F.sum("usage.total_tokens")).first()
     assert tuple(usage) == (3, 8)
-    # The checkpoint answers all three results: the scorer was not called again.
-    assert calls.read_text() == called
+    # The written outcomes answer all three results: the scorer was called once per row.
+    assert calls.read_text() == called and len(called.splitlines()) >= 4
+    written = max(glob.glob(f"{shared_dir(rows.sparkSession)}/outcomes-*"), key=os.path.getmtime)
+    assert rows.sparkSession.read.parquet(written).columns == ["ingest_seq", "outcome"]
 
 
 def scorer_for(labels, scores, seen=None):
@@ -125,10 +132,9 @@ def scorer_for(labels, scores, seen=None):
 def test_scorer_gets_cut_text_and_never_blank_text(spark, tmp_path):
     seen = tmp_path / "seen"
     df = spark.createDataFrame([(0, "hello world"), (1, " "), (2, None), (3, "boom!")], "n int, text string")
-    params = LabelParams(labels=("politics", "economy"))
-    out = Z.score_labels_with(
-        df.coalesce(1), params, scorer_for(["politics", "economy"], [0.91, 0.12], seen), max_chars=5
-    )
+    df = df.withColumn("ingest_seq", F.col("n").cast("long")).coalesce(1)
+    params = LabelParams(labels=("politics", "economy"), max_chars=5)
+    out = Z.score_labels_with(df, params, scorer_for(["politics", "economy"], [0.91, 0.12], seen))
     got = {r["n"]: r for r in out.collect()}
     assert got[0]["zeroshot_top_label"] == "politics" and got[0]["zeroshot_labels"] == ["politics", "economy"]
     assert got[0]["text"] == "hello world"
@@ -148,7 +154,7 @@ def test_overrides_map_back_to_labels(spark, tmp_path):
         labels=("maternal health", "economy"),
         hypotheses={"maternal health": "about pregnancy and childbirth"},
     )
-    df = spark.createDataFrame([("hello",)], "text string")
+    df = spark.createDataFrame([(0, "hello")], "ingest_seq long, text string")
     factory = scorer_for(
         ["about pregnancy and childbirth", "This text is about economy"], [0.81, 0.22], seen
     )
@@ -296,3 +302,26 @@ def test_parameters_are_cleaned():
     assert params.selection_mode == "top_label"
     assert LabelParams(score_threshold=0.5).selection_mode == "threshold_ge"
     assert LabelParams(score_threshold=0.5, top_n=1).selection_mode == "top_n"
+
+
+def test_label_words_anywhere_in_a_long_text_count(spark):
+    text = "word " * 3000 + "politics politics"
+    df = spark.createDataFrame([(0, text)], "ingest_seq long, text string")
+    assert Z.score_labels(df, LabelParams(labels=("politics",))).first()["zeroshot_top_score"] == 0.4
+    cut = LabelParams(labels=("politics",), max_chars=2000)
+    assert Z.score_labels(df, cut).first()["zeroshot_top_score"] == 0.0
+
+
+def test_scores_of_labels_with_white_space(spark):
+    row = (0, ["politics\t", "economy"], [0.7, 0.2], ["politics"], "")
+    kinds = "ingest_seq long, zeroshot_labels array<string>, zeroshot_scores array<double>, "
+    kinds += "zeroshot_labels_selected array<string>, zeroshot_error string"
+    df = spark.createDataFrame([row], kinds)
+    assert df.select(Z.tag_scores(df, "top_n").alias("s")).first()["s"] == {"politics": 0.7}
+
+
+def test_failures_are_whole_unless_a_length_is_given(spark):
+    df = spark.createDataFrame([("1", "t" * 900, "e" * 3000)], "id string, title string, zeroshot_error string")
+    whole, cut = Z.failure_details(df).first(), Z.failure_details(df, max_title=5, max_error=7).first()
+    assert (len(whole["title"]), len(whole["error"])) == (900, 3000)
+    assert (len(cut["title"]), len(cut["error"])) == (5, 7)
