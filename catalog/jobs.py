@@ -113,6 +113,31 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "job_duplicates",
+    f"""{_BY_TITLE} SELECT id, kept_id, title, media_name FROM by_title WHERE rn > 1""",
+)
+def _(spark, sf_dir):
+    found = J.quotes(articles(spark, sf_dir), MONTH)["duplicates"]
+    return found.select("id", "kept_id", "title", "media_name")
+
+
+@query(
+    "job_query_summary",
+    f"""{_BY_TITLE}
+SELECT count(*) FILTER (rn = 1) AS story_count, count(*) AS total_stories,
+  count(*) FILTER (rn > 1) AS duplicates, 'title' AS strategy FROM by_title""",
+)
+def _(spark, sf_dir):
+    summary = J.quotes(articles(spark, sf_dir), MONTH)["query_summary"]
+    return summary.select(
+        "story_count",
+        "total_stories",
+        F.col("dedup_summary.duplicate_story_count").alias("duplicates"),
+        F.col("dedup_summary.strategy").alias("strategy"),
+    )
+
+
 @query(
     "job_full_text_all",
     f"""{_BY_SOURCE}

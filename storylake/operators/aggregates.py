@@ -162,9 +162,25 @@ def usage_cost(
     )
 
 
-def query_summary(articles: DataFrame, query: ArticleQuery) -> DataFrame:
-    """One row describing a query; the count is taken after deduplication."""
-    return articles.agg(F.count(F.lit(1)).alias("story_count")).select(
+def query_summary(
+    articles: DataFrame, query: ArticleQuery, dedup: DataFrame | None = None
+) -> DataFrame:
+    """One row describing a query; ``story_count`` is taken after deduplication.
+
+    With the query's deduplication record the counts come from that, ``total_stories`` is the
+    count before, and the record itself is ``dedup_summary``.
+    """
+    if dedup is None:
+        counts = articles.agg(F.count(F.lit(1)).alias("story_count"))
+        more: list[Column] = []
+    else:
+        counts = dedup.select(
+            F.col("deduplicated_story_count").alias("story_count"),
+            F.col("input_story_count").alias("total_stories"),
+            F.struct(*dedup.columns).alias("dedup_summary"),
+        )
+        more = [F.col("total_stories"), F.col("dedup_summary")]
+    return counts.select(
         F.lit(query.terms.describe()).alias("query"),
         F.lit(query.start_date).cast("date").alias("start_date"),
         F.lit(query.end_date).cast("date").alias("end_date"),
@@ -174,4 +190,5 @@ def query_summary(articles: DataFrame, query: ArticleQuery) -> DataFrame:
         F.array(*[F.lit(s) for s in query.sources]).cast("array<string>").alias("source_ids"),
         "story_count",
         F.lit(query.dedup_strategy.value).alias("dedup_strategy"),
+        *more,
     )

@@ -45,7 +45,7 @@ from storylake.operators.zeroshot import (
 from storylake.params import AboutnessParams, ArticleQuery, DedupStrategy, LabelParams
 from storylake.schema import ROW_KEY
 from storylake.session import materialize
-from storylake.sources.articles import scan_articles
+from storylake.sources.articles import scan_articles, scan_duplicates
 from storylake.sources.exports import contract_columns, drop_text
 
 Outputs = dict[str, DataFrame]
@@ -55,7 +55,11 @@ def _scan(
     articles: DataFrame, query: ArticleQuery, collection_sources: DataFrame | None
 ) -> tuple[DataFrame, Outputs]:
     stories, dedup = scan_articles(articles, query, collection_sources)
-    return stories, {"query_summary": query_summary(stories, query), "dedup_summary": dedup}
+    return stories, {
+        "query_summary": query_summary(stories, query, dedup),
+        "dedup_summary": dedup,
+        "duplicates": scan_duplicates(articles, query, collection_sources),
+    }
 
 
 def _scan_title_source(

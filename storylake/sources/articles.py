@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storylake.functions.text import first_line
-from storylake.operators.dedup import dedup_summary, deduplicate
+from storylake.operators.dedup import (
+    dedup_summary,
+    deduplicate,
+    duplicate_mapping,
+    strategy_keys,
+)
 from storylake.operators.search import apply_search, filter_date_range, filter_scope
 from storylake.operators.selection import limit_before_dedup, random_sample
 from storylake.params import ArticleQuery
@@ -97,6 +102,15 @@ def query_articles(
     return limit_before_dedup(rows, query.max_articles)
 
 
+def scan_duplicates(
+    articles: DataFrame, query: ArticleQuery, collection_sources: DataFrame | None = None
+) -> DataFrame:
+    """Rows that the query's strategy drops, without their text, with the id kept instead."""
+    matched = query_articles(articles, query, collection_sources)
+    keys, earliest = strategy_keys(matched, query.dedup_strategy)
+    return duplicate_mapping(matched.drop("text"), keys, earliest)
+
+
 def scan_articles(
     articles: DataFrame, query: ArticleQuery, collection_sources: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
