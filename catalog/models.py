@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.base import ARTICLES, TOK, articles, query, sentences_cte, stopwords_cte, toks
+from storylake.functions.prompts import ABOUTNESS_PROMPT, QUOTES_PROMPT, SUMMARY_PROMPT
 from storylake.operators import scoring as S
 from storylake.operators.aboutness import aboutness_summary, filter_aboutness, score_aboutness
-from storylake.operators.sentences import matching_sentences, targeted_sentiment
+from storylake.operators.prompted import sentiment_with
+from storylake.operators.sentences import matching_sentences, sentence_table, targeted_sentiment
 from storylake.operators.summaries import summarize_articles
+from storylake.params import AboutnessParams, ArticleQuery
+from storylake.plans import jobs as J
 
 _FACTS = T.StructType(
     [T.StructField("text_chars", T.LongType()), T.StructField("opening", T.StringType())]
@@ -309,3 +313,99 @@ def _(spark, sf_dir):
     return shown_sentiment(
         targeted_sentiment(rows, SENTIMENT_TARGET, positive=POSITIVE, negative=NEGATIVE)
     )
+
+
+#: Stand-in models judge by the length of their prompt and fail on every seventh length.
+def _failing(answer):
+    def factory():
+        def run(frame):
+            n = frame["prompt"].str.len()
+            error = [f"status {x}" if x % 7 == 3 else None for x in n]
+            usage = {"prompt_tokens": n, "completion_tokens": 1, "total_tokens": n + 1}
+            return pd.DataFrame(answer(n) | usage | {"error": error})
+
+        return run
+
+    return factory
+
+
+_SCORED = ArticleQuery()
+_SUMMARY_LENGTH = f"length(coalesce(title, '')) + length(coalesce(text, '')) + {len(SUMMARY_PROMPT)} - 26"
+_QUOTES_LENGTH = f"length(coalesce(text, '')) + {len(QUOTES_PROMPT)} - 6"
+_ABOUT_LENGTH = f"length(coalesce(title, '')) + length(coalesce(text, '')) + 4 + {len(ABOUTNESS_PROMPT)} - 30"
+
+
+@query(
+    "job_aboutness_filter_scored",
+    f"""WITH {ARTICLES}, asked AS (SELECT *, {_ABOUT_LENGTH} AS n FROM articles)
+SELECT id, CASE WHEN n % 7 <> 3 THEN (n % 10) / 10.0::DOUBLE END AS about_score,
+  CASE WHEN n % 7 <> 3 THEN n % 2 = 0 END AS about_is_about,
+  CASE WHEN n % 7 = 3 THEN 'status ' || n ELSE 'none' END AS about_error FROM asked""",
+)
+def _(spark, sf_dir):
+    scorer = _failing(lambda n: {"score": n % 10 / 10, "is_about": n % 2 == 0, "reason": "length"})
+    about = AboutnessParams(target="tion", threshold=0.5)
+    found = J.aboutness_filter(articles(spark, sf_dir), _SCORED, about, scorer=scorer)["scored"]
+    return found.select(
+        "id", "about_score", "about_is_about", F.coalesce("about_error", F.lit("none")).alias("about_error")
+    )
+
+
+@query(
+    "job_summaries_scored",
+    f"""WITH {ARTICLES}, asked AS (SELECT *, {_SUMMARY_LENGTH} AS n FROM articles)
+SELECT id, CASE WHEN n % 7 <> 3 THEN 's' ELSE 'none' END AS llm_summary_text,
+  n % 7 <> 3 AS llm_summary_is_confident,
+  CASE WHEN n % 7 = 3 THEN 'status ' || n ELSE 'none' END AS llm_summary_error FROM asked""",
+)
+def _(spark, sf_dir):
+    def answer(n):
+        facts = {"summary": "s", "is_confident": True, "confidence_reason": "r"}
+        return facts | {"key_points": [["k"]] * len(n)}
+
+    found = J.summaries(articles(spark, sf_dir), _SCORED, scorer=_failing(answer))["stories"]
+    return found.select(
+        "id",
+        F.coalesce("llm_summary_text", F.lit("none")).alias("llm_summary_text"),
+        "llm_summary_is_confident",
+        F.coalesce("llm_summary_error", F.lit("none")).alias("llm_summary_error"),
+    )
+
+
+@query(
+    "job_scored_cost",
+    f"""WITH {ARTICLES}, asked AS (SELECT *, {_QUOTES_LENGTH} AS n FROM articles)
+SELECT count(*) AS total_requests, CAST(sum(n) AS BIGINT) AS total_prompt_tokens FROM asked WHERE n % 7 <> 3""",
+)
+def _(spark, sf_dir):
+    scorer = _failing(lambda n: {"items": [[] for _ in n]})
+    cost = J.quotes(articles(spark, sf_dir), _SCORED, scorer=scorer)["cost"]
+    return cost.select("total_requests", "total_prompt_tokens")
+
+
+@query(
+    "job_quotes_scored",
+    f"""WITH {ARTICLES}, asked AS (SELECT *, {_QUOTES_LENGTH} AS n FROM articles)
+SELECT id, CAST(unnest(range(n % 3)) AS INTEGER) AS quote_id, 'q' AS quote, 'unspecified' AS speaker,
+  'she' AS pronoun FROM asked WHERE n % 7 <> 3""",
+)
+def _(spark, sf_dir):
+    scorer = _failing(lambda n: {"items": [[{"quote": "q", "speaker": "", "pronoun": "she"}] * (x % 3) for x in n]})
+    found = J.quotes(articles(spark, sf_dir), _SCORED, scorer=scorer)["quotes"]
+    return found.select("id", "quote_id", "quote", "speaker", "pronoun")
+
+
+@query(
+    "targeted_sentiment_scored",
+    f"""WITH {ARTICLES}, {sentences_cte()},
+asked AS (SELECT *, CASE WHEN regexp_matches(sentence_text, '(?i)tion') THEN length(sentence_text) END AS n
+          FROM sentences)
+SELECT id, sentence_id, CASE WHEN n % 7 <> 3 THEN 'Positive' ELSE 'none' END AS target_sentiment,
+  CASE WHEN n % 7 <> 3 THEN round(n / 1000.0::DOUBLE, 4) END AS target_sentiment_score FROM asked""",
+)
+def _(spark, sf_dir):
+    scorer = _failing(lambda n: {"label": "Positive", "score": n / 1000})
+    rows = sentence_table(articles(spark, sf_dir))
+    return sentiment_with(rows, scorer, "tion").select(
+        "id", "sentence_id", F.coalesce("target_sentiment", F.lit("none")).alias("target_sentiment"), "target_sentiment_score"
+    )

@@ -28,6 +28,12 @@ from storylake.operators.aggregates import query_summary, top_entities, top_valu
 from storylake.operators.dedup import deduplicate
 from storylake.operators.entities import extract_entities
 from storylake.operators.images import extract_top_images, join_top_images
+from storylake.operators.prompted import (
+    aboutness_with,
+    quotes_with,
+    sentiment_with,
+    summaries_with,
+)
 from storylake.operators.quotes import quote_table
 from storylake.operators.scoring import ScorerFactory
 from storylake.operators.selection import limit_after_dedup
@@ -128,12 +134,18 @@ def targeted_sentiment(
     patterns: Sequence[str] | None = None,
     positive: Iterable[str] = tuple(POSITIVE_WORDS),
     negative: Iterable[str] = tuple(NEGATIVE_WORDS),
+    scorer: ScorerFactory | None = None,
     collection_sources: DataFrame | None = None,
 ) -> Outputs:
     """Sentiment towards a target of the sentences that match any pattern (default: all)."""
     stories, outputs = _scan_title_source(articles, query, collection_sources)
     sentences = match_sentences(stories, patterns)
-    outputs["sentences"] = add_sentiment(sentences, target, positive=positive, negative=negative)
+    if scorer is not None:
+        outputs["sentences"] = sentiment_with(sentences, scorer, target)
+    else:
+        outputs["sentences"] = add_sentiment(
+            sentences, target, positive=positive, negative=negative
+        )
     return outputs
 
 
@@ -165,11 +177,15 @@ def summaries(
     query: ArticleQuery,
     focus: str | None = None,
     model: str = DEFAULT_MODEL,
+    scorer: ScorerFactory | None = None,
     collection_sources: DataFrame | None = None,
 ) -> Outputs:
     """A summary per article and the usage totals."""
     stories, outputs = _scan(articles, query, collection_sources)
-    summarized = drop_text(summarize_articles(stories, focus))
+    if scorer is not None:
+        summarized = drop_text(summaries_with(stories, scorer, focus))
+    else:
+        summarized = drop_text(summarize_articles(stories, focus))
     outputs["stories"] = summarized.drop("usage")
     outputs["cost"] = usage_cost(summarized, model=model)
     return outputs
@@ -179,10 +195,16 @@ def quotes(
     articles: DataFrame,
     query: ArticleQuery,
     model: str = DEFAULT_MODEL,
+    scorer: ScorerFactory | None = None,
     collection_sources: DataFrame | None = None,
 ) -> Outputs:
     """Quotes with speakers and the usage totals over all articles asked."""
     stories, outputs = _scan(articles, query, collection_sources)
+    if scorer is not None:
+        outputs["quotes"], calls = quotes_with(stories, scorer)
+        outputs["cost"] = usage_cost(calls, model=model)
+        outputs["failures"] = calls.filter("llm_error is not null").drop("usage")
+        return outputs
     outputs["quotes"] = quote_table(stories)
     found = F.array_join(F.regexp_extract_all("text", F.lit('["“]([^"“”]+)["”]'), F.lit(1)), " ")
     usage = prompt_usage(build_prompt(QUOTES_PROMPT, text=F.col("text")), found)
@@ -196,12 +218,16 @@ def aboutness_filter(
     about: AboutnessParams,
     max_stories: int | None = None,
     model: str = DEFAULT_MODEL,
+    scorer: ScorerFactory | None = None,
     collection_sources: DataFrame | None = None,
 ) -> Outputs:
     """Articles about the target, the filter summary, and all scored rows."""
     stories, outputs = _scan(articles, query, collection_sources)
     stories = limit_after_dedup(stories, max_stories)
-    scored = score_aboutness(stories, about.target, about.context, max_rows=about.max_rows)
+    if scorer is not None:
+        scored = aboutness_with(stories, scorer, about.target, about.context, about.max_rows)
+    else:
+        scored = score_aboutness(stories, about.target, about.context, max_rows=about.max_rows)
     outputs["scored"] = drop_text(scored).drop("usage")
     outputs["stories"] = drop_text(filter_aboutness(scored, about.threshold)).drop("usage")
     outputs["filter_summary"] = aboutness_summary(
