@@ -104,8 +104,7 @@ def dropped_rows(df: DataFrame, keys: dict[str, Column], earliest: bool = True)
     """The rows that :func:`keep_first` leaves out."""
     if not keys:
         return df.limit(0)
-    winners = duplicate_groups(df, keys, earliest).select(F.col("kept_seq").alias(ROW_KEY))
-    return df.join(winners, ROW_KEY, "left_anti").select(*df.columns)
+    return duplicate_mapping(df, keys, earliest).select(*df.columns)
 
 
 def duplicate_mapping(

@@ -75,21 +75,23 @@ def _joined_entities(df: DataFrame, gazetteer: DataFrame, text_column: str) -> D
     # A name may be listed with several types; one lookup row per name keeps counts right.
     lookup = gazetteer.groupBy(F.col("text").alias("run")).agg(F.min("type").alias("known"))
     salted = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(NAME_SALTS - 1))))
-    mentions = df.select(
+    runs = F.coalesce(entity_runs(F.col(text_column)), F.array().cast("array<string>"))
+    # A name meets the table once per article, however often it is mentioned there.
+    names = df.select(
         ROW_KEY,
         F.pmod(F.hash(ROW_KEY), F.lit(NAME_SALTS)).alias("salt"),
-        F.posexplode(entity_runs(F.col(text_column))).alias("at", "run"),
+        F.explode(F.array_distinct(runs)).alias("run"),
     )
-    found = (
-        mentions.join(salted, ["run", "salt"], "left")
-        .withColumn("type", _typed(F.col("run"), F.col("known")))
-        .filter(F.col("type").isNotNull())
+    known = (
+        names.join(salted, ["run", "salt"])
         .groupBy(ROW_KEY)
-        .agg(F.sort_array(F.collect_list(F.struct("at", "run", "type"))).alias("_found"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("run", "known"))).alias("_known"))
     )
-    joined = df.join(found, ROW_KEY, "left")
-    entities = F.transform(
-        F.coalesce("_found", F.array().cast("array<struct<at:int,run:string,type:string>>")),
-        lambda f: F.struct(f["run"].alias("text"), f["type"].alias("type")),
+    typed = F.transform(
+        runs,
+        lambda run: F.struct(
+            run.alias("text"), _typed(run, F.try_element_at("_known", run)).alias("type")
+        ),
     )
-    return joined.select(*df.columns, entities.alias("entities"))
+    entities = F.filter(typed, lambda entity: entity["type"].isNotNull())
+    return df.join(known, ROW_KEY, "left").select(*df.columns, entities.alias("entities"))

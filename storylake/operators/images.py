@@ -114,7 +114,9 @@ def join_top_images(
     one_per_url = images.groupBy("url").agg(
         F.max(F.struct("resolved_url", "top_image_url")).alias("page")
     )
-    found = distinct_urls(articles).join(one_per_url, "url")
+    # URLs that were not fetched, and a missing URL, are groups too: any of them may be hot.
+    counts = articles.groupBy("url").agg(F.count(F.lit(1)).alias("article_count"))
+    found = counts.join(one_per_url, "url", "left")
     joined = attach_group_facts(
         articles, found, ["url"], ["page"], "article_count", ROW_KEY, hot_rows
     )

@@ -16,6 +16,10 @@ from storylake.schema import require_columns
 _TOKEN = re.compile(r"[^\W_]+")
 
 
+#: Copies of a scope's sources where it is too large for a broadcast.
+SCOPE_SALTS = 32
+
+
 def _mentions(df_columns: Sequence[str], phrase: str, fields: Sequence[str]) -> Column:
     words = _TOKEN.findall(phrase.lower())
     if not words:
@@ -112,7 +116,11 @@ def filter_scope(
     if sources:
         named = df.sparkSession.createDataFrame([(name,) for name in sources], "media_name string")
         scope = scope.union(named)
-    return df.join(scope.distinct(), "media_name", "left_semi").select(*df.columns)
+    # A source may have a third of all articles: its rows meet the scope under many salts.
+    salts = F.array(*[F.lit(i) for i in range(SCOPE_SALTS)])
+    salted = scope.distinct().withColumn("_salt", F.explode(salts))
+    marked = df.withColumn("_salt", F.pmod(F.hash("id", "url"), F.lit(SCOPE_SALTS)))
+    return marked.join(salted, ["media_name", "_salt"], "left_semi").select(*df.columns)
 
 
 def any_pattern(text: Column, patterns: Sequence[str] | None) -> Column:

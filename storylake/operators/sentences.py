@@ -33,13 +33,17 @@ def matching_sentences(
     return table.filter(any_pattern(F.col("sentence_text"), patterns))
 
 
+def _target_place(text: Column, target: str) -> Column:
+    """Number of tokens in front of the first mention of the target."""
+    before = F.regexp_extract(text, f"(?isu)^(.*?)(?:{target})", 1)
+    # A mention inside a word belongs to that word, so its first half is not counted.
+    return F.size(tokens(F.regexp_replace(before, r"[\p{L}\p{N}]+$", "")))
+
+
 def _sentiment_sum(
-    text: Column, target: str, positive: Iterable[str], negative: Iterable[str]
+    text: Column, target_at: Column, positive: Iterable[str], negative: Iterable[str]
 ) -> Column:
     """Polarity words weighted by their token distance to the first mention of the target."""
-    before = F.regexp_extract(text, f"(?isu)^(.*?)(?:{target})", 1)
-    # A mention inside a word belongs to that word, so its first half is not counted.
-    target_at = F.size(tokens(F.regexp_replace(before, r"[\p{L}\p{N}]+$", "")))
     words = F.transform(
         tokens(text),
         lambda word, at: F.when(
@@ -69,8 +73,10 @@ def targeted_sentiment(
 
     pattern = quote_regex(target) if literal else target
     text = F.col(text_column)
-    total = _sentiment_sum(text, pattern, tuple(positive), tuple(negative))
-    scored = df.withColumn("_sum", F.when(mention_mask(text, pattern), total))
+    total = _sentiment_sum(text, F.col("_at"), tuple(positive), tuple(negative))
+    # The place is a column of its own, so that it is found once and not for every word.
+    placed = df.withColumn("_at", F.when(mention_mask(text, pattern), _target_place(text, pattern)))
+    scored = placed.withColumn("_sum", F.when(F.col("_at").isNotNull(), total))
     label = (
         F.when(F.col("_sum") > 0, "Positive")
         .when(F.col("_sum") < 0, "Negative")
