@@ -49,16 +49,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     path = public_tokenizers.path(BYTE_BPE)
-    docs = docs.select("doc_id", "lang", "source", "text")
-    both = bpe_automaton.decode_column(bpe_automaton.encode_column(docs, path), path)
-    return both.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.size("ids").alias("n_tokens"),
-        "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("intact"),
-    )
+    coded = bpe_automaton.encode_and_check(docs.select("doc_id", "lang", "source", "text"), path)
+    return coded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", "intact")
 
 
 STAGES = [

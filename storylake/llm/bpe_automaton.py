@@ -15,15 +15,18 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructType
 
+from storylake.llm.support import releasing
 from storylake.llm.token_counts import Vocabulary, read_vocabulary
 
-#: Remembered words and transitions, per task.
-REMEMBERED = 500_000
+#: Remembered words, and transitions, per task.
+REMEMBERED = 200_000
+
+#: Rows whose ids a task holds at once.
+SLICE_ROWS = 500
 
 
 class Automaton:
@@ -47,14 +50,15 @@ class Automaton:
                 self.target[ids[bytes([b])]] = 0
         for (u, v), _ in sorted(vocabulary.ranks.items(), key=lambda x: x[1]):
             self._gadget(ids[u], ids[v], ids[u + v])
-        #: Tokens by first bytes: a trie as nested tables, the token under key -1.
-        self.trie: dict = {}
+        #: A trie of the tokens: node of (node, byte), and the token that ends at a node.
+        self.step: dict[int, int] = {}
+        self.ends: dict[int, int] = {}
         for token, i in ids.items():
             if i in self.target:
-                node = self.trie
+                node = 0
                 for b in token:
-                    node = node.setdefault(b, {})
-                node[-1] = i
+                    node = self.step.setdefault(node << 8 | b, len(self.step) + 1)
+                self.ends[node] = i
 
     def _gadget(self, u: int, v: int, w: int) -> None:
         after_u, after_v = self.target[u], self.target[v]
@@ -85,8 +89,7 @@ class Encoder:
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
-        self.arcs: dict[tuple[int, int], bool] = {}
-        self.words: dict[bytes, tuple[int, ...]] = {}
+        self.arcs: dict[int, bool] = {}
 
     def encode(self, word: bytes) -> tuple[int, ...]:
         """The one accepted token sequence that spells ``word``.
@@ -94,26 +97,24 @@ class Encoder:
         Every prefix of a word has one accepted sequence, so a position needs only its last
         token: each token that starts there is tried against the state reached.
         """
-        known = self.words.get(word)
-        if known is not None:
-            return known
         automaton, arcs = self.automaton, self.arcs
+        step, ends, target = automaton.step, automaton.ends, automaton.target
         n = len(word)
         last = [-1] * (n + 1)
         come_from = [-1] * (n + 1)
         for i in range(n):
-            state = 0 if i == 0 else automaton.target[last[i]]
-            node, j = automaton.trie, i
-            while j < n and (node := node.get(word[j])) is not None:
+            state = 0 if i == 0 else target[last[i]]
+            node, j = 0, i
+            while j < n and (node := step.get(node << 8 | word[j])) is not None:
                 j += 1
-                label = node.get(-1)
+                label = ends.get(node)
                 if label is None or come_from[j] >= 0:
                     continue
-                open_arc = arcs.get((state, label))
+                open_arc = arcs.get(state << 32 | label)
                 if open_arc is None:
                     if len(arcs) > REMEMBERED:
                         arcs.clear()
-                    open_arc = arcs[state, label] = automaton.has_arc(state, label)
+                    open_arc = arcs[state << 32 | label] = automaton.has_arc(state, label)
                 if open_arc:
                     last[j], come_from[j] = label, i
         found = []
@@ -123,12 +124,7 @@ class Encoder:
                 raise ValueError("the vocabulary lacks a byte of the text")
             found.append(last[at])
             at = come_from[at]
-        result = tuple(reversed(found))
-        if n < 64:
-            if len(self.words) > REMEMBERED:
-                self.words.clear()
-            self.words[word] = result
-        return result
+        return tuple(reversed(found))
 
 
 class _WordIds(dict):
@@ -197,13 +193,15 @@ def encode_column(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _text_encoder(*shared.value)
         for batch in batches:
-            ids = [encode(text.as_py() or "") for text in batch.column(at)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, out]
-            )
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                ids = [encode(text.as_py() or "") for text in part.column(at)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, out]
+                )
 
     schema = StructType([*docs.schema.fields]).add(out, ArrayType(IntegerType()))
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def decode_column(
@@ -229,6 +227,36 @@ def decode_column(
     return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(out, StringType()))
 
 
+def encode_and_check(
+    docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids: str = "ids", intact: str = "intact"
+) -> DataFrame:
+    """Add the token ids, and whether they decode to the text, in one pass.
+
+    One worker a task holds the automaton, where an encoding and a decoding pass need two.
+    Null counts as empty; columns of these names are replaced.  Map-only.
+    """
+    docs = docs.drop(ids, intact)
+    shared = _broadcast_automaton(docs, vocabulary_path)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decode = _text_encoder(*shared.value), _decoder(*shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                texts = [text.as_py() or "" for text in part.column(at)]
+                found = [encode(text) for text in texts]
+                same = [decode(i) == text for i, text in zip(found, texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(found, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                    [*part.schema.names, ids, intact],
+                )
+
+    schema = StructType([*docs.schema.fields])
+    schema = schema.add(ids, ArrayType(IntegerType())).add(intact, BooleanType())
+    return docs.mapInArrow(releasing(run), schema)
+
+
 def token_digests(
     docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -268,6 +296,6 @@ def token_digests(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     done = rows.mapInArrow(
-        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        releasing(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
     return done.withColumnRenamed("id", id_col)

@@ -31,6 +31,7 @@ from storylake.llm.support import (
     components,
     free_name,
     mix,
+    releasing,
     shared_table,
     shingle_sets,
     text_chunks,
@@ -367,7 +368,7 @@ def _classified(docs, id_col, text_col, k, percent, rare, block) -> DataFrame:
         F.col(text_col).alias("text"),
     )
     heads = shared_table(
-        rows.mapInArrow(_signatures(k), "id long, key long, n long, sign_a long, sign_b long"),
+        rows.mapInArrow(releasing(_signatures(k)), "id long, key long, n long, sign_a long, sign_b long"),
         "near-heads",
     )
     # Copies of one set count as one class, represented by one of its keys.
@@ -383,7 +384,7 @@ def _classified(docs, id_col, text_col, k, percent, rare, block) -> DataFrame:
         rows.select("key", "text")
         .join(going.select("key", "n"), "key")
         .dropDuplicates(["key"])
-        .mapInArrow(_sets(k), "key long, n long, tokens array<long>"),
+        .mapInArrow(releasing(_sets(k)), "key long, n long, tokens array<long>"),
         "near-sets",
     )
     edges = shared_table(link_classes(sets, percent, rare, block), "near-links")
@@ -404,7 +405,7 @@ def _classified(docs, id_col, text_col, k, percent, rare, block) -> DataFrame:
 def _with_company(rows: DataFrame, heads: DataFrame, k: int, percent: int) -> DataFrame:
     """Keys of documents that share enough first prefix tokens with any others."""
     tokens = rows.select("key", "text").mapInArrow(
-        _first_prefixes(k, percent), "key long, token long, local int"
+        releasing(_first_prefixes(k, percent)), "key long, token long, local int"
     )
     # A token has one row for each batch at most, so no window holds a hot token's documents.
     whole = W.partitionBy("token").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

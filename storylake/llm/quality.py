@@ -17,9 +17,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType
 
-from storylake.llm.support import mix, text_chunks, word_hashes, word_spans
+from storylake.llm.support import mix, releasing, text_chunks, word_hashes, word_spans
 
 #: Rows of labels that a model is fitted on, at most; chosen by a hash of their id.
 TRAINING_ROWS = 20_000
@@ -199,7 +199,7 @@ def fit_quality(
     rows = docs.join(F.broadcast(wanted), docs[id_col] == wanted["_id"]).select(
         F.col("_id").alias("id"), "_label", F.col(text_col).alias("text")
     )
-    partial = rows.select("text").mapInArrow(_contexts, "bucket long, vector array<double>")
+    partial = rows.select("text").mapInArrow(releasing(_contexts), "bucket long, vector array<double>")
     table = np.zeros((BUCKETS, DIMENSIONS), dtype=np.float64)
     sums = partial.groupBy(F.pmod("bucket", F.lit(64)).alias("part")).applyInPandas(
         _summed, "bucket long, vector array<double>"
@@ -224,7 +224,7 @@ def fit_quality(
                 yield pa.RecordBatch.from_arrays([part["id"], part["_label"], flat], ["id", "label", "x"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    data = rows.mapInArrow(pool, f"id {kind}, label int, x array<double>").toPandas()
+    data = rows.mapInArrow(releasing(pool), f"id {kind}, label int, x array<double>").toPandas()
     data = data.sort_values("id", kind="stable")
     width = words.shape[1] + forms.shape[1]
     x = np.array(data["x"].to_list(), dtype=np.float64).reshape(-1, width)
@@ -244,22 +244,22 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
     Texts without words (null and empty ones too) get the score of a zero vector.  All other
     columns pass through, null ids and repeated rows as well; a column ``out`` is replaced.
     """
-    docs = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fitted = shared.value
-        for batch in batches:
-            scores = np.zeros(batch.num_rows)
-            for row, data, ends in text_chunks(batch.column(at)):
+        for texts in batches:
+            scores = np.zeros(len(texts))
+            for row, data, ends in text_chunks(texts):
                 pooled = pooled_rows(data, ends, fitted.words, fitted.forms)
                 scores[row : row + len(pooled)] = fitted.scores(pooled)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores)], [*batch.schema.names, out]
-            )
+            yield pa.array(scores)
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(out, DoubleType()))
+    # Only the text goes to the workers, and only the score comes back.
+    task = releasing(run)
+    task.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    score = F.arrow_udf(task, DoubleType()).asNondeterministic()
+    return docs.drop(out).withColumn(out, score(F.col(text_col)))
 
 
 def held_out(id_col: str = "doc_id"):

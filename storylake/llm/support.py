@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 #: Bytes of text hashed at once; bounds the memory of a worker, not the text.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+
+#: Rows whose texts are copied out of an Arrow batch at once.
+CHUNK_ROWS = 512
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -123,21 +127,35 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) of consecutive rows with about CHUNK_BYTES of text."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
-    n = len(column)
-    if not n:
-        return
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + n + 1]
-    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
-    row = 0
-    while row < n:
-        stop = int(np.searchsorted(ends, ends[row] + CHUNK_BYTES, side="right")) - 1
-        stop = min(n, max(stop, row + 1))
-        yield row, raw[ends[row] : ends[stop]], ends[row : stop + 1] - ends[row]
-        row = stop
+    for start in range(0, len(column), CHUNK_ROWS):
+        part = column.slice(start, CHUNK_ROWS).fill_null("")
+        part = part.cast(pa.large_string()).cast(pa.large_binary())
+        n = len(part)
+        _, offsets, data = part.buffers()
+        ends = np.frombuffer(offsets, dtype=np.int64)[part.offset : part.offset + n + 1]
+        raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+        row = 0
+        while row < n:
+            stop = int(np.searchsorted(ends, ends[row] + CHUNK_BYTES, side="right")) - 1
+            stop = min(n, max(stop, row + 1))
+            yield start + row, raw[ends[row] : ends[stop]], ends[row : stop + 1] - ends[row]
+            row = stop
+
+
+def releasing(run):
+    """``run`` over the batches of a task, giving memory back to the machine at its end.
+
+    Python workers outlive their task and stand idle beside later stages.
+    """
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    return task
 
 
 def word_spans(data: np.ndarray, ends: np.ndarray, gaps: np.ndarray = _IS_GAP):

@@ -66,6 +66,9 @@ def test_digests_and_columns(spark, library):
     assert len(both) == len(rows)
     assert all(row["decoded"] == (row["text"] or "") for row in both)
     assert all((row["ids"], row["decoded"]) in expected[row["doc_id"]] for row in both)
+    checked = bpe_automaton.encode_and_check(docs, PATH).collect()
+    assert len(checked) == len(rows) and all(row["intact"] for row in checked)
+    assert all((row["ids"], row["text"] or "") in expected[row["doc_id"]] for row in checked)
 
 
 def test_empty_table(spark):
