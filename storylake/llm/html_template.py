@@ -63,37 +63,118 @@ _WORDS = regex.compile(r"[a-z]+")
 
 
 class _Element:
-    __slots__ = ("apart", "article", "path", "tag")
+    """``sets``: its tag or a whole name sets it apart; ``doubt``: only a part of a name would.
+
+    ``home`` is the innermost article element it stands in, itself included; ``apart`` counts
+    all elements above it, ``inner`` those within ``home``.
+    """
+
+    __slots__ = ("apart", "article", "doubt", "home", "inner", "parent", "path", "sets", "tag")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None):
         self.tag = tag
         names = [
             (m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in _NAMES.finditer(attrs)
         ]
-        named = " ".join(value for _, value in names)
-        words = set(_WORDS.findall(named))
         role_main = ("role", "main") in names
         inside = parent.article if parent else ""
-        self.apart = (
-            (parent.apart if parent else False)
-            or tag in APART
+        is_main = tag in MAIN or role_main
+        listed = APART_WORDS - {"header"} if inside else APART_WORDS
+        nameable = tag not in ("html", "body") and not is_main
+        self.parent = parent
+        self.sets = (
+            tag in APART
             or (tag == "header" and not inside)
-            or (tag not in ("html", "body", *MAIN) and bool(words & APART_WORDS))
+            or (nameable and any(not listed.isdisjoint(value.split()) for _, value in names))
+        )
+        self.apart = self.sets or (parent.apart if parent else False)
+        self.inner = not is_main and (self.sets or (parent.inner if parent else False))
+        self.doubt = (parent.doubt if parent and not is_main else False) or (
+            nameable
+            and any(not listed.isdisjoint(_WORDS.findall(value)) for _, value in names)
         )
+        self.home = self if is_main else parent.home if parent else None
         if tag in INLINE:
             self.path = parent.path if parent else ""
         else:
             own = tag + "".join(f"[{n}={v}]" for n, v in names if n != "role")
             self.path = f"{parent.path if parent else ''}/{own}"
-        self.article = inside or (self.path if tag in MAIN or role_main else "")
+        self.article = inside or (self.path if is_main else "")
 
 
-def page_blocks(page: str) -> Iterator[tuple[str, str, bool, int, str]]:
-    """(element path, path of its article, set apart, characters in links, text) of each block.
+def _set_apart(element: _Element | None, spared: set) -> bool:
+    """Whether an element that is not spared sets it apart."""
+    while element is not None:
+        if element.sets and element not in spared:
+            return True
+        element = element.parent
+    return False
+
+
+def _spared(blocks: list[tuple[_Element | None, int, str]]) -> set:
+    """Elements that are not set apart as they hold the article of the page.
+
+    The article is the article element with most text outside links, if that is at least the
+    text outside it that nothing sets apart.  On a page without, forms and elements set apart by
+    name are spared if they hold all of its text.
+    """
+    within: dict[_Element, int] = defaultdict(int)
+    outside: dict[_Element | None, int] = defaultdict(int)
+    free = 0
+    for element, links, text in blocks:
+        weight = len(text) - links
+        home = element.home if element else None
+        if element is None or not element.apart:
+            free += weight
+            outside[home] += weight
+        if home is not None and not element.inner:
+            within[home] += weight
+    holder = max(within, key=within.get, default=None)
+    if holder is not None and within[holder] < free - outside[holder]:
+        holder = None
+    spared: set[_Element] = set()
+    while holder is not None:
+        if holder.sets:
+            spared.add(holder)
+        holder = holder.parent
+    while blocks and not free and not within:
+        outermost = set()
+        for element, _, _ in blocks:
+            top = None
+            while element is not None:
+                top = element if element.sets and element not in spared else top
+                element = element.parent
+            outermost.add(top)
+        if len(outermost) > 1 or None in outermost or next(iter(outermost)).tag in APART - {"form"}:
+            break
+        spared |= outermost
+    return spared
+
+
+def page_blocks(page: str) -> Iterator[tuple[str, str, bool, bool, int, str]]:
+    """(element path, path of its article, set apart, in doubt, characters in links, text).
+
+    In doubt are blocks of which a part of a name, but no whole one, is listed: the template
+    tells what they are.
 
     A block ends where an element that is not inline begins or ends.  Paragraphs and list items
     that are not closed end at the next one; an unclosed tag at the end of the page is no text.
     """
+    found = list(_raw_blocks(page))
+    spared = _spared(found)
+    for element, links, text in found:
+        yield (
+            element.path if element else "",
+            element.article if element else "",
+            bool(element and element.apart) and (not spared or _set_apart(element, spared)),
+            bool(element and element.doubt),
+            links,
+            text,
+        )
+
+
+def _raw_blocks(page: str) -> Iterator[tuple[_Element | None, int, str]]:
+    """(element, characters in links, text) of each block."""
     stack: list[_Element] = []
     parts: list[str] = []
     at: _Element | None = None
@@ -105,13 +186,7 @@ def page_blocks(page: str) -> Iterator[tuple[str, str, bool, int, str]]:
         here, count = at, links
         parts, links, at = [], 0, None
         if text:
-            yield (
-                here.path if here else "",
-                here.article if here else "",
-                bool(here and here.apart),
-                count,
-                text,
-            )
+            yield here, count, text
 
     pos, size = 0, len(page)
     while pos < size:
@@ -163,15 +238,15 @@ def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts: dict[tuple[str, int], list] = {}
         for host, key, page in zip(batch["host"], batch["key"], batch["html"]):
             host, key = host.as_py(), key.as_py()
-            seen: dict[int, list] = defaultdict(lambda: [0, 0, 0, 0, ("", "")])
+            seen: dict[int, list] = defaultdict(lambda: [0, 0, 0, 0, (False, "", "")])
             seen[_token("page", "")][0] = 1
-            for path, article, apart, links, text in page_blocks(page.as_py() or ""):
+            for path, article, apart, doubt, links, text in page_blocks(page.as_py() or ""):
                 of_path = seen[_token("path", path)]
                 of_path[0] += 1
                 of_path[1] += len(text)
                 of_path[2] += links
                 of_path[3] = 2 if apart else 1 if article else 0
-                of_path[4] = (path, article)
+                of_path[4] = (doubt, path, article)
                 if not article:
                     seen[_token("text", text)][0] += 1
             for token, (count, chars, links, role, paths) in seen.items():
@@ -183,14 +258,19 @@ def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 fact[3] += chars
                 fact[4] += links
         rows = [(*k, *v) for k, v in facts.items()]
-        names = ["host", "token", "pages", "total", "vector", "chars", "links", "role", "path", "article"]
-        kinds = [pa.string(), *[pa.int64()] * 6, pa.int32(), pa.string(), pa.string()]
+        names = ["host", "token", "pages", "total", "vector", "chars", "links", "role", "doubt", "path", "article"]
+        kinds = [pa.string(), *[pa.int64()] * 6, pa.int32(), pa.bool_(), pa.string(), pa.string()]
         columns = list(zip(*rows)) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds)], names
         )
 
 
+def _plain(t: dict) -> bool:
+    """Whether less than half of the text is in links."""
+    return t["links"] * 2 < t["chars"]
+
+
 def main_containers(template: list[dict]) -> list[str]:
     """Paths of the elements that hold the article.
 
@@ -203,31 +283,33 @@ def main_containers(template: list[dict]) -> list[str]:
         return articles
     weight: dict[tuple, int] = defaultdict(int)
     for t in template:
-        if t["role"] == 0 and t["links"] * 2 < t["chars"]:
+        if t["role"] == 0 and _plain(t):
             weight[t["path"].rpartition("/")[0], *t["class"]] += t["chars"] - t["links"]
     return [max(weight, key=lambda p: (weight[p], p))[0]] if weight else []
 
 
 def _templates(part: pd.DataFrame) -> pd.DataFrame:
-    """One row per host: paths that hold the article, and tokens of template text."""
+    """One row per host: paths that hold the article, tokens of template text, and tokens of
+    paths in doubt that are set apart, as their text is mostly links."""
     rows = []
     for host, group in part.groupby("host", sort=False):
         facts = group.to_dict("records")
         for t in facts:
             t["class"] = (t["pages"], t["total"], t["vector"])
         containers = main_containers([t for t in facts if t["path"]])
-        rows.append((host, containers, [t["token"] for t in facts if not t["path"]]))
-    return pd.DataFrame(rows, columns=["host", "main", "fixed"])
+        aside = [t["token"] for t in facts if t["path"] and t["doubt"] and not _plain(t)]
+        rows.append((host, containers, [t["token"] for t in facts if not t["path"]], aside))
+    return pd.DataFrame(rows, columns=["host", "main", "fixed", "aside"])
 
 
 def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
-    """host, main (paths that hold the article), fixed (tokens of repeated text)."""
+    """host, main (paths that hold the article), fixed (tokens of repeated text), aside."""
     facts = (
         pages.select("host", "key", "html")
         .mapInArrow(
             _page_facts,
             "host string, token long, pages long, total long, vector long, chars long, "
-            "links long, role int, path string, article string",
+            "links long, role int, doubt boolean, path string, article string",
         )
         .groupBy("host", "token")
         .agg(
@@ -236,7 +318,8 @@ def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) ->
             F.expr("bit_xor(vector)").alias("vector"),
             F.sum("chars").alias("chars"),
             F.sum("links").alias("links"),
-            F.max("role").alias("role"),
+            F.min("role").alias("role"),
+            F.max("doubt").alias("doubt"),
             F.max("path").alias("path"),
             F.max("article").alias("article"),
         )
@@ -252,14 +335,16 @@ def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) ->
     # Tokens of one occurrence vector are one class; every class stays whole, as its tokens
     # have the same number of pages.
     classes = frequent.groupBy("host", "pages", "total", "vector").agg(
-        F.collect_list(F.struct("token", "chars", "links", "role", "path", "article")).alias("tokens")
+        F.collect_list(F.struct("token", "chars", "links", "role", "doubt", "path", "article")).alias("tokens")
     )
     # The tokens of a host are bounded by the length of its pages: each has a share of them.
     return (
         classes.select("host", "pages", "total", "vector", F.explode("tokens").alias("t"))
         .select("host", "pages", "total", "vector", "t.*")
         .groupBy("host")
-        .applyInPandas(_templates, "host string, main array<string>, fixed array<long>")
+        .applyInPandas(
+            _templates, "host string, main array<string>, fixed array<long>, aside array<long>"
+        )
     )
 
 
@@ -267,16 +352,23 @@ def _within(path: str, containers: list[str]) -> bool:
     return any(f"{path}/".startswith(f"{c}/") for c in containers)
 
 
-def page_text(page: str, main: list[str] | None, fixed: list[int] | None) -> str:
+def page_text(
+    page: str, main: list[str] | None, fixed: list[int] | None, aside: list[int] | None
+) -> str:
     """Article blocks of a page, joined by two line feeds.
 
     A page that its host's template does not fit, or whose host has none, is a template of its
     own: each of its paths is a class.
     """
-    blocks = [b for b in page_blocks(page) if not b[2]]
+    left = set(aside or ())
+    blocks = [
+        b
+        for b in page_blocks(page)
+        if not b[2] and not (b[3] and left and _token("path", b[0]) in left)
+    ]
     if not any(_within(path, main or []) for path, *_ in blocks):
         facts: dict[str, dict] = {}
-        for path, article, _, links, text in blocks:
+        for path, article, _, _, links, text in blocks:
             fact = facts.setdefault(
                 path,
                 {"path": path, "article": article, "class": (path,), "chars": 0, "links": 0}
@@ -288,7 +380,7 @@ def page_text(page: str, main: list[str] | None, fixed: list[int] | None) -> str
     known = set(fixed or ())
     return "\n\n".join(
         text
-        for path, article, _, _, text in blocks
+        for path, article, _, _, _, text in blocks
         if _within(path, main) and (article or not known or _token("text", text) not in known)
     )
 
@@ -316,7 +408,7 @@ def extract_text(
     templates = shared_table(deduce_templates(rows, least_pages, least_share), "page-templates")
     size = templates.agg(
         F.sum(
-            8 * F.size("fixed") + F.length(F.concat_ws(" ", "main")) + F.length("host") + 64
+            8 * F.size("fixed") + 8 * F.size("aside") + F.length(F.concat_ws(" ", "main")) + F.length("host") + 64
         ).alias("bytes")
     ).first()["bytes"]
     if (size or 0) <= BROADCAST_BYTES:
@@ -326,8 +418,10 @@ def extract_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                page_text(page.as_py() or "", main.as_py(), fixed.as_py())
-                for page, main, fixed in zip(batch["html"], batch["main"], batch["fixed"])
+                page_text(page.as_py() or "", *(v.as_py() for v in template))
+                for page, *template in zip(
+                    batch["html"], batch["main"], batch["fixed"], batch["aside"]
+                )
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], batch["url"], pa.array(texts, pa.string())], ["id", "url", "text"]

@@ -131,3 +131,28 @@ def test_vector_classes_survive_copies(spark):
     page = "<body><nav><a>n</a></nav><article><p>the same article</p></article><footer>f</footer>"
     rows = [(i, f"http://h.org/{i}", page) for i in range(50)]
     assert {t for _, t, _ in text_of(spark, rows)} == {"the same article"}
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='site-content has-sidebar'><article>{}</article></div>",
+        "<div class='layout sidebar'><article>{}</article></div><p>Imprint</p>",
+        "<form><div class='widget'>{}</div></form>",
+        "<div id=page class='nav-open comments-open elementor-widget'><div>{}</div></div>",
+        "<article><div class='entry-header'>{}</div></article>",
+        "<main><div class='related'><article><p>teaser</p></article></div><article>{}</article></main>",
+    ],
+)
+def test_wrappers_are_not_set_apart(spark, page):
+    body = "<h1>The heading</h1><p>What the article says here, in plain words</p>"
+    text = "The heading\n\nWhat the article says here, in plain words"
+    assert text_of(spark, [(1, "http://h.org/1", page.format(body))]) == [(1, text, len(text))]
+
+
+def test_template_decides_on_parts_of_names(spark):
+    rows = []
+    for i in range(6):
+        links = f"<div class=related-posts><p><a href=/{i}>Read on about number {i}</a></p></div>"
+        rows.append((i, f"http://h.org/{i}", f"<div class=with-sidebar><article><p>Text number {i}</p>{links}</article></div>"))
+    assert {t for _, t, _ in text_of(spark, rows)} == {f"Text number {i}" for i in range(6)}
