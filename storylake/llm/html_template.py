@@ -5,9 +5,10 @@ text blocks) that occur equally often on every page form an equivalence class.
 enough pages make up the host's template, nested as their paths are; what fills the slots of
 the template is content, and the slots of the article are extracted.
 
-Occurrence vectors are never built: each (host, token) keeps the number of its pages, its
-total, and a XOR over pages of a hash of (page, count), which tells vectors apart and combines
-in any order before any shuffle.
+Pages of the same content (texts outside links) count once, so copies of an article are not
+taken for template text.  Occurrence vectors are never built: each (host, token) keeps the
+number of its contents, its total, and a XOR over contents of a hash of (content, count), which
+tells vectors apart and combines in any order.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ from storylake.llm.url_filter import url_parts
 LEAST_PAGES = 3
 LEAST_SHARE = 0.3
 
+#: Pages with a class of template text have other text of at least this share of its length.
+OTHER_SHARE = 0.25
+
 #: Templates are broadcast up to this size, beyond it joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -232,34 +236,51 @@ def _token(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
+#: Kinds of tokens.
+PAGE, PATH, TEXT = range(3)
+
+
 def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and token of a batch: pages, total, XOR of the occurrences, characters."""
+    """One row per host, token and content of a page (its text outside links) in a batch.
+
+    Copies in a batch are one row already; a path is written out once in a batch.
+    """
+    names = ["host", "token", "content", "kind", "n", "chars", "links", "around", "role"]
+    names += ["doubt", "path", "article"]
+    kinds = [pa.string(), *[pa.int64()] * 7, pa.int32(), pa.bool_(), pa.string(), pa.string()]
     for batch in batches:
-        facts: dict[tuple[str, int], list] = {}
-        for host, key, page in zip(batch["host"], batch["key"], batch["html"]):
-            host, key = host.as_py(), key.as_py()
-            seen: dict[int, list] = defaultdict(lambda: [0, 0, 0, 0, (False, "", "")])
-            seen[_token("page", "")][0] = 1
+        facts: dict[tuple[str, int, int], tuple] = {}
+        written: set[tuple[str, int]] = set()
+        for host, page in zip(batch["host"], batch["html"]):
+            host = host.as_py()
+            seen: dict[int, list] = {}
+            content = xxhash.xxh64()
+            around = 0
             for path, article, apart, doubt, links, text in page_blocks(page.as_py() or ""):
-                of_path = seen[_token("path", path)]
-                of_path[0] += 1
-                of_path[1] += len(text)
-                of_path[2] += links
-                of_path[3] = 2 if apart else 1 if article else 0
-                of_path[4] = (doubt, path, article)
-                if not article:
-                    seen[_token("text", text)][0] += 1
-            for token, (count, chars, links, role, paths) in seen.items():
-                vector = xxhash.xxh64_intdigest(f"{key}:{count}") - (1 << 63)
-                fact = facts.setdefault((host, token), [0, 0, 0, 0, 0, role, *paths])
-                fact[0] += 1
-                fact[1] += count
-                fact[2] ^= vector
-                fact[3] += chars
-                fact[4] += links
+                # Kind, occurrences, characters, in links, role, in doubt, path, article.
+                fact = [PATH, 0, 0, 0, 2 if apart else 1 if article else 0, doubt, path, article]
+                tokens = [(_token("path", path), fact)]
+                if not article and not apart:
+                    tokens.append((_token("text", text), [TEXT, 0, 0, 0, 0, doubt, "", ""]))
+                for token, fact in tokens:
+                    fact = seen.setdefault(token, fact)
+                    fact[1] += 1
+                    fact[2] += len(text)
+                    fact[3] += links
+                if not apart and links * 2 < len(text):
+                    content.update(text + "\n")
+                    around += len(text) - links
+            seen[_token("page", "")] = [PAGE, 1, 0, 0, 0, False, "", ""]
+            digest = content.intdigest() - (1 << 63)
+            for token, fact in seen.items():
+                kind, n, chars, links, role, doubt, *paths = fact
+                if (host, token) in written:
+                    paths = [None, None]
+                written.add((host, token))
+                key = host, token, digest
+                if key not in facts:
+                    facts[key] = (kind, n, chars, links, around, role, doubt, *paths)
         rows = [(*k, *v) for k, v in facts.items()]
-        names = ["host", "token", "pages", "total", "vector", "chars", "links", "role", "doubt", "path", "article"]
-        kinds = [pa.string(), *[pa.int64()] * 6, pa.int32(), pa.bool_(), pa.string(), pa.string()]
         columns = list(zip(*rows)) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds)], names
@@ -288,6 +309,27 @@ def main_containers(template: list[dict]) -> list[str]:
     return [max(weight, key=lambda p: (weight[p], p))[0]] if weight else []
 
 
+def template_classes(facts: list[dict]) -> list[list[dict]]:
+    """Classes of text that are of the template, those on most pages first.
+
+    Pages that share a class must differ elsewhere, or they are near copies and the class is
+    their article: beside it and the template found so far, they hold at least OTHER_SHARE of
+    its text.  Texts in links do not count.
+    """
+    classes: dict[tuple, list[dict]] = defaultdict(list)
+    for t in facts:
+        if t["kind"] == TEXT:
+            classes[t["class"]].append(t)
+    template, known = [], 0.0
+    for key in sorted(classes, key=lambda c: (-c[0], c)):
+        own = sum(t["chars"] - t["links"] for t in classes[key] if _plain(t)) / key[0]
+        around = max(t["around"] for t in classes[key]) / key[0]
+        if around - known - own >= OTHER_SHARE * own:
+            template.append(classes[key])
+            known += own
+    return template
+
+
 def _templates(part: pd.DataFrame) -> pd.DataFrame:
     """One row per host: paths that hold the article, tokens of template text, and tokens of
     paths in doubt that are set apart, as their text is mostly links."""
@@ -296,55 +338,52 @@ def _templates(part: pd.DataFrame) -> pd.DataFrame:
         facts = group.to_dict("records")
         for t in facts:
             t["class"] = (t["pages"], t["total"], t["vector"])
-        containers = main_containers([t for t in facts if t["path"]])
-        aside = [t["token"] for t in facts if t["path"] and t["doubt"] and not _plain(t)]
-        rows.append((host, containers, [t["token"] for t in facts if not t["path"]], aside))
+        paths = [t for t in facts if t["kind"] == PATH]
+        containers = main_containers([t for t in paths if t["path"]])
+        aside = [t["token"] for t in paths if t["doubt"] and not _plain(t)]
+        fixed = [t["token"] for c in template_classes(facts) for t in c]
+        rows.append((host, containers, fixed, aside))
     return pd.DataFrame(rows, columns=["host", "main", "fixed", "aside"])
 
 
 def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
     """host, main (paths that hold the article), fixed (tokens of repeated text), aside."""
-    facts = (
-        pages.select("host", "key", "html")
+    once = (
+        pages.select("host", "html")
         .mapInArrow(
             _page_facts,
-            "host string, token long, pages long, total long, vector long, chars long, "
-            "links long, role int, doubt boolean, path string, article string",
+            "host string, token long, content long, kind long, n long, chars long, links long, "
+            "around long, role int, doubt boolean, path string, article string",
+        )
+        .groupBy("host", "token", "content")
+        .agg(
+            *[F.max(c).alias(c) for c in ("kind", "n", "chars", "links", "around")],
+            F.min("role").alias("role"),
+            *[F.max(c).alias(c) for c in ("doubt", "path", "article")],
         )
-        .groupBy("host", "token")
+    )
+    facts = (
+        once.groupBy("host", "token")
         .agg(
-            F.sum("pages").alias("pages"),
-            F.sum("total").alias("total"),
-            F.expr("bit_xor(vector)").alias("vector"),
-            F.sum("chars").alias("chars"),
-            F.sum("links").alias("links"),
+            F.count("*").alias("pages"),
+            F.sum("n").alias("total"),
+            F.expr("bit_xor(xxhash64(content, n))").alias("vector"),
+            *[F.sum(c).alias(c) for c in ("chars", "links", "around")],
             F.min("role").alias("role"),
-            F.max("doubt").alias("doubt"),
-            F.max("path").alias("path"),
-            F.max("article").alias("article"),
+            *[F.max(c).alias(c) for c in ("kind", "doubt", "path", "article")],
         )
         .filter(F.col("pages") >= least_pages)
     )
     facts = shared_table(facts, "page-tokens")
-    hosts = facts.filter(F.col("token") == _token("page", "")).select(
+    hosts = facts.filter(F.col("kind") == PAGE).select(
         "host", F.col("pages").alias("host_pages")
     )
-    frequent = facts.filter(F.col("token") != _token("page", "")).join(hosts, "host").filter(
+    frequent = facts.filter(F.col("kind") != PAGE).join(hosts, "host").filter(
         F.col("pages") >= F.col("host_pages") * least_share
     )
-    # Tokens of one occurrence vector are one class; every class stays whole, as its tokens
-    # have the same number of pages.
-    classes = frequent.groupBy("host", "pages", "total", "vector").agg(
-        F.collect_list(F.struct("token", "chars", "links", "role", "doubt", "path", "article")).alias("tokens")
-    )
     # The tokens of a host are bounded by the length of its pages: each has a share of them.
-    return (
-        classes.select("host", "pages", "total", "vector", F.explode("tokens").alias("t"))
-        .select("host", "pages", "total", "vector", "t.*")
-        .groupBy("host")
-        .applyInPandas(
-            _templates, "host string, main array<string>, fixed array<long>, aside array<long>"
-        )
+    return frequent.groupBy("host").applyInPandas(
+        _templates, "host string, main array<string>, fixed array<long>, aside array<long>"
     )
 
 
@@ -402,7 +441,6 @@ def extract_text(
         F.col(id_col).alias("id"),
         F.col(url_col).alias("url"),
         url_parts(F.col(url_col))[0].alias("host"),
-        F.xxhash64(id_col, url_col).alias("key"),
         F.col(html_col).alias("html"),
     )
     templates = shared_table(deduce_templates(rows, least_pages, least_share), "page-templates")
@@ -413,7 +451,7 @@ def extract_text(
     ).first()["bytes"]
     if (size or 0) <= BROADCAST_BYTES:
         templates = F.broadcast(templates)
-    joined = rows.drop("key").join(templates, "host", "left")
+    joined = rows.join(templates, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -156,3 +156,18 @@ def test_template_decides_on_parts_of_names(spark):
         links = f"<div class=related-posts><p><a href=/{i}>Read on about number {i}</a></p></div>"
         rows.append((i, f"http://h.org/{i}", f"<div class=with-sidebar><article><p>Text number {i}</p>{links}</article></div>"))
     assert {t for _, t, _ in text_of(spark, rows)} == {f"Text number {i}" for i in range(6)}
+
+
+def test_copies_without_article_elements_keep_their_text(spark):
+    """A third of a host are copies, exact or with another date each, or it has copies only."""
+    copy = "<body><p>By us all, as always since then</p><div class=x><p>The same story, told at length on many pages</p><p>And its second part, as long as the first one</p></div>"
+    story = "The same story, told at length on many pages\n\nAnd its second part, as long as the first one"
+    rows = [(i, f"http://few.org/{i}", copy) for i in range(3)]
+    rows += [(i, f"http://third.org/{i}", copy) for i in range(10, 20)]
+    rows += [(i, f"http://date.org/{i}", copy.replace("</div>", f"<p>No {i}</p></div>")) for i in range(20, 30)]
+    for host in ("third", "date"):
+        for i in range(100, 120):
+            other = "".join(f"<p>Some quite different words {i} {j} about {host}</p>" for j in range(3))
+            rows.append((i, f"http://{host}.org/{i}", f"<body><p>By us all, as always since then</p><div class=x>{other}</div>"))
+    got = {i: t for i, t, _ in text_of(spark, rows) if i < 100}
+    assert len(got) == 23 and all(t.startswith(story) for t in got.values())
