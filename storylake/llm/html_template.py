@@ -14,6 +14,7 @@ tells vectors apart and combines in any order.
 from __future__ import annotations
 
 import html
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,6 +32,9 @@ from storylake.llm.url_filter import url_parts
 LEAST_PAGES = 3
 LEAST_SHARE = 0.3
 
+#: Text inside article elements is of the template on this share of the pages that have them.
+ARTICLE_SHARE = 0.9
+
 #: Pages with a class of template text have other text of at least this share of its length.
 OTHER_SHARE = 0.25
 
@@ -237,7 +241,11 @@ def _token(kind: str, value: str) -> int:
 
 
 #: Kinds of tokens.
-PAGE, PATH, TEXT = range(3)
+PAGE, ARTICLE_PAGE, PATH, TEXT, ARTICLE_TEXT = range(5)
+
+
+def _text_token(article: str, text: str) -> int:
+    return _token("line" if article else "text", text)
 
 
 def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,9 +253,9 @@ def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Copies in a batch are one row already; a path is written out once in a batch.
     """
-    names = ["host", "token", "content", "kind", "n", "chars", "links", "around", "role"]
+    names = ["host", "token", "content", "kind", "n", "chars", "links", "around", "place", "role"]
     names += ["doubt", "path", "article"]
-    kinds = [pa.string(), *[pa.int64()] * 7, pa.int32(), pa.bool_(), pa.string(), pa.string()]
+    kinds = [pa.string(), *[pa.int64()] * 8, pa.int32(), pa.bool_(), pa.string(), pa.string()]
     for batch in batches:
         facts: dict[tuple[str, int, int], tuple] = {}
         written: set[tuple[str, int]] = set()
@@ -256,12 +264,16 @@ def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: dict[int, list] = {}
             content = xxhash.xxh64()
             around = 0
-            for path, article, apart, doubt, links, text in page_blocks(page.as_py() or ""):
-                # Kind, occurrences, characters, in links, role, in doubt, path, article.
-                fact = [PATH, 0, 0, 0, 2 if apart else 1 if article else 0, doubt, path, article]
-                tokens = [(_token("path", path), fact)]
-                if not article and not apart:
-                    tokens.append((_token("text", text), [TEXT, 0, 0, 0, 0, doubt, "", ""]))
+            for place, block in enumerate(page_blocks(page.as_py() or "")):
+                path, article, apart, doubt, links, text = block
+                # Kind, occurrences, characters, in links, first block, role, in doubt, paths.
+                role = 2 if apart else 1 if article else 0
+                tokens = [(_token("path", path), [PATH, 0, 0, 0, place, role, doubt, path, article])]
+                if not apart:
+                    kind = ARTICLE_TEXT if article else TEXT
+                    tokens.append((_text_token(article, text), [kind, 0, 0, 0, place, 0, doubt, "", ""]))
+                if article:
+                    seen[_token("page", "article")] = [ARTICLE_PAGE, 1, 0, 0, 0, 0, False, "", ""]
                 for token, fact in tokens:
                     fact = seen.setdefault(token, fact)
                     fact[1] += 1
@@ -270,16 +282,16 @@ def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not apart and links * 2 < len(text):
                     content.update(text + "\n")
                     around += len(text) - links
-            seen[_token("page", "")] = [PAGE, 1, 0, 0, 0, False, "", ""]
+            seen[_token("page", "")] = [PAGE, 1, 0, 0, 0, 0, False, "", ""]
             digest = content.intdigest() - (1 << 63)
             for token, fact in seen.items():
-                kind, n, chars, links, role, doubt, *paths = fact
+                kind, n, chars, links, place, role, doubt, *paths = fact
                 if (host, token) in written:
                     paths = [None, None]
                 written.add((host, token))
                 key = host, token, digest
                 if key not in facts:
-                    facts[key] = (kind, n, chars, links, around, role, doubt, *paths)
+                    facts[key] = (kind, n, chars, links, around, place, role, doubt, *paths)
         rows = [(*k, *v) for k, v in facts.items()]
         columns = list(zip(*rows)) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays(
@@ -314,18 +326,19 @@ def template_classes(facts: list[dict]) -> list[list[dict]]:
 
     Pages that share a class must differ elsewhere, or they are near copies and the class is
     their article: beside it and the template found so far, they hold at least OTHER_SHARE of
-    its text.  Texts in links do not count.
+    its text.  Texts in links do not count.  A class is in the order of its first occurrences.
     """
     classes: dict[tuple, list[dict]] = defaultdict(list)
     for t in facts:
-        if t["kind"] == TEXT:
+        if t["kind"] in (TEXT, ARTICLE_TEXT):
             classes[t["class"]].append(t)
     template, known = [], 0.0
     for key in sorted(classes, key=lambda c: (-c[0], c)):
         own = sum(t["chars"] - t["links"] for t in classes[key] if _plain(t)) / key[0]
         around = max(t["around"] for t in classes[key]) / key[0]
         if around - known - own >= OTHER_SHARE * own:
-            template.append(classes[key])
+            # All are on the same pages, so where one is before another on each, its sum is less.
+            template.append(sorted(classes[key], key=lambda t: (t["place"], t["token"])))
             known += own
     return template
 
@@ -341,7 +354,7 @@ def _templates(part: pd.DataFrame) -> pd.DataFrame:
         paths = [t for t in facts if t["kind"] == PATH]
         containers = main_containers([t for t in paths if t["path"]])
         aside = [t["token"] for t in paths if t["doubt"] and not _plain(t)]
-        fixed = [t["token"] for c in template_classes(facts) for t in c]
+        fixed = [[t["token"] for t in c] for c in template_classes(facts)]
         rows.append((host, containers, fixed, aside))
     return pd.DataFrame(rows, columns=["host", "main", "fixed", "aside"])
 
@@ -353,11 +366,12 @@ def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) ->
         .mapInArrow(
             _page_facts,
             "host string, token long, content long, kind long, n long, chars long, links long, "
-            "around long, role int, doubt boolean, path string, article string",
+            "around long, place long, role int, doubt boolean, path string, article string",
         )
         .groupBy("host", "token", "content")
         .agg(
             *[F.max(c).alias(c) for c in ("kind", "n", "chars", "links", "around")],
+            F.min("place").alias("place"),
             F.min("role").alias("role"),
             *[F.max(c).alias(c) for c in ("doubt", "path", "article")],
         )
@@ -368,22 +382,30 @@ def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) ->
             F.count("*").alias("pages"),
             F.sum("n").alias("total"),
             F.expr("bit_xor(xxhash64(content, n))").alias("vector"),
-            *[F.sum(c).alias(c) for c in ("chars", "links", "around")],
+            *[F.sum(c).alias(c) for c in ("chars", "links", "around", "place")],
             F.min("role").alias("role"),
             *[F.max(c).alias(c) for c in ("kind", "doubt", "path", "article")],
         )
         .filter(F.col("pages") >= least_pages)
     )
     facts = shared_table(facts, "page-tokens")
-    hosts = facts.filter(F.col("kind") == PAGE).select(
-        "host", F.col("pages").alias("host_pages")
+    counted = facts.filter(F.col("kind").isin(PAGE, ARTICLE_PAGE)).groupBy("host")
+    hosts = counted.agg(
+        F.max(F.when(F.col("kind") == PAGE, F.col("pages"))).alias("host_pages"),
+        F.max(F.when(F.col("kind") == ARTICLE_PAGE, F.col("pages"))).alias("article_pages"),
     )
-    frequent = facts.filter(F.col("kind") != PAGE).join(hosts, "host").filter(
-        F.col("pages") >= F.col("host_pages") * least_share
+    least = F.when(
+        F.col("kind") == ARTICLE_TEXT, F.col("article_pages") * ARTICLE_SHARE
+    ).otherwise(F.col("host_pages") * least_share)
+    frequent = (
+        facts.filter(~F.col("kind").isin(PAGE, ARTICLE_PAGE))
+        .join(hosts, "host")
+        .filter(F.col("pages") >= least)
+        .drop("host_pages", "article_pages")
     )
     # The tokens of a host are bounded by the length of its pages: each has a share of them.
     return frequent.groupBy("host").applyInPandas(
-        _templates, "host string, main array<string>, fixed array<long>, aside array<long>"
+        _templates, "host string, main array<string>, fixed array<array<long>>, aside array<long>"
     )
 
 
@@ -391,8 +413,33 @@ def _within(path: str, containers: list[str]) -> bool:
     return any(f"{path}/".startswith(f"{c}/") for c in containers)
 
 
+def in_order(tokens: list[int], classes: list[list[int]]) -> set[int]:
+    """Template tokens of a page: of each class, a longest run of first occurrences in its order."""
+    place = {token: (c, i) for c, members in enumerate(classes) for i, token in enumerate(members)}
+    found: dict[int, list[int]] = defaultdict(list)
+    for token in dict.fromkeys(tokens):
+        if token in place:
+            number, rank = place[token]
+            found[number].append(rank)
+    kept = set()
+    for number, ranks in found.items():
+        ends: list[int] = []
+        ends_at: list[int] = []
+        before: list[int] = []
+        for i, rank in enumerate(ranks):
+            at = bisect_left(ends, rank)
+            ends[at : at + 1] = [rank]
+            ends_at[at : at + 1] = [i]
+            before.append(ends_at[at - 1] if at else -1)
+        i = ends_at[-1]
+        while i >= 0:
+            kept.add(classes[number][ranks[i]])
+            i = before[i]
+    return kept
+
+
 def page_text(
-    page: str, main: list[str] | None, fixed: list[int] | None, aside: list[int] | None
+    page: str, main: list[str] | None, fixed: list[list[int]] | None, aside: list[int] | None
 ) -> str:
     """Article blocks of a page, joined by two line feeds.
 
@@ -416,11 +463,13 @@ def page_text(
             fact["chars"] += len(text)
             fact["links"] += links
         main = main_containers(list(facts.values()))
-    known = set(fixed or ())
+    inside = [(article, text) for path, article, *_, text in blocks if _within(path, main)]
+    if not fixed:
+        return "\n\n".join(text for _, text in inside)
+    tokens = [_text_token(article, text) for _, article, *_, text in blocks]
+    known = in_order(tokens, fixed)
     return "\n\n".join(
-        text
-        for path, article, _, _, _, text in blocks
-        if _within(path, main) and (article or not known or _token("text", text) not in known)
+        text for article, text in inside if _text_token(article, text) not in known
     )
 
 
@@ -446,7 +495,7 @@ def extract_text(
     templates = shared_table(deduce_templates(rows, least_pages, least_share), "page-templates")
     size = templates.agg(
         F.sum(
-            8 * F.size("fixed") + 8 * F.size("aside") + F.length(F.concat_ws(" ", "main")) + F.length("host") + 64
+            8 * F.size(F.flatten("fixed")) + 8 * F.size("fixed") + 8 * F.size("aside") + F.length(F.concat_ws(" ", "main")) + F.length("host") + 64
         ).alias("bytes")
     ).first()["bytes"]
     if (size or 0) <= BROADCAST_BYTES:

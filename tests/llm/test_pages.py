@@ -171,3 +171,22 @@ def test_copies_without_article_elements_keep_their_text(spark):
             rows.append((i, f"http://{host}.org/{i}", f"<body><p>By us all, as always since then</p><div class=x>{other}</div>"))
     got = {i: t for i, t, _ in text_of(spark, rows) if i < 100}
     assert len(got) == 23 and all(t.startswith(story) for t in got.values())
+
+
+def test_template_text_inside_articles(spark):
+    """A notice on all pages goes, a line on half of them, or of copies only, is content."""
+    rows = []
+    for i in range(12):
+        half = "<p>Ingredients</p>" if i % 2 else ""
+        rows.append((i, f"http://h.org/{i}", f"<article><h1>Title {i}</h1>{half}<p>Words that only number {i} has</p><div class=box><p>Subscribe now</p></div></article>"))
+    copy = "<article><p>One story, the same on all pages</p><p>Its end</p></article>"
+    rows += [(i, f"http://c.org/{i}", f"{copy}<p>{i}</p>") for i in range(20, 26)]
+    got = {i: t for i, t, _ in text_of(spark, rows)}
+    for i in range(12):
+        half = "Ingredients\n\n" if i % 2 else ""
+        assert got[i] == f"Title {i}\n\n{half}Words that only number {i} has"
+    assert all(got[i] == "One story, the same on all pages\n\nIts end" for i in range(20, 26))
+
+
+def test_classes_keep_their_order():
+    assert html_template.in_order([5, 1, 9, 2, 3, 2], [[1, 2, 3], [9, 5]]) == {1, 2, 3, 9}
