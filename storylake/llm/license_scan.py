@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -34,7 +35,8 @@ NOTICES = (
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files, to deal in the Software without restriction",
+        'software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction",
     ),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -93,6 +95,7 @@ class Template:
     number: int
     license: str
     shingles: frozenset
+    places: dict[tuple[bytes, ...], list[int]]
     n_words: int
 
 
@@ -111,19 +114,26 @@ def _band_values(hashes: np.ndarray, seed: np.uint64) -> np.ndarray:
     return (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def build_index(notices: Sequence[tuple[str, str]], miss: float = MISS) -> TemplateIndex:
-    """Index of templates of at least SHINGLE + 1 words."""
+def build_index(
+    notices: Sequence[tuple[str, str]], miss: float = MISS, containment: float = 1.0
+) -> TemplateIndex:
+    """Index of templates of at least SHINGLE + 1 words, for windows of that containment."""
     templates = []
     for number, (name, text) in enumerate(notices):
         words = words_of(text)
         if len(words) <= SHINGLE:
             raise ValueError(f"notice {number} has fewer than {SHINGLE + 1} words")
-        templates.append(Template(number, name, frozenset(shingles_of(words)), len(words)))
+        places: dict[tuple[bytes, ...], list[int]] = {}
+        for i in range(len(words) - SHINGLE + 1):
+            places.setdefault(tuple(words[i : i + SHINGLE]), []).append(i)
+        templates.append(Template(number, name, frozenset(places), places, len(words)))
     bands: dict[int, int] = {}
     for t in templates:
         block = _block_length(t.n_words)
-        # A window has the shingles that begin in three blocks, all the template's among them.
-        least = len(t.shingles) / (3 * block)
+        # A window has the shingles that begin in three blocks, that share of the template's
+        # among them.
+        lost = math.floor((1 - containment) * (t.n_words - SHINGLE + 1))
+        least = max(1, len(t.shingles) - lost) / (3 * block)
         need = math.ceil(math.log(miss) / math.log(1 - min(least, 0.999)))
         bands[block] = max(bands.get(block, 1), need)
     seeds = mix(np.arange(1, max(bands.values(), default=1) + 1, dtype=np.uint64) * np.uint64(977))
@@ -197,6 +207,27 @@ def _candidates(words: np.ndarray, rows: np.ndarray, index: TemplateIndex) -> se
     return hits
 
 
+def _alignment(window: Sequence[bytes], template: Template) -> tuple[float, int, int]:
+    """Share of a template's shingles that stand in a window in order, words and place of the run.
+
+    No word counts for two places of the template, so shingles that overlap there overlap in the
+    window too, and others follow each other; of equal shares the shortest run, then the earliest.
+    """
+    # Shingles and first word of the best chain by its last shingle.
+    chains: dict[tuple[int, int], tuple[int, int]] = {}
+    best = (0, 0, 0)
+    for i in range(len(window) - SHINGLE + 1):
+        for j in template.places.get(tuple(window[i : i + SHINGLE]), ()):
+            # The latest beginning gives the shortest run.
+            before = chains.get((i - 1, j - 1), (0, i))
+            for (i2, j2), chain in chains.items():
+                if i2 <= i - SHINGLE and j2 <= j - SHINGLE and chain > before:
+                    before = chain
+            chains[i, j] = (before[0] + 1, before[1])
+            best = max(best, (before[0] + 1, before[1] - i - SHINGLE, -before[1]))
+    return best[0] / (template.n_words - SHINGLE + 1), -best[1], -best[2]
+
+
 def scan_licenses(
     docs: DataFrame,
     notices: Sequence[tuple[str, str]] = NOTICES,
@@ -204,16 +235,19 @@ def scan_licenses(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per input row and notice found in it: id, notice, license, containment, first_word.
-
-    ``containment`` is the share of the notice's distinct word shingles that stand in a run of
-    as many words as the notice has; the best run of the windows found counts, the earliest of
-    equals, and ``first_word`` is its place.  A whole notice is found but for a chance of MISS
-    (which the bands set), a partial one with a lower chance.  Rows without a notice (null and empty texts too) give none; null ids and repeated rows are
-    scanned like others; further columns are ignored.  Map-only; the templates, whose number
-    is that of ``notices``, travel as a broadcast variable.
+    """One row per input row and notice found in it: id, notice, license, containment, first_word,
+    n_words.
+
+    ``containment`` is the share of the notice's word shingles that stand in a window in their
+    order; words inserted in a notice break only the shingles they part.  The best window found
+    counts; ``first_word`` and ``n_words`` are place and length of the shortest run of it with
+    that share, the earliest of equals.  A window of that containment is found but for a chance of
+    MISS (which the bands set); a run of more words than the power of two that holds the notice
+    may lie in no window whole.  Rows without a notice (null and empty texts too) give none;
+    null ids and repeated rows are scanned like others; further columns are ignored.  Map-only;
+    the templates, whose number is that of ``notices``, travel as a broadcast variable.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(build_index(notices))
+    shared = docs.sparkSession.sparkContext.broadcast(build_index(notices, containment=containment))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -225,7 +259,7 @@ def scan_licenses(
                 if not hits:
                     continue
                 spans = word_spans(data, ends, _GAPS)
-                best: dict[tuple[int, int], tuple[float, int]] = {}
+                best: dict[tuple[int, int], tuple[float, int, int]] = {}
                 for row, at, number in sorted(hits):
                     template = index.templates[number]
                     first = int(np.searchsorted(rows, row)) + at
@@ -233,13 +267,13 @@ def scan_licenses(
                     window = [
                         data[spans[0][i] : spans[1][i]].tobytes().lower() for i in range(first, stop)
                     ]
-                    for skip in range(max(1, len(window) - template.n_words + 1)):
-                        span = shingles_of(window[skip : skip + template.n_words])
-                        share = len(template.shingles & span) / len(template.shingles)
-                        if share >= containment and share > best.get((row, number), (0.0, 0))[0]:
-                            best[row, number] = (share, at + skip)
-                out += [(start + row, n, share, at) for (row, n), (share, at) in best.items()]
-            rows_, numbers, shares, firsts = zip(*out) if out else ((), (), (), ())
+                    share, span, skip = _alignment(window, template)
+                    # Most contained first, then the shortest, then the earliest.
+                    rank = (-share, span, at + skip)
+                    if share >= containment and rank < best.get((row, number), (0.0, 0, 0)):
+                        best[row, number] = rank
+                out += [(start + row, n, -rank[0], *rank[1:]) for (row, n), rank in best.items()]
+            rows_, numbers, shares, spans_, firsts = zip(*out) if out else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["id"].take(pa.array(rows_, pa.int64())),
@@ -247,13 +281,15 @@ def scan_licenses(
                     pa.array([index.templates[n].license for n in numbers], pa.string()),
                     pa.array(shares, pa.float64()),
                     pa.array(firsts, pa.int64()),
+                    pa.array(spans_, pa.int64()),
                 ],
-                ["id", "notice", "license", "containment", "first_word"],
+                ["id", "notice", "license", "containment", "first_word", "n_words"],
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(
-        run, f"id {kind}, notice int, license string, containment double, first_word long"
+        run,
+        f"id {kind}, notice int, license string, containment double, first_word long, n_words long",
     )
     return found.withColumnRenamed("id", id_col)

@@ -162,3 +162,23 @@ def test_no_texts_to_scan(spark):
     assert license_scan.scan_licenses(docs).count() == 0
     with pytest.raises(ValueError, match="words"):
         license_scan.build_index([("X", "too short")])
+
+
+def test_inserted_words_break_only_their_shingles(spark):
+    """At the default containment: the real MIT text, and a notice with one and with many words more."""
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        'associated documentation files (the "Software"), to deal in the Software without restriction'
+    )
+    short = mit.replace('(the "Software")', "").replace(" ,", ",")
+    notices = (("MIT", short),)
+    docs = spark.createDataFrame(
+        [(1, f"before it {mit}, including"), (2, short.replace("charge", "charge x y z v w")),
+         (3, short.replace("charge", "a b").replace("copy", "c"))], "doc_id long, text string"
+    )
+    wanted = len(license_scan.shingles_of(license_scan.words_of(short)))
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(docs, notices).collect()}
+    assert {i: r["containment"] for i, r in got.items()} == {1: (wanted - 2) / wanted, 2: (wanted - 2) / wanted}
+    assert (got[1]["first_word"], got[1]["n_words"]) == (2, len(license_scan.words_of(mit)))
+    exact = license_scan.scan_licenses(docs).filter("doc_id = 1").collect()
+    assert [(r["license"], r["containment"]) for r in exact] == [("MIT", 1.0)]
