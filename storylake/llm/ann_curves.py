@@ -200,7 +200,7 @@ def nearest(
     order = W.partitionBy("mark", "vector").orderBy("id")
     least = (
         sound.select("mark", "vector", "id")
-        .withColumn("place", F.rank().over(order))
+        .withColumn("place", F.dense_rank().over(order))
         .filter(F.col("place") <= k + 1)
         .distinct()
     )

@@ -182,3 +182,9 @@ def test_inserted_words_break_only_their_shingles(spark):
     assert (got[1]["first_word"], got[1]["n_words"]) == (2, len(license_scan.words_of(mit)))
     exact = license_scan.scan_licenses(docs).filter("doc_id = 1").collect()
     assert [(r["license"], r["containment"]) for r in exact] == [("MIT", 1.0)]
+
+
+def test_repeated_rows_do_not_use_up_members(spark):
+    rows = [(1, [1.0, 0.5] * 4)] * 21 + [(i, [1.0, 0.5] * 4) for i in range(2, 9)] + [(0, [0.5, 1.0] * 4)]
+    got = ann_curves.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") == 0, k=5).collect()
+    assert sorted((r["rank"], r["vec_id"]) for r in got) == [(i, i) for i in range(1, 6)]
