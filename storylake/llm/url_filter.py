@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 
 from storylake.llm.support import components
 
+#: Signs of urls and refresh contents that markup may name; & is last, as it begins the others.
+REFERENCES = {
+    '"': "quot", "'": "apos", "/": "sol", ":": "colon", "?": "quest", "=": "equals", ";": "semi",
+    "#": "num", "%": "percnt", "+": "plus", ",": "comma", ".": "period", "&": "(?:amp|AMP)",
+}
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -76,10 +82,19 @@ def url_node(url: Column) -> Column:
     return F.when(host != "", F.concat(host, rest))
 
 
+def decoded(text: Column) -> Column:
+    """``text`` with the character references of REFERENCES decoded, each once."""
+    for sign, name in REFERENCES.items():
+        forms = rf"(?i:&#0*{ord(sign)};|&#x0*{ord(sign):x};)|&{name};"
+        text = F.regexp_replace(text, forms, sign)
+    return text
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Edges (a, b) from pages to their canonical and refresh targets, as nodes.
 
-    Relative targets are resolved against the page; comments and scripts are no markup.
+    Relative targets are resolved against the page, after their character references; comments
+    and scripts are no markup.
     """
     bare = F.regexp_replace(
         F.col(html_col), r"(?is)<!--.*?-->|<script\b[^>]*+>.*?</script\s*+>", " "
@@ -92,12 +107,12 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
     canonical = F.transform(
         F.filter(tags, lambda t: F.lower(attribute(t, "rel")).rlike(r"(^|\s)canonical(\s|$)")),
-        lambda t: attribute(t, "href"),
+        lambda t: decoded(attribute(t, "href")),
     )
     refresh = F.transform(
         F.filter(tags, lambda t: F.lower(attribute(t, "http-equiv")) == "refresh"),
         lambda t: F.regexp_extract(
-            attribute(t, "content"), r"(?i)^[\s\d.]*[;,]\s*(?:url\s*=)?\s*['\"]?([^'\"]*)", 1
+            decoded(attribute(t, "content")), r"(?i)^[\s\d.]*[;,]\s*(?:url\s*=)?\s*['\"]?([^'\"]*)", 1
         ),
     )
     linking = pages.filter(F.col(html_col).rlike(r"(?i)\b(canonical|refresh)\b"))

@@ -190,3 +190,17 @@ def test_template_text_inside_articles(spark):
 
 def test_classes_keep_their_order():
     assert html_template.in_order([5, 1, 9, 2, 3, 2], [[1, 2, 3], [9, 5]]) == {1, 2, 3, 9}
+
+
+@pytest.mark.parametrize("sign", ["&amp;", "&#38;", "&#x26;", "&#038;"])
+def test_character_references_in_targets(spark, sign):
+    rows = [
+        ("http://a.net/fr/1", link(f"http://b.org/?a=1{sign}b=2")),  # blocked by a rule
+        ("http://b.org/?a=1&b=2", ""),
+        ("http://c.net/fr/2", f"<meta http-equiv=refresh content='0; url=&quot;http:&#47;&#x2F;d.org/?a=1{sign}b=2&#34;'>"),
+        ("http://d.org/?a=1&b=2", ""),
+        ("http://e.net/fr/3", link(f"http://f.org/?a=1{sign}amp;b=2")),  # decoded once
+        ("http://f.org/?a=1&b=2", ""),
+    ]
+    got = judged(spark, rows)
+    assert [got[i]["via"] for i in range(6)] == ["rule", "alias", "rule", "alias", "rule", "default"]
