@@ -324,7 +324,8 @@ def mine(
     spark = table.sparkSession
     prepared = _vectors(table, id_col, vec_col, label_col, scale)
     rows = shared_table(
-        prepared.repartitionByRange(F.desc("length")).sortWithinPartitions(F.desc("length")), "mined-vectors"
+        prepared.repartitionByRange(F.desc("length"), F.xxhash64("id")).sortWithinPartitions(F.desc("length")),
+        "mined-vectors",
     )
     if (rows.agg(F.max("length")).first()[0] or 0) >= 3e9:
         raise ValueError("scores of these vectors do not fit 64 bits")

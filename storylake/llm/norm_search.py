@@ -247,7 +247,10 @@ def _block_search(spark, vectors: DataFrame, totals, asked: list[np.ndarray], vo
     weight = np.floor(1000 * np.log((2.0 * documents + 2) / (2.0 * df + 1))).astype(np.int64)
     queries = Queries.build(asked, weight)
     ordered = shared_table(
-        _impacts(vectors, documents, max(terms, 1)).repartitionByRange(F.desc("length")).sortWithinPartitions(F.desc("length")),
+        _impacts(vectors, documents, max(terms, 1))
+        # Vectors of one length are spread as well.
+        .repartitionByRange(F.desc("length"), F.xxhash64("id"))
+        .sortWithinPartitions(F.desc("length")),
         "search-impacts",
     )
     schema = "query int, id long, score long"
