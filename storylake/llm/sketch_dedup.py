@@ -165,7 +165,8 @@ def _buckets(classes: DataFrame) -> DataFrame:
     """(band, key, n) of the buckets with several classes."""
     dealt = classes.select(F.explode("bands").alias("band"), "key", "n")
     several = dealt.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    return shared_table(dealt.join(several.select("band"), "band"), "sketch-buckets")
+    # Shuffled at every size: the buckets grow with the table.
+    return shared_table(dealt.join(several.select("band").hint("merge"), "band"), "sketch-buckets")
 
 
 def _blocks(canopies: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
@@ -188,11 +189,12 @@ def _across_blocks(buckets: DataFrame, sets: DataFrame, reached: DataFrame, perc
     whole = reached.select(F.col("node").alias("key"), F.col("root").alias("comp"))
     inside = buckets.join(whole, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     shares = inside.groupBy("band", "comp").agg(F.count("*").alias("members"))
-    mixed = (
+    mixed = shared_table(
         shares.groupBy("band")
         .agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("members", "comp")).alias("major"))
         .filter("comps > 1")
-        .select("band", "major")
+        .select("band", "major"),
+        "sketch-majors",
     )
     inside = shared_table(inside.join(mixed, "band"), "sketch-mixed")
     minor, other = (
@@ -222,7 +224,8 @@ def _across_blocks(buckets: DataFrame, sets: DataFrame, reached: DataFrame, perc
 def _linked(docs: DataFrame, classes: DataFrame, k: int, percent: int, block: int) -> DataFrame:
     """Edges (a, b) that connect the linked classes."""
     buckets = _buckets(classes)
-    least = buckets.groupBy("band").agg(F.min("key").alias("b"))
+    # Written first, so that the join can split a bucket of many classes.
+    least = shared_table(buckets.groupBy("band").agg(F.min("key").alias("b")), "sketch-least")
     stars = buckets.join(least, "band").select(F.col("key").alias("a"), "b").distinct()
     canopies = components(stars).join(
         classes.select(F.col("key").alias("node"), "n", "place"), "node"
@@ -232,7 +235,7 @@ def _linked(docs: DataFrame, classes: DataFrame, k: int, percent: int, block: in
     asked = canopies.select("place", F.col("key").alias("sign"))
     sets = shared_table(
         docs.select("place", "text")
-        .join(asked, "place")
+        .join(asked.hint("merge"), "place")
         .withColumn("digest", F.md5("text"))
         .dropDuplicates(["place", "sign", "digest"])
         .select("sign", "text")
