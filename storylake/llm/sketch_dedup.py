@@ -8,7 +8,7 @@ non-empty set is filled; two sets agree in a coordinate with the probability of
 similarity, and the agreeing share is as concentrated as with independent hashes.
 
 1. One pass over the texts gives each row the size, a 128-bit signature and the bands of its set.
-   Rows with one set are one class, which its signature names; only classes go on.
+   Rows with one set are one class, told by its signature; only classes go on, by number.
 2. Classes that agree in all coordinates of a band share a bucket.  The number of bands is set for
    a miss of at most ``miss`` at the threshold.  Buckets that overlap form canopies.
 3. Canopies are compared on whole sets, in blocks; a canopy of several blocks is dealt into
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,16 +138,11 @@ def _sets(k: int):
                 sets = pa.ListArray.from_arrays(
                     pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64))
                 )
-                signs = _signs(hashes, bounds)
                 part = batch.slice(row, len(ends) - 1)
-                right = pa.array(
-                    [a == b for a, b in zip(part["sign"].to_pylist(), signs.to_pylist(), strict=True)],
-                    pa.bool_(),
-                )
                 found = pa.RecordBatch.from_arrays(
-                    [signs, pa.array(np.diff(bounds)), sets], ["key", "n", "tokens"]
+                    [part["key"], pa.array(np.diff(bounds)), sets], ["key", "n", "tokens"]
                 )
-                yield found.filter(right)
+                yield found.filter(pc.equal(part["sign"], _signs(hashes, bounds)))
 
     return run
 
@@ -156,7 +152,9 @@ def _compare_blocks(percent: int):
         block = block.sort_values("key")
         keys = block["key"].to_numpy()
         links = list(block_links([np.asarray(t) for t in block["tokens"]], percent))
-        return pd.DataFrame({"a": [keys[i] for i, _ in links], "b": [keys[j] for _, j in links]})
+        return pd.DataFrame(
+            {"a": [keys[i] for i, _ in links], "b": [keys[j] for _, j in links]}, dtype="int64"
+        )
 
     return run
 
@@ -201,12 +199,14 @@ def _across_blocks(buckets: DataFrame, sets: DataFrame, reached: DataFrame, perc
         part.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "comp")])
         for s, part in (("x", inside.filter("comp <> major")), ("y", inside))
     )
-    pairs = (
+    # Few, as a rule: with their number known, whole sets need not be moved for them.
+    pairs = shared_table(
         minor.join(other, "band")
         .filter("comp_x <> comp_y")
         .filter(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
         .select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b"))
-        .distinct()
+        .distinct(),
+        "sketch-pairs",
     )
     ours, theirs = (
         sets.select(F.col("key").alias(s), F.col("tokens").alias(f"set_{s}"), F.col("n").alias(f"n_{s}"))
@@ -228,18 +228,18 @@ def _linked(docs: DataFrame, classes: DataFrame, k: int, percent: int, block: in
     least = shared_table(buckets.groupBy("band").agg(F.min("key").alias("b")), "sketch-least")
     stars = buckets.join(least, "band").select(F.col("key").alias("a"), "b").distinct()
     canopies = components(stars).join(
-        classes.select(F.col("key").alias("node"), "n", "place"), "node"
+        classes.select(F.col("key").alias("node"), "n", "place", "sign"), "node"
     ).withColumnRenamed("node", "key")
     canopies = shared_table(canopies, "sketch-canopies")
     # Rows may clash in their place; only a set of the asked signature is taken.
-    asked = canopies.select("place", F.col("key").alias("sign"))
+    asked = canopies.select("place", "key", "sign")
     sets = shared_table(
         docs.select("place", "text")
         .join(asked.hint("merge"), "place")
         .withColumn("digest", F.md5("text"))
-        .dropDuplicates(["place", "sign", "digest"])
-        .select("sign", "text")
-        .mapInArrow(releasing(_sets(k)), "key binary, n long, tokens array<long>")
+        .dropDuplicates(["place", "key", "digest"])
+        .select("key", "sign", "text")
+        .mapInArrow(releasing(_sets(k)), "key long, n long, tokens array<long>")
         .dropDuplicates(["key"]),
         "sketch-sets",
     )
@@ -247,7 +247,7 @@ def _linked(docs: DataFrame, classes: DataFrame, k: int, percent: int, block: in
     edges = shared_table(
         placed.join(sets.select("key", "tokens"), "key")
         .groupBy("root", "pass", "block")
-        .applyInPandas(_compare_blocks(percent), "a binary, b binary"),
+        .applyInPandas(_compare_blocks(percent), "a long, b long"),
         "sketch-links",
     )
     large = canopies.join(size.filter("blocks > 1"), "root").select("key")
@@ -278,22 +278,24 @@ def _classified(docs, id_col, text_col, k, percent, rows, miss, block) -> DataFr
         ),
         "sketch-heads",
     )
+    # Numbers of classes are short, unique, and fixed by being written.
     classes = shared_table(
         heads.filter("n > 0")
-        .groupBy(F.col("sign").alias("key"))
+        .groupBy("sign")
         .agg(
             F.min("id").alias("least_id"),
             F.min("place").alias("place"),
             F.min("n").alias("n"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .withColumn("key", F.monotonically_increasing_id()),
         "sketch-classes",
     )
     reached = components(_linked(source, classes, k, percent, block))
-    named = classes.select("key", "least_id").join(reached, F.col("key") == F.col("node"), "left")
+    named = classes.select("key", "sign", "least_id").join(reached, F.col("key") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "key"))
     roots = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    links = named.join(roots, "root").select(F.col("key").alias("sign"), "component_id")
+    links = named.join(roots, "root").select("sign", "component_id")
     return heads.select("id", "place", "n", "sign").join(links, "sign", "left").select(
         "id", "place", "n",
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
