@@ -1,25 +1,22 @@
 """Keyword extraction with the statistical term features of Campos et al. (2020).
 
-All features are local to an article, so an article is scored in one Arrow-batched call on its
-sentences, and everything else is a column expression on the scored candidates.  The work is
-heavy for its bytes, so articles are dealt out once, which is the only shuffle: no join, no
-aggregation and no exploded token rows, at any size.
+All features are local to an article, so articles are placed once and everything that follows
+keeps that placement: the words of all sentences become rows, are combined per article and term,
+get the term's score, and go back into their sentences, where n-grams are formed from scored
+words.  No row carries more than its own occurrence, no word is looked up in a list, and the text
+moves in one exchange.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter, defaultdict
 from collections.abc import Mapping, Sequence
-from statistics import median
 
-import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storylake.constants import STOPWORDS
-from storylake.functions.text import TOKEN, sentences
+from storylake.functions.text import TOKEN, is_stopword, sentences
 from storylake.operators.skew import place_by_article
 from storylake.schema import ROW_KEY, require_columns
 
@@ -32,131 +29,151 @@ RANK_DIGITS = 12
 
 Stopwords = Mapping[str, Sequence[str]]
 
-_TOKEN = regex.compile(TOKEN)
-_LETTER = regex.compile(r"\p{L}")
-_CAPITAL = regex.compile(r"\p{Lu}")
 
+def _occurrences(df: DataFrame, text_column: str, language_column: str) -> DataFrame:
+    """One row per word: its sentence, its position there, itself and its neighbours.
+
+    Articles and sentences without words have a row of nulls, so that no article is lost.
+    """
+    parted = place_by_article(df).select(
+        ROW_KEY,
+        F.col(language_column).alias("_language"),
+        sentences(F.col(text_column)).alias("_parts"),
+    )
+    parted = parted.select(
+        ROW_KEY, "_language", F.size("_parts").alias("_total"), F.posexplode_outer("_parts").alias("_place", "_part")
+    )
+    words = F.regexp_extract_all("_part", F.lit(TOKEN), F.lit(0))
+    # Neighbours are taken here, so that no row carries the rest of its sentence.
+    beside = F.transform(
+        words,
+        lambda word, at: F.struct(
+            word.alias("word"),
+            F.get("_words", at - 1).alias("left"),
+            F.get("_words", at + 1).alias("right"),
+        ),
+    )
+    return (
+        parted.withColumn("_words", words)
+        .select(ROW_KEY, "_language", "_total", "_place", F.posexplode_outer(beside).alias("_at", "_w"))
+        .select(
+            ROW_KEY, "_language", "_total", "_place", "_at", "_w.word", "_w.left", "_w.right",
+            F.lower("_w.word").alias("term"),
+            # A place in the article as one number: the sentence, then the word.
+            (F.col("_place").cast("long") * _PLACES + F.col("_at")).alias("_seen"),
+        )
+    )
 
-class _Term:
-    """Counts of one term in one article."""
 
-    __slots__ = ("acronyms", "capitals", "left", "places", "right", "tf")
+#: More than the words of any sentence.
+_PLACES = 1 << 32
 
-    def __init__(self):
-        self.tf = self.acronyms = self.capitals = 0
-        self.places: list[int] = []
-        self.left: Counter = Counter()
-        self.right: Counter = Counter()
 
+def _neighbours(side: str) -> tuple[Column, Column]:
+    """Number of a term's neighbours on one side, and the different ones (by 64-bit hashes)."""
+    hashed = F.when(F.col(side).isNotNull(), F.xxhash64(F.lower(F.col(side))))
+    return F.count(side).alias(f"{side}_all"), F.collect_set(hashed).alias(side)
 
-def _variety(neighbours: Counter) -> float:
+
+def _variety(side: str) -> Column:
     """Distinct neighbours as a share of all neighbours on one side."""
-    return len(neighbours) / neighbours.total() if neighbours else 0.0
+    return F.coalesce(F.size(side) / F.nullif(F.col(f"{side}_all"), F.lit(0)), F.lit(0.0))
 
 
-def article_terms(
-    words: Sequence[Sequence[str]], stop: frozenset[str]
-) -> dict[str, tuple[int, bool, float]]:
-    """(count, is a function word, score) of every term; a low score marks an important one.
+def _median(ordered: Column) -> Column:
+    n = F.size(ordered)
+    return (
+        F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))
+    ) / 2
 
-    ``words``: the words of each sentence as written.
-    """
-    terms: dict[str, _Term] = defaultdict(_Term)
-    for place, sentence in enumerate(words):
-        lower = [word.lower() for word in sentence]
-        for at, (word, name) in enumerate(zip(sentence, lower)):
-            term = terms[name]
-            term.tf += 1
-            term.places.append(place)
-            if len(word) > 1 and word == word.upper() and _LETTER.search(word):
-                term.acronyms += 1
-            if at:
-                term.left[lower[at - 1]] += 1
-                if _CAPITAL.match(word):
-                    term.capitals += 1
-            if at + 1 < len(lower):
-                term.right[lower[at + 1]] += 1
-    content = [term.tf for name, term in terms.items() if name not in stop]
-    mean = sum(content) / len(content) if content else math.nan
-    variance = sum(n * n for n in content) / len(content) - mean * mean if content else math.nan
-    level = mean + math.sqrt(max(variance, 0.0)) if content else math.nan
-    most = max((term.tf for term in terms.values()), default=1)
-    scores = {}
-    for name, term in terms.items():
-        related = 1 + (_variety(term.left) + _variety(term.right)) * term.tf / most
-        case = max(term.acronyms, term.capitals) / (1 + math.log(term.tf))
-        position = math.log(math.log(3 + median(term.places)))
-        norm = term.tf / level if content else 0.0
-        spread = len(set(term.places)) / len(words)
-        score = related * position / (case + norm / related + spread / related)
-        scores[name] = (term.tf, name in stop, score)
-    return scores
-
-
-def article_candidates(
-    words: Sequence[Sequence[str]], stop: frozenset[str], ngram_max: int
-) -> list[tuple[str, int, float]]:
-    """(keyword, count, score): n-grams of a sentence with a content word at both ends."""
-    terms = article_terms(words, stop)
-    lettered = {name: bool(_LETTER.search(name)) for name in terms}
-    counts: Counter = Counter()
-    for sentence in words:
-        lower = [word.lower() for word in sentence]
-        good = [lettered[name] for name in lower]
-        content = [ok and name not in stop for ok, name in zip(good, lower)]
-        for at, starts in enumerate(content):
-            if not starts:
-                continue
-            for end in range(at, min(at + ngram_max, len(lower))):
-                if not good[end]:
-                    break
-                if content[end]:
-                    counts[tuple(lower[at : end + 1])] += 1
-    out = []
-    for names, n in counts.items():
-        scores = [terms[name][2] for name in names]
-        out.append((" ".join(names), n, math.prod(scores) / (n * (1 + sum(scores)))))
-    return out
-
-
-_TERMS = "array<struct<term:string,tf:long,is_stop:boolean,term_score:double>>"
-_CANDIDATES = "array<struct<keyword:string,kf:long,score:double>>"
-
-
-def _scored(text: Column, language: Column, shape: str, score, stopwords: Stopwords) -> Column:
-    """Call ``score(words, stop)`` on every article; null and blank texts give no entries."""
-    stops = {code: frozenset(words) for code, words in stopwords.items()}
-
-    def run(texts: pd.Series, languages: pd.Series) -> pd.Series:
-        rows = []
-        for parts, code in zip(texts, languages):
-            words = [_TOKEN.findall(part) for part in ([] if parts is None else parts)]
-            rows.append(score(words, stops.get(code, frozenset())))
-        return pd.Series(rows, dtype=object)
-
-    run.__annotations__ = {"texts": pd.Series, "languages": pd.Series, "return": pd.Series}
-    return F.pandas_udf(run, shape)(sentences(text), language)
+
+def _scored_terms(
+    df: DataFrame, text_column: str, language_column: str, stopwords: Stopwords
+) -> DataFrame:
+    """One row per article and term: tf, is_stop, term_score, and where it stands (``seen``)."""
+    word = F.col("word")
+    cased = (F.length(word) > 1) & (word == F.upper(word)) & word.rlike(r"\p{L}")
+    terms = (
+        _occurrences(df, text_column, language_column)
+        .groupBy(ROW_KEY, "term")
+        .agg(
+            F.count("*").alias("tf"),
+            F.count_if(cased).alias("acronyms"),
+            F.count_if((F.col("_at") > 0) & word.rlike(r"^\p{Lu}")).alias("capitals"),
+            F.max("_total").alias("total"),
+            F.max("_language").alias("language"),
+            *_neighbours("left"),
+            *_neighbours("right"),
+            F.sort_array(F.collect_list("_seen")).cast("array<bigint>").alias("seen"),
+        )
+        .withColumn("places", F.transform("seen", lambda s: F.floor(s / _PLACES)))
+        .withColumn("is_stop", is_stopword(F.col("term"), F.col("language"), stopwords))
+    )
+    article = W.partitionBy(ROW_KEY)
+    is_word = F.col("term").isNotNull()
+    content = F.when(is_word & ~F.col("is_stop"), F.col("tf"))
+    terms = terms.withColumns(
+        {
+            "most": F.max(F.when(is_word, F.col("tf"))).over(article),
+            "mean": F.avg(content).over(article),
+            "square": F.avg(content * content).over(article),
+        }
+    )
+    level = F.col("mean") + F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    terms = terms.select(
+        "*",
+        (1 + (_variety("left") + _variety("right")) * F.col("tf") / F.col("most"))
+        .alias("related"),
+        F.log(F.log(3 + _median(F.col("places")))).alias("position"),
+        (F.greatest("acronyms", "capitals") / (1 + F.log("tf"))).alias("case"),
+        F.coalesce(F.col("tf") / level, F.lit(0.0)).alias("norm"),
+        (F.size(F.array_distinct("places")) / F.nullif(F.col("total"), F.lit(0))).alias("spread"),
+    )
+    score = F.expr("related * position / (case + norm / related + spread / related)")
+    return terms.select(ROW_KEY, "term", "tf", "is_stop", score.alias("term_score"), "seen")
+
+
+def _grams(ngram_max: int) -> Column:
+    """n-grams that start at a scored word and have content words at both ends; else nulls."""
+    names, product, total, whole = F.col("term"), F.col("score"), F.col("score"), F.col("content")
+    sentence = W.partitionBy(ROW_KEY, "place").orderBy("seen")
+    following = F.struct("term", "score", "lettered", "content")
+    found = [F.when(whole, F.struct(names.alias("keyword"), product.alias("product"), total.alias("total")))]
+    for i in range(1, ngram_max):
+        # Null where the sentence ends earlier.
+        word = F.lead(following, i).over(sentence)
+        names = F.concat(names, F.lit(" "), word["term"])
+        product, total, whole = product * word["score"], total + word["score"], whole & word["lettered"]
+        gram = F.struct(names.alias("keyword"), product.alias("product"), total.alias("total"))
+        found.append(F.when(whole & word["content"], gram))
+    return F.array(*found)
 
 
 def _candidates(
-    text_column: str, language_column: str, ngram_max: int, stopwords: Stopwords
-) -> Column:
-    """Candidates of an article with rounded scores."""
-
-    def score(words, stop):
-        return [
-            {"keyword": k, "kf": n, "score": s}
-            for k, n, s in article_candidates(words, stop, ngram_max)
-        ]
-
-    found = _scored(F.col(text_column), F.col(language_column), _CANDIDATES, score, stopwords)
-    return F.transform(
-        found,
-        lambda c: F.struct(
-            F.round(c["score"], RANK_DIGITS).alias("score"),
-            c["keyword"].alias("keyword"),
-            c["kf"].alias("kf"),
-        ),
+    df: DataFrame, ngram_max: int, text_column: str, language_column: str, stopwords: Stopwords
+) -> DataFrame:
+    """``ingest_seq, keyword, kf, score`` with rounded scores, and one null keyword for some articles."""
+    lettered = F.col("term").rlike(r"\p{L}")
+    words = (
+        _scored_terms(df, text_column, language_column, stopwords)
+        .select(
+            ROW_KEY,
+            F.col("term_score").alias("score"),
+            "term",
+            lettered.alias("lettered"),
+            (lettered & ~F.col("is_stop")).alias("content"),
+            F.explode_outer("seen").alias("seen"),
+        )
+        .withColumn("place", F.floor(F.col("seen") / _PLACES))
+    )
+    score = F.col("product") / (F.col("kf") * (1 + F.col("total")))
+    return (
+        words.select(ROW_KEY, _grams(ngram_max).alias("grams"))
+        .select(ROW_KEY, F.explode("grams").alias("gram"))
+        .groupBy(ROW_KEY, "gram.keyword")
+        # The words of a keyword fix its product and sum.
+        .agg(F.count("*").alias("kf"), F.min("gram.product").alias("product"), F.min("gram.total").alias("total"))
+        .select(ROW_KEY, "keyword", "kf", F.round(score, RANK_DIGITS).alias("score"))
     )
 
 
@@ -166,17 +183,10 @@ def term_scores(
     language_column: str = "language",
     stopwords: Stopwords = STOPWORDS,
 ) -> DataFrame:
-    """``ingest_seq, term, tf, is_stop, term_score`` of every article."""
+    """``ingest_seq, term, tf, is_stop, term_score`` of every article; a low score marks an important term."""
     require_columns(df, ROW_KEY, text_column, language_column)
-
-    def score(words, stop):
-        return [
-            {"term": t, "tf": n, "is_stop": s, "term_score": x}
-            for t, (n, s, x) in article_terms(words, stop).items()
-        ]
-
-    found = _scored(F.col(text_column), F.col(language_column), _TERMS, score, stopwords)
-    return place_by_article(df).select(ROW_KEY, F.inline(found))
+    scored = _scored_terms(df, text_column, language_column, stopwords)
+    return scored.filter(F.col("term").isNotNull()).drop("seen")
 
 
 def keyword_scores(
@@ -188,8 +198,14 @@ def keyword_scores(
 ) -> DataFrame:
     """``ingest_seq, keyword, kf, score`` of every candidate; lower scores are better."""
     require_columns(df, ROW_KEY, text_column, language_column)
-    found = _candidates(text_column, language_column, ngram_max, stopwords)
-    return place_by_article(df).select(ROW_KEY, F.inline(found)).select(ROW_KEY, "keyword", "kf", "score")
+    found = _candidates(df, ngram_max, text_column, language_column, stopwords)
+    return found.filter(F.col("keyword").isNotNull())
+
+
+def _ordered(candidates: DataFrame) -> DataFrame:
+    """``ingest_seq, found``: the candidates of every article, best first."""
+    real = F.when(F.col("keyword").isNotNull(), F.struct("score", "keyword"))
+    return candidates.groupBy(ROW_KEY).agg(F.sort_array(F.collect_list(real)).alias("found"))
 
 
 def top_keywords(
@@ -202,9 +218,9 @@ def top_keywords(
 ) -> DataFrame:
     """``ingest_seq, rank, keyword, score``: the best candidates, near-duplicates included."""
     require_columns(df, ROW_KEY, text_column, language_column)
-    found = _candidates(text_column, language_column, ngram_max, stopwords)
-    best = F.slice(F.array_sort(found), 1, top_n)
-    return place_by_article(df).select(ROW_KEY, F.posexplode(best).alias("at", "best")).select(
+    found = _ordered(_candidates(df, ngram_max, text_column, language_column, stopwords))
+    best = F.slice("found", 1, top_n)
+    return found.select(ROW_KEY, F.posexplode(best).alias("at", "best")).select(
         ROW_KEY,
         (F.col("at") + 1).alias("rank"),
         F.col("best.keyword").alias("keyword"),
@@ -246,12 +262,26 @@ def extract_keywords(
     function words; a language that it lacks has none.
     """
     require_columns(df, ROW_KEY, text_column, language_column)
-    found = _candidates(text_column, language_column, ngram_max, stopwords)
-    ordered = F.array_sort(found)["keyword"]
-    kept = [name for name in df.columns if name != "keywords"]
-    return place_by_article(df).select(*kept, _selected(ordered, top_n, dedup_limit).alias("keywords"))
+    found = article_keywords(df, top_n, ngram_max, dedup_limit, text_column, language_column, stopwords)
+    placed = place_by_article(df.select(*[name for name in df.columns if name != "keywords"]))
+    return placed.join(found, ROW_KEY).select(*placed.columns, "keywords")
 
 
-def article_keywords(df: DataFrame, *args, **options) -> DataFrame:
-    """``ingest_seq, keywords`` of every article, as :func:`extract_keywords` finds them."""
-    return extract_keywords(df, *args, **options).select(ROW_KEY, "keywords")
+def article_keywords(
+    df: DataFrame,
+    top_n: int = TOP_N,
+    ngram_max: int = NGRAM_MAX,
+    dedup_limit: float = DEDUP_LIMIT,
+    text_column: str = "text",
+    language_column: str = "language",
+    stopwords: Stopwords = STOPWORDS,
+) -> DataFrame:
+    """``ingest_seq, keywords`` of every article, as :func:`extract_keywords` finds them.
+
+    The rest of the articles stays where it is; only their text and language move.
+    """
+    require_columns(df, ROW_KEY, text_column, language_column)
+    found = _ordered(_candidates(df, ngram_max, text_column, language_column, stopwords))
+    return found.select(
+        ROW_KEY, _selected(F.col("found.keyword"), top_n, dedup_limit).alias("keywords")
+    )

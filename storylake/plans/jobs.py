@@ -86,7 +86,7 @@ def keywords(
 ) -> Outputs:
     """Keywords per article and the fifty most common keywords of the query."""
     stories, outputs = _scan(articles, query, collection_sources)
-    tagged = keyword_ops.extract_keywords(
+    tagged = keyword_ops.article_keywords(
         stories, top_n=top_n, dedup_limit=dedup_limit, stopwords=stopwords
     )
     # Both outputs come from one narrow table, so that no article is scored twice.
