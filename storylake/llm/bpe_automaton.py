@@ -11,6 +11,7 @@ stand beside every ``u`` arc and lead where ``v`` led.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
 
@@ -22,8 +23,11 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, S
 from storylake.llm.support import releasing
 from storylake.llm.token_counts import Vocabulary, read_vocabulary
 
-#: Remembered words, and transitions, per task.
-REMEMBERED = 200_000
+#: Remembered words, and transitions, per task and generation.
+REMEMBERED = 150_000
+
+#: Longer pre-tokens are encoded each time.
+LONGEST_REMEMBERED = 64
 
 #: Rows whose ids a task holds at once.
 SLICE_ROWS = 500
@@ -32,16 +36,19 @@ SLICE_ROWS = 500
 class Automaton:
     """States with arcs labelled by tokens.
 
-    A copy of a state has all arcs of the original but one, so it is stored as (original,
-    lost label).  Arcs added later belong to the states that had an arc ``u`` at that moment;
+    A copy of a state has all arcs of the original but one.  The copies made for one label ``u``
+    form a chain, so they are stored by their owner u, with the copy in which u lost each label.
+    Arcs added later belong to the states that had an arc ``u`` at that moment;
     since states are numbered in the order of their making, that is looked up from the label.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         ids = vocabulary.ids
         self.label: dict[int, bytes] = {i: token for token, i in ids.items()}
-        self.original: list[int] = [-1]  # of each state
-        self.lost: list[int] = [-1]
+        self.original: list[int] = [-1]  # of each state, what it was copied from
+        self.owner: list[int] = [-1]  # of each state, the label whose arcs lead to it or led before
+        self.copies: dict[int, list[int]] = {}  # of each owner, after the state they were made of
+        self.loss: dict[int, int] = {}  # of (label, lost label), the copy in which it is lost
         self.target: dict[int, int] = {}  # of the arcs of each label
         self.left: dict[int, int] = {}  # u of each merged label
         self.states_then: dict[int, int] = {}  # states there were when its arcs were added
@@ -50,97 +57,120 @@ class Automaton:
                 self.target[ids[bytes([b])]] = 0
         for (u, v), _ in sorted(vocabulary.ranks.items(), key=lambda x: x[1]):
             self._gadget(ids[u], ids[v], ids[u + v])
-        #: A trie of the tokens: node of (node, byte), and the token that ends at a node.
-        self.step: dict[int, int] = {}
-        self.ends: dict[int, int] = {}
+        #: A trie of the tokens: a node maps bytes to [token ending there or -1, next node or None].
+        self.trie: dict[int, list] = {}
+        self.longest = max(map(len, ids), default=0)
         for token, i in ids.items():
             if i in self.target:
-                node = 0
+                entry = [-1, self.trie]
                 for b in token:
-                    node = self.step.setdefault(node << 8 | b, len(self.step) + 1)
-                self.ends[node] = i
+                    if entry[1] is None:
+                        entry[1] = {}
+                    entry = entry[1].setdefault(b, [-1, None])
+                entry[0] = i
 
     def _gadget(self, u: int, v: int, w: int) -> None:
         after_u, after_v = self.target[u], self.target[v]
         self.original.append(after_u)
-        self.lost.append(v)
-        self.target[u] = len(self.original) - 1
+        self.owner.append(u)
+        self.target[u] = len(self.owner) - 1
+        self.copies.setdefault(u, [after_u]).append(self.target[u])
+        self.loss.setdefault(u << 32 | v, self.target[u])
         if w not in self.target:
             # The copy counts as there already: with u = v it has no arc u, so none for w.
             self.target[w] = after_v
             self.left[w] = u
-            self.states_then[w] = len(self.original)
+            self.states_then[w] = len(self.owner)
 
     def has_arc(self, state: int, label: int) -> bool:
         """Whether ``state`` has an arc with ``label``."""
         while True:
             then = self.states_then.get(label, 1)
             while state >= then:  # copies made after the arcs were added
-                if self.lost[state] == label:
+                owner = self.owner[state]
+                if then <= self.loss.get(owner << 32 | label, -1) <= state:
                     return False
-                state = self.original[state]
+                # All copies of one owner made since are passed at once.
+                made = self.copies[owner]
+                state = made[bisect_left(made, then, 1) - 1]
             if label not in self.left:
                 return True
             label = self.left[label]  # its arcs were put beside those of u
 
 
+class Recent(dict):
+    """Values by key, made when first asked for; of the others the latest are kept.
+
+    Two generations of ``limit`` keys: what is asked for again moves to the younger one, and the
+    older one goes when the younger is full.
+    """
+
+    def __init__(self, make, limit: int = REMEMBERED, keep=None):
+        super().__init__()
+        self.make, self.limit, self.keep, self.old = make, limit, keep, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if self.keep is not None and not self.keep(key):
+            return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Table-driven runs of an automaton over pre-split words."""
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
-        self.arcs: dict[int, bool] = {}
+        self.arcs = Recent(lambda key: automaton.has_arc(key >> 32, key & 0xFFFFFFFF))
 
     def encode(self, word: bytes) -> tuple[int, ...]:
         """The one accepted token sequence that spells ``word``.
 
-        Every prefix of a word has one accepted sequence, so a position needs only its last
-        token: each token that starts there is tried against the state reached.
+        Every prefix of a word has one accepted sequence at most, so a position has one state.
+        Longer tokens are tried first; a position from which the run cannot go on is not tried
+        again, so a word costs at most one step per token that starts at each of its bytes.
         """
-        automaton, arcs = self.automaton, self.arcs
-        step, ends, target = automaton.step, automaton.ends, automaton.target
-        n = len(word)
-        last = [-1] * (n + 1)
-        come_from = [-1] * (n + 1)
-        for i in range(n):
-            state = 0 if i == 0 else target[last[i]]
-            node, j = 0, i
-            while j < n and (node := step.get(node << 8 | word[j])) is not None:
-                j += 1
-                label = ends.get(node)
-                if label is None or come_from[j] >= 0:
-                    continue
-                open_arc = arcs.get(state << 32 | label)
-                if open_arc is None:
-                    if len(arcs) > REMEMBERED:
-                        arcs.clear()
-                    open_arc = arcs[state << 32 | label] = automaton.has_arc(state, label)
-                if open_arc:
-                    last[j], come_from[j] = label, i
-        found = []
-        at = n
-        while at > 0:
-            if come_from[at] < 0:
-                raise ValueError("the vocabulary lacks a byte of the text")
-            found.append(last[at])
-            at = come_from[at]
-        return tuple(reversed(found))
-
-
-class _WordIds(dict):
-    """Ids of each pre-token, filled by the encoder when first met."""
-
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.encoder.encode(word.encode("utf-8"))
-        if len(word) < 64:
-            if len(self) > REMEMBERED:
-                self.clear()
-            self[word] = ids
-        return ids
+        longest = self.automaton.longest
+        arcs, target, trie = self.arcs, self.automaton.target, self.automaton.trie
+        at, state, n = 0, 0, len(word)
+        path: list[int] = []
+        left: list[tuple[int, list]] = []  # where each token of the path starts, and shorter choices
+        dead: set[int] = set()
+        choices: list[tuple[int, int]] | None = None
+        while at < n:
+            if choices is None:
+                choices, node, end = [], trie, at
+                for b in word[at : at + longest]:
+                    entry = node.get(b)
+                    if entry is None:
+                        break
+                    label, node = entry
+                    end += 1
+                    if label >= 0:
+                        choices.append((end, label))
+                    if node is None:
+                        break
+            while choices:
+                end, label = choices.pop()
+                if end not in dead and arcs[state << 32 | label]:
+                    path.append(label)
+                    left.append((at, choices))
+                    at, state, choices = end, target[label], None
+                    break
+            else:
+                dead.add(at)
+                if not path:
+                    raise ValueError("the vocabulary lacks a byte of the text")
+                path.pop()
+                at, choices = left.pop()
+                state = target[path[-1]] if path else 0
+        return tuple(path)
 
 
 def _broadcast_automaton(docs: DataFrame, vocabulary_path: str):
@@ -151,7 +181,9 @@ def _broadcast_automaton(docs: DataFrame, vocabulary_path: str):
 
 def _text_encoder(vocabulary: Vocabulary, automaton: Automaton):
     special, words = vocabulary.splitter()
-    look_up, find = _WordIds(Encoder(automaton)).__getitem__, words.findall
+    spell = Encoder(automaton).encode
+    known = Recent(lambda word: spell(word.encode("utf-8")), keep=lambda word: len(word) < LONGEST_REMEMBERED)
+    look_up, find = known.__getitem__, words.findall
     flat = chain.from_iterable
 
     def encode(text: str) -> list[int]:
