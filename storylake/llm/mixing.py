@@ -22,6 +22,12 @@ from storylake.llm.support import free_name, shared_table
 #: Rows that a stretch of a pattern's line holds on average; bounds the rows of a window.
 STRETCH_ROWS = 20_000
 
+#: Parts in which equal rows are numbered.
+SALTS = 64
+
+#: Combinations of sources that the driver routes.
+MOST_PATTERNS = 100_000
+
 #: Rounds that bring a source closer to its target by one more document.
 CORRECTIONS = 3
 
@@ -107,6 +113,32 @@ def route(
     return flow
 
 
+def _placed(rows: DataFrame, seed: int) -> DataFrame:
+    """Rows with their place ``u`` in seeded order.
+
+    Rows of one id, size and pattern are numbered and placed apart.  They are equal, so it does not
+    matter which one has which number, and the places do not depend on how rows are dealt.
+    """
+    again = shared_table(
+        rows.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "mix-repeats"
+    )
+    several = F.col("id").isNull()
+    if not again.isEmpty():
+        rows = rows.join(again.withColumn("again", F.lit(True)), "id", "left")
+        several = several | F.col("again").isNotNull()
+    twins = rows.filter(several).withColumns(
+        {"twin": F.xxhash64("id", "size", "pid"), "salt": F.pmod(F.xxhash64("row"), F.lit(SALTS))}
+    )
+    counts = twins.groupBy("twin", "salt").agg(F.count("*").alias("n"))
+    before = W.partitionBy("twin").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
+    bases = counts.select("twin", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    number = F.col("first") + F.row_number().over(W.partitionBy("twin", "salt").orderBy("row"))
+    numbered = twins.join(bases, ["twin", "salt"]).withColumn("u", F.xxhash64(F.lit(seed), "twin", number))
+    alone = rows.filter(~several).withColumn("u", F.xxhash64(F.lit(seed), "id"))
+    columns = ["id", "size", "sources", "pid", "row", F.col("u").bitwiseAND(F.lit((1 << 53) - 1)).alias("u")]
+    return alone.select(*columns).union(numbered.select(*columns))
+
+
 def mix(
     docs: DataFrame,
     id_col: str,
@@ -125,31 +157,49 @@ def mix(
 
     Returns (one row per input row: id, sources, size, copies, served: array of (source,
     copies)) and (one row per source: source, source_size, target, taken).  Documents of no
-    words have no copies.  Order and ties follow a seeded hash of the id, then the id; null
-    ids are one id, so equal-sized rows of it may change places without changing the result.
-    Empty tables give empty results; further columns are ignored.
+    words have no copies.  Order follows a seeded hash of the id; rows of a repeated or null id
+    are documents of their own.  Empty tables give empty results; further columns are ignored.
 
     Patterns and sources are collected: they are counts by distinct combination, one row for
-    each, and their number does not grow with the documents.
+    each.  More than MOST_PATTERNS combinations raise ValueError.
     """
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        size.cast("long").alias("size"),
-        F.array_sort(F.array_distinct(sources)).alias("sources"),
-    )
+    result, summary = _mixed(docs, id_col, size, sources, weights, passes, seed)
+    return result.drop("row"), summary
+
+
+def _mixed(
+    docs: DataFrame,
+    id_col: str,
+    size: Column,
+    sources: Column,
+    weights,
+    passes: int = 3,
+    seed: int = 0,
+    row: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """As :func:`mix`, with the number of each row: ``row``, else one that is written here."""
     rows = shared_table(
-        rows.withColumns(
-            {
-                "pid": F.xxhash64("sources"),
-                "u": F.xxhash64(F.lit(seed), "id").bitwiseAND(F.lit((1 << 53) - 1)),
-            }
+        docs.select(
+            F.col(id_col).alias("id"),
+            size.cast("long").alias("size"),
+            F.array_sort(F.array_distinct(sources)).alias("sources"),
+            F.xxhash64(F.array_sort(F.array_distinct(sources))).alias("pid"),
+            (F.monotonically_increasing_id() if row is None else row).alias("row"),
         ),
-        "mix-sizes",
+        "mix-rows",
     )
+    rows = shared_table(_placed(rows, seed), "mix-sizes")
     spark = docs.sparkSession
     found = (
-        rows.groupBy("pid", "sources").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+        rows.groupBy("pid", "sources")
+        .agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+        .limit(MOST_PATTERNS + 1)
+        .collect()
     )
+    if len(found) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} combinations of sources")
+    # The flow depends on the order of the patterns.
+    found.sort(key=lambda r: [(s is None, s or "") for s in r["sources"] or ()])
     if len({r["pid"] for r in found}) < len(found):
         raise ValueError("two patterns share a hash; give the sources other names")
     sizes: dict[object, int] = {}
@@ -180,7 +230,7 @@ def mix(
     starts = by_stretch.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).join(
         facts, "pid"
     )
-    inside = W.partitionBy("pid", "stretch").orderBy("u", "id").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("pid", "stretch").orderBy("u", "row").rowsBetween(W.unboundedPreceding, -1)
     # Patterns of a third of all rows are split by stretch, in the window as in this join.
     on_line = placed.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         starts.select("pid", "stretch", "base", "whole", "parts"), ["pid", "stretch"]
@@ -198,22 +248,16 @@ def mix(
         return F.struct(part["source"].alias("source"), F.size(fits).alias("copies"))
 
     chosen = shared_table(
-        on_line.select("id", "sources", "size", "u", F.transform("parts", of_part).alias("served")),
+        on_line.select("id", "sources", "size", "u", "row", F.transform("parts", of_part).alias("served")),
         "mix-chosen",
     )
     more = _corrections(chosen, targets, passes)
-    added = spark.createDataFrame(more, "u long, doc string, source string, extra int")
+    added = spark.createDataFrame(more, "row long, source string, extra int")
     total = F.aggregate("served", F.lit(0), lambda n, x: n + x["copies"])
     if more:
         # At most CORRECTIONS rows a source.
-        extra = added.groupBy("u", "doc").agg(
-            F.collect_list(F.struct("source", "extra")).alias("extras")
-        )
-        joined = chosen.join(
-            F.broadcast(extra),
-            (chosen.u == extra.u) & F.col("id").cast("string").eqNullSafe(extra["doc"]),
-            "left",
-        ).drop(extra.u)
+        extra = added.groupBy("row").agg(F.collect_list(F.struct("source", "extra")).alias("extras"))
+        joined = chosen.join(F.broadcast(extra), "row", "left")
 
         def with_extra(part: Column) -> Column:
             matching = F.filter(
@@ -225,8 +269,8 @@ def mix(
                 F.aggregate(matching, part["copies"], lambda n, e: n + e["extra"]).alias("copies"),
             )
 
-        chosen = joined.withColumn("served", F.transform("served", with_extra)).drop("extras", "doc")
-    result = chosen.select("id", "sources", "size", total.alias("copies"), "served")
+        chosen = joined.withColumn("served", F.transform("served", with_extra)).drop("extras")
+    result = chosen.select("id", "sources", "size", total.alias("copies"), "served", "row")
     taken = (
         result.select("size", F.explode("served").alias("part"))
         .groupBy(F.col("part.source").alias("source"))
@@ -252,8 +296,8 @@ def _corrections(chosen: DataFrame, targets: Mapping[object, float], passes: int
     spark = chosen.sparkSession
     picks: list[tuple] = []
     parts = chosen.select(
-        "id",
         "u",
+        "row",
         "size",
         F.aggregate("served", F.lit(0), lambda n, x: n + x["copies"]).alias("copies"),
         F.explode("served").alias("part"),
@@ -264,15 +308,10 @@ def _corrections(chosen: DataFrame, targets: Mapping[object, float], passes: int
         missing[row["source"]] -= row["taken"]
     for _ in range(CORRECTIONS):
         gaps = spark.createDataFrame([(s, g) for s, g in missing.items()], "name string, gap double")
-        used = [(u, doc) for u, doc, _, _ in picks]
         free = parts.filter(F.col("copies") < passes)
-        if used:
-            taken = spark.createDataFrame(used, "u long, doc string")
-            free = free.join(
-                F.broadcast(taken),
-                (free.u == taken.u) & F.col("id").cast("string").eqNullSafe(taken["doc"]),
-                "left_anti",
-            )
+        if picks:
+            taken = spark.createDataFrame([(p[0],) for p in picks], "row long")
+            free = free.join(F.broadcast(taken), "row", "left_anti")
         best = (
             free.join(F.broadcast(gaps), F.col("part.source").eqNullSafe(F.col("name")))
             .filter(F.abs(F.col("gap") - F.col("size")) < F.abs("gap"))
@@ -282,7 +321,7 @@ def _corrections(chosen: DataFrame, targets: Mapping[object, float], passes: int
                     F.struct(
                         F.abs(F.col("gap") - F.col("size")).alias("off"),
                         "u",
-                        F.col("id").cast("string").alias("doc"),
+                        "row",
                         "size",
                     )
                 ).alias("best")
@@ -291,10 +330,10 @@ def _corrections(chosen: DataFrame, targets: Mapping[object, float], passes: int
         )
         new = set()
         for row in sorted(best, key=lambda r: (r["name"] is None, r["name"] or "")):
-            pick = (row["best"]["u"], row["best"]["doc"])
+            pick = row["best"]["row"]
             if pick not in new:
                 new.add(pick)
-                picks.append((*pick, row["name"], 1))
+                picks.append((pick, row["name"], 1))
                 missing[row["name"]] -= row["best"]["size"]
         if not new:
             break
@@ -303,18 +342,14 @@ def _corrections(chosen: DataFrame, targets: Mapping[object, float], passes: int
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` as often as the mix takes them; columns unchanged."""
-    result, _ = mix(docs, id_col, **options)
-    key, size, turns = (free_name(docs, name) for name in ("_key", "_size", "_turns"))
-    # A repeated row takes part as often as it stands in the table.
-    copies = (
-        result.filter("copies > 0")
-        .groupBy(F.xxhash64("id").alias(key), F.col("size").alias(size))
-        .agg(F.max("copies").alias(turns))
-    )
-    marked = docs.withColumns({key: F.xxhash64(id_col), size: options["size"].cast("long")})
-    repeated = F.explode(F.sequence(F.lit(1), F.col(turns)))
+    key, turns = free_name(docs, "_key"), free_name(docs, "_turns")
+    # Numbers of rows are fixed by being written with them; a repeated row is several documents.
+    numbered = shared_table(docs.withColumn(key, F.monotonically_increasing_id()), "mix-documents")
+    result, _ = _mixed(numbered, id_col, row=F.col(f"`{key}`"), **options)
+    copies = result.filter("copies > 0").select(F.col("row").alias(key), F.col("copies").alias(turns))
+    repeated = F.explode(F.sequence(F.lit(1), F.col(f"`{turns}`")))
     return (
-        marked.join(copies, [key, size])
+        numbered.join(copies, key)
         .withColumn(turns, repeated)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

@@ -110,3 +110,30 @@ def test_rows_repeat_as_taken_and_empty_table(spark):
     assert out.columns == docs.columns
     assert {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()} == {i: n for i, n in copies.items() if n}
     assert mixing.mix_documents(docs.filter("false"), **options).count() == 0
+
+
+@pytest.mark.parametrize("ident", [None, 7])
+def test_rows_of_one_id_are_documents_of_their_own(spark, ident):
+    """Targets are met, and no row is taken more than three times, by mix and by mix_documents."""
+    rows = [(ident, "w " * (10 + i % 30), "a") for i in range(200)]
+    rows += [(1000 + i, "w " * (5 + i % 40), "bc"[i % 2]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("row", F.lit(1))
+    options = {
+        "size": mixing.word_count(F.col("text")),
+        "sources": F.array("source"),
+        "weights": lambda names: [i % 3 + 1 for i in range(len(names))],
+    }
+    result, summary = mixing.mix(docs, "doc_id", **options)
+    got = result.collect()
+    assert len(got) == len(rows) and max(r["copies"] for r in got) <= 3
+    targets = {r["source"]: r["target"] for r in summary.collect()}
+    for r in summary.collect():
+        assert abs(r["taken"] - r["target"]) <= 45
+    taken = mixing.mix_documents(docs, **options)
+    assert taken.columns == docs.columns
+    words = {r["source"]: r["w"] for r in taken.groupBy("source").agg(F.sum(options["size"]).alias("w")).collect()}
+    assert words.keys() == targets.keys()
+    for source, target in targets.items():
+        assert abs(words[source] - target) <= 45
+    again, _ = mixing.mix(docs.repartition(7), "doc_id", **options)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
