@@ -14,6 +14,7 @@ from storylake.operators.search import (
     filter_scope,
     mention_mask,
     search_proximity,
+    search_proximity_terms,
     search_terms,
 )
 from storylake.operators.selection import limit_after_dedup, limit_before_dedup, random_sample
@@ -56,6 +57,24 @@ def _(spark, sf_dir):
     return search_proximity(articles(spark, sf_dir), "that", 3, 20).select("id", "title")
 
 
+@query(
+    "search_proximity_terms",
+    f"""WITH {ARTICLES},
+fields AS (SELECT id, 0 AS field, title AS body FROM articles UNION ALL SELECT id, 1, text FROM articles),
+t AS (SELECT id, field, unnest({toks('body')}) AS tok, unnest(range(len({toks('body')}))) AS pos FROM fields),
+n AS (SELECT *, lead(tok) OVER (PARTITION BY id, field ORDER BY pos) AS following FROM t),
+a AS (SELECT id, field, pos, lead(pos) OVER (PARTITION BY id, field ORDER BY pos) AS again
+      FROM n WHERE tok = 'that'),
+b AS (SELECT id, field, pos FROM n WHERE tok = 'of' AND following = 'the')
+SELECT id, title FROM articles WHERE id IN (
+  SELECT a.id FROM a JOIN b ON a.id = b.id AND a.field = b.field
+  WHERE again IS NOT NULL AND greatest(again, b.pos) - least(a.pos, b.pos) <= 30)""",
+)
+def _(spark, sf_dir):
+    found = search_proximity_terms(articles(spark, sf_dir), ["that", "of the", "That"], 30)
+    return found.select("id", "title")
+
+
 @query(
     "filter_date_range",
     f"""WITH {ARTICLES}

@@ -36,9 +36,9 @@ def extract_entities(
 ) -> DataFrame:
     """Add ``entities array<struct<text,type>>`` in order of appearance, repeats kept.
 
-    A mapping or a gazetteer table (columns ``text``, ``type``) may have any size.  A table is joined: the distinct
-    names of an article meet it, and the planner broadcasts it only when its measured size
-    allows.
+    A mapping or a gazetteer table (columns ``text``, ``type``) may have any size, and articles
+    need no key.  A table is joined: the distinct names of an article meet it, and the planner
+    broadcasts it only when its measured size allows.
     """
     require_columns(df, text_column)
     if isinstance(gazetteer, Mapping):
@@ -70,22 +70,25 @@ def _inline_entities(text: Column, gazetteer: Mapping[str, str]) -> Column:
 
 
 def _joined_entities(df: DataFrame, gazetteer: DataFrame, text_column: str) -> DataFrame:
-    require_columns(df, ROW_KEY)
     require_columns(gazetteer, "text", "type")
+    # Entities depend on the text alone, so a digest of it serves where articles have no key.
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    key = F.col(ROW_KEY).cast("string") if ROW_KEY in df.columns else F.md5(text)
+    df, given = df.withColumn("_article", key), df.columns
     # A name may be listed with several types; one lookup row per name keeps counts right.
     lookup = gazetteer.groupBy(F.col("text").alias("run")).agg(F.min("type").alias("known"))
     salted = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(NAME_SALTS - 1))))
     runs = F.coalesce(entity_runs(F.col(text_column)), F.array().cast("array<string>"))
     # A name meets the table once per article, however often it is mentioned there.
     names = df.select(
-        ROW_KEY,
-        F.pmod(F.hash(ROW_KEY), F.lit(NAME_SALTS)).alias("salt"),
+        "_article",
+        F.pmod(F.hash("_article"), F.lit(NAME_SALTS)).alias("salt"),
         F.explode(F.array_distinct(runs)).alias("run"),
     )
     known = (
         names.join(salted, ["run", "salt"])
-        .groupBy(ROW_KEY)
-        .agg(F.map_from_entries(F.collect_list(F.struct("run", "known"))).alias("_known"))
+        .groupBy("_article")
+        .agg(F.map_from_entries(F.collect_set(F.struct("run", "known"))).alias("_known"))
     )
     typed = F.transform(
         runs,
@@ -94,4 +97,4 @@ def _joined_entities(df: DataFrame, gazetteer: DataFrame, text_column: str) -> D
         ),
     )
     entities = F.filter(typed, lambda entity: entity["type"].isNotNull())
-    return df.join(known, ROW_KEY, "left").select(*df.columns, entities.alias("entities"))
+    return df.join(known, "_article", "left").select(*given, entities.alias("entities"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from datetime import date
 
@@ -53,14 +54,30 @@ def search_terms(
     return df.filter(condition)
 
 
+def _positions(words: Column, phrase: Sequence[str]) -> Column:
+    """Positions in an array of tokens at which a phrase starts, ascending."""
+
+    def here(token: Column, at: Column) -> Column:
+        hit = token == phrase[0]
+        for i, word in enumerate(phrase[1:], 1):
+            hit = hit & (F.get(words, at + i) == word)
+        return F.when(hit, at)
+
+    return F.filter(F.transform(words, here), lambda at: at.isNotNull())
+
+
+def _words(term: str) -> list[str]:
+    words = _TOKEN.findall(term.lower())
+    if not words:
+        raise ValueError(f"search term {term!r} holds no letter or digit")
+    return words
+
+
 def repeated_within(text: Column, term: str, mentions: int, slop: int) -> Column:
-    """Whether ``mentions`` occurrences of a term span at most ``slop`` token positions."""
+    """Whether ``mentions`` occurrences of a word or phrase start within ``slop`` token positions."""
     if mentions < 1 or slop < 0:
         raise ValueError("mentions must be at least 1 and slop must not be negative")
-    positions = F.filter(
-        F.transform(tokens(text), lambda token, at: F.when(token == term.lower(), at)),
-        lambda at: at.isNotNull(),
-    )
+    positions = _positions(tokens(text), _words(term))
     # Both arrays start aligned: entry i of the second is the (i + mentions - 1)-th hit.
     spans = F.zip_with(
         positions,
@@ -70,18 +87,72 @@ def repeated_within(text: Column, term: str, mentions: int, slop: int) -> Column
     return F.coalesce(F.exists(spans, lambda span: span <= slop), F.lit(False))
 
 
+def near_each_other(text: Column, terms: Sequence[str], slop: int) -> Column:
+    """Whether all words or phrases start within ``slop`` token positions, in any order.
+
+    A term that is listed several times needs as many mentions.  One walk over the positions of
+    all terms keeps the latest mentions of each; where all are there, their span is the smallest
+    that ends here.
+    """
+    if not terms or slop < 0:
+        raise ValueError("terms must not be empty and slop must not be negative")
+    wanted = Counter(tuple(_words(term)) for term in terms)
+    words = tokens(text)
+
+    def marked(phrase: Sequence[str], term: int) -> Column:
+        return F.transform(
+            _positions(words, phrase),
+            lambda at: F.struct(at.cast("int").alias("at"), F.lit(term).alias("term")),
+        )
+
+    events = F.array_sort(F.concat(*[marked(phrase, i) for i, phrase in enumerate(wanted)]))
+    numbers = list(wanted.values())
+    nothing = F.array(*[F.array_repeat(F.lit(-1), n) for n in numbers])
+
+    def step(state: Column, event: Column) -> Column:
+        # -1 stands for a mention that has not come yet.
+        latest = [
+            F.when(
+                event["term"] == i,
+                F.concat(F.slice(state["latest"][i], 2, n - 1), F.array(event["at"])),
+            ).otherwise(state["latest"][i])
+            for i, n in enumerate(numbers)
+        ]
+        oldest = F.array_min(F.array(*[F.get(places, 0) for places in latest]))
+        near = (oldest >= 0) & (event["at"] - oldest <= slop)
+        return F.struct(F.array(*latest).alias("latest"), (state["found"] | near).alias("found"))
+
+    start = F.struct(nothing.alias("latest"), F.lit(False).alias("found"))
+    return F.coalesce(F.aggregate(events, start, step, lambda state: state["found"]), F.lit(False))
+
+
 def search_proximity(
     df: DataFrame, term: str, mentions: int, slop: int, text_column: str = "text"
 ) -> DataFrame:
-    """Keep articles that repeat a term within a window of tokens; no shuffle is needed."""
+    """Keep articles that repeat a word or phrase within a window of tokens; no shuffle is needed."""
     require_columns(df, text_column)
     # The plain token test is cheap and drops most articles before positions are listed.
     text = F.col(text_column)
-    return df.filter(contains_tokens(text, [term.lower()])).filter(
+    return df.filter(contains_tokens(text, _words(term))).filter(
         repeated_within(text, term, mentions, slop)
     )
 
 
+def search_proximity_terms(
+    df: DataFrame, terms: Sequence[str], slop: int, fields: Sequence[str] = ("title", "text")
+) -> DataFrame:
+    """Keep articles with all words or phrases within a window of tokens of one of the fields."""
+    near = F.lit(False)
+    for name in fields:
+        if name in df.columns:
+            # The cheap test of every term comes first.
+            there = F.lit(True)
+            for term in dict.fromkeys(terms):
+                there = there & contains_tokens(F.col(name), _words(term))
+            near = near | F.when(there, near_each_other(F.col(name), terms, slop)).otherwise(F.lit(False))
+    return df.filter(near)
+
+
 def filter_date_range(
     df: DataFrame, start: date | None, end: date | None, column: str = "publish_date"
 ) -> DataFrame:

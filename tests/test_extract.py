@@ -309,6 +309,21 @@ def test_a_mapping_of_any_size_gives_the_same_entities(stories):
     assert {r["ingest_seq"]: r["entities"] for r in extract_entities(df, large).collect()} == expected
 
 
+@pytest.mark.parametrize("entries", [500, 501])
+def test_entities_need_no_article_key(stories, entries):
+    """Rows without a key, of equal texts too, have the same entities on both sides of any size."""
+    df = stories({"text": "Ann Lee met Bob in Big Town. Zed came."}, {"text": None}, {"text": "Zed"}, {"text": "Zed"})
+    names = {"Ann Lee": "PERSON", "Zed": "PERSON"} | {f"Name{i}": "OTHER" for i in range(entries - 2)}
+    got = extract_entities(df.drop("ingest_seq"), names)
+    assert got.columns == [c for c in df.columns if c != "ingest_seq"] + ["entities"]
+    assert {r["id"]: [tuple(e) for e in r["entities"]] for r in got.collect()} == {
+        "s0": [("Ann Lee", "PERSON"), ("Big Town", "MISC"), ("Zed", "PERSON")],
+        "s1": [],
+        "s2": [("Zed", "PERSON")],
+        "s3": [("Zed", "PERSON")],
+    }
+
+
 def test_stopwords_of_any_language(stories):
     df = stories({"text": "Huset och havet. Huset och skogen.", "language": "sv"})
     plain = K.extract_keywords(df, 50).first()["keywords"]

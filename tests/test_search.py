@@ -120,3 +120,35 @@ def test_apply_search(stories):
     terms = SearchTerms(any_of=("a", "b"), none_of=("c",), near=(("a", 2, 5),))
     assert ids(S.apply_search(df, terms)) == [0]
     assert terms.describe() == '(a OR b) AND NOT c AND "a a"~5'
+
+
+@pytest.mark.parametrize(
+    ("terms", "slop", "expected"),
+    [
+        (["side effects", "vaccine"], 3, {0}),
+        (["side effects", "vaccine"], 7, {0, 1}),
+        (["vaccine", "vaccine", "vaccine"], 4, {2}),
+        (["vaccine", "vaccine", "vaccine"], 3, set()),
+        (["vaccine"], 0, {0, 1, 2, 3}),
+        (["effects side"], 9, set()),
+        (["coast", "storm"], 1, {4}),
+    ],
+)
+def test_words_and_phrases_near_each_other(stories, terms, slop, expected):
+    df = stories(
+        {"text": "The vaccine has side effects."},
+        {"text": "side-effects, one two three four five vaccine"},
+        {"text": "vaccine a vaccine b vaccine"},
+        {"text": "side of vaccine effects"},
+        {"title": "Storm coast", "text": "storm far from the coast"},
+        {"text": None},
+    )
+    got = {r["ingest_seq"] for r in S.search_proximity_terms(df, terms, slop).collect()}
+    assert got == expected
+
+
+def test_phrases_repeat(stories):
+    df = stories({"text": "side effects and side effects"}, {"text": "side effects, side"})
+    assert [r["ingest_seq"] for r in S.search_proximity(df, "Side Effects", 2, 3).collect()] == [0]
+    with pytest.raises(ValueError):
+        S.search_proximity(df, "?!", 2, 3)
