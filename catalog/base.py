@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylake.constants import STOPWORDS
+from storylake.constants import (
+    ABBREVIATIONS,
+    CLOSERS,
+    SENTENCE_OPENERS,
+    STOPWORDS,
+    TITLES,
+    UNSPACED_STOPS,
+)
 from storylake.sources.articles import articles_from_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,11 +75,44 @@ def toks(expr: str) -> str:
     return f"regexp_extract_all(lower({expr}), '{TOK}')"
 
 
+def _alternatives(*tables: dict[str, list[str]]) -> str:
+    return "|".join(sorted({word for table in tables for words in table.values() for word in words}))
+
+
+def _sentence_parts(body: str) -> str:
+    """The sentences of a stripped text: stops that may not end one get a mark, then the rest split."""
+    never, maybe, initial = "chr(64977)", "chr(64978)", "chr(64979)"
+    no_word = r"(^|[^\p{L}\p{N}])"
+    short = rf"(?:\p{{L}}(?:\.\p{{L}})+|{_alternatives(ABBREVIATIONS)})"
+    opener = rf"{WS}+(?:{'|'.join(SENTENCE_OPENERS)})(?:[^\p{{L}}\p{{N}}]|$)"
+    marks = [
+        (f"'{no_word}((?:{_alternatives(TITLES)})\\.)'", rf"'\1\2' || {never}"),
+        (f"'{no_word}({short}\\.)'", rf"'\1\2' || {maybe}"),
+    ]
+    steps = [
+        # Twice: of words that follow each other without a space, a match takes every other one.
+        *marks,
+        *marks,
+        (f"'{no_word}(\\p{{Lu}}\\.)'", rf"'\1\2' || {initial}"),
+        (f"'[' || {maybe} || {initial} || ']+({opener})'", r"'\1'"),
+        # Initials before a name, from the last one to the third before it.
+        (f"{initial} || '({WS}+[\\p{{L}}\\p{{N}}]{{2}})'", rf"{never} || '\1'"),
+        (f"{initial} || '({WS}+\\p{{Lu}}\\.' || {never} || ')'", rf"{never} || '\1'"),
+        (f"{initial} || '({WS}+\\p{{Lu}}\\.' || {never} || ')'", rf"{never} || '\1'"),
+        (initial, "''"),
+        (f"'([.!?]){WS}+|([{UNSPACED_STOPS}]+[{CLOSERS}]*){WS}*'", r"'\1\2' || chr(1)"),
+        (f"'[' || {never} || {maybe} || ']'", "''"),
+    ]
+    for pattern, replacement in steps:
+        body = f"regexp_replace({body}, {pattern}, {replacement}, 'g')"
+    return f"[part FOR part IN string_split({body}, chr(1)) IF part <> '']"
+
+
 def sentences_cte(source: str = "articles", name: str = "sentences") -> str:
     """One row per sentence with every column of the source."""
     return f"""
 {name}_parts AS (
-  SELECT *, string_split(regexp_replace(body, '([.!?]){WS}+', '\\1' || chr(1), 'g'), chr(1)) AS parts
+  SELECT *, {_sentence_parts("body")} AS parts
   FROM (SELECT *, regexp_replace(text, '^{WS}+|{WS}+$', '', 'g') AS body FROM {source})
   WHERE body <> ''),
 {name} AS (

@@ -75,3 +75,28 @@ NEGATIVE_WORDS = (
     "attack attacks attacked blamed blame criticised criticized threat harm damage dead "
     "killed war negative corrupt scandal unpopular"
 ).split()
+
+# Abbreviations and words that decide whether a full stop ends a sentence.
+#: Titles stand before a name: their stop never ends a sentence.
+TITLES = {
+    "en": "Mr Mrs Ms Dr Prof Rev Hon Gov Sen Rep Gen Col Maj Capt Cmdr Lt Sgt St Mt".split(),
+    "fr": "Mme Mlle MM Me Mgr Ste".split(),
+    "de": "Hr Dipl Ing".split(),
+    "es": "Sra Srta Dra Lic Gral".split(),
+}
+#: These stand anywhere: their stop ends a sentence only before a word that opens one.
+ABBREVIATIONS = {
+    "en": (
+        "Jr Sr Inc Ltd Corp Co Bros Jan Feb Aug Sept Oct Nov Dec etc vs approx dept est"
+    ).split(),
+    "fr": "janv févr juil env".split(),
+    "de": "bzw usw ca vgl Nr Str".split(),
+    "es": "Ud Uds núm pág aprox".split(),
+}
+SENTENCE_OPENERS = (
+    "The This That These Those He She It We They You But And However When While After Before "
+    "Then There If As In On At For Il Elle Ils Elles Der Das Die Es Sie"
+).split()
+#: Stops of scripts that set no space behind them, and what may close a quotation after them.
+UNSPACED_STOPS = "。！？।॥"
+CLOSERS = "」』”’）"

@@ -9,7 +9,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from storylake.constants import STOPWORDS
+from storylake.constants import (
+    ABBREVIATIONS,
+    CLOSERS,
+    SENTENCE_OPENERS,
+    STOPWORDS,
+    TITLES,
+    UNSPACED_STOPS,
+)
 
 #: Unicode white space, wider than the ASCII-only ``\s`` of the regex engine.
 WHITESPACE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
@@ -112,12 +119,47 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(TOKEN))
 
 
-def sentences(text: Column) -> Column:
-    """Array of trimmed, non-empty sentences; a sentence ends at ``. ! ?`` plus white space."""
+def _one_of(table: dict[str, Sequence[str]]) -> str:
+    words = sorted({word for words in table.values() for word in words})
+    return "(?:" + "|".join(quote_regex(word) for word in words) + ")"
+
+
+def sentence_end_pattern(
+    titles: dict[str, Sequence[str]] = TITLES,
+    abbreviations: dict[str, Sequence[str]] = ABBREVIATIONS,
+) -> str:
+    """Pattern of a sentence end with the white space behind it.
+
+    Groups 1 and 2 hold the stop, of scripts with and without spaces.  Only at a stop does the
+    pattern look back, so a text costs about as much as a search for stops.
+    """
+    no_word = r"(?<![\p{L}\p{N}])"
+    opener = rf"{WHITESPACE}+(?:{'|'.join(SENTENCE_OPENERS)})(?![\p{{L}}\p{{N}}])"
+    name = rf"(?:{WHITESPACE}+\p{{Lu}}\.){{0,2}}(?!{opener}){WHITESPACE}+[\p{{L}}\p{{N}}]{{2}}"
+    never = rf"(?<!{no_word}{_one_of(titles)}\.)" if any(titles.values()) else ""
+    short = rf"(?<!{no_word}\p{{L}}\.\p{{L}}\.)"
+    if any(abbreviations.values()):
+        short += rf"(?<!{no_word}{_one_of(abbreviations)}\.)"
+    initial = rf"(?:(?<!{no_word}\p{{Lu}}\.)|(?!{name}))"
+    return (
+        rf"([.!?]){never}(?:{short}{initial}|(?={opener})){WHITESPACE}+"
+        rf"|([{UNSPACED_STOPS}]+[{CLOSERS}]*){WHITESPACE}*"
+    )
+
+
+def sentences(text: Column, ends: str | None = None) -> Column:
+    """Array of trimmed, non-empty sentences.
+
+    A sentence ends at ``. ! ?`` plus white space, and at the stops of scripts without spaces.
+    The stop of a title (``Dr.``) is no end; that of dotted letters (``U.S.``) or of another
+    abbreviation is one only before a word that opens sentences (``The``); that of a single
+    capital also where no name follows, after up to two further initials.  The abbreviations of
+    all languages count in every text, by case; ``ends`` takes another ``sentence_end_pattern``.
+    """
     # The ends are stripped once and a break consumes its white space, so pieces are trimmed;
-    # only blank text leaves an empty piece.
+    # blank text, or an end without white space at the end of a text, leaves an empty piece.
     stripped = F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
-    marked = F.regexp_replace(stripped, f"([.!?]){WHITESPACE}+", "$1" + _SENTENCE_MARK)
+    marked = F.regexp_replace(stripped, ends or _SENTENCE_END, "$1$2" + _SENTENCE_MARK)
     return F.array_remove(F.split(marked, _SENTENCE_MARK), "")
 
 
@@ -139,6 +181,9 @@ def quote_regex(literal: str) -> str:
     )
 
 
+_SENTENCE_END = sentence_end_pattern()
+
+
 def contains_tokens(text: Column, phrase_tokens: Sequence[str]) -> Column:
     """Whether lower-case whole tokens follow each other, whatever separates them.
 

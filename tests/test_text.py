@@ -1,10 +1,14 @@
 import hashlib
 import re
 import unicodedata
+from random import Random
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.base import sentences_cte
 from storylake.functions import text as X
 from storylake.functions.prompts import build_prompt
 
@@ -93,6 +97,56 @@ def test_sentences(spark):
     ]
 
 
+SENTENCE_ENDS = {
+    "Dr. Smith met Mr. Lee in the U.S. on Monday.": 1,
+    "He left the U.S. The talks went on.": 2,
+    "J. R. R. Tolkien wrote. J. Smith read.": 2,
+    "Plan B. The rest failed.": 2,
+    "Acme Corp. said so, etc. It grew.": 2,
+    "She came at 9 p.m. on Friday. Mme. Roux spoke!": 2,
+    "So did Prof. Dr. Ing. Weber? Yes.": 2,
+    "今天下雨。明天晴天！": 2,
+    "他说：「好。」我走了？": 2,
+    "यह पहला है। यह दूसरा है।": 2,
+    "Mr.": 1,
+    "。": 1,
+    "A.  B. C.D. e.g. x. Y": 4,
+    "Summit. Dr.\tWho": 2,
+}
+
+
+def test_sentence_ends(spark):
+    found = values(spark, X.sentences, list(SENTENCE_ENDS))
+    assert [len(parts) for parts in found] == list(SENTENCE_ENDS.values())
+    assert found[0] == [next(iter(SENTENCE_ENDS))]
+    assert found[7:9] == [["今天下雨。", "明天晴天！"], ["他说：「好。」", "我走了？"]]
+
+
+def test_sentence_ends_equal_sql(spark):
+    pieces = ["Dr.", "J.", "U.S.", "The", "the", "Lee", "etc.", "a", "I", "。", "!", "e.g.", "」"]
+    pieces += ["B", "St.", "M.K.", "In."]
+    random = Random(5)
+    cases = list(SENTENCE_ENDS) + [
+        "".join(random.choice(pieces) + random.choice(["", " ", " ", " \n"]) for _ in range(12))
+        for _ in range(600)
+    ]
+    sql = (
+        f"WITH articles AS (SELECT * FROM cases), {sentences_cte()} "
+        "SELECT id, list(sentence_text ORDER BY sentence_id) FROM sentences GROUP BY 1 ORDER BY 1"
+    )
+    with duckdb.connect() as connection:
+        cases_table = pa.table({"id": range(len(cases)), "text": cases})
+        connection.register("cases", cases_table)
+        expected = [row[1] for row in connection.execute(sql).fetchall()]
+    assert values(spark, X.sentences, cases) == expected
+
+
+def test_another_table_of_abbreviations(spark):
+    ends = X.sentence_end_pattern({}, {"xx": ["abt"]})
+    found = values(spark, lambda c: X.sentences(c, ends), ["Dr. Lee. abt. five"])
+    assert found == [["Dr.", "Lee.", "abt. five"]]
+
+
 def test_tokens_and_counts(spark):
     assert values(spark, X.tokens, ["Don't stop—É 3x!"]) == [["don", "t", "stop", "é", "3x"]]
     assert values(spark, X.token_count, ["Don't stop—É 3x!"]) == [5]
