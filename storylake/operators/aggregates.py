@@ -49,17 +49,22 @@ def top_entities(
     entities = F.filter(F.col(entities_column), lambda e: e["text"].isNotNull())
     if filter_type:
         entities = F.filter(entities, lambda e: e["type"] == filter_type)
-    # Marking an entity's first mention inside its article lets one aggregation count both
-    # mentions and articles, so article ids are never shuffled.
-    texts = F.col("_entities.text")
-    mentions = df.select(entities.alias("_entities")).select(
+    # Sorted, equal names are neighbours, so an entity's first mention in its article is told by
+    # the one before it.  One aggregation then counts mentions and articles, and article ids
+    # are never shuffled.
+    pairs = F.transform(
+        entities, lambda e: F.struct(e["text"].alias("entity"), e["type"].alias("type"))
+    )
+    mentions = df.select(F.array_sort(pairs).alias("_pairs")).select(
         F.explode(
             F.transform(
-                "_entities",
+                "_pairs",
                 lambda e, at: F.struct(
-                    e["text"].alias("entity"),
+                    e["entity"].alias("entity"),
                     e["type"].alias("type"),
-                    (F.array_position(texts, e["text"]) == at + 1).cast("long").alias("first"),
+                    (
+                        (at == 0) | (e["entity"] != F.get("_pairs", at - 1)["entity"])
+                    ).cast("long").alias("first"),
                 ),
             )
         ).alias("m")

@@ -1,5 +1,6 @@
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from storylake.operators import aggregates as G
 from storylake.operators.aboutness import (
@@ -54,6 +55,23 @@ def test_top_entities(tagged):
         G.top_entities(tagged, sort_by="other")
 
 
+def test_top_entities_of_a_long_article(spark):
+    # 200 000 mentions in one row: comparing each with all others would not end.
+    one = spark.range(1).select(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(199_999)),
+            lambda i: F.struct(
+                F.concat(F.lit("n"), i % 50_000).alias("text"),
+                F.when(i % 3 > 0, "ORG").alias("type"),
+            ),
+        ).alias("entities")
+    )
+    found = G.top_entities(one, top_n=-1)
+    assert found.agg(F.count("*"), F.min("count"), F.max("count"), F.max("document_count")).first() == (
+        50_000, 4, 4, 1,
+    )
+
+
 def test_histogram_equals_pandas_cut(spark):
     scores = [0.0, 0.05, 0.1, 0.1000001, 0.3, 0.5, 0.7, 0.95, 1.0, 1.0, None, -0.1, 1.2]
     df = spark.createDataFrame([(s,) for s in scores], "about_score double")
