@@ -14,13 +14,13 @@ tells vectors apart and combines in any order.
 from __future__ import annotations
 
 import html
+import re
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,12 +42,16 @@ OTHER_SHARE = 0.25
 BROADCAST_BYTES = 32 << 20
 
 # Elements by their role in a page.
-RAW = frozenset("script style template noscript iframe object svg math textarea select title".split())
+RAW = frozenset(
+    "script style template noscript iframe object svg annotation textarea select title".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var wbr img br".split()
+    "small span strike strong sub sup time tt u var wbr img br "
+    "math semantics mrow mi mo mn ms mtext msup msub msubsup mfrac msqrt mroot mover munder mspace".split()
 )
+ITEMS = frozenset("li dt dd tr td th option".split())
 MAIN = frozenset("article main".split())
 APART = frozenset("nav aside form button dialog menu footer".split())
 APART_WORDS = frozenset(
@@ -57,66 +61,105 @@ APART_WORDS = frozenset(
     "sponsored subscribe toolbar widget".split()
 )
 
-_TOKEN = regex.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"""
-    r"""|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"""|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>[^>]*+)(?:>|\Z)"""
-    r"""|(?P<text>[^<]++|<)""",
-    regex.DOTALL,
+#: A name of several words, the first and last of these, says what an element is as a whole one does.
+APART_FIRST = frozenset(
+    "ad ads advert comment comments cookie cookies disqus newsletter promo sponsor sponsored subscribe".split()
+)
+APART_LAST = frozenset(
+    "area banner block box container content form item list notice panel section signup thread "
+    "unit widget wrap wrapper".split()
 )
-_NAMES = regex.compile(
-    r"""\s(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", regex.IGNORECASE
+
+_TAG = re.compile(
+    r"""<(?:(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+    r"""|(/?)([A-Za-z][^\s/>]*+)([^>]*+)(?:>|\Z))"""
 )
-_WORDS = regex.compile(r"[a-z]+")
+_CLOSE = {tag: re.compile(rf"</{tag}\b[^>]*+>", re.IGNORECASE) for tag in RAW}
+_NAMES = re.compile(
+    r"""\s(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE
+)
+_WORDS = re.compile(r"[a-z]+")
+
+#: Token of the path of blocks outside all elements.
+ROOT = 0
+
+
+def _token(kind: str, value: str) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
+
+
+def _traits(tag: str, attrs: str, inside: bool) -> tuple[str, bool, bool, bool]:
+    """(step of the path, sets apart, in doubt, article element) of an element by its start tag."""
+    names = [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in _NAMES.finditer(attrs)]
+    main = tag in MAIN or ("role", "main") in names
+    listed = APART_WORDS - {"header"} if inside else APART_WORDS
+    sets = tag in APART or (tag == "header" and not inside)
+    doubt = False
+    if tag not in ("html", "body") and not main:
+        for _, value in names:
+            doubt = doubt or not listed.isdisjoint(_WORDS.findall(value))
+            for name in value.split():
+                words = _WORDS.findall(name)
+                compound = len(words) > 1 and words[0] in APART_FIRST and words[-1] in APART_LAST
+                sets = sets or name in listed or compound
+    return tag + "".join(f"[{n}={v}]" for n, v in names if n != "role"), sets, doubt, main
 
 
 class _Element:
-    """``sets``: its tag or a whole name sets it apart; ``doubt``: only a part of a name would.
+    """``sets``: its tag or a name sets it apart; ``doubt``: a part of a name would; ``firm``: its
+    tag sets it apart whatever it holds.
 
-    ``home`` is the innermost article element it stands in, itself included; ``apart`` counts
-    all elements above it, ``inner`` those within ``home``.
+    ``home`` is the innermost article element it stands in, itself included; ``apart`` tells of
+    all elements above it, ``inner`` of those within ``home``.  ``key`` and ``above`` are tokens of
+    the paths of the block it is in and of the parent of that; ``article`` is the key of the
+    outermost article element.  Children that differ in nothing are one, kept in ``same``.
     """
 
-    __slots__ = ("apart", "article", "doubt", "home", "inner", "parent", "path", "sets", "tag")
-
-    def __init__(self, tag: str, attrs: str, parent: _Element | None):
-        self.tag = tag
-        names = [
-            (m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in _NAMES.finditer(attrs)
-        ]
-        role_main = ("role", "main") in names
-        inside = parent.article if parent else ""
-        is_main = tag in MAIN or role_main
-        listed = APART_WORDS - {"header"} if inside else APART_WORDS
-        nameable = tag not in ("html", "body") and not is_main
+    __slots__ = ("above", "apart", "article", "doubt", "firm", "home", "inner", "key", "parent", "same", "sets")
+
+    def __init__(self, tag: str, traits: tuple, parent: _Element | None):
+        step, self.sets, doubt, main = traits
+        self.firm = tag in APART and tag != "form"
         self.parent = parent
-        self.sets = (
-            tag in APART
-            or (tag == "header" and not inside)
-            or (nameable and any(not listed.isdisjoint(value.split()) for _, value in names))
-        )
+        self.same: dict[tuple[str, str], _Element] = {}
         self.apart = self.sets or (parent.apart if parent else False)
-        self.inner = not is_main and (self.sets or (parent.inner if parent else False))
-        self.doubt = (parent.doubt if parent and not is_main else False) or (
-            nameable
-            and any(not listed.isdisjoint(_WORDS.findall(value)) for _, value in names)
-        )
-        self.home = self if is_main else parent.home if parent else None
+        self.inner = not main and (self.sets or (parent.inner if parent else False))
+        self.doubt = (parent.doubt if parent and not main else False) or doubt
+        self.home = self if main else parent.home if parent else None
+        self.above = parent.key if parent else ROOT
         if tag in INLINE:
-            self.path = parent.path if parent else ""
+            self.key, self.above = (parent.key, parent.above) if parent else (ROOT, ROOT)
         else:
-            own = tag + "".join(f"[{n}={v}]" for n, v in names if n != "role")
-            self.path = f"{parent.path if parent else ''}/{own}"
-        self.article = inside or (self.path if is_main else "")
+            self.key = _token("path", f"{self.above}/{step}")
+        self.article = (parent.article if parent else ROOT) or (self.key if main else ROOT)
+
 
+def _child(tag: str, attrs: str, parent: _Element | None, traits: dict) -> _Element | None:
+    """The element of a start tag; one that is inline and has no attributes is its parent.
 
-def _set_apart(element: _Element | None, spared: set) -> bool:
-    """Whether an element that is not spared sets it apart."""
+    ``traits`` remembers those of the start tags met so far.
+    """
+    if not attrs and tag in INLINE:
+        return parent
+    known = parent.same.get((tag, attrs)) if parent else None
+    if known is None:
+        start = tag, attrs, bool(parent and parent.article)
+        found = traits.get(start)
+        if found is None:
+            found = traits[start] = _traits(*start)
+        known = _Element(tag, found, parent)
+        if parent and not found[1] and not found[3]:
+            parent.same[tag, attrs] = known
+    return known
+
+
+def _chain(element: _Element | None) -> list[_Element]:
+    """An element and all above it, outermost first."""
+    chain = []
     while element is not None:
-        if element.sets and element not in spared:
-            return True
+        chain.append(element)
         element = element.parent
-    return False
+    return chain[::-1]
 
 
 def _spared(blocks: list[tuple[_Element | None, int, str]]) -> set:
@@ -145,153 +188,192 @@ def _spared(blocks: list[tuple[_Element | None, int, str]]) -> set:
         if holder.sets:
             spared.add(holder)
         holder = holder.parent
-    while blocks and not free and not within:
-        outermost = set()
+    if blocks and not free and not within:
+        common = _chain(blocks[0][0])
+        place = {element: i for i, element in enumerate(common)}
+        seen: set[_Element | None] = set()
+        shared = len(common)
         for element, _, _ in blocks:
-            top = None
-            while element is not None:
-                top = element if element.sets and element not in spared else top
+            # The innermost element of the first block's that holds this block as well.
+            while element is not None and element not in place and element not in seen:
+                seen.add(element)
                 element = element.parent
-            outermost.add(top)
-        if len(outermost) > 1 or None in outermost or next(iter(outermost)).tag in APART - {"form"}:
-            break
-        spared |= outermost
+            if element not in seen:
+                shared = min(shared, place[element] + 1 if element is not None else 0)
+        for element in common[:shared]:
+            if element.sets and element.firm:
+                break
+            if element.sets:
+                spared.add(element)
     return spared
 
 
-def page_blocks(page: str) -> Iterator[tuple[str, str, bool, bool, int, str]]:
-    """(element path, path of its article, set apart, in doubt, characters in links, text).
-
-    In doubt are blocks of which a part of a name, but no whole one, is listed: the template
-    tells what they are.
+def page_blocks(page: str, traits: dict) -> Iterator[tuple[_Element | None, bool, int, str]]:
+    """(element, set apart, characters in links, text) of each block.
 
     A block ends where an element that is not inline begins or ends.  Paragraphs and list items
     that are not closed end at the next one; an unclosed tag at the end of the page is no text.
+    ``traits`` is a dictionary that the pages of a batch share.
     """
-    found = list(_raw_blocks(page))
+    found = list(_raw_blocks(page, traits))
     spared = _spared(found)
+    known: dict[_Element | None, bool] = {None: False}
     for element, links, text in found:
-        yield (
-            element.path if element else "",
-            element.article if element else "",
-            bool(element and element.apart) and (not spared or _set_apart(element, spared)),
-            bool(element and element.doubt),
-            links,
-            text,
-        )
+        apart = bool(element and element.apart)
+        if apart and spared:
+            apart = _known_above(element, known, lambda e: e.sets and e not in spared)
+        yield element, apart, links, text
 
 
-def _raw_blocks(page: str) -> Iterator[tuple[_Element | None, int, str]]:
-    """(element, characters in links, text) of each block."""
-    stack: list[_Element] = []
+def _known_above(element: _Element | None, known: dict, holds: Callable[[_Element], bool]) -> bool:
+    """Whether something holds of an element or one above it; ``known`` has the answers so far."""
+    path = []
+    while element not in known:
+        path.append(element)
+        element = element.parent
+    answer = known[element]
+    for element in reversed(path):
+        answer = known[element] = answer or holds(element)
+    return answer
+
+
+def _raw_blocks(page: str, traits: dict) -> Iterator[tuple[_Element | None, int, str]]:
+    """(element, characters in links, text) of each block, in time linear in the page."""
+    tags: list[str] = []
+    elements: list[_Element | None] = []
+    blocks: list[int] = []  # places of elements that are not inline
+    still_open: dict[str, int] = defaultdict(int)
     parts: list[str] = []
     at: _Element | None = None
     links = 0
 
-    def flush():
-        nonlocal parts, links, at
-        text = " ".join(html.unescape("".join(parts)).split())
-        here, count = at, links
-        parts, links, at = [], 0, None
-        if text:
-            yield here, count, text
+    def close(depth: int) -> None:
+        for tag in tags[depth:]:
+            still_open[tag] -= 1
+        del tags[depth:], elements[depth:]
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
 
     pos, size = 0, len(page)
     while pos < size:
-        match = _TOKEN.match(page, pos)
-        pos = match.end()
-        text = match["text"]
-        if text is not None:
+        start = page.find("<", pos)
+        start = size if start < 0 else start
+        match = None
+        if start == pos:
+            if page.startswith(("<!", "<?"), pos):
+                comment = page.startswith("<!--", pos)
+                end = page.find("-->", pos + 4) if comment else page.find(">", pos)
+                pos = size if end < 0 else end + (3 if comment else 1)
+                continue
+            match = _TAG.match(page, pos)
+            start += 1
+        if match is None:
             if not parts:
-                at = stack[-1] if stack else None
-            parts.append(text)
-            if any(e.tag == "a" for e in stack):
-                links += len(text)
-            continue
-        if match["tag"] is None:
+                at = elements[-1] if elements else None
+            parts.append(page[pos:start])
+            links += start - pos if still_open["a"] else 0
+            pos = start
             continue
-        tag = match["tag"].lower()
+        pos = match.end()
+        ends, tag, attrs = match.group(1, 2, 3) if match[2] else match.group(4, 5, 6)
+        tag = tag.lower()
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in RAW and not match["end"]:
-            close = regex.compile(rf"</{tag}\b[^>]*+>", regex.IGNORECASE).search(page, pos)
-            pos = close.end() if close else size
+        if tag in RAW and not ends:
+            match = _CLOSE[tag].search(page, pos)
+            pos = match.end() if match else size
             continue
-        if tag not in INLINE:
-            yield from flush()
-        if match["end"]:
-            if any(e.tag == tag for e in stack):
-                while stack.pop().tag != tag:
-                    pass
+        inline = tag in INLINE
+        if parts and not inline:
+            text = " ".join(html.unescape("".join(parts)).split())
+            if text:
+                yield at, links, text
+            parts, links, at = [], 0, None
+        if ends:
+            if still_open[tag]:
+                depth = len(tags) - 1
+                while tags[depth] != tag:
+                    depth -= 1
+                close(depth)
             continue
-        if tag not in INLINE and tag not in VOID:
+        if tag in VOID:
+            continue
+        if not inline:
             # What HTML closes by itself: a paragraph before any block, an item before the next.
-            for closed in ("p", tag if tag in ("li", "dt", "dd", "tr", "td", "th", "option") else "p"):
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag not in INLINE), -1)
-                if depth >= 0 and stack[depth].tag == closed:
-                    del stack[depth:]
-        if tag not in VOID and not (match["attrs"] or "").endswith("/"):
-            stack.append(_Element(tag, match["attrs"] or "", stack[-1] if stack else None))
-    yield from flush()
-
-
-def _token(kind: str, value: str) -> int:
-    return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
+            for closed in ("p", tag if tag in ITEMS else "p"):
+                if blocks and tags[blocks[-1]] == closed:
+                    close(blocks[-1])
+        if not attrs.endswith("/"):
+            if not inline:
+                blocks.append(len(tags))
+            elements.append(_child(tag, attrs, elements[-1] if elements else None, traits))
+            tags.append(tag)
+            still_open[tag] += 1
+    text = " ".join(html.unescape("".join(parts)).split())
+    if text:
+        yield at, links, text
 
 
 #: Kinds of tokens.
 PAGE, ARTICLE_PAGE, PATH, TEXT, ARTICLE_TEXT = range(5)
 
 
-def _text_token(article: str, text: str) -> int:
+def _text_token(article: int, text: str) -> int:
     return _token("line" if article else "text", text)
 
 
+def _where(element: _Element | None) -> tuple[int, int, int, bool]:
+    """(path, path above it, path of its article, in doubt) of a block."""
+    if element is None:
+        return ROOT, ROOT, ROOT, False
+    return element.key, element.above, element.article, element.doubt
+
+
 def _page_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per host, token and content of a page (its text outside links) in a batch.
 
-    Copies in a batch are one row already; a path is written out once in a batch.
+    Copies in a batch are one row already.
     """
     names = ["host", "token", "content", "kind", "n", "chars", "links", "around", "place", "role"]
-    names += ["doubt", "path", "article"]
-    kinds = [pa.string(), *[pa.int64()] * 8, pa.int32(), pa.bool_(), pa.string(), pa.string()]
+    names += ["doubt", "above", "article"]
+    kinds = [pa.string(), *[pa.int64()] * 8, pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+    any_page, article_page = _token("page", ""), _token("page", "article")
     for batch in batches:
         facts: dict[tuple[str, int, int], tuple] = {}
-        written: set[tuple[str, int]] = set()
-        for host, page in zip(batch["host"], batch["html"]):
-            host = host.as_py()
-            seen: dict[int, list] = {}
+        traits: dict = {}
+        for host, page in zip(batch["host"].to_pylist(), batch["html"]):
+            # Kind, occurrences, characters, in links, first block, role, in doubt, paths.
+            seen: dict[int, list] = {any_page: [PAGE, 1, 0, 0, 0, 0, False, ROOT, ROOT]}
             content = xxhash.xxh64()
             around = 0
-            for place, block in enumerate(page_blocks(page.as_py() or "")):
-                path, article, apart, doubt, links, text = block
-                # Kind, occurrences, characters, in links, first block, role, in doubt, paths.
-                role = 2 if apart else 1 if article else 0
-                tokens = [(_token("path", path), [PATH, 0, 0, 0, place, role, doubt, path, article])]
+            blocks = page_blocks(page.as_py() or "", traits)
+            for place, (element, apart, links, text) in enumerate(blocks):
+                key, above, article, doubt = _where(element)
+                size = len(text)
+                if key not in seen:
+                    role = 2 if apart else 1 if article else 0
+                    seen[key] = [PATH, 0, 0, 0, place, role, doubt, above, article]
+                tokens = [key]
                 if not apart:
-                    kind = ARTICLE_TEXT if article else TEXT
-                    tokens.append((_text_token(article, text), [kind, 0, 0, 0, place, 0, doubt, "", ""]))
+                    token = _text_token(article, text)
+                    if token not in seen:
+                        kind = ARTICLE_TEXT if article else TEXT
+                        seen[token] = [kind, 0, 0, 0, place, 0, doubt, ROOT, ROOT]
+                    tokens.append(token)
+                    if links * 2 < size:
+                        content.update(text + "\n")
+                        around += size - links
                 if article:
-                    seen[_token("page", "article")] = [ARTICLE_PAGE, 1, 0, 0, 0, 0, False, "", ""]
-                for token, fact in tokens:
-                    fact = seen.setdefault(token, fact)
+                    seen[article_page] = [ARTICLE_PAGE, 1, 0, 0, 0, 0, False, ROOT, ROOT]
+                for token in tokens:
+                    fact = seen[token]
                     fact[1] += 1
-                    fact[2] += len(text)
+                    fact[2] += size
                     fact[3] += links
-                if not apart and links * 2 < len(text):
-                    content.update(text + "\n")
-                    around += len(text) - links
-            seen[_token("page", "")] = [PAGE, 1, 0, 0, 0, 0, False, "", ""]
             digest = content.intdigest() - (1 << 63)
-            for token, fact in seen.items():
-                kind, n, chars, links, place, role, doubt, *paths = fact
-                if (host, token) in written:
-                    paths = [None, None]
-                written.add((host, token))
-                key = host, token, digest
-                if key not in facts:
-                    facts[key] = (kind, n, chars, links, around, place, role, doubt, *paths)
+            for token, (kind, n, chars, links, *rest) in seen.items():
+                facts.setdefault((host, token, digest), (kind, n, chars, links, around, *rest))
         rows = [(*k, *v) for k, v in facts.items()]
         columns = list(zip(*rows)) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays(
@@ -304,8 +386,8 @@ def _plain(t: dict) -> bool:
     return t["links"] * 2 < t["chars"]
 
 
-def main_containers(template: list[dict]) -> list[str]:
-    """Paths of the elements that hold the article.
+def main_containers(template: list[dict]) -> list[int]:
+    """Tokens of paths of the elements that hold the article.
 
     ``template``: facts of paths, each with its class.  Article elements are it themselves.
     Else the parent under which one class has most text outside links; whatever is nested
@@ -317,7 +399,7 @@ def main_containers(template: list[dict]) -> list[str]:
     weight: dict[tuple, int] = defaultdict(int)
     for t in template:
         if t["role"] == 0 and _plain(t):
-            weight[t["path"].rpartition("/")[0], *t["class"]] += t["chars"] - t["links"]
+            weight[t["above"], *t["class"]] += t["chars"] - t["links"]
     return [max(weight, key=lambda p: (weight[p], p))[0]] if weight else []
 
 
@@ -352,7 +434,7 @@ def _templates(part: pd.DataFrame) -> pd.DataFrame:
         for t in facts:
             t["class"] = (t["pages"], t["total"], t["vector"])
         paths = [t for t in facts if t["kind"] == PATH]
-        containers = main_containers([t for t in paths if t["path"]])
+        containers = main_containers([t for t in paths if t["token"] != ROOT])
         aside = [t["token"] for t in paths if t["doubt"] and not _plain(t)]
         fixed = [[t["token"] for t in c] for c in template_classes(facts)]
         rows.append((host, containers, fixed, aside))
@@ -366,14 +448,14 @@ def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) ->
         .mapInArrow(
             _page_facts,
             "host string, token long, content long, kind long, n long, chars long, links long, "
-            "around long, place long, role int, doubt boolean, path string, article string",
+            "around long, place long, role int, doubt boolean, above long, article long",
         )
         .groupBy("host", "token", "content")
         .agg(
             *[F.max(c).alias(c) for c in ("kind", "n", "chars", "links", "around")],
             F.min("place").alias("place"),
             F.min("role").alias("role"),
-            *[F.max(c).alias(c) for c in ("doubt", "path", "article")],
+            *[F.max(c).alias(c) for c in ("doubt", "above", "article")],
         )
     )
     facts = (
@@ -384,7 +466,7 @@ def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) ->
             F.expr("bit_xor(xxhash64(content, n))").alias("vector"),
             *[F.sum(c).alias(c) for c in ("chars", "links", "around", "place")],
             F.min("role").alias("role"),
-            *[F.max(c).alias(c) for c in ("kind", "doubt", "path", "article")],
+            *[F.max(c).alias(c) for c in ("kind", "doubt", "above", "article")],
         )
         .filter(F.col("pages") >= least_pages)
     )
@@ -405,72 +487,83 @@ def deduce_templates(pages: DataFrame, least_pages: int, least_share: float) ->
     )
     # The tokens of a host are bounded by the length of its pages: each has a share of them.
     return frequent.groupBy("host").applyInPandas(
-        _templates, "host string, main array<string>, fixed array<array<long>>, aside array<long>"
+        _templates, "host string, main array<long>, fixed array<array<long>>, aside array<long>"
     )
 
 
-def _within(path: str, containers: list[str]) -> bool:
-    return any(f"{path}/".startswith(f"{c}/") for c in containers)
-
-
-def in_order(tokens: list[int], classes: list[list[int]]) -> set[int]:
-    """Template tokens of a page: of each class, a longest run of first occurrences in its order."""
-    place = {token: (c, i) for c, members in enumerate(classes) for i, token in enumerate(members)}
-    found: dict[int, list[int]] = defaultdict(list)
-    for token in dict.fromkeys(tokens):
-        if token in place:
-            number, rank = place[token]
-            found[number].append(rank)
-    kept = set()
-    for number, ranks in found.items():
-        ends: list[int] = []
-        ends_at: list[int] = []
-        before: list[int] = []
-        for i, rank in enumerate(ranks):
-            at = bisect_left(ends, rank)
-            ends[at : at + 1] = [rank]
-            ends_at[at : at + 1] = [i]
-            before.append(ends_at[at - 1] if at else -1)
-        i = ends_at[-1]
-        while i >= 0:
-            kept.add(classes[number][ranks[i]])
-            i = before[i]
-    return kept
-
-
-def page_text(
-    page: str, main: list[str] | None, fixed: list[list[int]] | None, aside: list[int] | None
-) -> str:
-    """Article blocks of a page, joined by two line feeds.
-
-    A page that its host's template does not fit, or whose host has none, is a template of its
-    own: each of its paths is a class.
-    """
-    left = set(aside or ())
-    blocks = [
-        b
-        for b in page_blocks(page)
-        if not b[2] and not (b[3] and left and _token("path", b[0]) in left)
-    ]
-    if not any(_within(path, main or []) for path, *_ in blocks):
-        facts: dict[str, dict] = {}
-        for path, article, _, _, links, text in blocks:
-            fact = facts.setdefault(
-                path,
-                {"path": path, "article": article, "class": (path,), "chars": 0, "links": 0}
-                | {"role": 1 if article else 0},
-            )
-            fact["chars"] += len(text)
-            fact["links"] += links
-        main = main_containers(list(facts.values()))
-    inside = [(article, text) for path, article, *_, text in blocks if _within(path, main)]
-    if not fixed:
-        return "\n\n".join(text for _, text in inside)
-    tokens = [_text_token(article, text) for _, article, *_, text in blocks]
-    known = in_order(tokens, fixed)
-    return "\n\n".join(
-        text for article, text in inside if _text_token(article, text) not in known
-    )
+class _Template:
+    """What a host's row of ``deduce_templates`` says, for use on its pages."""
+
+    def __init__(
+        self, main: list[int] | None, fixed: list[list[int]] | None, aside: list[int] | None
+    ):
+        self.main = frozenset(main or ())
+        self.aside = frozenset(aside or ())
+        self.classes = fixed or []
+        self.place = {
+            token: (c, i) for c, members in enumerate(self.classes) for i, token in enumerate(members)
+        }
+
+    def in_order(self, tokens: list[int]) -> set[int]:
+        """Template tokens of a page: of each class, a longest run of first occurrences in order."""
+        found: dict[int, list[int]] = defaultdict(list)
+        for token in dict.fromkeys(tokens):
+            if token in self.place:
+                number, rank = self.place[token]
+                found[number].append(rank)
+        kept = set()
+        for number, ranks in found.items():
+            ends: list[int] = []
+            ends_at: list[int] = []
+            before: list[int] = []
+            for i, rank in enumerate(ranks):
+                at = bisect_left(ends, rank)
+                ends[at : at + 1] = [rank]
+                ends_at[at : at + 1] = [i]
+                before.append(ends_at[at - 1] if at else -1)
+            i = ends_at[-1]
+            while i >= 0:
+                kept.add(self.classes[number][ranks[i]])
+                i = before[i]
+        return kept
+
+    def text(self, page: str, traits: dict) -> str:
+        """Article blocks of a page, joined by two line feeds.
+
+        A page that its host's template does not fit, or whose host has none, is a template of
+        its own: each of its paths is a class.
+        """
+        blocks = []
+        for element, apart, links, text in page_blocks(page, traits):
+            key, above, article, doubt = _where(element)
+            if not apart and not (doubt and key in self.aside):
+                blocks.append((element, key, above, article, links, text))
+        inside = _inside(blocks, self.main)
+        if not inside:
+            facts: dict[int, dict] = {}
+            for _, key, above, article, links, text in blocks:
+                fact = facts.setdefault(
+                    key,
+                    {"above": above, "article": article, "class": (key,), "chars": 0, "links": 0}
+                    | {"role": 1 if article else 0},
+                )
+                fact["chars"] += len(text)
+                fact["links"] += links
+            inside = _inside(blocks, frozenset(main_containers(list(facts.values()))))
+        known: set[int] = set()
+        if self.place:
+            known = self.in_order([_text_token(b[3], b[5]) for b in blocks])
+        return "\n\n".join(
+            text
+            for *_, article, _, text in inside
+            if not known or _text_token(article, text) not in known
+        )
+
+
+def _inside(blocks: list[tuple], containers: frozenset[int]) -> list[tuple]:
+    """Blocks in an element whose path is one of some; all are in the root."""
+    answers: dict[_Element | None, bool] = {None: ROOT in containers}
+    return [b for b in blocks if _known_above(b[0], answers, lambda e: e.key in containers)]
 
 
 def extract_text(
@@ -495,7 +588,8 @@ def extract_text(
     templates = shared_table(deduce_templates(rows, least_pages, least_share), "page-templates")
     size = templates.agg(
         F.sum(
-            8 * F.size(F.flatten("fixed")) + 8 * F.size("fixed") + 8 * F.size("aside") + F.length(F.concat_ws(" ", "main")) + F.length("host") + 64
+            8 * (F.size(F.flatten("fixed")) + F.size("fixed") + F.size("aside") + F.size("main"))
+            + F.length("host") + 64
         ).alias("bytes")
     ).first()["bytes"]
     if (size or 0) <= BROADCAST_BYTES:
@@ -504,12 +598,13 @@ def extract_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                page_text(page.as_py() or "", *(v.as_py() for v in template))
-                for page, *template in zip(
-                    batch["html"], batch["main"], batch["fixed"], batch["aside"]
-                )
-            ]
+            known: dict[str, _Template] = {}
+            traits: dict = {}
+            texts = []
+            for i, (host, page) in enumerate(zip(batch["host"].to_pylist(), batch["html"])):
+                if host not in known:
+                    known[host] = _Template(*(batch[c][i].as_py() for c in ("main", "fixed", "aside")))
+                texts.append(known[host].text(page.as_py() or "", traits))
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], batch["url"], pa.array(texts, pa.string())], ["id", "url", "text"]
             )

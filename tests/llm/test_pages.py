@@ -1,5 +1,8 @@
 """URL rules with aliases, and main text of pages."""
 
+import time
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +153,58 @@ def test_wrappers_are_not_set_apart(spark, page):
     assert text_of(spark, [(1, "http://h.org/1", page.format(body))]) == [(1, text, len(text))]
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["comment-list", "comments-area", "cookie-banner", "ad-container", "newsletter-signup", "sponsored-content"],
+)
+@pytest.mark.parametrize("place", ["<article>{0}{1}</article>", "<article>{0}</article>{1}", "<div>{0}</div>{1}"])
+def test_compound_names_set_apart(name, place):
+    page = place.format("<p>What the article says, at some length</p>", f"<div class='x {name}'><p>Other</p></div>")
+    template = html_template._Template([], [], [])
+    assert template.text(page, {}) == "What the article says, at some length"
+
+
+def test_formulas_stay():
+    page = "<article><p>So <math><mi>a</mi><mo>=</mo><mn>1</mn><annotation>a=1</annotation></math> holds</p></article>"
+    assert html_template._Template([], [], []).text(page, {}) == "So a=1 holds"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<b>x" * 200_000, "<b class=y>x" * 200_000, "<div>x" * 20_000, "<p>x" * 100_000]
+    + ["<form>" * 20_000 + "x", "<div><b>" * 50_000 + "</i>" * 50_000 + "x", "<b '>x" * 100_001],
+)
+def test_time_is_linear_in_the_page(page):
+    start = time.process_time()
+    assert "x" in html_template._Template([], [], []).text(page, {})
+    assert time.process_time() - start < 20
+
+
+def test_deduction_equals_brute_force():
+    """Fingerprints and partial counts find the classes that whole occurrence vectors give."""
+    pages = [
+        "".join(f"<p>{w}</p>" for w in f"top {'even' if i % 2 else 'odd'} own{i} low low".split())
+        for i in range(12)
+    ]
+    batch = pa.RecordBatch.from_pydict({"host": ["h"] * 12, "html": pages})
+    vectors, found = {}, {}
+    for i, page in enumerate(pages):
+        words = [text for *_, text in html_template.page_blocks(page, {})]
+        for word in words:
+            vectors.setdefault(word, [0] * 12)[i] += 1
+    halves = [batch.slice(0, 5), batch.slice(5)]
+    for out in html_template._page_facts(iter(halves)):
+        for r in out.to_pylist():
+            if r["kind"] == html_template.TEXT:
+                found.setdefault(r["token"], set()).add((r["content"], r["n"]))
+    groups, expected = {}, {}
+    for token, vector in found.items():
+        groups.setdefault(frozenset(vector), set()).add(token)
+    for word, vector in vectors.items():
+        expected.setdefault(tuple(vector), set()).add(html_template._text_token(0, word))
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_template_decides_on_parts_of_names(spark):
     rows = []
     for i in range(6):
@@ -189,7 +244,8 @@ def test_template_text_inside_articles(spark):
 
 
 def test_classes_keep_their_order():
-    assert html_template.in_order([5, 1, 9, 2, 3, 2], [[1, 2, 3], [9, 5]]) == {1, 2, 3, 9}
+    template = html_template._Template([], [[1, 2, 3], [9, 5]], [])
+    assert template.in_order([5, 1, 9, 2, 3, 2]) == {1, 2, 3, 9}
 
 
 @pytest.mark.parametrize("sign", ["&amp;", "&#38;", "&#x26;", "&#038;"])
