@@ -180,8 +180,8 @@ def test_time_is_linear_in_the_page(page):
     assert time.process_time() - start < 20
 
 
-def test_deduction_equals_brute_force():
-    """Fingerprints and partial counts find the classes that whole occurrence vectors give."""
+def test_page_facts_tell_occurrence_vectors_apart():
+    """The facts of two batches group tokens as whole occurrence vectors do."""
     pages = [
         "".join(f"<p>{w}</p>" for w in f"top {'even' if i % 2 else 'odd'} own{i} low low".split())
         for i in range(12)
