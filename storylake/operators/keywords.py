@@ -1,10 +1,11 @@
 """Keyword extraction with the statistical term features of Campos et al. (2020).
 
-All features are local to an article, so articles are placed once and everything that follows
-keeps that placement: the words of all sentences become rows, are combined per article and term,
-get the term's score, and go back into their sentences, where n-grams are formed from scored
-words.  No row carries more than its own occurrence, no word is looked up in a list, and the text
-moves in one exchange.
+All features are local to an article, and so is the work: its words are an array that is sorted to
+bring equal terms together, cut into runs that give the terms' scores, and sorted back into
+sentences, where n-grams are formed from scored words and counted by one more sort.  Articles are
+dealt out once, the only exchange.  No word becomes a row, so no task sorts, gathers or spills the
+words of many articles: it holds those of one, whatever the size of the table.  Entries are
+reached by position and never searched for, so an article costs what sorting its words costs.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storylake.constants import STOPWORDS
@@ -30,54 +30,69 @@ RANK_DIGITS = 12
 Stopwords = Mapping[str, Sequence[str]]
 
 
-def _occurrences(df: DataFrame, text_column: str, language_column: str) -> DataFrame:
-    """One row per word: its sentence, its position there, itself and its neighbours.
+#: More than the words of any sentence.
+_PLACE_BITS = 32
 
-    Articles and sentences without words have a row of nulls, so that no article is lost.
-    """
-    parted = place_by_article(df).select(
-        ROW_KEY,
-        F.col(language_column).alias("_language"),
-        sentences(F.col(text_column)).alias("_parts"),
-    )
-    parted = parted.select(
-        ROW_KEY, "_language", F.size("_parts").alias("_total"), F.posexplode_outer("_parts").alias("_place", "_part")
-    )
-    words = F.regexp_extract_all("_part", F.lit(TOKEN), F.lit(0))
-    # Neighbours are taken here, so that no row carries the rest of its sentence.
-    beside = F.transform(
-        words,
-        lambda word, at: F.struct(
-            word.alias("word"),
-            F.get("_words", at - 1).alias("left"),
-            F.get("_words", at + 1).alias("right"),
-        ),
-    )
-    return (
-        parted.withColumn("_words", words)
-        .select(ROW_KEY, "_language", "_total", "_place", F.posexplode_outer(beside).alias("_at", "_w"))
-        .select(
-            ROW_KEY, "_language", "_total", "_place", "_at", "_w.word", "_w.left", "_w.right",
-            F.lower("_w.word").alias("term"),
-            # A place in the article as one number: the sentence, then the word.
-            (F.col("_place").cast("long") * _PLACES + F.col("_at")).alias("_seen"),
+
+def _words(parts: Column) -> Column:
+    """The words of all sentences in order, each with its place: the sentence, then the word."""
+
+    def of_sentence(part: Column, place: Column) -> Column:
+        return F.transform(
+            F.regexp_extract_all(part, F.lit(TOKEN), F.lit(0)),
+            lambda word, at: F.struct(
+                (F.shiftleft(place.cast("long"), _PLACE_BITS) + at).alias("seen"),
+                (at > 0).alias("inner"),
+                word.alias("word"),
+                F.lower(word).alias("term"),
+            ),
+        )
+
+    return F.flatten(F.transform(parts, of_sentence))
+
+
+def _occurrences(words: Column) -> Column:
+    """The words with what their term's features need, equal terms side by side."""
+
+    def occurrence(word: Column, at: Column) -> Column:
+        # A word that is not the first of its sentence has the one before it in there too.
+        follower, text = F.get(words, at + 1), word["word"]
+        left = F.when(word["inner"], F.xxhash64(F.get(words, at - 1)["term"]))
+        right = F.when(follower["inner"], F.xxhash64(follower["term"]))
+        # Most words have a small ASCII letter, which differs from its capital.
+        capitals = (F.length(text) > 1) & ~text.rlike("[a-z]") & (text == F.upper(text))
+        return F.struct(
+            word["term"].alias("term"),
+            word["seen"].alias("seen"),
+            left.alias("left"),
+            right.alias("right"),
+            (capitals & text.rlike(r"\p{L}")).alias("acronym"),
+            (word["inner"] & text.rlike(r"^\p{Lu}")).alias("capital"),
         )
-    )
 
+    return F.sort_array(F.transform(words, occurrence))
 
-#: More than the words of any sentence.
-_PLACES = 1 << 32
+
+def _starts(ordered: Column, field: str) -> Column:
+    """Where the runs of equal values of a field start in a sorted array."""
+
+    def start(entry: Column, at: Column) -> Column:
+        return F.when((at == 0) | (F.get(ordered, at - 1)[field] != entry[field]), at)
+
+    return F.filter(F.transform(ordered, start), lambda at: at.isNotNull())
 
 
-def _neighbours(side: str) -> tuple[Column, Column]:
-    """Number of a term's neighbours on one side, and the different ones (by 64-bit hashes)."""
-    hashed = F.when(F.col(side).isNotNull(), F.xxhash64(F.lower(F.col(side))))
-    return F.count(side).alias(f"{side}_all"), F.collect_set(hashed).alias(side)
+def _run_length(ordered: Column, starts: Column, start: Column, number: Column) -> Column:
+    return F.coalesce(F.get(starts, number + 1), F.size(ordered)) - start
 
 
-def _variety(side: str) -> Column:
-    """Distinct neighbours as a share of all neighbours on one side."""
-    return F.coalesce(F.size(side) / F.nullif(F.col(f"{side}_all"), F.lit(0)), F.lit(0.0))
+def _variety(run: Column, side: str) -> Column:
+    """Distinct neighbours (by 64-bit hashes) as a share of all neighbours on one side."""
+    share = F.transform(
+        F.array(F.filter(run[side], lambda other: other.isNotNull())),
+        lambda beside: F.size(F.array_distinct(beside)) / F.nullif(F.size(beside), F.lit(0)),
+    )
+    return F.coalesce(share[0], F.lit(0.0))
 
 
 def _median(ordered: Column) -> Column:
@@ -87,94 +102,171 @@ def _median(ordered: Column) -> Column:
     ) / 2
 
 
+def _features(run: Column, language: Column, total: Column, stopwords: Stopwords) -> Column:
+    """What is known of a term from its own occurrences."""
+    tf, term = F.size(run), run[0]["term"]
+    places = F.transform(run, lambda word: F.shiftright(word["seen"], _PLACE_BITS))
+    cased = F.greatest(*[F.size(F.filter(run, lambda word: word[kind])) for kind in ("acronym", "capital")])
+    return F.struct(
+        term.alias("term"),
+        tf.cast("long").alias("tf"),
+        is_stopword(term, language, stopwords).alias("is_stop"),
+        (_variety(run, "left") + _variety(run, "right")).alias("variety"),
+        F.log(F.log(3 + _median(places))).alias("position"),
+        (cased / (1 + F.log(tf))).alias("case"),
+        (F.size(F.array_distinct(places)) / F.nullif(total, F.lit(0))).alias("spread"),
+        run["seen"].alias("seen"),
+    )
+
+
+def _frequencies(terms: Column) -> Column:
+    """The highest frequency of an article's terms, and number, sum and squares of content terms."""
+
+    def step(state: Column, term: Column) -> Column:
+        content = F.when(term["is_stop"], F.lit(0)).otherwise(F.lit(1)).cast("long")
+        return F.struct(
+            F.greatest(state["most"], term["tf"]).alias("most"),
+            (state["n"] + content).alias("n"),
+            (state["total"] + content * term["tf"]).alias("total"),
+            (state["squares"] + content * term["tf"] * term["tf"]).alias("squares"),
+        )
+
+    zero = F.lit(0).cast("long")
+    start = F.struct(*[zero.alias(name) for name in ("most", "n", "total", "squares")])
+
+    def finish(state: Column) -> Column:
+        mean, square = (state[name] / F.nullif(state["n"], zero) for name in ("total", "squares"))
+        level = mean + F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+        return F.struct(state["most"].alias("most"), level.alias("level"))
+
+    return F.aggregate(terms, start, step, finish)
+
+
+def _scored(terms: Column, article: Column) -> Column:
+    """The terms with their scores."""
+
+    def score(term: Column) -> Column:
+        parts = F.struct(
+            (1 + term["variety"] * term["tf"] / article["most"]).alias("related"),
+            F.coalesce(term["tf"] / article["level"], F.lit(0.0)).alias("norm"),
+        )
+        value = F.transform(
+            F.array(parts),
+            lambda part: part["related"] * term["position"]
+            / (term["case"] + part["norm"] / part["related"] + term["spread"] / part["related"]),
+        )
+        same = [term[name].alias(name) for name in ("term", "tf", "is_stop")]
+        return F.struct(*same, value[0].alias("term_score"), term["seen"].alias("seen"))
+
+    return F.transform(terms, score)
+
+
+def _with(df: DataFrame, name: str, value: Column, *kept: str | Column) -> DataFrame:
+    """The kept columns and a computed one, which is a column for good.
+
+    What leaves a generator is not merged into the expressions above it, which would compute it
+    for every entry that refers to it, nor copied below it by filters on what follows.
+    """
+    return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
+
+
 def _scored_terms(
-    df: DataFrame, text_column: str, language_column: str, stopwords: Stopwords
+    df: DataFrame, carried: Sequence[str], text_column: str, language_column: str, stopwords: Stopwords
 ) -> DataFrame:
-    """One row per article and term: tf, is_stop, term_score, and where it stands (``seen``)."""
-    word = F.col("word")
-    cased = (F.length(word) > 1) & (word == F.upper(word)) & word.rlike(r"\p{L}")
-    terms = (
-        _occurrences(df, text_column, language_column)
-        .groupBy(ROW_KEY, "term")
-        .agg(
-            F.count("*").alias("tf"),
-            F.count_if(cased).alias("acronyms"),
-            F.count_if((F.col("_at") > 0) & word.rlike(r"^\p{Lu}")).alias("capitals"),
-            F.max("_total").alias("total"),
-            F.max("_language").alias("language"),
-            *_neighbours("left"),
-            *_neighbours("right"),
-            F.sort_array(F.collect_list("_seen")).cast("array<bigint>").alias("seen"),
-        )
-        .withColumn("places", F.transform("seen", lambda s: F.floor(s / _PLACES)))
-        .withColumn("is_stop", is_stopword(F.col("term"), F.col("language"), stopwords))
-    )
-    article = W.partitionBy(ROW_KEY)
-    is_word = F.col("term").isNotNull()
-    content = F.when(is_word & ~F.col("is_stop"), F.col("tf"))
-    terms = terms.withColumns(
-        {
-            "most": F.max(F.when(is_word, F.col("tf"))).over(article),
-            "mean": F.avg(content).over(article),
-            "square": F.avg(content * content).over(article),
-        }
+    """``_row`` with the carried columns, and ``_terms``: term, tf, is_stop, term_score, and where it stands."""
+    none = F.array().cast("array<string>")
+    steps = place_by_article(df).select(
+        F.struct(*carried).alias("_row"), F.col(language_column).alias("_language"), F.col(text_column).alias("_text")
     )
-    level = F.col("mean") + F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))
-    terms = terms.select(
-        "*",
-        (1 + (_variety("left") + _variety("right")) * F.col("tf") / F.col("most"))
-        .alias("related"),
-        F.log(F.log(3 + _median(F.col("places")))).alias("position"),
-        (F.greatest("acronyms", "capitals") / (1 + F.log("tf"))).alias("case"),
-        F.coalesce(F.col("tf") / level, F.lit(0.0)).alias("norm"),
-        (F.size(F.array_distinct("places")) / F.nullif(F.col("total"), F.lit(0))).alias("spread"),
+    steps = _with(steps, "_parts", F.coalesce(sentences(F.col("_text")), none), "_row", "_language")
+    steps = _with(steps, "_words", _words(F.col("_parts")), "_row", "_language", F.size("_parts").alias("_total"))
+    steps = _with(steps, "_found", _occurrences(F.col("_words")), "_row", "_language", "_total")
+    found, starts = F.col("_found"), F.col("_starts")
+    steps = _with(steps, "_starts", _starts(found, "term"), "*")
+    runs = F.transform(
+        starts, lambda start, number: F.slice(found, start + 1, _run_length(found, starts, start, number))
     )
-    score = F.expr("related * position / (case + norm / related + spread / related)")
-    return terms.select(ROW_KEY, "term", "tf", "is_stop", score.alias("term_score"), "seen")
-
-
-def _grams(ngram_max: int) -> Column:
-    """n-grams that start at a scored word and have content words at both ends; else nulls."""
-    names, product, total, whole = F.col("term"), F.col("score"), F.col("score"), F.col("content")
-    sentence = W.partitionBy(ROW_KEY, "place").orderBy("seen")
-    following = F.struct("term", "score", "lettered", "content")
-    found = [F.when(whole, F.struct(names.alias("keyword"), product.alias("product"), total.alias("total")))]
-    for i in range(1, ngram_max):
-        # Null where the sentence ends earlier.
-        word = F.lead(following, i).over(sentence)
-        names = F.concat(names, F.lit(" "), word["term"])
-        product, total, whole = product * word["score"], total + word["score"], whole & word["lettered"]
-        gram = F.struct(names.alias("keyword"), product.alias("product"), total.alias("total"))
-        found.append(F.when(whole & word["content"], gram))
-    return F.array(*found)
+    terms = F.transform(runs, lambda run: _features(run, F.col("_language"), F.col("_total"), stopwords))
+    steps = _with(steps, "_terms", terms, "_row")
+    steps = _with(steps, "_article", _frequencies(F.col("_terms")), "*")
+    return _with(steps, "_terms", _scored(F.col("_terms"), F.col("_article")), "_row")
 
 
-def _candidates(
-    df: DataFrame, ngram_max: int, text_column: str, language_column: str, stopwords: Stopwords
-) -> DataFrame:
-    """``ingest_seq, keyword, kf, score`` with rounded scores, and one null keyword for some articles."""
-    lettered = F.col("term").rlike(r"\p{L}")
-    words = (
-        _scored_terms(df, text_column, language_column, stopwords)
-        .select(
-            ROW_KEY,
-            F.col("term_score").alias("score"),
-            "term",
+def _in_order(terms: Column) -> Column:
+    """The words of the article in order, with the scores of their terms."""
+
+    def placed(term: Column) -> Column:
+        lettered = term["term"].rlike(r"\p{L}")
+        facts = F.struct(
+            term["term"].alias("term"),
+            term["term_score"].alias("score"),
             lettered.alias("lettered"),
-            (lettered & ~F.col("is_stop")).alias("content"),
-            F.explode_outer("seen").alias("seen"),
+            (lettered & ~term["is_stop"]).alias("content"),
+            term["seen"].alias("seen"),
         )
-        .withColumn("place", F.floor(F.col("seen") / _PLACES))
-    )
-    score = F.col("product") / (F.col("kf") * (1 + F.col("total")))
-    return (
-        words.select(ROW_KEY, _grams(ngram_max).alias("grams"))
-        .select(ROW_KEY, F.explode("grams").alias("gram"))
-        .groupBy(ROW_KEY, "gram.keyword")
+        return F.flatten(
+            F.transform(
+                F.array(facts),
+                lambda fact: F.transform(
+                    fact["seen"],
+                    lambda seen: F.struct(
+                        seen.alias("seen"),
+                        (seen.bitwiseAND((1 << _PLACE_BITS) - 1) > 0).alias("inner"),
+                        *[fact[name].alias(name) for name in ("term", "score", "lettered", "content")],
+                    ),
+                ),
+            )
+        )
+
+    return F.sort_array(F.flatten(F.transform(terms, placed)))
+
+
+def _grams(words: Column, ngram_max: int) -> Column:
+    """n-grams with content words at both ends and letters in all words, equal ones side by side."""
+
+    def starting(first: Column, at: Column) -> Column:
+        names, product, total, whole = first["term"], first["score"], first["score"], first["content"]
+        found = []
+        for i in range(ngram_max):
+            ends = whole
+            if i:
+                word = F.get(words, at + i)
+                names = F.concat(names, F.lit(" "), word["term"])
+                product, total = product * word["score"], total + word["score"]
+                # Null behind the article, false where the sentence ends earlier.
+                whole = whole & word["inner"] & word["lettered"]
+                ends = whole & word["content"]
+            gram = F.struct(names.alias("keyword"), product.alias("product"), total.alias("total"))
+            found.append(F.when(ends, gram))
+        return F.filter(F.array(*found), lambda gram: gram.isNotNull())
+
+    return F.sort_array(F.flatten(F.transform(words, starting)))
+
+
+def _candidates(
+    df: DataFrame,
+    carried: Sequence[str],
+    ngram_max: int,
+    text_column: str,
+    language_column: str,
+    stopwords: Stopwords,
+) -> DataFrame:
+    """``_row`` with the carried columns, and ``_found``: rounded score, keyword and kf, best first."""
+    steps = _scored_terms(df, carried, text_column, language_column, stopwords)
+    steps = _with(steps, "_words", _in_order(F.col("_terms")), "_row")
+    steps = _with(steps, "_grams", _grams(F.col("_words"), ngram_max), "_row")
+    grams, starts = F.col("_grams"), F.col("_starts")
+    steps = _with(steps, "_starts", _starts(grams, "keyword"), "*")
+
+    def candidate(start: Column, number: Column) -> Column:
         # The words of a keyword fix its product and sum.
-        .agg(F.count("*").alias("kf"), F.min("gram.product").alias("product"), F.min("gram.total").alias("total"))
-        .select(ROW_KEY, "keyword", "kf", F.round(score, RANK_DIGITS).alias("score"))
-    )
+        gram, kf = F.get(grams, start), _run_length(grams, starts, start, number).cast("long")
+        score = gram["product"] / (kf * (1 + gram["total"]))
+        return F.struct(
+            F.round(score, RANK_DIGITS).alias("score"), gram["keyword"].alias("keyword"), kf.alias("kf")
+        )
+
+    return _with(steps, "_found", F.sort_array(F.transform(starts, candidate)), "_row")
 
 
 def term_scores(
@@ -185,8 +277,9 @@ def term_scores(
 ) -> DataFrame:
     """``ingest_seq, term, tf, is_stop, term_score`` of every article; a low score marks an important term."""
     require_columns(df, ROW_KEY, text_column, language_column)
-    scored = _scored_terms(df, text_column, language_column, stopwords)
-    return scored.filter(F.col("term").isNotNull()).drop("seen")
+    scored = _scored_terms(df, [ROW_KEY], text_column, language_column, stopwords)
+    rows = scored.select(f"_row.{ROW_KEY}", F.explode("_terms").alias("_term"))
+    return rows.select(ROW_KEY, *[f"_term.{name}" for name in ("term", "tf", "is_stop", "term_score")])
 
 
 def keyword_scores(
@@ -198,14 +291,9 @@ def keyword_scores(
 ) -> DataFrame:
     """``ingest_seq, keyword, kf, score`` of every candidate; lower scores are better."""
     require_columns(df, ROW_KEY, text_column, language_column)
-    found = _candidates(df, ngram_max, text_column, language_column, stopwords)
-    return found.filter(F.col("keyword").isNotNull())
-
-
-def _ordered(candidates: DataFrame) -> DataFrame:
-    """``ingest_seq, found``: the candidates of every article, best first."""
-    real = F.when(F.col("keyword").isNotNull(), F.struct("score", "keyword"))
-    return candidates.groupBy(ROW_KEY).agg(F.sort_array(F.collect_list(real)).alias("found"))
+    found = _candidates(df, [ROW_KEY], ngram_max, text_column, language_column, stopwords)
+    rows = found.select(f"_row.{ROW_KEY}", F.explode("_found").alias("_gram"))
+    return rows.select(ROW_KEY, *[f"_gram.{name}" for name in ("keyword", "kf", "score")])
 
 
 def top_keywords(
@@ -218,9 +306,9 @@ def top_keywords(
 ) -> DataFrame:
     """``ingest_seq, rank, keyword, score``: the best candidates, near-duplicates included."""
     require_columns(df, ROW_KEY, text_column, language_column)
-    found = _ordered(_candidates(df, ngram_max, text_column, language_column, stopwords))
-    best = F.slice("found", 1, top_n)
-    return found.select(ROW_KEY, F.posexplode(best).alias("at", "best")).select(
+    found = _candidates(df, [ROW_KEY], ngram_max, text_column, language_column, stopwords)
+    best = F.slice("_found", 1, top_n)
+    return found.select(f"_row.{ROW_KEY}", F.posexplode(best).alias("at", "best")).select(
         ROW_KEY,
         (F.col("at") + 1).alias("rank"),
         F.col("best.keyword").alias("keyword"),
@@ -262,9 +350,10 @@ def extract_keywords(
     function words; a language that it lacks has none.
     """
     require_columns(df, ROW_KEY, text_column, language_column)
-    found = article_keywords(df, top_n, ngram_max, dedup_limit, text_column, language_column, stopwords)
-    placed = place_by_article(df.select(*[name for name in df.columns if name != "keywords"]))
-    return placed.join(found, ROW_KEY).select(*placed.columns, "keywords")
+    kept = [name for name in df.columns if name != "keywords"]
+    found = _candidates(df, kept, ngram_max, text_column, language_column, stopwords)
+    best = _selected(F.col("_found")["keyword"], top_n, dedup_limit)
+    return _with(found, "keywords", best, "_row").select("_row.*", "keywords")
 
 
 def article_keywords(
@@ -281,7 +370,6 @@ def article_keywords(
     The rest of the articles stays where it is; only their text and language move.
     """
     require_columns(df, ROW_KEY, text_column, language_column)
-    found = _ordered(_candidates(df, ngram_max, text_column, language_column, stopwords))
-    return found.select(
-        ROW_KEY, _selected(F.col("found.keyword"), top_n, dedup_limit).alias("keywords")
-    )
+    found = _candidates(df, [ROW_KEY], ngram_max, text_column, language_column, stopwords)
+    best = _selected(F.col("_found")["keyword"], top_n, dedup_limit)
+    return _with(found, "keywords", best, "_row").select(f"_row.{ROW_KEY}", "keywords")

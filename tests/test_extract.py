@@ -284,6 +284,19 @@ def test_keywords_shuffle_the_text_once_and_summaries_only_by_article(spark, sto
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_keywords_hold_one_article_at_a_time(spark, stories, tmp_path):
+    """No operator that gathers rows; a filter on what is found does not compute it again."""
+    path = str(tmp_path / "articles")
+    stories(*[{"text": t} for t in ARTICLES]).write.parquet(path)
+    df = spark.read.parquet(path)
+    found = K.extract_keywords(df, 5).filter("size(keywords) > 2")
+    for result in (K.term_scores(df), K.keyword_scores(df), K.top_keywords(df, 5), found):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Aggregate|Sort\b|Window|Join", plan)
+        assert plan.count("regexp_extract_all") == 1
+    assert {r["ingest_seq"] for r in found.collect()} == {0, 1}
+
+
 def test_summaries(stories):
     long_text = " ".join(
         [f"Word{i} item{i} note{i} thing{i}." for i in range(12)]
