@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storylake.constants import STOPWORDS
+from storylake.functions.runs import run, run_length, run_starts, with_value
 from storylake.functions.text import TOKEN, is_stopword, sentences
 from storylake.operators.skew import place_by_article
 from storylake.schema import ROW_KEY, require_columns
@@ -73,19 +74,6 @@ def _occurrences(words: Column) -> Column:
     return F.sort_array(F.transform(words, occurrence))
 
 
-def _starts(ordered: Column, field: str) -> Column:
-    """Where the runs of equal values of a field start in a sorted array."""
-
-    def start(entry: Column, at: Column) -> Column:
-        return F.when((at == 0) | (F.get(ordered, at - 1)[field] != entry[field]), at)
-
-    return F.filter(F.transform(ordered, start), lambda at: at.isNotNull())
-
-
-def _run_length(ordered: Column, starts: Column, start: Column, number: Column) -> Column:
-    return F.coalesce(F.get(starts, number + 1), F.size(ordered)) - start
-
-
 def _variety(run: Column, side: str) -> Column:
     """Distinct neighbours (by 64-bit hashes) as a share of all neighbours on one side."""
     share = F.transform(
@@ -161,35 +149,24 @@ def _scored(terms: Column, article: Column) -> Column:
     return F.transform(terms, score)
 
 
-def _with(df: DataFrame, name: str, value: Column, *kept: str | Column) -> DataFrame:
-    """The kept columns and a computed one, which is a column for good.
-
-    What leaves a generator is not merged into the expressions above it, which would compute it
-    for every entry that refers to it, nor copied below it by filters on what follows.
-    """
-    return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
-
-
 def _scored_terms(
     df: DataFrame, carried: Sequence[str], text_column: str, language_column: str, stopwords: Stopwords
 ) -> DataFrame:
-    """``_row`` with the carried columns, and ``_terms``: term, tf, is_stop, term_score, and where it stands."""
+    """The carried columns, and ``_kw_terms``: term, tf, is_stop, term_score, and where it stands."""
     none = F.array().cast("array<string>")
     steps = place_by_article(df).select(
-        F.struct(*carried).alias("_row"), F.col(language_column).alias("_language"), F.col(text_column).alias("_text")
-    )
-    steps = _with(steps, "_parts", F.coalesce(sentences(F.col("_text")), none), "_row", "_language")
-    steps = _with(steps, "_words", _words(F.col("_parts")), "_row", "_language", F.size("_parts").alias("_total"))
-    steps = _with(steps, "_found", _occurrences(F.col("_words")), "_row", "_language", "_total")
-    found, starts = F.col("_found"), F.col("_starts")
-    steps = _with(steps, "_starts", _starts(found, "term"), "*")
-    runs = F.transform(
-        starts, lambda start, number: F.slice(found, start + 1, _run_length(found, starts, start, number))
+        *carried, F.col(language_column).alias("_kw_language"), F.col(text_column).alias("_kw_text")
     )
-    terms = F.transform(runs, lambda run: _features(run, F.col("_language"), F.col("_total"), stopwords))
-    steps = _with(steps, "_terms", terms, "_row")
-    steps = _with(steps, "_article", _frequencies(F.col("_terms")), "*")
-    return _with(steps, "_terms", _scored(F.col("_terms"), F.col("_article")), "_row")
+    steps = with_value(steps, "_kw_parts", F.coalesce(sentences(F.col("_kw_text")), none), *carried, "_kw_language")
+    steps = with_value(steps, "_kw_words", _words(F.col("_kw_parts")), *carried, "_kw_language", F.size("_kw_parts").alias("_kw_total"))
+    steps = with_value(steps, "_kw_found", _occurrences(F.col("_kw_words")), *carried, "_kw_language", "_kw_total")
+    found, starts = F.col("_kw_found"), F.col("_kw_starts")
+    steps = with_value(steps, "_kw_starts", run_starts(found, "term"), "*")
+    runs = F.transform(starts, lambda start, number: run(found, starts, start, number))
+    terms = F.transform(runs, lambda own: _features(own, F.col("_kw_language"), F.col("_kw_total"), stopwords))
+    steps = with_value(steps, "_kw_terms", terms, *carried)
+    steps = with_value(steps, "_kw_article", _frequencies(F.col("_kw_terms")), "*")
+    return with_value(steps, "_kw_terms", _scored(F.col("_kw_terms"), F.col("_kw_article")), *carried)
 
 
 def _in_order(terms: Column) -> Column:
@@ -251,22 +228,22 @@ def _candidates(
     language_column: str,
     stopwords: Stopwords,
 ) -> DataFrame:
-    """``_row`` with the carried columns, and ``_found``: rounded score, keyword and kf, best first."""
+    """The carried columns, and ``_kw_found``: rounded score, keyword and kf, best first."""
     steps = _scored_terms(df, carried, text_column, language_column, stopwords)
-    steps = _with(steps, "_words", _in_order(F.col("_terms")), "_row")
-    steps = _with(steps, "_grams", _grams(F.col("_words"), ngram_max), "_row")
-    grams, starts = F.col("_grams"), F.col("_starts")
-    steps = _with(steps, "_starts", _starts(grams, "keyword"), "*")
+    steps = with_value(steps, "_kw_words", _in_order(F.col("_kw_terms")), *carried)
+    steps = with_value(steps, "_kw_grams", _grams(F.col("_kw_words"), ngram_max), *carried)
+    grams, starts = F.col("_kw_grams"), F.col("_kw_starts")
+    steps = with_value(steps, "_kw_starts", run_starts(grams, "keyword"), "*")
 
     def candidate(start: Column, number: Column) -> Column:
         # The words of a keyword fix its product and sum.
-        gram, kf = F.get(grams, start), _run_length(grams, starts, start, number).cast("long")
+        gram, kf = F.get(grams, start), run_length(grams, starts, start, number).cast("long")
         score = gram["product"] / (kf * (1 + gram["total"]))
         return F.struct(
             F.round(score, RANK_DIGITS).alias("score"), gram["keyword"].alias("keyword"), kf.alias("kf")
         )
 
-    return _with(steps, "_found", F.sort_array(F.transform(starts, candidate)), "_row")
+    return with_value(steps, "_kw_found", F.sort_array(F.transform(starts, candidate)), *carried)
 
 
 def term_scores(
@@ -278,7 +255,7 @@ def term_scores(
     """``ingest_seq, term, tf, is_stop, term_score`` of every article; a low score marks an important term."""
     require_columns(df, ROW_KEY, text_column, language_column)
     scored = _scored_terms(df, [ROW_KEY], text_column, language_column, stopwords)
-    rows = scored.select(f"_row.{ROW_KEY}", F.explode("_terms").alias("_term"))
+    rows = scored.select(ROW_KEY, F.explode("_kw_terms").alias("_term"))
     return rows.select(ROW_KEY, *[f"_term.{name}" for name in ("term", "tf", "is_stop", "term_score")])
 
 
@@ -292,7 +269,7 @@ def keyword_scores(
     """``ingest_seq, keyword, kf, score`` of every candidate; lower scores are better."""
     require_columns(df, ROW_KEY, text_column, language_column)
     found = _candidates(df, [ROW_KEY], ngram_max, text_column, language_column, stopwords)
-    rows = found.select(f"_row.{ROW_KEY}", F.explode("_found").alias("_gram"))
+    rows = found.select(ROW_KEY, F.explode("_kw_found").alias("_gram"))
     return rows.select(ROW_KEY, *[f"_gram.{name}" for name in ("keyword", "kf", "score")])
 
 
@@ -307,8 +284,8 @@ def top_keywords(
     """``ingest_seq, rank, keyword, score``: the best candidates, near-duplicates included."""
     require_columns(df, ROW_KEY, text_column, language_column)
     found = _candidates(df, [ROW_KEY], ngram_max, text_column, language_column, stopwords)
-    best = F.slice("_found", 1, top_n)
-    return found.select(f"_row.{ROW_KEY}", F.posexplode(best).alias("at", "best")).select(
+    best = F.slice("_kw_found", 1, top_n)
+    return found.select(ROW_KEY, F.posexplode(best).alias("at", "best")).select(
         ROW_KEY,
         (F.col("at") + 1).alias("rank"),
         F.col("best.keyword").alias("keyword"),
@@ -352,8 +329,8 @@ def extract_keywords(
     require_columns(df, ROW_KEY, text_column, language_column)
     kept = [name for name in df.columns if name != "keywords"]
     found = _candidates(df, kept, ngram_max, text_column, language_column, stopwords)
-    best = _selected(F.col("_found")["keyword"], top_n, dedup_limit)
-    return _with(found, "keywords", best, "_row").select("_row.*", "keywords")
+    best = _selected(F.col("_kw_found")["keyword"], top_n, dedup_limit)
+    return with_value(found, "keywords", best, *kept)
 
 
 def article_keywords(
@@ -371,5 +348,5 @@ def article_keywords(
     """
     require_columns(df, ROW_KEY, text_column, language_column)
     found = _candidates(df, [ROW_KEY], ngram_max, text_column, language_column, stopwords)
-    best = _selected(F.col("_found")["keyword"], top_n, dedup_limit)
-    return _with(found, "keywords", best, "_row").select(f"_row.{ROW_KEY}", "keywords")
+    best = _selected(F.col("_kw_found")["keyword"], top_n, dedup_limit)
+    return with_value(found, "keywords", best, ROW_KEY)

@@ -1,15 +1,16 @@
 """Extractive article summaries.
 
-All word statistics are per article.  The text is placed by article once; every later
-aggregation and join works on that placement, so no exploded token row is shuffled.
+All word statistics are per article and taken in arrays of its own words (see ``functions/runs``),
+so a task holds one article at a time.  Articles are dealt out once; nothing is joined.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storylake.functions.prompts import SUMMARY_PROMPT, build_prompt
+from storylake.functions.runs import run, run_starts, with_value
 from storylake.functions.text import is_stopword, sentences, token_count, tokens
 from storylake.operators.selection import limit_after_dedup
 from storylake.operators.skew import place_by_article
@@ -29,72 +30,83 @@ OUTPUTS = [
 ]
 
 
-def _best_sentences(articles: DataFrame) -> DataFrame:
-    """``ingest_seq, best, token_total, sentence_total``: the best sentences by number, best first.
+def _rated_words(own: Column, language: Column, focus: Column) -> Column:
+    """The occurrences of one term: sentence, whether a word, its weight, and first focus word there."""
+    term = own[0]["term"]
+    facts = F.struct(
+        own["place"].alias("places"),
+        F.when(~is_stopword(term, language), F.size(own).cast("long")).alias("weight"),
+        F.coalesce(F.array_contains(focus, term), F.lit(False)).alias("focus"),
+    )
 
-    Only sentence numbers leave this step; the sentences themselves are cut from the text
-    where the article row is at hand.
-    """
-    words = (
-        place_by_article(articles)
-        .select(
-            ROW_KEY,
-            "language",
-            "focus_tokens",
-            F.posexplode(sentences(F.col("text"))).alias("sentence_id", "sentence"),
-        )
-        .select(
-            ROW_KEY,
-            "language",
-            "focus_tokens",
-            "sentence_id",
-            # The outer form scores sentences without words too.
-            F.explode_outer(tokens(F.col("sentence"))).alias("term"),
-        )
-        .select(
-            ROW_KEY,
-            "sentence_id",
-            "term",
-            (F.col("term").isNotNull() & ~is_stopword(F.col("term"), F.col("language"))).alias(
-                "content"
-            ),
-            F.coalesce(F.array_contains("focus_tokens", F.col("term")), F.lit(False)).alias(
-                "focus"
+    def rated(fact: Column) -> Column:
+        places = fact["places"]
+        return F.transform(
+            places,
+            lambda place, at: F.struct(
+                place.alias("place"),
+                F.lit(True).alias("word"),
+                fact["weight"].alias("weight"),
+                (fact["focus"] & ((at == 0) | (F.get(places, at - 1) != place))).alias("focus"),
             ),
         )
-        .groupBy(ROW_KEY, "sentence_id", "term", "content", "focus")
-        .agg(F.count(F.lit(1)).alias("n"))
+
+    return F.flatten(F.transform(F.array(facts), rated))
+
+
+def _sentence_score(own: Column) -> Column:
+    """Mean frequency of the content words of a sentence, plus its distinct focus words."""
+    weights = F.filter(own["weight"], lambda weight: weight.isNotNull())
+    total = F.aggregate(weights, F.lit(0).cast("long"), lambda state, weight: state + weight)
+    mean = F.coalesce(total / F.nullif(F.size(weights), F.lit(0)), F.lit(0.0))
+    return F.round(mean + F.size(F.filter(own, lambda word: word["focus"])), 9)
+
+
+def _with_best_sentences(articles: DataFrame, carried: list[str]) -> DataFrame:
+    """The carried columns, ``_prompt_tokens, _parts, _best``: the best sentences by number, best first.
+
+    Null for articles that are too short.
+    """
+    kept = [*carried, "_prompt_tokens", "_parts"]
+    none = F.array().cast("array<string>")
+    steps = with_value(
+        articles, "_parts", F.coalesce(sentences(F.col("_text")), none), *kept[:-1], "_language", "_focus"
     )
-    frequency = F.sum("n").over(Window.partitionBy(ROW_KEY, "term"))
-    n = F.when(F.col("content"), F.col("n"))
-    scored = (
-        words.withColumn("tf", frequency)
-        .groupBy(ROW_KEY, "sentence_id")
-        .agg(
-            (F.sum(n * F.col("tf")) / F.sum(n)).alias("weight"),
-            F.count_if("focus").alias("focus_hits"),
-            F.sum(F.when(F.col("term").isNotNull(), F.col("n"))).alias("tokens"),
-        )
-        .withColumn("score", F.round(F.coalesce("weight", F.lit(0.0)) + F.col("focus_hits"), 9))
+
+    def located(part: Column, place: Column) -> Column:
+        return F.transform(tokens(part), lambda term: F.struct(term.alias("term"), place.alias("place")))
+
+    words = F.sort_array(F.flatten(F.transform("_parts", located)))
+    steps = with_value(steps, "_words", words, *kept, "_language", "_focus")
+    found, starts = F.col("_words"), F.col("_starts")
+    steps = with_value(steps, "_starts", run_starts(found, "term"), "*")
+    terms = F.transform(starts, lambda start, number: run(found, starts, start, number))
+    rated = F.transform(terms, lambda own: _rated_words(own, F.col("_language"), F.col("_focus")))
+    # Sentences without words are scored too.
+    blank = F.transform(
+        "_parts",
+        lambda part, place: F.struct(
+            place.alias("place"),
+            F.lit(False).alias("word"),
+            F.lit(None).cast("long").alias("weight"),
+            F.lit(False).alias("focus"),
+        ),
     )
-    article = Window.partitionBy(ROW_KEY)
-    best = article.orderBy(F.desc("score"), "sentence_id")
-    return (
-        scored.select(
-            ROW_KEY,
-            "sentence_id",
-            F.row_number().over(best).alias("rank"),
-            F.coalesce(F.sum("tokens").over(article), F.lit(0)).alias("token_total"),
-            F.count(F.lit(1)).over(article).alias("sentence_total"),
-        )
-        .filter(F.col("rank") <= SUMMARY_SENTENCES + KEY_POINTS)
-        .groupBy(ROW_KEY, "token_total", "sentence_total")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("rank", "sentence_id")))["sentence_id"].alias(
-                "best"
-            )
+    steps = with_value(
+        steps, "_rated", F.sort_array(F.concat(blank, F.flatten(rated))), *kept, F.size(found).alias("_total")
+    )
+    found = F.col("_rated")
+    steps = with_value(steps, "_starts", run_starts(found, "place"), "*")
+    own_words = F.transform(starts, lambda start, number: run(found, starts, start, number))
+    ranked = F.sort_array(
+        F.transform(
+            own_words,
+            lambda own: F.struct((-_sentence_score(own)).alias("score"), own[0]["place"].alias("place")),
         )
     )
+    best = F.slice(ranked, 1, SUMMARY_SENTENCES + KEY_POINTS)["place"]
+    long_enough = (F.col("_total") >= MIN_TOKENS) & (F.size("_parts") >= MIN_SENTENCES)
+    return with_value(steps, "_best", F.when(long_enough, best), *kept)
 
 
 def summarize_articles(
@@ -118,19 +130,7 @@ def summarize_articles(
         tokens(F.concat_ws(" ", F.lit(focus).cast("string"), F.col("_tags")))
     )
     kept = [name for name in df.columns if name not in OUTPUTS]
-    base = df.select(*kept, tags.alias("_tags"))
-    chosen = _best_sentences(
-        base.select(
-            ROW_KEY,
-            "language",
-            F.col(text_column).alias("text"),
-            wanted.alias("focus_tokens"),
-        )
-    )
-    # Length is judged from the word counts at hand; a test on the text would be pushed to
-    # the scan and split every text again.
-    long_enough = (F.col("token_total") >= MIN_TOKENS) & (F.col("sentence_total") >= MIN_SENTENCES)
-    chosen = chosen.filter(long_enough).select(ROW_KEY, "best")
+    placed = place_by_article(df.select(*kept, tags.alias("_tags")))
     prompt = build_prompt(
         SUMMARY_PROMPT,
         focus=F.lit(focus),
@@ -138,31 +138,34 @@ def summarize_articles(
         title=F.col(title_column),
         text=F.col(text_column),
     )
-    joined = (
-        base.withColumn("_sentences", sentences(F.col(text_column)))
-        .withColumn("_prompt_tokens", token_count(prompt).cast("long"))
-        .join(chosen, ROW_KEY, "left")
-        .withColumn("llm_summary_is_confident", F.col("best").isNotNull())
+    scored = _with_best_sentences(
+        placed.select(
+            *kept,
+            F.col("language").alias("_language"),
+            F.col(text_column).alias("_text"),
+            wanted.alias("_focus"),
+            token_count(prompt).cast("long").alias("_prompt_tokens"),
+        ),
+        kept,
     )
 
     def cut(numbers: Column) -> Column:
-        return F.transform(numbers, lambda number: F.get("_sentences", number))
+        return F.transform(numbers, lambda number: F.get("_parts", number))
 
-    in_order = F.array_sort(F.slice("best", 1, SUMMARY_SENTENCES))
+    in_order = F.array_sort(F.slice("_best", 1, SUMMARY_SENTENCES))
     summary = F.array_join(cut(in_order), " ")
-    key_points = cut(F.slice("best", SUMMARY_SENTENCES + 1, KEY_POINTS))
-    answered = F.coalesce(token_count(F.col("llm_summary_text")), F.lit(0)).cast("long")
+    key_points = cut(F.slice("_best", SUMMARY_SENTENCES + 1, KEY_POINTS))
+    answered = F.coalesce(token_count(F.col("_summary")), F.lit(0)).cast("long")
+    confident = F.col("_best").isNotNull()
     return (
-        joined.withColumn("llm_summary_text", summary)
+        scored.withColumn("_summary", summary)
         .withColumn("_answer_tokens", answered)
         .select(
             *kept,
-            "llm_summary_text",
-            "llm_summary_is_confident",
+            F.col("_summary").alias("llm_summary_text"),
+            confident.alias("llm_summary_is_confident"),
             F.lit(None).cast("string").alias("llm_summary_error"),
-            F.when(F.col("llm_summary_is_confident"), "long enough")
-            .otherwise("too short to summarise")
-            .alias("confidence_reason"),
+            F.when(confident, "long enough").otherwise("too short to summarise").alias("confidence_reason"),
             F.coalesce(key_points, F.array().cast("array<string>")).alias("key_points"),
             F.struct(
                 F.col("_prompt_tokens").alias("prompt_tokens"),

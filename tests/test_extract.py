@@ -314,6 +314,21 @@ def test_summaries(stories):
     assert usage["total_tokens"] == usage["prompt_tokens"] + usage["completion_tokens"]
 
 
+def test_summaries_hold_one_article_at_a_time(spark, stories, tmp_path):
+    path = str(tmp_path / "articles")
+    words = " ".join(f"Word{i} item{i} note{i} thing{i}." for i in range(12))
+    # A focus word may come twice in a sentence, and a sentence may have no word.
+    text = f"{words} Coast and coast ... Coast item1. !!! ??? Sea item1 item2."
+    stories({"text": text}, {"text": "Too short."}, {"text": None}, {"text": ""}).write.parquet(path)
+    found = summarize_articles(spark.read.parquet(path), focus="coast")
+    plan = found.filter("llm_summary_is_confident")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Aggregate|Sort\b|Window|Join", plan)
+    rows = {r["ingest_seq"]: r for r in found.collect()}
+    assert [rows[i]["llm_summary_is_confident"] for i in range(4)] == [True, False, False, False]
+    assert "Coast and coast ... Coast item1." in rows[0]["llm_summary_text"]
+    assert rows[1]["key_points"] == rows[2]["key_points"] == rows[3]["key_points"] == []
+
+
 def test_a_mapping_of_any_size_gives_the_same_entities(stories):
     df = stories({"text": "Ann Lee met Bob in Big Town. Zed came."}, {"text": None})
     small = {"Ann Lee": "PERSON", "Zed": "PERSON"}
