@@ -47,10 +47,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """Token ids of every document, and whether they decode to its text.
+
+    Written here, so that the texts go to the encoder in small batches.
+    """
     path = public_tokenizers.path(BYTE_BPE)
     coded = bpe_automaton.encode_and_check(docs.select("doc_id", "lang", "source", "text"), path)
-    return coded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", "intact")
+    coded = coded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", "intact")
+    return shared_table(coded, "encoded")
 
 
 STAGES = [
