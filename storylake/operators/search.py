@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -54,6 +54,14 @@ def search_terms(
     return df.filter(condition)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is referred to.
+
+    An expression inside a lambda is computed for every entry; a lambda's variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _positions(words: Column, phrase: Sequence[str]) -> Column:
     """Positions in an array of tokens at which a phrase starts, ascending."""
 
@@ -77,14 +85,18 @@ def repeated_within(text: Column, term: str, mentions: int, slop: int) -> Column
     """Whether ``mentions`` occurrences of a word or phrase start within ``slop`` token positions."""
     if mentions < 1 or slop < 0:
         raise ValueError("mentions must be at least 1 and slop must not be negative")
-    positions = _positions(tokens(text), _words(term))
-    # Both arrays start aligned: entry i of the second is the (i + mentions - 1)-th hit.
-    spans = F.zip_with(
-        positions,
-        F.slice(positions, mentions, F.greatest(F.size(positions), F.lit(1))),
-        lambda first, last: last - first,
-    )
-    return F.coalesce(F.exists(spans, lambda span: span <= slop), F.lit(False))
+    phrase = _words(term)
+
+    def close(positions: Column) -> Column:
+        # Both arrays start aligned: entry i of the second is the (i + mentions - 1)-th hit.
+        spans = F.zip_with(
+            positions,
+            F.slice(positions, mentions, F.greatest(F.size(positions), F.lit(1))),
+            lambda first, last: last - first,
+        )
+        return F.coalesce(F.exists(spans, lambda span: span <= slop), F.lit(False))
+
+    return _once(tokens(text), lambda words: _once(_positions(words, phrase), close))
 
 
 def near_each_other(text: Column, terms: Sequence[str], slop: int) -> Column:
@@ -97,15 +109,18 @@ def near_each_other(text: Column, terms: Sequence[str], slop: int) -> Column:
     if not terms or slop < 0:
         raise ValueError("terms must not be empty and slop must not be negative")
     wanted = Counter(tuple(_words(term)) for term in terms)
-    words = tokens(text)
 
-    def marked(phrase: Sequence[str], term: int) -> Column:
-        return F.transform(
-            _positions(words, phrase),
-            lambda at: F.struct(at.cast("int").alias("at"), F.lit(term).alias("term")),
-        )
+    def marked(words: Column) -> Column:
+        found = [
+            F.transform(
+                _positions(words, phrase),
+                lambda at: F.struct(at.cast("int").alias("at"), F.lit(i).alias("term")),
+            )
+            for i, phrase in enumerate(wanted)
+        ]
+        return F.array_sort(F.concat(*found))
 
-    events = F.array_sort(F.concat(*[marked(phrase, i) for i, phrase in enumerate(wanted)]))
+    events = _once(tokens(text), marked)
     numbers = list(wanted.values())
     nothing = F.array(*[F.array_repeat(F.lit(-1), n) for n in numbers])
 

@@ -152,3 +152,11 @@ def test_phrases_repeat(stories):
     assert [r["ingest_seq"] for r in S.search_proximity(df, "Side Effects", 2, 3).collect()] == [0]
     with pytest.raises(ValueError):
         S.search_proximity(df, "?!", 2, 3)
+
+
+def test_proximity_takes_the_tokens_of_a_text_once(spark):
+    near = S.near_each_other(F.col("text"), ["that", "of the", "That"], 30)
+    again = S.repeated_within(F.col("text"), "of the", 2, 30)
+    for condition in (near, again):
+        plan = spark.createDataFrame([("of the",)], "text string").select(condition.alias("hit"))._jdf.queryExecution()
+        assert plan.analyzed().toString().count("regexp_extract_all(") == 1
