@@ -5,13 +5,14 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storylake.session import small_batches
+
 #: The words of all operators here: runs of bytes other than these.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -22,29 +23,6 @@ CHUNK_BYTES = 1 << 18
 CHUNK_ROWS = 512
 
 
-#: Rows of an Arrow batch between Spark and Python while a shared table is written.
-BATCH_ROWS = 1000
-
-
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """What runs meanwhile moves at most BATCH_ROWS rows at once to Python and back.
-
-    A batch of whole texts is held several times, in the executor's memory outside its heap and
-    in the worker; the session's 10 000 rows take some hundred MB.  Results do not depend on it.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    if 0 < int(before) <= BATCH_ROWS:
-        yield
-        return
-    spark.conf.set(key, str(BATCH_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, else one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,29 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+#: Rows of an Arrow batch between Spark and Python while a table is written to the shared folder.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile moves at most BATCH_ROWS rows at once to Python and back.
+
+    A batch of whole texts is held several times, in the executor's memory outside its heap and
+    in the worker; the session's 10 000 rows take some hundred MB.  Results do not depend on it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse.
 
@@ -48,5 +73,6 @@ def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
     until the owner of the folder clears it.
     """
     path = new_output_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,19 +6,21 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline as P
-from storylake.llm.support import BATCH_ROWS, shared_table
+from storylake.llm.support import shared_table
+from storylake.session import BATCH_ROWS, materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def test_shared_tables_are_written_in_small_batches(spark):
+@pytest.mark.parametrize("write", [shared_table, materialize])
+def test_shared_tables_are_written_in_small_batches(spark, write):
     def rows(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
 
     before = spark.conf.get(KEY)
-    table = shared_table(spark.range(0, 5000, 1, 1).mapInArrow(rows, "n long"), "sizes")
+    table = write(spark.range(0, 5000, 1, 1).mapInArrow(rows, "n long"), "sizes")
     sizes = [r["n"] for r in table.collect()]
     assert sum(sizes) == 5000 and max(sizes) <= BATCH_ROWS
     assert spark.conf.get(KEY) == before
