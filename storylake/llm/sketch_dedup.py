@@ -15,7 +15,8 @@ similarity, and the agreeing share is as concentrated as with independent hashes
    blocks twice, independently, so this part is linear in the classes.
 4. What one block could not see is settled bucket by bucket: a bucket whose classes are one
    component needs nothing more; in the others the classes outside the bucket's largest
-   component meet the classes of other components, pair by pair, on whole sets.
+   component meet the classes of other components, pair by pair.  Shingles counted by bins bound
+   what two sets can share; only pairs that this leaves are compared on whole sets.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from storylake.llm.near_join import block_links
 from storylake.llm.support import (
     components,
     free_name,
+    may_meet,
     mix,
     releasing,
     shared_table,
@@ -51,6 +53,9 @@ MISS = 1e-6
 BLOCK = 256
 BLOCK_TOKENS = 2_000_000
 
+#: Bins in which the shingles of a set are counted, up to 255 each.
+BINS = 256
+
 #: Hash values computed at once while a sketch is filled.
 _AT_ONCE = 1 << 16
 
@@ -130,6 +135,42 @@ def _heads(k: int, bands: int, rows: int):
     return run
 
 
+def bin_counts(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Shingles of each set by bin (rows x BINS); counts stop at 255."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    places = owner * BINS + (hashes % np.uint64(BINS)).astype(np.int64)
+    counts = np.bincount(places, minlength=(len(bounds) - 1) * BINS).reshape(-1, BINS)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def most_shared(bins_a, bins_b, n_a, n_b) -> np.ndarray:
+    """Shingles that the sets of each pair can share, at most.
+
+    Bins differ by no more shingles than the sets do, also where counts stop.
+    """
+    apart = np.abs(bins_a.astype(np.int16) - bins_b.astype(np.int16)).sum(axis=1, dtype=np.int64)
+    return (n_a + n_b - apart) // 2
+
+
+def _rows_of(column: pa.Array) -> np.ndarray:
+    """Binary values of BINS bytes each, as rows."""
+    joined = b"".join(column.to_pylist())
+    return np.frombuffer(joined, dtype=np.uint8).reshape(-1, BINS)
+
+
+def _may_link(percent: int):
+    """Pairs whose sets can share enough, by their bins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
+            both = most_shared(_rows_of(batch["bins_a"]), _rows_of(batch["bins_b"]), n_a, n_b)
+            may = pa.array(100 * both >= percent * (n_a + n_b - both))
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(may)
+
+    return run
+
+
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,9 +179,11 @@ def _sets(k: int):
                 sets = pa.ListArray.from_arrays(
                     pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64))
                 )
+                bins = pa.array([b.tobytes() for b in bin_counts(hashes, bounds)], pa.binary())
                 part = batch.slice(row, len(ends) - 1)
                 found = pa.RecordBatch.from_arrays(
-                    [part["key"], pa.array(np.diff(bounds)), sets], ["key", "n", "tokens"]
+                    [part["key"], part["root"], part["blocks"], pa.array(np.diff(bounds)), bins, sets],
+                    ["key", "root", "blocks", "n", "bins", "tokens"],
                 )
                 yield found.filter(pc.equal(part["sign"], _signs(hashes, bounds)))
 
@@ -149,7 +192,8 @@ def _sets(k: int):
 
 def _compare_blocks(percent: int):
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("key")
+        # Texts that clash in place and agree in their set give one key twice.
+        block = block.drop_duplicates("key").sort_values("key")
         keys = block["key"].to_numpy()
         links = list(block_links([np.asarray(t) for t in block["tokens"]], percent))
         return pd.DataFrame(
@@ -167,19 +211,21 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return shared_table(dealt.join(several.select("band").hint("merge"), "band"), "sketch-buckets")
 
 
-def _blocks(canopies: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """(root, blocks) of the canopies, and (root, key, pass, block) of their classes."""
+def _blocks(canopies: DataFrame, block: int) -> DataFrame:
+    """The canopies with the number of blocks that each is compared in."""
     size = canopies.groupBy("root").agg(
         F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(BLOCK_TOKENS)))
         .cast("int")
         .alias("blocks")
     )
-    placed = (
-        canopies.join(size, "root")
-        .withColumn("pass", F.explode(F.expr("if(blocks > 1, array(0, 1), array(0))")))
-        .withColumn("block", F.pmod(F.xxhash64("key", "pass"), F.col("blocks")).cast("int"))
-    )
-    return size, placed.select("root", "key", "pass", "block")
+    return canopies.join(size, "root")
+
+
+def _dealt(sets: DataFrame) -> DataFrame:
+    """Sets with their pass and block; those of a canopy of several blocks come twice."""
+    return sets.withColumn(
+        "pass", F.explode(F.expr("if(blocks > 1, array(0, 1), array(0))"))
+    ).withColumn("block", F.pmod(F.xxhash64("key", "pass"), F.col("blocks")).cast("int"))
 
 
 def _across_blocks(buckets: DataFrame, sets: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
@@ -199,17 +245,25 @@ def _across_blocks(buckets: DataFrame, sets: DataFrame, reached: DataFrame, perc
         part.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "comp")])
         for s, part in (("x", inside.filter("comp <> major")), ("y", inside))
     )
-    # Few, as a rule: with their number known, whole sets need not be moved for them.
-    pairs = shared_table(
+    pairs = (
         minor.join(other, "band")
         .filter("comp_x <> comp_y")
         .filter(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
         .select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b"))
-        .distinct(),
+        .distinct()
+    )
+    large = sets.filter("blocks > 1")
+    ours, theirs = (
+        large.select(F.col("key").alias(s), F.col("bins").alias(f"bins_{s}"), F.col("n").alias(f"n_{s}"))
+        for s in "ab"
+    )
+    pairs = shared_table(
+        pairs.join(ours, "a").join(theirs, "b").mapInArrow(releasing(_may_link(percent)), "a long, b long"),
         "sketch-pairs",
     )
+    few = may_meet(large.select("key", "n", "tokens"), pairs.select(F.explode(F.array("a", "b")).alias("key")), "key")
     ours, theirs = (
-        sets.select(F.col("key").alias(s), F.col("tokens").alias(f"set_{s}"), F.col("n").alias(f"n_{s}"))
+        few.select(F.col("key").alias(s), F.col("tokens").alias(f"set_{s}"), F.col("n").alias(f"n_{s}"))
         for s in "ab"
     )
     both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
@@ -222,7 +276,7 @@ def _across_blocks(buckets: DataFrame, sets: DataFrame, reached: DataFrame, perc
 
 
 def _linked(docs: DataFrame, classes: DataFrame, k: int, percent: int, block: int) -> DataFrame:
-    """Edges (a, b) that connect the linked classes."""
+    """(key, root) of all classes: of linked ones the same root."""
     buckets = _buckets(classes)
     # Written first, so that the join can split a bucket of many classes.
     least = shared_table(buckets.groupBy("band").agg(F.min("key").alias("b")), "sketch-least")
@@ -230,32 +284,43 @@ def _linked(docs: DataFrame, classes: DataFrame, k: int, percent: int, block: in
     canopies = components(stars).join(
         classes.select(F.col("key").alias("node"), "n", "place", "sign"), "node"
     ).withColumnRenamed("node", "key")
-    canopies = shared_table(canopies, "sketch-canopies")
+    canopies = shared_table(_blocks(canopies, block), "sketch-canopies")
     # Rows may clash in their place; only a set of the asked signature is taken.
-    asked = canopies.select("place", "key", "sign")
+    asked = canopies.select("place", "key", "sign", "root", "blocks")
     sets = shared_table(
-        docs.select("place", "text")
+        may_meet(docs.select("place", "text"), asked, "place")
         .join(asked.hint("merge"), "place")
         .withColumn("digest", F.md5("text"))
         .dropDuplicates(["place", "key", "digest"])
-        .select("key", "sign", "text")
-        .mapInArrow(releasing(_sets(k)), "key long, n long, tokens array<long>")
-        .dropDuplicates(["key"]),
+        .select("key", "root", "blocks", "sign", "text")
+        .mapInArrow(
+            releasing(_sets(k)),
+            "key long, root long, blocks int, n long, bins binary, tokens array<long>",
+        ),
         "sketch-sets",
     )
-    size, placed = _blocks(canopies, block)
     edges = shared_table(
-        placed.join(sets.select("key", "tokens"), "key")
+        _dealt(sets.select("root", "key", "blocks", "tokens"))
         .groupBy("root", "pass", "block")
         .applyInPandas(_compare_blocks(percent), "a long, b long"),
         "sketch-links",
     )
-    large = canopies.join(size.filter("blocks > 1"), "root").select("key")
+    reached = shared_table(components(edges), "sketch-reached")
+    whole = classes.select("key").join(reached, F.col("key") == F.col("node"), "left")
+    whole = whole.select("key", F.coalesce("root", "key").alias("root"))
+    large = canopies.filter("blocks > 1").select("key")
     if large.isEmpty():
-        return edges
+        return whole
     open_buckets = buckets.join(large, "key", "left_semi")
-    more = _across_blocks(open_buckets, sets, components(edges), percent)
-    return edges.union(shared_table(more, "sketch-more"))
+    more = shared_table(_across_blocks(open_buckets, sets, reached, percent), "sketch-more")
+    if more.isEmpty():
+        return whole
+    # Few links join components that are known.
+    for end in "ab":
+        named = reached.select(F.col("node").alias(end), F.col("root").alias("known"))
+        more = more.join(named, end, "left").withColumn(end, F.coalesce("known", end)).drop("known")
+    joined = components(more).select(F.col("node").alias("root"), F.col("root").alias("least"))
+    return whole.join(joined, "root", "left").select("key", F.coalesce("least", "root").alias("root"))
 
 
 def _classified(docs, id_col, text_col, k, percent, rows, miss, block) -> DataFrame:
@@ -291,9 +356,9 @@ def _classified(docs, id_col, text_col, k, percent, rows, miss, block) -> DataFr
         .withColumn("key", F.monotonically_increasing_id()),
         "sketch-classes",
     )
-    reached = components(_linked(source, classes, k, percent, block))
-    named = classes.select("key", "sign", "least_id").join(reached, F.col("key") == F.col("node"), "left")
-    named = named.withColumn("root", F.coalesce("root", "key"))
+    named = classes.select("key", "sign", "least_id").join(
+        _linked(source, classes, k, percent, block), "key"
+    )
     roots = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     links = named.join(roots, "root").select("sign", "component_id")
     return heads.select("id", "place", "n", "sign").join(links, "sign", "left").select(

@@ -50,6 +50,9 @@ def free_name(df: DataFrame, name: str) -> str:
 
 # --- components ---------------------------------------------------------------------------
 
+#: Edges of a task that writes a round; without a limit, few edges would cost many small tasks.
+TASK_EDGES = 100_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest node reachable from every node of ``edges``; columns node, root.
@@ -64,20 +67,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct(),
         "edges",
     )
-    nodes = table.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    nodes = table.select(F.explode(F.array("u", "v")).alias("node")).withColumn("root", F.col("node"))
     now = table.filter("u <> v")
-    if now.isEmpty():
-        return nodes.select("node", F.col("node").alias("root"))
+    count = now.count()
+    if not count:
+        return nodes.distinct()
     before = None
     while True:
         both = now.select("u", "v").union(now.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Not made distinct: it has no more rows than edges, and what follows is.
         large = (
             both.join(least, "u")
             .filter("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u <> v")
-            .distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
@@ -86,15 +90,46 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .filter("u <> v")
             .distinct()
         )
-        now = shared_table(small, "edges")
+        now = shared_table(small.coalesce(1 + count // TASK_EDGES), "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first()
         if state == before:
             break
-        before = state
-    roots = now.groupBy("u").agg(F.min("v").alias("root"))
-    return nodes.join(roots, nodes.node == roots.u, "left").select(
-        "node", F.coalesce("root", "node").alias("root")
+        before, count = state, state[0]
+    reached = nodes.union(now.select("u", "v"))
+    return reached.groupBy("node").agg(F.min("root").alias("root"))
+
+
+# --- rows that may meet -------------------------------------------------------------------
+
+#: Bits of the bitmap for each key, and of the largest bitmap (32 MB).
+KEY_BITS = 32
+MOST_BITS = 1 << 28
+
+
+def may_meet(rows: DataFrame, wanted: DataFrame, col: str) -> DataFrame:
+    """All rows of ``rows`` whose ``col`` occurs in ``wanted``, and few others.
+
+    A bitmap of hashed keys goes to every task, so that a join that follows moves few rows in
+    vain.  Its size follows ``wanted``, a table already written, up to MOST_BITS; beyond that
+    more rows pass, and none is lost.  Rows with a null ``col`` are left out.
+    """
+    bits = 1 << 15
+    keys = wanted.filter(F.col(col).isNotNull()).select(F.xxhash64(col).alias("_hash"))
+    least = min(MOST_BITS, KEY_BITS * keys.count())
+    while bits < least:
+        bits *= 2
+    place, part = free_name(rows, "_place"), free_name(rows, "_part")
+    maps = (
+        keys.select(F.pmod("_hash", F.lit(bits)).alias(place))
+        .groupBy(F.bitmap_bucket_number(place).alias(part))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
     )
+    at = F.bitmap_bit_position(F.pmod(F.xxhash64(col), F.lit(bits)))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    here = F.bitmap_bucket_number(F.pmod(F.xxhash64(col), F.lit(bits)))
+    found = rows.filter(F.col(col).isNotNull()).withColumn(part, here).join(F.broadcast(maps), part)
+    found = found.filter(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1)
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 # --- hashing words ------------------------------------------------------------------------

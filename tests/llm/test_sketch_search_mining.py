@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from storylake.llm import hard_negatives, norm_search, sketch_dedup
+from storylake.llm import hard_negatives, norm_search, sketch_dedup, support
 
 DOCS = "doc_id long, text string"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -110,6 +110,32 @@ def test_large_family_in_many_blocks(spark):
     assert found_components(spark, rows, k=3, percent=85, block=8) == brute_components(rows, 3, 85)
 
 
+def test_bins_bound_what_sets_share():
+    """Never less than sets share, also where counts stop; pairs far below the threshold drop out."""
+    dice = np.random.default_rng(3)
+    for size, common in ((1, 0), (40, 35), (500, 430), (500, 100), (100_000, 90_000)):
+        pool = np.unique(dice.integers(0, 2**63, 2 * size + 9).astype(np.uint64))[: 2 * size - common]
+        both = np.concatenate([pool[:size], pool[size - common :]])
+        bins = sketch_dedup.bin_counts(both, np.array([0, size, 2 * size]))
+        most = sketch_dedup.most_shared(bins[:1], bins[1:], np.array([size]), np.array([size]))[0]
+        assert common <= most <= size
+        if (size, common) == (500, 100):
+            assert 100 * most < 85 * (2 * size - most)
+    assert sketch_dedup.bin_counts(np.zeros(0, np.uint64), np.array([0, 0])).sum() == 0
+
+
+def test_texts_and_sets_without_a_partner_are_not_moved(spark):
+    """Only rows that may meet go into a join: all that do, and few others."""
+    wanted = spark.range(0, 4000, 4).withColumnRenamed("id", "key")
+    rows = spark.range(8000).select(F.col("id").alias("key"), F.lit("text").alias("_part"))
+    rows = rows.union(spark.sql("select cast(null as bigint), 'none'"))
+    found = support.may_meet(rows, wanted, "key")
+    assert found.columns == rows.columns
+    keys = [r["key"] for r in found.collect()]
+    assert set(range(0, 4000, 4)) <= set(keys) and len(keys) == len(set(keys)) < 1500
+    assert support.may_meet(rows, wanted.filter("key < 0"), "key").count() == 0
+
+
 def test_sketch_drop_and_empty(spark):
     docs = spark.createDataFrame(ODD, DOCS).withColumn("_place", F.lit("mine"))
     kept = sketch_dedup.drop_near_duplicates(docs, k=3, percent=85)
