@@ -132,6 +132,11 @@ def pooled_rows(data, ends, words: np.ndarray, forms: np.ndarray) -> np.ndarray:
     return pooled
 
 
+def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
+    """Lists of ``width`` numbers each, as rows."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
 def _train(x: np.ndarray, y: np.ndarray, seed: int, epochs: int = 60):
     """Two layers by Adam on the log loss; returns the parameters."""
     random = np.random.default_rng(seed)
@@ -204,8 +209,9 @@ def fit_quality(
     sums = partial.groupBy(F.pmod("bucket", F.lit(64)).alias("part")).applyInPandas(
         _summed, "bucket long, vector array<double>"
     )
-    for row in sums.toLocalIterator():
-        table[row["bucket"]] = row["vector"]
+    # As Arrow: as Python objects, the numbers would take several times their size in the driver.
+    for batch in sums.toArrow().to_batches():
+        table[batch["bucket"].to_numpy()] = _matrix(batch["vector"], DIMENSIONS)
     length = np.linalg.norm(table, axis=1, keepdims=True)
     words = (table / np.maximum(length, 1e-9)).astype(np.float32)
     forms = _index_vectors(FORMS, 3) / np.sqrt(NONZEROS)
@@ -224,11 +230,13 @@ def fit_quality(
                 yield pa.RecordBatch.from_arrays([part["id"], part["_label"], flat], ["id", "label", "x"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    data = rows.mapInArrow(releasing(pool), f"id {kind}, label int, x array<double>").toPandas()
-    data = data.sort_values("id", kind="stable")
+    data = rows.mapInArrow(releasing(pool), f"id {kind}, label int, x array<double>").toArrow()
     width = words.shape[1] + forms.shape[1]
-    x = np.array(data["x"].to_list(), dtype=np.float64).reshape(-1, width)
-    y = data["label"].to_numpy(dtype=np.float64)
+    heads = data.select(["id", "label"]).to_pandas().sort_values("id", kind="stable")
+    parts = [_matrix(batch["x"], width) for batch in data.to_batches()]
+    x = np.concatenate([np.zeros((0, width)), *parts])[heads.index]
+    y = heads["label"].to_numpy(dtype=np.float64)
+    del data, heads, parts
     mean, spread = (x.mean(axis=0), x.std(axis=0) + 1e-3) if len(x) else (np.zeros(width), np.ones(width))
     x = (x - mean) / spread
     aside = np.arange(len(x)) % 5 == 4

@@ -188,3 +188,17 @@ def test_repeated_rows_do_not_use_up_members(spark):
     rows = [(1, [1.0, 0.5] * 4)] * 21 + [(i, [1.0, 0.5] * 4) for i in range(2, 9)] + [(0, [0.5, 1.0] * 4)]
     got = ann_curves.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") == 0, k=5).collect()
     assert sorted((r["rank"], r["vec_id"]) for r in got) == [(i, i) for i in range(1, 6)]
+
+
+def test_model_parts_reach_the_driver_as_arrow(spark, monkeypatch):
+    """Vectors as Python objects take several times their size in the driver's memory."""
+    docs = spark.createDataFrame([(i, f"some words {i % 7} here {'!!' * (i % 2)}") for i in range(60)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+
+    def refuse(*_):
+        raise AssertionError("rows as Python objects")
+
+    for name in ("collect", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(type(docs), name, refuse)
+    model = quality.fit_quality(docs, labels)
+    assert model.words.any() and np.isfinite(model.mean).all()
