@@ -13,11 +13,12 @@ import math
 from collections import deque
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from storylake.llm.support import free_name, shared_table
+from storylake.llm.support import free_name, local_table, shared_table
 
 #: Rows that a stretch of a pattern's line holds on average; bounds the rows of a window.
 STRETCH_ROWS = 20_000
@@ -218,10 +219,8 @@ def _mixed(
             parts.append((s, at, at + amount))
             at += amount
         info.append((r["pid"], r["size"], parts))
-    facts = spark.createDataFrame(
-        info,
-        "pid long, whole long, parts array<struct<source: string, start: long, stop: long>>",
-    )
+    span = pa.struct([("source", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
+    facts = local_table(spark, info, {"pid": pa.int64(), "whole": pa.int64(), "parts": pa.list_(span)})
 
     stretches = max(1, math.ceil(sum(r["n"] for r in found) / STRETCH_ROWS))
     placed = rows.withColumn("stretch", F.shiftright(F.shiftright("u", 22) * stretches, 31))
@@ -252,7 +251,7 @@ def _mixed(
         "mix-chosen",
     )
     more = _corrections(chosen, targets, passes)
-    added = spark.createDataFrame(more, "row long, source string, extra int")
+    added = local_table(spark, more, {"row": pa.int64(), "source": pa.string(), "extra": pa.int32()})
     total = F.aggregate("served", F.lit(0), lambda n, x: n + x["copies"])
     if more:
         # At most CORRECTIONS rows a source.
@@ -276,8 +275,10 @@ def _mixed(
         .groupBy(F.col("part.source").alias("source"))
         .agg(F.sum(F.col("size") * F.col("part.copies")).alias("taken"))
     )
-    wanted = spark.createDataFrame(
-        [(s, sizes[s], targets[s]) for s in names], "name string, source_size long, target double"
+    wanted = local_table(
+        spark,
+        [(s, sizes[s], targets[s]) for s in names],
+        {"name": pa.string(), "source_size": pa.int64(), "target": pa.float64()},
     )
     summary = wanted.join(taken, F.col("name").eqNullSafe(F.col("source")), "left").select(
         F.col("name").alias("source"),
@@ -307,10 +308,10 @@ def _corrections(chosen: DataFrame, targets: Mapping[object, float], passes: int
     for row in sums.collect():
         missing[row["source"]] -= row["taken"]
     for _ in range(CORRECTIONS):
-        gaps = spark.createDataFrame([(s, g) for s, g in missing.items()], "name string, gap double")
+        gaps = local_table(spark, missing.items(), {"name": pa.string(), "gap": pa.float64()})
         free = parts.filter(F.col("copies") < passes)
         if picks:
-            taken = spark.createDataFrame([(p[0],) for p in picks], "row long")
+            taken = local_table(spark, [(p[0],) for p in picks], {"row": pa.int64()})
             free = free.join(F.broadcast(taken), "row", "left_anti")
         best = (
             free.join(F.broadcast(gaps), F.col("part.source").eqNullSafe(F.col("name")))

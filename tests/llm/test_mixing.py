@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storylake.llm import mixing
+from storylake.llm.support import shared_table
 
 
 def test_shares_are_capped_and_reshared():
@@ -137,3 +138,17 @@ def test_rows_of_one_id_are_documents_of_their_own(spark, ident):
         assert abs(words[source] - target) <= 45
     again, _ = mixing.mix(docs.repartition(7), "doc_id", **options)
     assert sorted(map(str, again.collect())) == sorted(map(str, got))
+
+
+def test_mixing_starts_no_further_python_workers(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 7), "ab"[i % 2]) for i in range(40)], "doc_id int, text string, source string")
+    docs = shared_table(docs, "docs")
+
+    def refused(*args, **more):
+        raise AssertionError("a list became an RDD")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    mixed = mixing.mix_documents(
+        docs, size=mixing.word_count(F.col("text")), sources=F.array("source"), weights=lambda names: [1] * len(names)
+    )
+    assert mixed.count() >= 1
