@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storylake.schema import ROW_KEY, require_columns
-from storylake.session import materialize
+from storylake.session import keep_batches_small, materialize
 
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 ScorerFactory = Callable[[], Scorer]
@@ -135,6 +135,7 @@ def model_outcomes(
     folder, so results derived from them (rows, errors, cost) never call the model again, also
     after the loss of an executor.  Rows whose
     ``skip_blank`` column is blank are not sent to the scorer and have a null outcome.
+    Without ``reuse`` the session keeps to small batches from then on, as the caller runs the model.
     """
     require_columns(df, *input_cols)
     inputs = list(input_cols)
@@ -177,6 +178,7 @@ def model_outcomes(
     arguments = [F.col(name).alias(f"c{i}") for i, name in enumerate(inputs)]
     outcome = call(F.struct(*arguments, skip.alias("skip")))
     if not reuse:
+        keep_batches_small(df.sparkSession)
         return df.withColumn("outcome", outcome)
     require_columns(df, ROW_KEY)
     written = materialize(df.select(ROW_KEY, outcome.alias("outcome")), "outcomes")

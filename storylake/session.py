@@ -50,6 +50,17 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def keep_batches_small(spark: SparkSession) -> None:
+    """From now on Python gets at most BATCH_ROWS rows of this session at once.
+
+    For tables that are not written here: Spark reads the setting when the caller runs them, so
+    it has to stay.  A smaller value of the session is kept.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse.
 

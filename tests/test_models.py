@@ -54,6 +54,25 @@ def test_one_to_one_keeps_failed_rows(rows):
     assert len(got) == 4
 
 
+def test_models_that_run_later_get_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    counted = T.StructType([T.StructField("n", T.LongType())])
+
+    def sizes(frame):
+        return pd.DataFrame({"n": [len(frame)] * len(frame)})
+
+    try:
+        spark.conf.set(key, "10000")
+        df = S.model_map_one(spark.range(0, 5000, 1, 1), lambda: sizes, ["id"], counted)
+        assert {r["n"] for r in df.collect()} == {1000}
+        spark.conf.set(key, "500")
+        df = S.model_map_one(spark.range(0, 5000, 1, 1), lambda: sizes, ["id"], counted)
+        assert {r["n"] for r in df.collect()} == {500}
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_all_rows_failing_keeps_the_schema(rows):
     def broken(frame):
         raise RuntimeError("down")
