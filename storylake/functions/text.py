@@ -22,7 +22,12 @@ from storylake.constants import (
 WHITESPACE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
 TOKEN = r"[\p{L}\p{N}]+"
 
-_SENTENCE_MARK = "\x01"
+#: The characters of WHITESPACE; none is beyond the first plane.
+_BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85" + "".join(
+    char for char in map(chr, range(1 << 16)) if unicodedata.category(char)[0] == "Z"
+)
+
+SENTENCE_MARK = "\x01"
 _DIGEST_OF_NOTHING = hashlib.md5(b"").hexdigest()
 
 
@@ -130,8 +135,8 @@ def sentence_end_pattern(
 ) -> str:
     """Pattern of a sentence end with the white space behind it.
 
-    Groups 1 and 2 hold the stop, of scripts with and without spaces.  Only at a stop does the
-    pattern look back, so a text costs about as much as a search for stops.
+    Group 1 holds the stop, group 2 what belongs to it in scripts without spaces.  Every character
+    of a text meets one class, of few ranges; only at a stop does the pattern look back.
     """
     no_word = r"(?<![\p{L}\p{N}])"
     opener = rf"{WHITESPACE}+(?:{'|'.join(SENTENCE_OPENERS)})(?![\p{{L}}\p{{N}}])"
@@ -142,11 +147,20 @@ def sentence_end_pattern(
         short += rf"(?<!{no_word}{_one_of(abbreviations)}\.)"
     initial = rf"(?:(?<!{no_word}\p{{Lu}}\.)|(?!{name}))"
     return (
-        rf"([.!?]){never}(?:{short}{initial}|(?={opener})){WHITESPACE}+"
-        rf"|([{UNSPACED_STOPS}]+[{CLOSERS}]*){WHITESPACE}*"
+        rf"[.!?{min(UNSPACED_STOPS)}-{max(UNSPACED_STOPS)}](?<=([.!?{UNSPACED_STOPS}]))"
+        rf"(?:(?<=[.!?]){never}(?:{short}{initial}|(?={opener})){WHITESPACE}+"
+        rf"|(?<=[{UNSPACED_STOPS}])([{UNSPACED_STOPS}]*[{CLOSERS}]*){WHITESPACE}*)"
     )
 
 
+def marked_sentences(text: Column, ends: str | None = None) -> Column:
+    """Stripped text with a mark between sentences; empty pieces are none."""
+    # The ends are stripped once and a break consumes its white space, so pieces are trimmed;
+    # blank text, or an end without white space at the end of a text, leaves an empty piece.
+    stripped = F.btrim(text, F.lit(_BLANKS))
+    return F.regexp_replace(stripped, ends or _SENTENCE_END, "$1$2" + SENTENCE_MARK)
+
+
 def sentences(text: Column, ends: str | None = None) -> Column:
     """Array of trimmed, non-empty sentences.
 
@@ -156,11 +170,15 @@ def sentences(text: Column, ends: str | None = None) -> Column:
     capital also where no name follows, after up to two further initials.  The abbreviations of
     all languages count in every text, by case; ``ends`` takes another ``sentence_end_pattern``.
     """
-    # The ends are stripped once and a break consumes its white space, so pieces are trimmed;
-    # blank text, or an end without white space at the end of a text, leaves an empty piece.
-    stripped = F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
-    marked = F.regexp_replace(stripped, ends or _SENTENCE_END, "$1$2" + _SENTENCE_MARK)
-    return F.array_remove(F.split(marked, _SENTENCE_MARK), "")
+    return F.array_remove(F.split(marked_sentences(text, ends), SENTENCE_MARK), "")
+
+
+def sentence_words(text: Column) -> Column:
+    """The words of all sentences in order, and ``SENTENCE_MARK`` in front of each sentence."""
+    # What is not empty starts behind a mark, the last one of several in a row.
+    marked = F.concat(F.lit(SENTENCE_MARK), marked_sentences(F.coalesce(text, F.lit(""))))
+    pattern = f"{TOKEN}|{SENTENCE_MARK}(?=[^{SENTENCE_MARK}])"
+    return F.regexp_extract_all(marked, F.lit(pattern), F.lit(0))
 
 
 def is_stopword(

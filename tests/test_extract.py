@@ -2,9 +2,11 @@ import math
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from storylake.constants import STOPWORDS
+from storylake.operators import keyword_batches as batches
 from storylake.operators import keywords as K
 from storylake.operators.entities import extract_entities
 from storylake.operators.images import (
@@ -297,6 +299,69 @@ def test_keywords_hold_one_article_at_a_time(spark, stories, tmp_path):
     assert {r["ingest_seq"] for r in found.collect()} == {0, 1}
 
 
+def test_keywords_need_no_expression_per_word(spark, stories, tmp_path):
+    """Words are counted in arrays of many articles; Spark evaluates nothing for each of them."""
+    path = str(tmp_path / "articles")
+    stories(*[{"text": t} for t in ARTICLES]).write.parquet(path)
+    df = spark.read.parquet(path)
+    whole = K.article_keywords(df, 5, dedup_limit=1.0)
+    for result in (K.term_scores(df), K.keyword_scores(df), K.top_keywords(df, 5), whole):
+        assert "lambda" not in result._jdf.queryExecution().executedPlan().toString()
+
+
+def test_near_duplicates_are_looked_for_behind_the_first_stretch(stories, monkeypatch):
+    df = stories(*[{"text": t} for t in ARTICLES])
+    monkeypatch.setattr(K, "_HEAD", 1)
+    got = {r["ingest_seq"]: r["keywords"] for r in K.extract_keywords(df, 12, dedup_limit=0.5).collect()}
+    assert got == {i: python_walk(python_keywords(text), 12, 0.5) for i, text in enumerate(ARTICLES)}
+    plan = K.extract_keywords(df, 12)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(slice(") == 2
+
+
+def words_of(text):
+    return [each for part in python_sentences(text) for each in ["\x01", *WORD.findall(part)]]
+
+
+@pytest.mark.parametrize("most", [1, 20, 10_000])
+def test_batches_of_articles_score_as_each_alone(monkeypatch, most):
+    monkeypatch.setattr(batches, "CHUNK_WORDS", most)
+    texts = [*ARTICLES, "Étude à Œuvre. ÉTÉ été. Der Rat der Stadt.", *ARTICLES]
+    words = pa.array([words_of(text) for text in texts], pa.list_(pa.string()))
+    languages = pa.array(["en"] * 5 + ["de"] + ["en"] * 4 + [None])
+    run = batches.over_batches(lambda terms: batches.candidate_lists(terms, 3), STOPWORDS)
+    # The first and last article are in the memory of the batches, but not in them.
+    first, second = run(iter([(words[1:4], languages[1:4]), (words[4:-1], languages[4:-1])]))
+    for text, language, found in zip(texts[1:-1], languages[1:-1].to_pylist(), [*first, *second], strict=True):
+        got = [(row["keyword"], row["score"]) for row in found.as_py()]
+        expected = python_keywords(text, language)
+        assert [keyword for keyword, _ in got] == [keyword for _, keyword in expected]
+        assert [score for _, score in got] == pytest.approx([score for score, _ in expected], abs=1e-11)
+
+
+def test_terms_of_odd_words_and_texts(stories):
+    df = stories(
+        {"text": "The İstanbul ΟΔΟΣ NATO straße. ⅣA 42 ªb 東京 ok Ǆ \x01\x01 end.\x01"},
+        {"text": None},
+        {"text": " \n\u3000", "language": None},
+        {"text": "the The THE", "language": None},
+    )
+    rows = K.term_scores(df).collect()
+    assert {r["term"] for r in rows if r["ingest_seq"] == 0} == {
+        "the", "i̇stanbul", "οδος", "nato", "straße", "ⅳa", "42", "ªb", "東京", "ok", "ǆ", "end"
+    }
+    assert {r["ingest_seq"] for r in rows} == {0, 3}
+    (the,) = [r for r in rows if r["ingest_seq"] == 3]
+    assert (the["term"], the["tf"], the["is_stop"]) == ("the", 3, False)
+    assert [r["is_stop"] for r in rows if r["ingest_seq"] == 0 and r["term"] == "the"] == [True]
+    # Text with three sentences; what has no capital counts as written in capitals if it is long.
+    score = {r["term"]: r["term_score"] for r in rows if r["ingest_seq"] == 0}
+    one = math.log(math.log(4))
+    assert score["東京"] == pytest.approx(one * 3 / (1 + 1 / 3 + 1 / 9), abs=1e-12)
+    assert score["ok"] == pytest.approx(one * 3 / (1 / 3 + 1 / 9), abs=1e-12)
+    found = {r["ingest_seq"]: r["keywords"] for r in K.extract_keywords(df, 3).collect()}
+    assert found[1] == found[2] == [] and found[3] == ["the the the", "the the", "the"]
+
+
 def test_summaries(stories):
     long_text = " ".join(
         [f"Word{i} item{i} note{i} thing{i}." for i in range(12)]
