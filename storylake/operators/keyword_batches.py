@@ -167,6 +167,37 @@ def scored_terms(words: pa.Array, languages: Sequence[str | None], stopwords: Ma
     )
 
 
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """Places of the values among the different ones, from 0."""
+    order = np.argsort(values)
+    ranks = np.empty(len(values), np.int64)
+    ranks[order] = np.cumsum(np.diff(values[order], prepend=values[order[:1]]) != 0)
+    return ranks
+
+
+#: Whole numbers below this one can be added without leaving 64 bits.
+_ROOM = 1 << 62
+
+
+def _best_first(article: np.ndarray, score: np.ndarray, names: Sequence[np.ndarray], size: int) -> np.ndarray:
+    """The order by article, score and keyword; names are places in a vocabulary of that size.
+
+    Terms sort before whatever they are the beginning of, as keywords do.  Ranks of what is compared
+    first make one number of all, and sorting such numbers costs a fraction of sorting by several.
+    """
+    n = max(len(score), 1)
+    key, bound = names[0], size
+    for name in names[1:]:
+        if bound * (size + 1) >= _ROOM:
+            key, bound = _ranks(key), n
+        key, bound = key * (size + 1) + name + 1, bound * (size + 1)
+    by_name = np.argsort(key)
+    place = np.empty(len(score), np.int64)
+    place[by_name] = np.arange(len(score))
+    # Far below 64 bits: one article, or as many as a batch has and no more words than CHUNK_WORDS.
+    return by_name[np.sort((article * n + _ranks(score)) * n + place) % n]
+
+
 def _rounded(score: np.ndarray) -> np.ndarray:
     scale = 10.0**RANK_DIGITS
     return np.where(score < _COARSE, np.floor(score * scale + 0.5) / scale, score)
@@ -200,8 +231,7 @@ def candidates(terms: Terms, ngram_max: int) -> Candidates:
         found.append((terms.article[own[0]], product / (kf * (1 + total)), kf, *names))
     article, score, kf, *names = (np.concatenate(part) for part in zip(*found, strict=True))
     score = _rounded(score)
-    # Terms sort before whatever they are the beginning of, as keywords do, and are numbered in order.
-    order = np.lexsort((*names[::-1], score, article))
+    order = _best_first(article, score, names, len(terms.vocabulary))
     counts = np.bincount(article, minlength=terms.articles)
     offsets = np.concatenate([[0], np.cumsum(counts)])
     return Candidates(offsets, [name[order] for name in names], score[order], kf[order])

@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -338,6 +339,17 @@ def test_batches_of_articles_score_as_each_alone(monkeypatch, most):
         assert [score for _, score in got] == pytest.approx([score for score, _ in expected], abs=1e-11)
 
 
+@pytest.mark.parametrize("room", [1, 1 << 20, 1 << 62])
+def test_candidates_are_ordered_by_article_score_and_keyword(monkeypatch, room):
+    monkeypatch.setattr(batches, "_ROOM", room)
+    some = np.random.default_rng(3)
+    article, score, *names = (some.integers(0, 4, 300) for _ in range(5))
+    names = [names[0], names[1] - 1, np.where(names[1] == 0, -1, names[2] - 1)]
+    order = batches._best_first(article, score / 8, names, 4)
+    rows = [*zip(article.tolist(), score.tolist(), *(name.tolist() for name in names), strict=True)]
+    assert [rows[at] for at in order] == sorted(rows)
+
+
 def test_terms_of_odd_words_and_texts(stories):
     df = stories(
         {"text": "The İstanbul ΟΔΟΣ NATO straße. ⅣA 42 ªb 東京 ok Ǆ \x01\x01 end.\x01"},
