op6_ann_curves: curves hold numbers, vectors join them once

Symptom: 2659 s of task time a GB on 51282 vectors, 1457 of them JVM CPU; 535 MB shuffled for 13 MB of vectors.
Evidence: every vector went in double precision through the range shuffle of all 8 curves, into Parquet and through a second shuffle; writing that table was the longest stage (208 tasks, 15 s). The input was read four times, and vectors were join keys to find the ids behind each entry.
Fix: the range shuffle and its table hold curve, block and the number of an entry; vectors join it before the search and stay in single precision if they come so. An entry with one id names its member itself; rows are read again, past a bitmap, only where a vector has several ids. The commonest length comes from the entries.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 297 -> 203 s, shuffle 0.83 -> 0.33 GB, spill 0.00 -> 0.00 GB, read 0.77 -> 0.14 GB, longest task 4 -> 3 s, most memory of a task 120 -> 120 MB; at 6 GB of input CPU 3417 -> 1739 s, shuffle 18.18 -> 10.32 GB, spill 0.00 -> 0.00 GB, read 7.64 -> 1.34 GB, longest task 19 -> 19 s, most memory of a task 442 -> 751 MB; with hot keys, at 0.6 GB of input CPU 289 -> 190 s, shuffle 0.65 -> 0.24 GB, spill 0.00 -> 0.00 GB, read 0.65 -> 0.12 GB, longest task 3 -> 2 s, most memory of a task 110 -> 110 MB.

@@ -21,12 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from storylake.llm.support import shared_table
+from storylake.llm.support import may_meet, shared_table
 
 #: Vectors of a block; bounds the memory of a comparison.
 BLOCK_VECTORS = 2048
 
+#: Places on curves that a task writes; they are a few numbers each.
+TASK_PLACES = 100_000
+
 
 @dataclass(frozen=True)
 class Curves:
@@ -118,11 +122,13 @@ def _spread(vectors: DataFrame, turns: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _orderings(turns, shifts, mean, deviation, bits):
+    """Curve and key of every vector, beside the other columns of its row."""
     number, width, d = turns.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch["vector"], width)
+            batch = batch.drop_columns(["vector"])
             for i in range(number):
                 # Four deviations to either side, and the shift, fill the grid.
                 y = (x @ turns[i] - mean[i]) / deviation[i] + shifts[i]
@@ -148,20 +154,51 @@ def _best_of_block(k: int):
         entries = entries.sort_values("entry")
         ids = entries["entry"].to_numpy()
         x = np.stack(entries["vector"].to_list()).astype(np.float64)
-        q = np.stack(queries["vector"].to_list()).astype(np.float64)
+        q = np.stack(queries["sought"].to_list()).astype(np.float64)
         out = []
         for start in range(0, len(q), BLOCK_VECTORS):
             part = q[start : start + BLOCK_VECTORS]
             near = np.argsort(-(part @ x.T), axis=1, kind="stable")[:, :k]
             # Products of matrices depend on their shapes in the last bit; these sums do not.
             score = (part[:, None, :] * x[near]).sum(axis=2)
-            who = np.repeat(queries["entry"].to_numpy()[start : start + BLOCK_VECTORS], near.shape[1])
+            who = np.repeat(queries["query"].to_numpy()[start : start + BLOCK_VECTORS], near.shape[1])
             out.append(pd.DataFrame({"query": who, "entry": ids[near].ravel(), "score": score.ravel()}))
         return pd.concat(out)
 
     return run
 
 
+def _members(
+    sound: DataFrame, entries: DataFrame, k: int, copies: bool
+) -> tuple[DataFrame, DataFrame]:
+    """(entry, id) of the ``k + 1`` smallest members, and (query_id, query) of all that ask.
+
+    The member of an entry with one id is known from the entry.  Rows are read again only for
+    ``copies``, vectors under several ids.
+    """
+    alone = entries.filter("entry = last")
+    members = alone.select("entry", F.col("entry").alias("id"))
+    queries = alone.filter("asks").select(F.col("entry").alias("query_id"), F.col("entry").alias("query"))
+    if not copies:
+        return members, queries
+    shared = entries.filter("entry < last").select("mark", "vector", "entry")
+    rows = may_meet(sound, shared, "mark")
+    order = W.partitionBy("mark", "vector").orderBy("id")
+    least = (
+        rows.select("mark", "vector", "id")
+        .withColumn("place", F.dense_rank().over(order))
+        .filter(F.col("place") <= k + 1)
+        .distinct()
+    )
+    asked = rows.filter("asks").select("mark", "vector", F.col("id").alias("query_id")).distinct()
+    return (
+        members.union(least.join(shared, ["mark", "vector"]).select("entry", "id")),
+        queries.union(
+            asked.join(shared, ["mark", "vector"]).select("query_id", F.col("entry").alias("query"))
+        ),
+    )
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -180,67 +217,73 @@ def nearest(
     """
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    numbers = F.col(vector_col).cast("array<double>")
+    # Single precision is kept as it comes: half the bytes, and exact in double precision.
+    single = vectors.select(vector_col).schema[0].dataType == T.ArrayType(T.FloatType())
+    numbers = F.col(vector_col).cast("array<float>" if single else "array<double>")
     finite = F.forall(
         numbers, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
     )
-    sound = vectors.filter(
-        F.col(id_col).isNotNull() & finite & F.exists(numbers, lambda v: v != 0)
-    ).select(
-        F.col(id_col).cast("long").alias("id"), numbers.alias("vector"), is_query.alias("asks")
+    sound = (
+        vectors.filter(F.col(id_col).isNotNull() & finite & F.exists(numbers, lambda v: v != 0))
+        .select(F.col(id_col).cast("long").alias("id"), numbers.alias("vector"), is_query.alias("asks"))
+        .withColumn("mark", F.xxhash64("vector"))
     )
-    lengths = sound.groupBy(F.size("vector").alias("width")).count()
-    common = lengths.orderBy(F.desc("count"), "width").first()
-    if common is None:
-        return empty
-    width = common["width"]
-    sound = sound.filter(F.size("vector") == width).withColumn("mark", F.xxhash64("vector"))
 
-    # Entries of the index, with their smallest members.
-    order = W.partitionBy("mark", "vector").orderBy("id")
-    least = (
-        sound.select("mark", "vector", "id")
-        .withColumn("place", F.dense_rank().over(order))
-        .filter(F.col("place") <= k + 1)
-        .distinct()
-    )
+    # Entries of the index.  Their smallest members need not tell them apart: ids may repeat.
     entries = shared_table(
-        sound.groupBy("mark", "vector").agg(
-            F.min("id").alias("entry"), F.max(F.coalesce("asks", F.lit(False))).alias("asks")
-        ),
+        sound.groupBy("mark", "vector")
+        .agg(
+            F.min("id").alias("entry"),
+            F.max("id").alias("last"),
+            F.max(F.coalesce("asks", F.lit(False))).alias("asks"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        .withColumns({"width": F.size("vector"), "number": F.monotonically_increasing_id()}),
         "ann-entries",
     )
-    members = least.join(entries.select("mark", "vector", "entry"), ["mark", "vector"]).select(
-        "entry", "id"
+    lengths = entries.groupBy("width").agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("n"), F.max(F.col("entry") < F.col("last")).alias("copies")
     )
-    n = entries.count()
+    common = lengths.orderBy(F.desc("rows"), "width").first()
+    if common is None:
+        return empty
+    width, n = common["width"], common["n"]
+    entries = entries.filter(F.col("width") == width)
+    members, queries = _members(sound.filter(F.size("vector") == width), entries, k, common["copies"])
 
     turns, shifts = _projections(width, curves)
     bits = min(curves.bits, 62 // turns.shape[2])
     mean, deviation = _spread(entries, turns)
-    keyed = entries.select("entry", "asks", "vector").mapInArrow(
+    keyed = entries.select("number", "entry", "asks", "vector").mapInArrow(
         _orderings(turns, shifts, mean, deviation, bits),
-        "curve int, key long, entry long, asks boolean, vector array<double>",
+        "curve int, key long, number long, entry long, asks boolean",
     )
     blocks = curves.number * max(1, math.ceil(n / BLOCK_VECTORS))
     placed = shared_table(
-        keyed.repartitionByRange(blocks, "curve", "key", "entry").withColumn(
-            "block", F.spark_partition_id()
-        ),
+        keyed.repartitionByRange(blocks, "curve", "key", "entry")
+        .select("curve", F.spark_partition_id().alias("block"), "number", "asks")
+        .coalesce(1 + curves.number * n // TASK_PLACES),
         "ann-curves",
     )
     spans = placed.groupBy("curve").agg(F.min("block").alias("low"), F.max("block").alias("high"))
     longest = spans.agg(F.max(F.col("high") - F.col("low") + 1)).first()[0]
     reach = max(1, math.ceil(curves.window * longest))
+    # Vectors join the places here, and so move once for each curve.
     visits = (
         placed.filter("asks")
-        .withColumn("block", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)))
-        .select("curve", "block", "entry", "vector")
+        .join(entries.filter("asks").select("number", "entry", "vector"), "number")
+        .select(
+            F.col("curve").alias("on"),
+            F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("visited"),
+            F.col("entry").alias("query"),
+            F.col("vector").alias("sought"),
+        )
     )
     found = (
-        placed.select("curve", "block", "entry", "vector")
+        placed.join(entries.select("number", "entry", "vector"), "number")
+        .select("curve", "block", "entry", "vector")
         .groupBy("curve", "block")
-        .cogroup(visits.groupBy("curve", "block"))
+        .cogroup(visits.groupBy("on", "visited"))
         .applyInPandas(_best_of_block(k + 1), "query long, entry long, score double")
     )
     top = W.partitionBy("query").orderBy(F.desc("score"), "entry")
@@ -258,13 +301,6 @@ def nearest(
         .filter(F.col("place") <= k + 1)
         .select("query", "id", "score")
     )
-    queries = (
-        sound.filter("asks")
-        .select("mark", "vector", F.col("id").alias("query_id"))
-        .distinct()
-        .join(entries.select("mark", "vector", F.col("entry").alias("query")), ["mark", "vector"])
-        .select("query_id", "query")
-    )
     final = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
         queries.join(answers, "query")

@@ -69,6 +69,38 @@ def test_nothing_to_search(spark):
     assert ann_curves.nearest(one, F.lit(True)).count() == 0
 
 
+def test_ids_that_repeat_and_vectors_under_several_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [2.0, 1.0]), (2, [2.0, 1.0]), (3, None)]
+    rows += [(None, [1.0, 1.0]), (4, [0.5, -0.0]), (4, [0.5, 0.0]), (5, [0.5, 0.0]), (6, [1.0]), (7, [0.0, 0.0])]
+    rows += [(9, [-1.0, 3.0])]
+    # The two vectors of id 0 ask together, and each of them has a place among the neighbours.
+    expected = [(0, 1, 9, 3.0), (0, 2, 9, 3.0), (2, 1, 0, 2.0), (2, 2, 0, 2.0), (4, 1, 2, 1.0), (4, 2, 0, 0.5)]
+    for kind in ("float", "double"):
+        frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        got = ann_curves.nearest(frame, F.col("vec_id") % 2 == 0, k=2)
+        assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_vectors_stay_out_of_the_curves_and_rows_are_read_once(spark, tmp_path, monkeypatch):
+    rows = [(i, v) for i, v in vectors(300, 3) if i is not None and v]
+    spark.createDataFrame(rows, VECTORS).write.parquet(f"{tmp_path}/input")
+    frame = spark.read.parquet(f"{tmp_path}/input")
+    tables = {}
+
+    def kept(df, name, write=ann_curves.shared_table):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(ann_curves, "shared_table", kept)
+    for most, scans in ((300, 0), (30_000, 2)):  # without copies, and with them
+        got = ann_curves.nearest(frame.filter(F.col("vec_id") < most), F.col("vec_id") % 5 == 0, k=7)
+        assert got._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("/input]") == scans
+        assert not any("array" in kind for _, kind in tables["ann-curves"].dtypes)
+        assert dict(tables["ann-entries"].dtypes)["vector"] == "array<float>"
+        wanted = [(i, v) for i, v in rows if i < most]
+        assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got.collect()) == brute_nearest(wanted, 5, 7)
+
+
 def texts(n, seed):
     rnd = random.Random(seed)
     words = ["".join(rnd.choice("aeioubdklmnst") for _ in range(rnd.randint(2, 7))) for _ in range(300)]
