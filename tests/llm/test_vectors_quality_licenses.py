@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,32 @@ def test_recall_over_many_blocks(spark, monkeypatch):
     assert len({(r["query_id"], r["vec_id"]) for r in got} & expected) >= 0.9 * len(expected)
 
 
+def test_nearest_columns_are_those_of_a_stable_sort():
+    random_ = np.random.default_rng(4)
+    for _ in range(200):  # ties, and scores that are no number
+        far = random_.integers(0, 4, size=random_.integers(1, 30, size=2)).astype(float)
+        far[random_.random(far.shape) < random_.choice([0, 0.1, 0.8])] = np.nan
+        for k in (1, 2, 5, 40):
+            expected = np.argsort(far, axis=1, kind="stable")[:, :k]
+            assert ann_curves._nearest_columns(far, k).tolist() == expected.tolist()
+
+
+def test_a_block_is_searched_in_parts_of_bounded_size(monkeypatch):
+    random_ = np.random.default_rng(5)
+    ids, asking = random_.permutation(40), np.arange(100, 170)
+    x, q = (random_.normal(size=(n, 8)).astype(np.float32) for n in (40, 70))
+    entries = pa.table({"entry": ids, "vector": pa.array(list(x))})
+    queries = pa.table({"query": asking, "sought": pa.array(list(q))})
+    monkeypatch.setattr(ann_curves, "QUERIES_AT_ONCE", 16)
+    got = ann_curves._best_of_block(5)(entries, queries).to_pylist()
+    exact = (q.astype(float)[:, None, :] * x.astype(float)).sum(axis=2)
+    expected = [(a, i, s) for a, row in zip(asking, exact) for s, i in sorted(zip(row, ids), key=lambda e: (-e[0], e[1]))[:5]]
+    assert [(r["query"], r["entry"], r["score"]) for r in got] == expected
+    assert ann_curves._best_of_block(5)(entries.slice(0, 0), queries).num_rows == 0
+    assert ann_curves._best_of_block(5)(entries, queries.slice(0, 0)).num_rows == 0
+    assert ann_curves._best_of_block(50)(entries, queries).num_rows == 70 * 40
+
+
 def test_hilbert_keys_visit_neighbouring_cells():
     cells = np.array(list(itertools.product(range(8), repeat=3)))
     keys = ann_curves.hilbert_keys(cells, 3)
