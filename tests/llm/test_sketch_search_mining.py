@@ -292,6 +292,41 @@ def test_feasible_ranges_keep_every_hit():
     assert narrowed > 20
 
 
+@pytest.mark.parametrize("dense", [0.0, 0.25, 1.0])
+def test_anchors_are_scanned_together(dense, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "TOGETHER", 16)
+    rows = np.array([np.array(r[1]) * 256 for r in made_vectors(3, 400, d=6)] + [[0] * 6]).astype(np.int64)
+    held = hard_negatives.Bucket(np.arange(401), np.zeros(401), rows)
+    asking = np.concatenate([rows[:60], rows[400:]])  # the last one has no length
+    anchors = hard_negatives.Anchors.build(range(61), range(61), [0] * 61, asking)
+    scores = asking @ rows.T
+    need = np.sort(scores, axis=1)[np.arange(61), np.arange(61) * 6]  # from the least score to the best
+    need[5] = np.iinfo(np.int64).min
+    parts = list(hard_negatives.scan(held, anchors, need, dense=dense))
+    found = sorted((i, row, score) for part in parts for i, row, score in zip(*(x.tolist() for x in part), strict=True))
+    assert found == [(i, r, scores[i, r]) for i, r in np.argwhere(scores >= need[:, None]).tolist()]
+    assert len(parts) <= 5  # one of few candidates, four products
+    assert all((np.diff(who) >= 0).all() for who, _, _ in parts)
+    none = hard_negatives.Anchors.build([0, 1], [0, 1], [0, 0], np.zeros((2, 0)))
+    empty = hard_negatives.Bucket(np.arange(3), np.zeros(3), np.zeros((3, 0), np.int64))
+    hits = [part for part in hard_negatives.scan(empty, none, np.array([0, 1]))]
+    assert [(w.tolist(), r.tolist(), s.tolist()) for w, r, s in hits] == [([0, 0, 0], [0, 1, 2], [0, 0, 0])]
+
+
+def test_best_of_many_lists_at_once():
+    dice = np.random.default_rng(4)
+    best, kept = hard_negatives._Best(np.full(9, -50), 3), {i: [] for i in range(9)}
+    for size in (1, 2, 400, 30, 1):
+        lists = np.sort(dice.integers(0, 8, size))  # list 8 gets nothing
+        scores, ids = dice.integers(-20, 20, size), dice.integers(0, 10, size)
+        best.add(lists, scores, ids)
+        for i, score, id_ in zip(lists.tolist(), scores.tolist(), ids.tolist(), strict=True):
+            kept[i] = sorted([*kept[i], (-score, id_)])[:3]
+        assert best.need.tolist() == [-kept[i][2][0] if len(kept[i]) == 3 else -50 for i in range(9)]
+    got = best.batch({"anchor": np.arange(9) + 100}).to_pylist()
+    assert [(r["anchor"], -r["score"], r["id"]) for r in got] == [(i + 100, *e) for i in range(9) for e in kept[i]]
+
+
 def test_mining_of_empty_tables_and_long_vectors(spark):
     assert hard_negatives.mine(spark.createDataFrame([], VECTORS), F.col("vec_id") % 50 == 0).count() == 0
     large = spark.createDataFrame([(0, [3e38, 3e38], 1)], VECTORS)
