@@ -51,7 +51,7 @@ from storylake.operators.zeroshot import (
 from storylake.params import AboutnessParams, ArticleQuery, DedupStrategy, LabelParams
 from storylake.schema import ROW_KEY
 from storylake.session import materialize
-from storylake.sources.articles import scan_articles, scan_duplicates
+from storylake.sources.articles import query_articles, scan_articles, scan_duplicates
 from storylake.sources.exports import contract_columns, drop_text
 
 Outputs = dict[str, DataFrame]
@@ -60,11 +60,13 @@ Outputs = dict[str, DataFrame]
 def _scan(
     articles: DataFrame, query: ArticleQuery, collection_sources: DataFrame | None
 ) -> tuple[DataFrame, Outputs]:
-    stories, dedup = scan_articles(articles, query, collection_sources)
+    # Once for all outputs: a cap writes the keys it takes.
+    matched = query_articles(articles, query, collection_sources)
+    stories, dedup = scan_articles(articles, query, collection_sources, matched)
     return stories, {
         "query_summary": query_summary(stories, query, dedup),
         "dedup_summary": dedup,
-        "duplicates": scan_duplicates(articles, query, collection_sources),
+        "duplicates": scan_duplicates(articles, query, collection_sources, matched),
     }
 
 

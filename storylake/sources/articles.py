@@ -103,19 +103,30 @@ def query_articles(
 
 
 def scan_duplicates(
-    articles: DataFrame, query: ArticleQuery, collection_sources: DataFrame | None = None
+    articles: DataFrame,
+    query: ArticleQuery,
+    collection_sources: DataFrame | None = None,
+    matched: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows that the query's strategy drops, without their text, with the id kept instead."""
-    matched = query_articles(articles, query, collection_sources)
+    """Rows that the query's strategy drops, without their text, with the id kept instead.
+
+    ``matched`` is what :func:`query_articles` gives for the same arguments, if the caller has it.
+    """
+    if matched is None:
+        matched = query_articles(articles, query, collection_sources)
     keys, earliest = strategy_keys(matched, query.dedup_strategy)
     return duplicate_mapping(matched.drop("text"), keys, earliest)
 
 
 def scan_articles(
-    articles: DataFrame, query: ArticleQuery, collection_sources: DataFrame | None = None
+    articles: DataFrame,
+    query: ArticleQuery,
+    collection_sources: DataFrame | None = None,
+    matched: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The story table of a query and its one-row deduplication summary."""
-    matched = query_articles(articles, query, collection_sources)
+    """The story table of a query and its one-row deduplication summary; ``matched`` as above."""
+    if matched is None:
+        matched = query_articles(articles, query, collection_sources)
     return (
         deduplicate(matched, query.dedup_strategy),
         dedup_summary(matched, query.dedup_strategy),

@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date
 
 import pandas as pd
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storylake.constants import TAGGED_SUMMARY_COLUMNS
+from storylake.operators import selection
 from storylake.params import AboutnessParams, ArticleQuery, LabelParams, SearchTerms
 from storylake.plans import jobs as J
 from storylake.schema import canonical_id
@@ -104,6 +106,52 @@ def news(stories):
     )
 
 
+def scans_of(df, path):
+    """How often a plan reads the files of a folder."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = [leaves.apply(i) for i in range(leaves.size())]
+    files = [leaf for leaf in leaves if leaf.getClass().getSimpleName() == "LogicalRelation"]
+    return sum(leaf.relation().location().rootPaths().mkString(" ").endswith(path) for leaf in files)
+
+
+def test_a_cap_reads_the_articles_twice_for_all_outputs(spark, stories, tmp_path, monkeypatch):
+    words = ["the storm", "a storm", None, "The end"]
+    df = stories(*[{"title": f"t{i % 9}", "text": words[i % 4], "day": i % 28 + 1} for i in range(60)])
+    twice = df.union(df.filter("ingest_seq % 10 = 0")).union(df.filter("ingest_seq = 3").withColumn("id", F.lit(None)))
+    twice.write.parquet(f"{tmp_path}/articles")
+    articles, written = spark.read.parquet(f"{tmp_path}/articles"), {}
+
+    def kept(df, name, write=selection.materialize):
+        written.setdefault(name, []).append(scans_of(df, "/articles"))
+        return write(df, name)
+
+    monkeypatch.setattr(selection, "materialize", kept)
+    query = ArticleQuery(
+        terms=SearchTerms(all_of=("the",)), dedup_strategy="title_source", randomized=True, seed=5, max_articles=12
+    )
+    outputs = J.full_text(articles, query)
+    # Input scans of what is written: only the keys come from the articles, and come once.
+    assert written == {"sort-keys": [1], "ordered-keys": [0], "taken-keys": [0]}
+    assert scans_of(outputs["stories"], "/articles") == 1
+    assert "SortMergeJoin" not in outputs["stories"]._jdf.queryExecution().executedPlan().toString()
+
+    rows = [r for r in twice.collect() if r["text"] in ("the storm", "The end")]
+    order = sorted(
+        (r["id"] is None, r["id"] and hashlib.md5(f"5:{r['id']}".encode()).hexdigest(), r["ingest_seq"]) for r in rows
+    )
+    taken = {seq for _, _, seq in order[:12]}
+    groups = {}
+    for r in rows:
+        if r["ingest_seq"] in taken:
+            groups.setdefault((r["title"], r["media_name"]), []).append(r["ingest_seq"])
+    got = sorted(r["ingest_seq"] for r in outputs["stories"].collect())
+    assert got == sorted(min(seqs) for seqs in groups.values())
+    sizes = outputs["dedup_summary"].first()
+    assert sizes["input_story_count"] == sum(map(len, groups.values()))
+    dropped = sorted(r["ingest_seq"] for r in outputs["duplicates"].collect())
+    assert dropped == sorted(s for seqs in groups.values() for s in seqs if s != min(seqs))
+
+
 def test_every_job_runs(spark, news):
     query = ArticleQuery(dedup_strategy="title")
     about, labels = AboutnessParams("storm"), LabelParams(labels=("storm", "budget"), top_n=1)
